@@ -18,7 +18,7 @@ from tierflow.plans import gold, ingest, sample, silver
 from tierflow.schemas import CUSTOMER_REVIEWS, PEOPLE
 from tierflow.session import scratch_path
 from tierflow.sources.streams import csv_stream, line_stream, parquet_stream
-from tierflow.sources.tables import read_table
+from tierflow.sources.tables import read_table, stage
 from tierflow.streaming import counts
 from tierflow.streaming.run import run_stream
 from tierflow.streaming.sinks import append_batches, evolve_table, latest_version, replace_result
@@ -89,7 +89,7 @@ def fact_append(spark, sf_dir):
 
 @query
 def scd1_merge(spark, sf_dir):
-    return plain(gold.fact_scd1(sample.fact1_before(spark, sf_dir), sample.fact1_batch(spark, sf_dir)))
+    return plain(gold.fact_scd1(*sample.fact1_states(spark, sf_dir)))
 
 
 @query
@@ -97,26 +97,27 @@ def scd1_merge_latest(spark, sf_dir):
     """All order lines as the batch, the largest weight and quantity per key winning."""
     batch = enrich_star(sample.order_rows(spark, sf_dir), sample.dims(spark, sf_dir))
     largest = [(c, "desc", "last") for c in ("kgs", "quantity", "csp_yes_no", "type", "company_id")]
-    return plain(gold.fact_scd1(sample.fact1_before(spark, sf_dir), batch, on_duplicate="latest", latest_by=largest))
+    before, _ = sample.fact1_states(spark, sf_dir)
+    return plain(gold.fact_scd1(before, batch, on_duplicate="latest", latest_by=largest))
 
 
 @query
 def scd1_load(spark, sf_dir):
     """The staged form of the merge, as a job would run it."""
+    before, orders = sample.silver_states(spark, sf_dir)
+    dims = sample.dims(spark, sf_dir)
     return plain(gold.scd1_load(
-        sample.fact1_before(spark, sf_dir), sample.silver_after(spark, sf_dir), sample.dims(spark, sf_dir),
-        scratch_path(spark, "scd1-batch"), scratch_path(spark, "scd1-fact")))
+        enrich_star(before, dims), orders, dims, scratch_path(spark, "scd1-batch"), scratch_path(spark, "scd1-fact")))
 
 
 @query
 def scd2_merge(spark, sf_dir):
-    return plain(gold.fact_scd2(sample.fact2_before(spark, sf_dir), sample.fact2_batch(spark, sf_dir), sample.RUN))
+    return plain(gold.fact_scd2(*sample.fact2_states(spark, sf_dir), sample.RUN))
 
 
 @query
 def scd2_merge_compat(spark, sf_dir):
-    return plain(gold.fact_scd2(
-        sample.fact2_before(spark, sf_dir), sample.fact2_batch(spark, sf_dir), sample.RUN, compat=True))
+    return plain(gold.fact_scd2(*sample.fact2_states(spark, sf_dir), sample.RUN, compat=True))
 
 
 @query
@@ -124,54 +125,52 @@ def scd2_partitioned_load(spark, sf_dir):
     """The merge on a table split into open rows and closed rows per run: two runs, the second
     with the batch of the first, which changes nothing."""
     fact, staging = scratch_path(spark, "scd2-fact"), scratch_path(spark, "scd2-batch")
-    gold.scd2_create(gold.first_versions(
-        sample.fact2_rows(spark, sf_dir).where("uom <> '5-LOW'"), sample.FIRST_LOAD), fact)
+    rows = sample.fact2_rows(spark, sf_dir)
+    gold.scd2_create(gold.first_versions(rows.where("uom <> '5-LOW'"), sample.FIRST_LOAD), fact)
     for run_id in (1, 2):
-        gold.scd2_stage(spark, fact, sample.fact2_batch(spark, sf_dir), sample.RUN, f"{staging}/{run_id}")
+        gold.scd2_stage(spark, fact, sample.fact2_batch(rows), sample.RUN, f"{staging}/{run_id}")
         gold.scd2_publish(spark, f"{staging}/{run_id}", fact, run_id)
     return plain(gold.read_scd2(spark, fact))
 
 
 # Change feeds
 
-def _diff(spark, sf_dir):
-    return snapshot_diff(sample.silver_before(spark, sf_dir), sample.silver_after(spark, sf_dir), silver.SILVER_KEYS)
+def _diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    return snapshot_diff(before, after, silver.SILVER_KEYS)
 
 
 @query
 def snapshot_diff_rows(spark, sf_dir):
-    return plain(_diff(spark, sf_dir))
+    return plain(_diff(*sample.silver_states(spark, sf_dir)))
 
 
 @query
 def cdc_apply_feed(spark, sf_dir):
-    return plain(silver.silver_apply(sample.silver_before(spark, sf_dir), _diff(spark, sf_dir)))
-
-
-def _one_change_per_key(spark, sf_dir):
-    """Of update pairs flagged 'R' the DELETE half, of the others the INSERT half."""
-    return _diff(spark, sf_dir).where(
-        "NOT _is_update OR (_action = 'DELETE') = (csp_yes_no = 'R')")
+    before, after = sample.silver_states(spark, sf_dir)
+    feed = stage(_diff(before, after), scratch_path(spark, "feed"))
+    return plain(silver.silver_apply(before, feed))
 
 
 @query
 def cdc_apply_compat(spark, sf_dir):
-    return plain(silver.silver_apply(
-        sample.silver_before(spark, sf_dir), _one_change_per_key(spark, sf_dir), compat=True))
+    """One change per key: of update pairs flagged 'R' the DELETE half, of the others the INSERT half."""
+    before, after = sample.silver_states(spark, sf_dir)
+    feed = stage(_diff(before, after), scratch_path(spark, "feed")).where(
+        "NOT _is_update OR (_action = 'DELETE') = (csp_yes_no = 'R')")
+    return plain(silver.silver_apply(before, feed, compat=True))
 
 
 @query
 def cdc_apply_upsert(spark, sf_dir):
     """An append-only feed, which knows only inserts."""
-    feed = sample.silver_after(spark, sf_dir).withColumns({"_action": F.lit("INSERT"), "_is_update": F.lit(False)})
-    return plain(cdc_apply(sample.silver_before(spark, sf_dir), feed, silver.SILVER_KEYS, silver.SILVER_COMPARE,
-                           upsert_on_insert=True))
+    before, after = sample.silver_states(spark, sf_dir)
+    feed = after.withColumns({"_action": F.lit("INSERT"), "_is_update": F.lit(False)})
+    return plain(cdc_apply(before, feed, silver.SILVER_KEYS, silver.SILVER_COMPARE, upsert_on_insert=True))
 
 
 @query
 def row_change_detect(spark, sf_dir):
-    return plain(row_changes(sample.silver_before(spark, sf_dir), sample.silver_after(spark, sf_dir),
-                             silver.SILVER_KEYS, silver.SILVER_COMPARE))
+    return plain(row_changes(*sample.silver_states(spark, sf_dir), silver.SILVER_KEYS, silver.SILVER_COMPARE))
 
 
 # Keys
@@ -351,11 +350,11 @@ def stream_line_token_count(spark, sf_dir):
 @query
 def stream_cdc_apply(spark, sf_dir):
     """The change feed as files, applied batch by batch; each key's changes are in one file."""
-    feed, silver_table, base_path = (scratch_path(spark, name) for name in ("feed", "silver", "silver-base"))
-    changes = _diff(spark, sf_dir)
+    feed, silver_table = scratch_path(spark, "feed"), scratch_path(spark, "silver")
+    before, after = sample.silver_states(spark, sf_dir)
+    changes = _diff(before, after)
     changes.repartition(2, *silver.SILVER_KEYS).write.parquet(feed)
-    sample.silver_before(spark, sf_dir).write.parquet(base_path)
     run_stream(parquet_stream(spark, feed, changes.schema, max_files_per_trigger=1),
                scratch_path(spark, "checkpoint"),
-               evolve_table(spark.read.parquet(base_path), silver_table, silver.silver_apply))
+               evolve_table(before, silver_table, silver.silver_apply))
     return plain(latest_version(spark, silver_table))

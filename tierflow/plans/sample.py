@@ -7,19 +7,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.operators.dedupe import dedupe_latest
 from tierflow.operators.enrich import enrich_star
 from tierflow.plans.gold import first_versions
 from tierflow.schemas import INGESTION_HISTORY, SL_ORDERDETAILS
+from tierflow.session import scratch_path
+from tierflow.sources.tables import spread, stage
 
 FIRST_LOAD = "2001-01-01 00:00:00"
 RUN = "2024-06-01 12:00:00"
 ORDER_COLS = SL_ORDERDETAILS.fieldNames()
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from the file once and then given, to save a job per read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def text(name: str):
@@ -29,7 +39,7 @@ def text(name: str):
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order, part and company."""
     return (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -98,9 +108,13 @@ def dims(spark: SparkSession, sf_dir: str, plant_per_supplier: bool = False) ->
 
 
 def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order rows reduced to one per invoice and product."""
+    """Order rows reduced to one per invoice and product, as a written table.
+
+    The merges read tables; deriving theirs anew for each read would hide what a merge costs.
+    """
     rest = [(c, "asc", "last") for c in ORDER_COLS if c not in ("invoice_no", "product_group_code")]
-    return dedupe_latest(order_rows(spark, sf_dir), ["invoice_no", "product_group_code"], rest)
+    keyed = dedupe_latest(order_rows(spark, sf_dir), ["invoice_no", "product_group_code"], rest)
+    return stage(keyed, scratch_path(spark, "keyed"))
 
 
 # Change classes by order priority: 5-LOW is new, 1-URGENT has another quantity, 2-HIGH lost its
@@ -113,43 +127,30 @@ def _amend(rows: DataFrame, changes: dict[str, tuple[str, str]]) -> DataFrame:
         for col, (when, value) in changes.items()})
 
 
-def silver_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed_orders(spark, sf_dir).where("uom <> '5-LOW'")
-
-
-def silver_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _amend(keyed_orders(spark, sf_dir).where("csp_yes_no <> 'A'"), {
+def silver_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The silver table before, and the rows of its next state."""
+    keyed = keyed_orders(spark, sf_dir)
+    after = _amend(keyed.where("csp_yes_no <> 'A'"), {
         "quantity": ("uom = '1-URGENT'", "quantity + 1"),
         "customer_no": ("uom = '2-HIGH' OR (uom = '4-NOT SPECIFIED' AND type = 'O')",
                         "CASE WHEN uom = '2-HIGH' THEN NULL ELSE concat(customer_no, '-1') END"),
         "kgs": ("uom = '3-MEDIUM'", "kgs + 1"),
     })
+    return keyed.where("uom <> '5-LOW'"), after
 
 
-def fact1_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_star(silver_before(spark, sf_dir), dims(spark, sf_dir))
-
-
-def fact1_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_star(silver_after(spark, sf_dir), dims(spark, sf_dir))
+def fact1_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The overwritten fact before, and a batch for it."""
+    before, after = silver_states(spark, sf_dir)
+    return enrich_star(before, dims(spark, sf_dir)), enrich_star(after, dims(spark, sf_dir))
 
 
 def fact2_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_star(keyed_orders(spark, sf_dir), dims(spark, sf_dir), "inner", with_employee=True)
 
 
-def fact2_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open versions; of weight-free class 3-MEDIUM a closed one too, and type 'F' lines of class
-    4-NOT SPECIFIED with flag 'R' only closed."""
-    rows = first_versions(fact2_rows(spark, sf_dir).where("uom <> '5-LOW'"), FIRST_LOAD)
-    only_closed = F.expr("uom = '4-NOT SPECIFIED' AND type = 'F' AND csp_yes_no = 'R'")
-    closed = {"end_date": F.lit("2002-01-01 00:00:00").cast("timestamp_ntz"), "active_flag": F.lit("N")}
-    return rows.where(~only_closed).unionByName(
-        rows.where(only_closed | (F.col("uom") == "3-MEDIUM")).withColumns(closed))
-
-
-def fact2_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _amend(fact2_rows(spark, sf_dir).where("csp_yes_no <> 'A'"), {
+def fact2_batch(rows: DataFrame) -> DataFrame:
+    return _amend(rows.where("csp_yes_no <> 'A'"), {
         "quantity": ("uom = '1-URGENT'", "quantity + 1"),
         "qty_in_nos": ("uom = '1-URGENT'", "(quantity + 1) / 10000"),
         "customer_id": ("uom = '2-HIGH' OR (uom = '4-NOT SPECIFIED' AND type = 'O')",
@@ -158,6 +159,21 @@ def fact2_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def fact2_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The versioned fact before, and a batch for it.
+
+    Lines of class 3-MEDIUM have a closed version besides the open one, and type 'F' lines of
+    class 4-NOT SPECIFIED with flag 'R' only a closed one.
+    """
+    rows = fact2_rows(spark, sf_dir)
+    opened = first_versions(rows.where("uom <> '5-LOW'"), FIRST_LOAD)
+    only_closed = F.expr("uom = '4-NOT SPECIFIED' AND type = 'F' AND csp_yes_no = 'R'")
+    closed = {"end_date": F.lit("2002-01-01 00:00:00").cast("timestamp_ntz"), "active_flag": F.lit("N")}
+    before = opened.where(~only_closed).unionByName(
+        opened.where(only_closed | (F.col("uom") == "3-MEDIUM")).withColumns(closed))
+    return before, fact2_batch(rows)
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders read as runs, one table per last digit of the customer; 1200 days earlier."""
     start = F.col("o_orderdate") - F.expr("INTERVAL '1200' DAY")

@@ -1,0 +1,28 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tierflow.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")))
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows():
+    """The rows of a frame as a sorted list of tuples in the given columns."""
+    def collect(df, *cols):
+        found = [tuple(r) for r in df.select(*(cols or df.columns)).collect()]
+        return sorted(found, key=repr)
+    return collect

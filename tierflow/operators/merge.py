@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.predicates import changed, keys_equal, moment, no_null
 from tierflow.operators.dedupe import Order, dedupe_latest
+from tierflow.sources.tables import broadcastable
 
 
 def _one_per_key(batch: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -38,14 +39,14 @@ def _single_match(keys: Sequence[str]) -> Column:
 def _unmatched(batch: DataFrame, table_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key the table does not hold (NULL keys match NULL).
 
-    The table's keys are first cut down to those the batch has, so only that small set is
-    shuffled against the batch.
+    The table's keys are made distinct before the shuffle. If the batch can be broadcast, they
+    are first cut down to those the batch has, so that a small batch shuffles nothing large.
     """
-    held = (
-        table_keys.select(*keys).alias("t")
-        .join(batch.select(*keys).alias("s"), keys_equal("t", "s", keys), "left_semi")
-        .distinct()
-    )
+    held = table_keys.select(*keys)
+    wanted = batch.select(*keys)
+    if broadcastable(wanted):
+        held = held.alias("t").join(wanted.alias("s"), keys_equal("t", "s", keys), "left_semi")
+    held = held.distinct()
     return batch.alias("s").join(held.alias("t"), keys_equal("s", "t", keys), "left_anti")
 
 

@@ -107,6 +107,10 @@ def dims(spark: SparkSession, sf_dir: str, plant_per_supplier: bool = False) ->
     }
 
 
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    return stage(rows, scratch_path(rows.sparkSession, name))
+
+
 def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order rows reduced to one per invoice and product, as a written table.
 
@@ -114,7 +118,7 @@ def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     rest = [(c, "asc", "last") for c in ORDER_COLS if c not in ("invoice_no", "product_group_code")]
     keyed = dedupe_latest(order_rows(spark, sf_dir), ["invoice_no", "product_group_code"], rest)
-    return stage(keyed, scratch_path(spark, "keyed"))
+    return _written(keyed, "keyed")
 
 
 # Change classes by order priority: 5-LOW is new, 1-URGENT has another quantity, 2-HIGH lost its
@@ -140,9 +144,10 @@ def silver_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def fact1_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The overwritten fact before, and a batch for it."""
-    before, after = silver_states(spark, sf_dir)
-    return enrich_star(before, dims(spark, sf_dir)), enrich_star(after, dims(spark, sf_dir))
+    """The overwritten fact before, and a batch for it, both as written tables."""
+    lookups = dims(spark, sf_dir)
+    before, after = (enrich_star(rows, lookups) for rows in silver_states(spark, sf_dir))
+    return _written(before, "fact-before"), _written(after, "fact-batch")
 
 
 def fact2_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +165,7 @@ def fact2_batch(rows: DataFrame) -> DataFrame:
 
 
 def fact2_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The versioned fact before, and a batch for it.
+    """The versioned fact before, and a batch for it, both as written tables.
 
     Lines of class 3-MEDIUM have a closed version besides the open one, and type 'F' lines of
     class 4-NOT SPECIFIED with flag 'R' only a closed one.
@@ -171,7 +176,7 @@ def fact2_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     closed = {"end_date": F.lit("2002-01-01 00:00:00").cast("timestamp_ntz"), "active_flag": F.lit("N")}
     before = opened.where(~only_closed).unionByName(
         opened.where(only_closed | (F.col("uom") == "3-MEDIUM")).withColumns(closed))
-    return before, fact2_batch(rows)
+    return _written(before, "fact-before"), _written(fact2_batch(rows), "fact-batch")
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

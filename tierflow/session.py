@@ -13,7 +13,8 @@ SETTINGS = {
     # Hot keys are split at run time, so both switches have to stay on.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Joins whose partitions all turn out this small are hashed instead of sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Streaming aggregates keep one row per group for ever: hold them off-heap, on disk.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -1,0 +1,142 @@
+"""Random tables against row-by-row Python, many cases per Spark job (the case number is a key)."""
+
+import random
+
+import pytest
+
+from tierflow.operators.dedupe import dedupe_latest
+from tierflow.operators.merge import cdc_apply, scd1_merge, scd2_merge, snapshot_diff
+
+CASES = 200
+OLD, RUN = "2020-01-01 00:00:00", "2024-06-01 12:00:00"
+KEYS = ["case", "inv", "prod"]
+TRACKED = ["cust", "qty"]
+PLAIN = "case int, inv string, prod int, cust int, qty int"
+
+
+def maybe(rng, values):
+    return rng.choice([None, *values])
+
+
+def table(seed, null_keys=True, unique=True, size=6):
+    rng = random.Random(seed)
+    data = {}
+    for case in range(CASES):
+        for i in range(rng.randrange(size)):
+            inv = maybe(rng, "AB") if null_keys else rng.choice("AB")
+            row = (case, inv, rng.choice([1, 2]), maybe(rng, [1, 2]), maybe(rng, [1, 2]))
+            data[row[:3] if unique else (*row, i)] = row
+    return list(data.values())
+
+
+def collected(df, cols=None):
+    return sorted((tuple(r) for r in df.select(*(cols or df.columns)).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_scd1(spark, seed):
+    target = table(seed, unique=False)
+    source = table(seed + 100)
+    by_key = {r[:3]: r for r in source}
+    held = {r[:3] for r in target}
+    wanted = [by_key.get(r[:3], r) for r in target] + [r for r in source if r[:3] not in held]
+    before, batch = spark.createDataFrame(target, PLAIN), spark.createDataFrame(source, PLAIN)
+    merged = scd1_merge(before, batch, KEYS)
+    assert collected(merged) == sorted(wanted, key=repr)
+    assert collected(scd1_merge(merged, batch, KEYS)) == sorted(wanted, key=repr)
+
+
+def differ(a, b, null_safe):
+    return a != b if null_safe else a is not None and b is not None and a != b
+
+
+def literal_scd2(target, source, null_safe, close_cols, version_cols):
+    """The union of keyed and NULL-keyed source rows, merged clause by clause."""
+    def diff(t, s, cols):
+        return any(differ(t[3 + TRACKED.index(c)], s[3 + TRACKED.index(c)], null_safe) for c in cols)
+
+    def same_key(t, s):
+        return all(a is not None and a == b for a, b in zip(t[:3], s[:3]))
+
+    staged = [(s, True) for s in source]
+    staged += [(s, False) for s in source for t in target
+               if t[6] is None and same_key(t, s) and diff(t, s, version_cols)]
+    result = []
+    for t in target:
+        closes = any(keyed and same_key(t, s) and t[6] is None and diff(t, s, close_cols) for s, keyed in staged)
+        result.append((*t[:6], "now", "N") if closes else t)
+    for s, keyed in staged:
+        if not keyed or not any(same_key(t, s) for t in target):
+            result.append((*s, "now", None, "Y"))
+    return sorted(result, key=repr)
+
+
+@pytest.mark.parametrize("null_safe, version_cols", [(True, TRACKED), (False, ["qty"])])
+def test_scd2(spark, null_safe, version_cols):
+    rng = random.Random(7)
+    target = [(*r, "old", None, "Y") for r in table(1)]
+    target += [(*r, "old", "old", "N") for r in table(2, unique=False) if rng.random() < 0.4]
+    source = table(3)
+    wanted = literal_scd2(target, source, null_safe, TRACKED, version_cols)
+    frame = spark.createDataFrame(target, PLAIN + ", s string, e string, active_flag string").selectExpr(
+        "case", "inv", "prod", "cust", "qty", f"timestamp_ntz'{OLD}' AS start_date",
+        f"if(e IS NULL, NULL, timestamp_ntz'{OLD}') AS end_date", "active_flag")
+    batch = spark.createDataFrame(source, PLAIN)
+
+    def named(df):
+        name = f"CASE {{0}} WHEN timestamp_ntz'{OLD}' THEN 'old' WHEN timestamp_ntz'{RUN}' THEN 'now' END"
+        return collected(df.selectExpr("case", "inv", "prod", "cust", "qty", name.format("start_date"),
+                                       name.format("end_date"), "active_flag"))
+
+    merged = scd2_merge(frame, batch, KEYS, TRACKED, RUN, null_safe, version_cols)
+    assert named(merged) == wanted
+    if null_safe:
+        keyed = batch.where("inv IS NOT NULL")
+        once = scd2_merge(frame, keyed, KEYS, TRACKED, RUN)
+        twice = scd2_merge(once, keyed, KEYS, TRACKED, "2025-01-01 00:00:00")
+        assert collected(once) == collected(twice)
+        opened = once.where("end_date IS NULL AND inv IS NOT NULL").groupBy(*KEYS).count()
+        assert opened.where("count > 1").isEmpty()
+
+
+def test_applying_a_diff_gives_the_new_snapshot(spark):
+    old, new = table(11), table(12)
+    before, after = spark.createDataFrame(old, PLAIN), spark.createDataFrame(new, PLAIN)
+    applied = cdc_apply(before, snapshot_diff(before, after, KEYS), KEYS)
+    assert collected(applied) == sorted(new, key=repr)
+    assert snapshot_diff(after, after, KEYS).isEmpty()
+
+
+def test_cdc_apply(spark):
+    rng = random.Random(5)
+    target = table(21, unique=False)
+    feed = [(*r, rng.choice(["INSERT", "DELETE"]), rng.choice([True, False])) for r in table(22)]
+    for compat in (False, True):
+        changes = {r[:3]: r for r in feed}
+        wanted = []
+        for t in target:
+            c = changes.get(t[:3])
+            if c and c[5] == "DELETE" and c[6] == compat:
+                continue
+            wanted.append(c[:5] if c and c[5] == "INSERT" and c[6] else t)
+        held = {t[:3] for t in target}
+        wanted += [c[:5] for c in feed if c[:3] not in held and c[5] == "INSERT" and not c[6]]
+        frame = spark.createDataFrame(feed, PLAIN + ", _action string, _is_update boolean")
+        assert collected(cdc_apply(spark.createDataFrame(target, PLAIN), frame, KEYS, compat=compat)) == sorted(
+            wanted, key=repr)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_dedupe(spark, parts):
+    data = table(31, unique=False, size=12)
+
+    def rank(row):
+        return (row[3] is None, row[3] or 0, row[4] is not None, -(row[4] or 0))
+
+    best = {}
+    for row in data:
+        if row[:3] not in best or rank(row) < rank(best[row[:3]]):
+            best[row[:3]] = row
+    frame = spark.createDataFrame(data, PLAIN).repartition(parts)
+    found = dedupe_latest(frame, KEYS, [("cust", "asc", "last"), ("qty", "desc", "first")])
+    assert collected(found) == sorted(best.values(), key=repr)

@@ -167,3 +167,32 @@ def test_surrogate_keys_spread_copies(tight, hot, tmp_path):
     keyed = assign_surrogate_keys(copies, "invoice_no", "sk")
     found = keyed.agg(F.min("sk"), F.max("sk"), F.count_distinct("sk")).first()[:]
     assert found == (1, N, N)
+
+
+def shuffles(df, name):
+    """Whether the plan has an exchange fed by a scan of that table."""
+    lines = run(df).split("\n")
+    fed = [next(line for line in lines[i:] if "FileScan" in line)
+           for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    return any(name in scan for scan in fed)
+
+
+@pytest.mark.parametrize("merge", ["scd1", "scd2", "cdc"])
+def test_a_bucketed_table_is_not_shuffled(tight, hot, batch, merge):
+    name = f"bucketed_{merge}"
+    table = versions(hot) if merge == "scd2" else hot
+    table.where("invoice_no IS NOT NULL").write.bucketBy(16, *KEYS).sortBy(*KEYS).saveAsTable(name)
+    table = tight.read.table(name)
+    if merge == "scd1":
+        merged = scd1_merge(table, batch, KEYS, bucketed=True)
+        wanted = scd1_merge(table, batch, KEYS)
+    elif merge == "scd2":
+        merged = scd2_merge(table, batch, KEYS, ["quantity"], "2024-01-01 00:00:00", bucketed=True)
+        wanted = scd2_merge(table, batch, KEYS, ["quantity"], "2024-01-01 00:00:00")
+    else:
+        feed = batch.withColumns({"_action": F.lit("INSERT"), "_is_update": F.lit(False)})
+        merged = cdc_apply(table, feed, KEYS, upsert_on_insert=True, bucketed=True)
+        wanted = cdc_apply(table, feed, KEYS, upsert_on_insert=True)
+    assert total(merged) == total(wanted)
+    assert shuffles(wanted, name) and not shuffles(merged, name)
+    tight.sql(f"DROP TABLE {name}")

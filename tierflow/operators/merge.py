@@ -9,6 +9,10 @@ anti join. Two joins instead of one full outer join, because
 * a hot key in the batch is collapsed by the partial aggregate before the shuffle.
 
 The batch is read more than once, so stage it (``sources.tables.stage``) if it is costly.
+
+``bucketed=True`` is for a table bucketed by the keys (``bucketBy``) that holds no NULL key.
+Keys are then compared with plain equality, and the table is joined bucket by bucket without
+being shuffled; in return a hot key of the table stays in its bucket, unsplit.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ def _single_match(keys: Sequence[str]) -> Column:
     return F.when(F.col("s._n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
 
 
-def _unmatched(batch: DataFrame, table_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _unmatched(batch: DataFrame, table_keys: DataFrame, keys: Sequence[str], bucketed: bool) -> DataFrame:
     """Batch rows whose key the table does not hold (NULL keys match NULL).
 
     The table's keys are made distinct before the shuffle. If the batch can be broadcast, they
@@ -45,9 +49,9 @@ def _unmatched(batch: DataFrame, table_keys: DataFrame, keys: Sequence[str]) ->
     held = table_keys.select(*keys)
     wanted = batch.select(*keys)
     if broadcastable(wanted):
-        held = held.alias("t").join(wanted.alias("s"), keys_equal("t", "s", keys), "left_semi")
+        held = held.alias("t").join(wanted.alias("s"), keys_equal("t", "s", keys, not bucketed), "left_semi")
     held = held.distinct()
-    return batch.alias("s").join(held.alias("t"), keys_equal("s", "t", keys), "left_anti")
+    return batch.alias("s").join(held.alias("t"), keys_equal("s", "t", keys, not bucketed), "left_anti")
 
 
 def _like(df: DataFrame, table: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -60,7 +64,7 @@ def _like(df: DataFrame, table: DataFrame, cols: Sequence[str] | None = None) ->
 
 def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
                update_cols: Sequence[str] | None = None, on_duplicate: str = "error",
-               latest_by: Sequence[Order] = ()) -> DataFrame:
+               latest_by: Sequence[Order] = (), bucketed: bool = False) -> DataFrame:
     """Overwrite matched rows, add the others; NULL keys match NULL.
 
     A target row matched by several source rows fails the job, unless ``on_duplicate`` is
@@ -76,7 +80,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     joined = (
         target.alias("t")
-        .join(_one_per_key(source, keys, update_cols).alias("s"), keys_equal("t", "s", keys), "left")
+        .join(_one_per_key(source, keys, update_cols).alias("s"), keys_equal("t", "s", keys, not bucketed), "left")
         .where(_single_match(keys))
     )
     hit = F.col("s._n").isNotNull()
@@ -85,7 +89,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
         if c in update_cols else F.col(f"t.{c}")
         for c in target.columns
     ])
-    return updated.unionByName(_unmatched(source, target, keys))
+    return updated.unionByName(_unmatched(source, target, keys, bucketed))
 
 
 # What becomes of a current row: it stays, it is closed, or a new version of it starts.
@@ -94,7 +98,7 @@ STAY, CLOSE, START = 0, 1, 2
 
 def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, keys: Sequence[str],
                tracked_cols: Sequence[str], run_ts: datetime | str | Column, null_safe: bool = True,
-               version_cols: Sequence[str] | None = None) -> DataFrame:
+               version_cols: Sequence[str] | None = None, bucketed: bool = False) -> DataFrame:
     """The rows that replace ``current``: open ones and, with flag 'N', those closed by this run.
 
     ``current`` are the rows without an end date; ``known_keys`` the keys of all rows, closed
@@ -108,7 +112,7 @@ def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, key
 
     once = _one_per_key(source.where(no_null(keys)), keys, business)
     joined = (
-        current.alias("t").join(once.alias("s"), keys_equal("t", "s", keys), "left")
+        current.alias("t").join(once.alias("s"), keys_equal("t", "s", keys, not bucketed), "left")
         .where(_single_match(keys))
         .select("t.*", F.col("s._row").alias("_row"))
     )
@@ -132,7 +136,7 @@ def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, key
         .otherwise(F.col("active_flag")).alias("active_flag"),
     )
     # No NULL key is held in known_keys' share below, so NULL source keys count as unmatched.
-    first = _unmatched(source, known_keys.where(no_null(keys)), keys).select(
+    first = _unmatched(source, known_keys.where(no_null(keys)), keys, bucketed).select(
         *business, now.alias("start_date"),
         F.lit(None).cast("timestamp_ntz").alias("end_date"), F.lit("Y").alias("active_flag"))
     return after.unionByName(first)
@@ -140,16 +144,16 @@ def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, key
 
 def scd2_parts(target: DataFrame, source: DataFrame, keys: Sequence[str], tracked_cols: Sequence[str],
                run_ts: datetime | str | Column, null_safe: bool = True,
-               version_cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+               version_cols: Sequence[str] | None = None, bucketed: bool = False) -> tuple[DataFrame, DataFrame]:
     """``scd2_merge`` without the rows closed earlier, as (open rows, rows closed now)."""
     delta = scd2_delta(target.where("end_date IS NULL"), target, source, keys, tracked_cols, run_ts,
-                       null_safe, version_cols)
+                       null_safe, version_cols, bucketed)
     return delta.where("end_date IS NULL"), delta.where("end_date IS NOT NULL")
 
 
 def scd2_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], tracked_cols: Sequence[str],
                run_ts: datetime | str | Column, null_safe: bool = True,
-               version_cols: Sequence[str] | None = None) -> DataFrame:
+               version_cols: Sequence[str] | None = None, bucketed: bool = False) -> DataFrame:
     """Close changed current rows and start new versions; see ``scd2_delta``.
 
     Rows closed earlier pass through untouched and unshuffled. A key whose versions are all
@@ -157,7 +161,7 @@ def scd2_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], tracke
     row matched by several source rows fails the job.
     """
     delta = scd2_delta(target.where("end_date IS NULL"), target, source, keys, tracked_cols, run_ts,
-                       null_safe, version_cols)
+                       null_safe, version_cols, bucketed)
     return target.where("end_date IS NOT NULL").unionByName(_like(delta, target))
 
 
@@ -213,7 +217,7 @@ def drop_update_deletes(changes: DataFrame) -> DataFrame:
 
 def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
               compare_cols: Sequence[str] | None = None, compat: bool = False,
-              upsert_on_insert: bool = False) -> DataFrame:
+              upsert_on_insert: bool = False, bucketed: bool = False) -> DataFrame:
     """Apply change rows (``_action``, ``_is_update``) to a table; NULL keys match NULL.
 
     ===========  =======  =========  =================================================
@@ -241,7 +245,8 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     effective = changes.where(deletes | updates)
     joined = (
         target.alias("t")
-        .join(_one_per_key(effective, keys, ["_action", *cols]).alias("s"), keys_equal("t", "s", keys), "left")
+        .join(_one_per_key(effective, keys, ["_action", *cols]).alias("s"),
+              keys_equal("t", "s", keys, not bucketed), "left")
         .where(_single_match(keys))
         .select("t.*", F.col("s._row").alias("_row"))
         .where("_row IS NULL OR _row._action <> 'DELETE'")
@@ -249,7 +254,7 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     overwrite = F.col("_row").isNotNull() & changed("t", "_row", compare_cols)
     kept = joined.alias("t").select(*[
         F.when(overwrite, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) for c in cols])
-    added = _unmatched(changes.where(is_insert & ~F.col("_is_update")), target, keys).select(*cols)
+    added = _unmatched(changes.where(is_insert & ~F.col("_is_update")), target, keys, bucketed).select(*cols)
     return kept.unionByName(added)
 
 

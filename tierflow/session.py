@@ -35,18 +35,17 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
-    A local session without that setting gets a temporary folder. A cluster session
-    without it is refused, since a driver-local folder would not be seen elsewhere.
+    Without that setting the checkpoint folder given to the context is used; a local session
+    with neither gets a temporary one. A cluster session is refused then, since a folder of the
+    driver's machine would not be seen elsewhere.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tierflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tierflow-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

@@ -18,7 +18,7 @@ from tierflow.plans import gold, ingest, sample, silver
 from tierflow.schemas import CUSTOMER_REVIEWS, PEOPLE
 from tierflow.session import scratch_path
 from tierflow.sources.streams import csv_stream, line_stream, parquet_stream
-from tierflow.sources.tables import read_table, stage
+from tierflow.sources.tables import read_table, spread, stage
 from tierflow.streaming import counts
 from tierflow.streaming.run import run_stream
 from tierflow.streaming.sinks import append_batches, evolve_table, latest_version, replace_result
@@ -276,15 +276,21 @@ def word_count(spark, sf_dir):
     return found.select("word", F.col("count").alias("n"))
 
 
-# Streams. The inputs are files written from the tables first, in a few files so that
-# maxFilesPerTrigger makes several batches.
+# Streams. Their inputs are files written from the tables first, one per task, and read in about
+# four batches, however many files there are.
 
-def _people_files(spark, sf_dir) -> str:
+BATCHES = 4
+
+
+def _per_batch(files: int) -> int:
+    return max(1, files // BATCHES)
+
+
+def _people_stream(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "people")
-    sample.table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", F.col("c_nationkey") * 3, F.floor("c_acctbal").cast("int"),
-    ).repartition(4, "c_custkey").write.csv(path)
-    return path
+    people = spread(sample.table(spark, sf_dir, "customer"))
+    people.select("c_custkey", "c_name", F.col("c_nationkey") * 3, F.floor("c_acctbal").cast("int")).write.csv(path)
+    return csv_stream(spark, path, PEOPLE, max_files_per_trigger=_per_batch(people.rdd.getNumPartitions()))
 
 
 def _to_csv_and_back(spark, people: DataFrame) -> DataFrame:
@@ -295,12 +301,12 @@ def _to_csv_and_back(spark, people: DataFrame) -> DataFrame:
 
 @query
 def stream_csv_to_csv(spark, sf_dir):
-    return _to_csv_and_back(spark, csv_stream(spark, _people_files(spark, sf_dir), PEOPLE, max_files_per_trigger=1))
+    return _to_csv_and_back(spark, _people_stream(spark, sf_dir))
 
 
 @query
 def stream_filter_project(spark, sf_dir):
-    people = csv_stream(spark, _people_files(spark, sf_dir), PEOPLE, max_files_per_trigger=1)
+    people = _people_stream(spark, sf_dir)
     return _to_csv_and_back(spark, people.where("age < 30").select("name", "friends"))
 
 
@@ -310,22 +316,24 @@ def stream_foreach_append(spark, sf_dir):
     path, reviews = scratch_path(spark, "reviews"), scratch_path(spark, "bz-reviews")
     values = {"url": "concat('doc/', doc_id)", "product_name": "source", "reviewer_name": "lang",
               "review_text": "text", "review_rating": "cast(n_chars AS STRING)", "uniq_id": "cast(doc_id AS STRING)"}
-    sample.table(spark, sf_dir, "documents").select(*[
+    documents = spread(sample.table(spark, sf_dir, "documents"))
+    documents.select(*[
         F.expr(values.get(name, "'-'")).alias(name) for name in CUSTOMER_REVIEWS.fieldNames()
-    ]).repartition(4, "uniq_id").write.options(
+    ]).write.options(
         header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)
-    stream = csv_stream(spark, path, CUSTOMER_REVIEWS, header=True, multi_line=True, max_files_per_trigger=1,
-                        escape='"')
+    stream = csv_stream(spark, path, CUSTOMER_REVIEWS, header=True, multi_line=True, escape='"',
+                        max_files_per_trigger=_per_batch(documents.rdd.getNumPartitions()))
     run_stream(stream, scratch_path(spark, "checkpoint"), append_batches(reviews))
     return spark.read.parquet(reviews).drop("batch_id")
 
 
-def _line_files(spark, sf_dir) -> str:
+def _line_stream(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "lines")
-    sample.table(spark, sf_dir, "conversations").select("conv_id", F.col("text").alias("value")).repartition(
-        4, "conv_id").select("value").write.text(path)
-    return path
+    lines = spread(sample.table(spark, sf_dir, "conversations"))
+    lines.select("text").write.text(path)
+    return line_stream(spark, path=path, lineSep="\n",
+                       max_files_per_trigger=_per_batch(lines.rdd.getNumPartitions()))
 
 
 def _counted(spark, found: DataFrame) -> DataFrame:
@@ -336,25 +344,23 @@ def _counted(spark, found: DataFrame) -> DataFrame:
 
 @query
 def stream_word_count(spark, sf_dir):
-    lines = line_stream(spark, path=_line_files(spark, sf_dir), lineSep="\n", max_files_per_trigger=1)
-    return _counted(spark, counts.word_count(lines)).select("word", F.col("count").alias("n"))
+    return _counted(spark, counts.word_count(_line_stream(spark, sf_dir))).select("word", F.col("count").alias("n"))
 
 
 @query
 def stream_line_token_count(spark, sf_dir):
-    lines = line_stream(spark, path=_line_files(spark, sf_dir), lineSep="\n", max_files_per_trigger=1)
-    found = _counted(spark, counts.line_token_count(lines))
+    found = _counted(spark, counts.line_token_count(_line_stream(spark, sf_dir)))
     return found.select(F.concat_ws("\u0001", "word").alias("word"), F.col("count").alias("n"))
 
 
 @query
 def stream_cdc_apply(spark, sf_dir):
-    """The change feed as files, applied batch by batch; each key's changes are in one file."""
+    """The change feed as files, applied in two batches."""
     feed, silver_table = scratch_path(spark, "feed"), scratch_path(spark, "silver")
     before, after = sample.silver_states(spark, sf_dir)
     changes = _diff(before, after)
-    changes.repartition(2, *silver.SILVER_KEYS).write.parquet(feed)
-    run_stream(parquet_stream(spark, feed, changes.schema, max_files_per_trigger=1),
-               scratch_path(spark, "checkpoint"),
-               evolve_table(before, silver_table, silver.silver_apply))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    changes.repartition(files, *silver.SILVER_KEYS).write.parquet(feed)
+    run_stream(parquet_stream(spark, feed, changes.schema, max_files_per_trigger=(files + 1) // 2),
+               scratch_path(spark, "checkpoint"), evolve_table(before, silver_table, silver.silver_apply))
     return plain(latest_version(spark, silver_table))

@@ -169,6 +169,24 @@ def test_surrogate_keys_spread_copies(tight, hot, tmp_path):
     assert found == (1, N, N)
 
 
+@pytest.mark.parametrize("merge", ["scd1", "scd2"])
+def test_a_small_batch_leaves_the_table_unshuffled(spark, tmp_path, merge):
+    table = stage(versions(spark.range(100000).selectExpr(
+        "cast(id AS string) invoice_no", "1L AS product_id", "cast(id AS int) quantity")), str(tmp_path / "table"))
+    batch = stage(spark.range(0, 200000, 1000).selectExpr(
+        "cast(id AS string) invoice_no", "1L AS product_id", "-1 AS quantity"), str(tmp_path / "batch"))
+    if merge == "scd1":
+        merged = scd1_merge(table, batch, KEYS, ["quantity"])
+    else:
+        merged = scd2_merge(table, batch, KEYS, ["quantity"], "2024-01-01 00:00:00")
+    assert merged.where("quantity = -1").count() == 200
+    plan = run(merged)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    # The known keys are cut down by the broadcast batch below their exchange.
+    known = plan[plan.rindex("Exchange hashpartitioning(invoice_no"):]
+    assert "LeftSemi" in known
+
+
 def shuffles(df, name):
     """Whether the plan has an exchange fed by a scan of that table."""
     lines = run(df).split("\n")

@@ -110,26 +110,27 @@ def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, key
     source = _like(source, current, business)
     now = moment(run_ts)
 
-    once = _one_per_key(source.where(no_null(keys)), keys, business)
+    values = [c for c in business if c not in keys]
+    once = _one_per_key(source.where(no_null(keys)), keys, values)
     joined = (
         current.alias("t").join(once.alias("s"), keys_equal("t", "s", keys, not bucketed), "left")
         .where(_single_match(keys))
         .select("t.*", F.col("s._row").alias("_row"))
     )
-    versioned = joined.alias("t").withColumn("r", F.col("_row"))
     hit = F.col("_row").isNotNull()
-    closes = hit & changed("t", "r", tracked_cols, null_safe)
-    starts = hit & changed("t", "r", list(version_cols or tracked_cols), null_safe)
+    closes = hit & changed("t", "_row", tracked_cols, null_safe)
+    starts = hit & changed("t", "_row", list(version_cols or tracked_cols), null_safe)
     fates = (
         F.when(closes & starts, F.array(F.lit(CLOSE), F.lit(START)))
         .when(closes, F.array(F.lit(CLOSE)))
         .when(starts, F.array(F.lit(STAY), F.lit(START)))
         .otherwise(F.array(F.lit(STAY)))
     )
-    after = versioned.withColumn("_fate", F.explode(fates))
+    after = joined.alias("t").withColumn("_fate", F.explode(fates))
     fate = F.col("_fate")
     after = after.select(
-        *[F.when(fate == START, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) for c in business],
+        *[F.when(fate == START, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+          for c in business],
         F.when(fate == START, now).otherwise(F.col("start_date")).alias("start_date"),
         F.when(fate == CLOSE, now).otherwise(F.lit(None)).alias("end_date"),
         F.when(fate == CLOSE, F.lit("N")).when(fate == START, F.lit("Y"))
@@ -234,7 +235,7 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     """
     cols = target.columns
     compare_cols = list(compare_cols or [c for c in cols if c not in keys])
-    flags = changes.select("*").withColumn("_is_update", F.coalesce("_is_update", F.lit(False)))
+    flags = changes.withColumn("_is_update", F.coalesce("_is_update", F.lit(False)))
     values = [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
     changes = flags.select(*values, "_action", "_is_update")
 
@@ -243,9 +244,10 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     updates = is_insert & (F.lit(True) if upsert_on_insert else F.col("_is_update"))
 
     effective = changes.where(deletes | updates)
+    others = [c for c in cols if c not in keys]
     joined = (
         target.alias("t")
-        .join(_one_per_key(effective, keys, ["_action", *cols]).alias("s"),
+        .join(_one_per_key(effective, keys, ["_action", *others]).alias("s"),
               keys_equal("t", "s", keys, not bucketed), "left")
         .where(_single_match(keys))
         .select("t.*", F.col("s._row").alias("_row"))
@@ -253,7 +255,8 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     )
     overwrite = F.col("_row").isNotNull() & changed("t", "_row", compare_cols)
     kept = joined.alias("t").select(*[
-        F.when(overwrite, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+        F.when(overwrite, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) if c in others else F.col(c)
+        for c in cols])
     added = _unmatched(changes.where(is_insert & ~F.col("_is_update")), target, keys, bucketed).select(*cols)
     return kept.unionByName(added)
 

@@ -104,13 +104,18 @@ def add_load_columns(rows: DataFrame, run_ts: datetime | str | Column) -> DataFr
 
 def bronze_rows(source: DataFrame, modified_col: str, after: datetime | str | Column | None,
                 run_ts: datetime | str | Column, max_rows: int | None = None,
-                order_by: Sequence[str] = ()) -> DataFrame:
-    """The rows one run adds to bronze: filtered, optionally capped, without the change time, stamped."""
+                order_by: Sequence[str] = (), seen: Observation | None = None) -> DataFrame:
+    """The rows one run adds to bronze: filtered, optionally capped, without the change time, stamped.
+
+    ``seen`` observes their number and highest change time while they are written.
+    """
     rows = since(source, modified_col, after)
     if max_rows is not None:
         if not order_by:
             raise ValueError("a capped load needs order_by, or any rows could be taken")
         rows = rows.orderBy(*order_by).limit(max_rows)
+    if seen is not None:
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(modified_col).alias("newest"))
     return add_load_columns(rows.drop(modified_col), run_ts)
 
 
@@ -158,14 +163,7 @@ def _load(spark: SparkSession, ledger: DataFrame, spec: IngestSpec, run_ts: date
     log.info("%s: %s load", spec.source_table, "incremental" if runs else "full")
     result.watermark = after
     seen = Observation()
-    source = spec.source(spark)
-    rows = since(source, spec.modified_col, after)
-    if spec.max_rows is not None:
-        if not spec.order_by:
-            raise ValueError("a capped load needs order_by, or any rows could be taken")
-        rows = rows.orderBy(*spec.order_by).limit(spec.max_rows)
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(spec.modified_col).alias("newest"))
-    spec.write(add_load_columns(rows.drop(spec.modified_col), run_ts))
+    spec.write(bronze_rows(spec.source(spark), spec.modified_col, after, run_ts, spec.max_rows, spec.order_by, seen))
     result.source_rows = seen.get["rows"]
     # A capped load has not read everything up to its newest row: the watermark stays.
     if spec.max_rows is None and seen.get["newest"] is not None:

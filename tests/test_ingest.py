@@ -180,6 +180,37 @@ def test_jdbc_options():
         read_jdbc(None, "jdbc:x", query="SELECT 1", predicates=["a = 1"])
 
 
+class RecordingReader:
+    """Stands in for ``spark.read``; notes what a JDBC read asks for."""
+
+    def __init__(self):
+        self.read, self.asked = self, {}
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **given):
+        self.asked.update(given)
+        return self
+
+    def load(self):
+        return self.asked
+
+    def jdbc(self, url, table, predicates, properties):
+        return {"url": url, "dbtable": table, "predicates": predicates, **properties}
+
+
+def test_jdbc_reader():
+    options = {"user": "u", "fetchsize": 9}
+    assert read_jdbc(RecordingReader(), "jdbc:x", "t", options=options) == {
+        "format": "jdbc", "url": "jdbc:x", "dbtable": "t", "user": "u", "fetchsize": "9"}
+    assert read_jdbc(RecordingReader(), "jdbc:x", "t", predicates=["a = 1", "a <> 1"], options=options) == {
+        "url": "jdbc:x", "dbtable": "t", "predicates": ["a = 1", "a <> 1"], "user": "u", "fetchsize": "9"}
+    parts = read_jdbc(RecordingReader(), "jdbc:x", "t", split=JdbcSplit("day", "2024-01-01", "2024-12-31", 12))
+    assert (parts["lowerBound"], parts["upperBound"], parts["numPartitions"]) == ("2024-01-01", "2024-12-31", "12")
+
+
 def test_sources(spark, tmp_path):
     path = str(tmp_path / "t")
     staged = stage(spark.range(10, numPartitions=1), path)

@@ -10,7 +10,9 @@ from tierflow.functions.scalars import calendar_date, qty_in_mt, qty_in_nos, tok
 from tierflow.operators.dedupe import dedupe_latest
 from tierflow.operators.enrich import enrich_star
 from tierflow.operators.keys import assign_surrogate_keys, next_key
-from tierflow.plans import gold, silver
+from tierflow.plans import gold, sample, silver
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_dedupe_keeps_lowest_type_oldest_insert_latest_update(spark, rows):
@@ -124,3 +126,12 @@ def test_tables_are_created_empty_and_replaced(spark):
     spark.sql("DROP TABLE gl_orderdetails_fs2")
     assert [f.name for f in schemas.empty_table(spark, schemas.DIM_PRODUCT).schema.fields if not f.nullable] == [
         "gl_product_id"]
+
+
+def test_star_reads_only_its_columns_and_broadcasts_small_lookups(spark):
+    plan = enrich_star(sample.order_rows(spark, SF_DIR), sample.dims(spark, SF_DIR))._jdf.queryExecution()
+    plan = plan.executedPlan().toString()
+    lineitem = next(line for line in plan.split("\n") if "FileScan" in line and "l_orderkey" in line)
+    read = lineitem[lineitem.index("ReadSchema"):]
+    assert "l_quantity" in read and not any(c in read for c in ("l_tax", "l_discount", "l_extendedprice"))
+    assert "SortMergeJoin" not in plan and "PushedFilters: [IsNotNull(c_mktsegment), Not(EqualTo(c_mktsegment" in plan

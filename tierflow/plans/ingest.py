@@ -22,8 +22,9 @@ SUCCESS, FAILED = "SUCCESS", "FAILED"
 class IngestSpec:
     """One source table, the bronze table it feeds, and how both are reached.
 
-    ``source`` gives the source as a DataFrame; filters on it reach the reader. ``target`` is
-    a path written in ``target_format``, unless ``write`` and ``read_target`` replace that.
+    ``source`` gives the source as a DataFrame; filters on it reach the reader. The target is
+    written and read in ``target_format`` with ``target_options``, at the path ``target`` if the
+    format has one. Subclasses may replace ``write`` and ``read_target``.
     """
 
     source_table: str
@@ -44,10 +45,10 @@ class IngestSpec:
     target_options: dict[str, str] = field(default_factory=dict)
 
     def write(self, rows: DataFrame) -> None:
-        rows.write.format(self.target_format).options(**self.target_options).mode("append").save(self.target)
+        rows.write.format(self.target_format).options(**self.target_options).mode("append").save(self.target or None)
 
     def read_target(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format(self.target_format).options(**self.target_options).load(self.target)
+        return spark.read.format(self.target_format).options(**self.target_options).load(self.target or None)
 
 
 def history_for(ledger: DataFrame, spec: IngestSpec) -> DataFrame:

@@ -1,0 +1,126 @@
+"""The versioned fact on disk, and the star lookup on random tables."""
+
+import random
+
+import duckdb
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tierflow.operators.enrich import enrich_star
+from tierflow.plans import gold, sample, silver
+from tierflow.schemas import GL_ORDERDETAILS_FS2
+
+FACT = "invoice_no string, product_id bigint, customer_id bigint, quantity int"
+FIRST, SECOND = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
+
+def fact_rows(spark, *data):
+    """Open fact rows; the columns not given are filled with one value."""
+    df = spark.createDataFrame(list(data), FACT)
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit("2020-01-01" if f.name == "invoice_date" else "1"))
+        .cast(f.dataType).alias(f.name)
+        for f in GL_ORDERDETAILS_FS2.fields if f.name not in ("start_date", "end_date", "active_flag")])
+
+
+def state(spark, table):
+    rows = gold.read_scd2(spark, table)
+    return sorted(tuple(r) for r in rows.select(
+        "invoice_no", "customer_id", "quantity", "active_flag", "closed_run").collect())
+
+
+def test_runs_close_and_open_versions(spark, tmp_path):
+    table, staging = str(tmp_path / "fact"), str(tmp_path / "staging")
+    gold.scd2_create(gold.first_versions(fact_rows(spark, ("A", 1, 1, 5), ("B", 1, 1, 5)), FIRST), table)
+    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 1, 6), ("C", 1, 1, 5)), SECOND, f"{staging}/1")
+    assert state(spark, table) == [("A", 1, 5, "Y", 0), ("B", 1, 5, "Y", 0)]
+    wanted = [("A", 1, 5, "N", 1), ("A", 1, 6, "Y", 0), ("B", 1, 5, "Y", 0), ("C", 1, 5, "Y", 0)]
+    for _ in range(2):  # publishing again changes nothing
+        gold.scd2_publish(spark, f"{staging}/1", table, 1)
+        assert state(spark, table) == wanted
+    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 1, 7)), SECOND, f"{staging}/2")
+    gold.scd2_publish(spark, f"{staging}/2", table, 2)
+    assert state(spark, table) == sorted(
+        [("A", 1, 5, "N", 1), ("A", 1, 6, "N", 2), ("A", 1, 7, "Y", 0), ("B", 1, 5, "Y", 0), ("C", 1, 5, "Y", 0)])
+
+
+def test_a_run_may_leave_no_open_row(spark, tmp_path):
+    table, staging = str(tmp_path / "fact"), str(tmp_path / "staging")
+    gold.scd2_create(gold.first_versions(fact_rows(spark, ("A", 1, 1, 5)), FIRST), table)
+    # Literally taken, another customer closes the row without a successor.
+    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 2, 5)), SECOND, staging, compat=True)
+    gold.scd2_publish(spark, staging, table, 1)
+    assert state(spark, table) == [("A", 1, 5, "N", 1)]
+    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 3, 5)), SECOND, f"{staging}-2")
+    gold.scd2_publish(spark, f"{staging}-2", table, 2)
+    assert state(spark, table) == [("A", 1, 5, "N", 1)]
+
+
+def test_compat_lists():
+    assert (len(gold.TRACKED), len(gold.COMPAT_CLOSE), len(gold.COMPAT_VERSION)) == (13, 12, 9)
+
+
+def test_staged_feed_gives_the_same_table(spark, tmp_path):
+    before, after = sample.silver_states(spark, "/root/testdata/sf0.001")
+    feed = after.withColumns({"_action": F.lit("INSERT"), "_is_update": F.lit(True)})
+    plain = silver.silver_apply(before, feed)
+    staged = silver.silver_apply(before, feed, staging=str(tmp_path / "feed"))
+    assert plain.exceptAll(staged).isEmpty() and staged.exceptAll(plain).isEmpty()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_star_on_random_tables(spark, how):
+    """Lookups with repeated, missing and NULL keys."""
+    rng = random.Random(3)
+
+    def key(prefix):
+        return rng.choice([None, *(f"{prefix}{i}" for i in range(6))])
+
+    def column(kind, name, values):
+        return kind, name, values
+
+    tables = {
+        "orders": [column("string", "customer_no", [key("c") for _ in range(300)]),
+                   column("string", "company_name", [key("m") for _ in range(300)]),
+                   column("string", "product_group_code", [key("g") for _ in range(300)]),
+                   column("string", "invoice_no", [f"i{i}" for i in range(300)]),
+                   column("string", "invoice_date", [rng.choice([None, "2024-01-01", "2024-01-02"]) for _ in range(300)]),
+                   column("bigint", "quantity", [rng.choice([None, 7, 12345]) for _ in range(300)])],
+        "product": [column("bigint", "product_id", list(range(8))),
+                    column("string", "product_group_code", [key("g") for _ in range(8)])],
+        "date": [column("int", "date_id", [1, 2, 3]),
+                 column("string", "fulldate", ["2024-01-01 00:00:00", "2024-01-01 12:00:00", None])],
+        "customer": [column("bigint", "customerid", list(range(8))),
+                     column("string", "customer_no", [key("c") for _ in range(8)]),
+                     column("string", "kam_emp_no", [key("e") for _ in range(8)])],
+        "company": [column("bigint", "company_id", list(range(7))),
+                    column("string", "company_name", [key("m") for _ in range(7)])],
+        "plant": [column("bigint", "plant_id", list(range(9))),
+                  column("string", "company_name", [key("m") for _ in range(9)])],
+        "employee": [column("string", "emp_no", [key("e") for _ in range(9)])],
+    }
+    duck, frames = duckdb.connect(), {}
+    for name, cols in tables.items():
+        frames[name] = spark.createDataFrame(
+            list(zip(*(values for _, _, values in cols))), ", ".join(f"{c} {kind}" for kind, c, _ in cols))
+        types = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
+        duck.register(f"t_{name}", pa.table({c: pa.array(values, types[kind]) for kind, c, values in cols}))
+    orders = frames.pop("orders").withColumns({
+        "invoice_date": F.col("invoice_date").cast("date"), "csp_yes_no": F.lit("Y"), "type": F.lit("t"),
+        "uom": F.lit("u"), "kgs": F.col("quantity")})
+    employee = how == "inner"
+    found = enrich_star(orders, frames, how, with_employee=employee)
+    cols = ["invoice_no", "product_id", "date_id", "customer_id" if employee else "customerid", "company_id",
+            "plant_id", "quantity", *(["employee_id"] if employee else [])]
+    join = "JOIN" if how == "inner" else "LEFT JOIN"
+    wanted = duck.execute(f"""
+        SELECT invoice_no, product_id, date_id, customerid, company_id, plant_id, quantity
+               {", emp_no" if employee else ""}
+        FROM t_orders o JOIN t_product p ON o.product_group_code = p.product_group_code
+        JOIN t_date d ON CAST(o.invoice_date AS DATE) = CAST(d.fulldate AS DATE)
+        {join} t_customer c ON o.customer_no = c.customer_no
+        {join} t_company m ON o.company_name = m.company_name
+        {join} t_plant l ON o.company_name = l.company_name
+        {"JOIN t_employee e ON c.kam_emp_no = e.emp_no" if employee else ""}""").fetchall()
+    assert wanted and sorted((tuple(r) for r in found.select(*cols).collect()), key=repr) == sorted(wanted, key=repr)

@@ -124,6 +124,12 @@ def test_tables_are_created_empty_and_replaced(spark):
         assert found.isEmpty() and set(found.columns) == set(schemas.GL_ORDERDETAILS_FS2.fieldNames())
         spark.createDataFrame([], schemas.GL_ORDERDETAILS_FS2).write.mode("append").insertInto("gl_orderdetails_fs2")
     spark.sql("DROP TABLE gl_orderdetails_fs2")
+    spark.createDataFrame([(1, "a")], "n int, s string").write.saveAsTable("by_name")
+    schemas.append_by_name(spark.createDataFrame([("b", 2)], "s string, n int"), "by_name")
+    assert sorted(map(tuple, spark.table("by_name").collect())) == [(1, "a"), (2, "b")]
+    with pytest.raises(Exception, match="column"):
+        schemas.append_by_name(spark.createDataFrame([("b",)], "s string"), "by_name")
+    spark.sql("DROP TABLE by_name")
     assert [f.name for f in schemas.empty_table(spark, schemas.DIM_PRODUCT).schema.fields if not f.nullable] == [
         "gl_product_id"]
 

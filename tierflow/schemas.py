@@ -94,3 +94,8 @@ def create_or_replace_table(spark: SparkSession, name: str, schema: T.StructType
     """Create the table empty; a table of that name is replaced."""
     writer = empty_table(spark, schema).write.format(fmt).mode("overwrite")
     writer.partitionBy(*partition_by).saveAsTable(name) if partition_by else writer.saveAsTable(name)
+
+
+def append_by_name(df: DataFrame, name: str) -> None:
+    """Append to a catalog table; columns are matched by name, and other types or columns fail."""
+    df.write.mode("append").saveAsTable(name)

@@ -17,8 +17,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierflow.operators import merge
 from tierflow.operators.enrich import enrich_star
-from tierflow.operators.merge import snapshot_diff
 from tierflow.plans import gold, sample, silver
 from tierflow.plans.registry import QUERIES
 from tierflow.session import build_session, scratch_path
@@ -37,14 +37,14 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> Timed:
     return lambda: gold.fact_scd2(before, batch, sample.RUN)
 
 
-def snapshot_diff_rows(spark: SparkSession, sf_dir: str) -> Timed:
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> Timed:
     before, after = sample.silver_states(spark, sf_dir)
-    return lambda: snapshot_diff(before, after, silver.SILVER_KEYS)
+    return lambda: merge.snapshot_diff(before, after, silver.SILVER_KEYS)
 
 
 def cdc_apply(spark: SparkSession, sf_dir: str) -> Timed:
     before, after = sample.silver_states(spark, sf_dir)
-    feed = stage(snapshot_diff(before, after, silver.SILVER_KEYS), scratch_path(spark, "feed"))
+    feed = stage(merge.snapshot_diff(before, after, silver.SILVER_KEYS), scratch_path(spark, "feed"))
     return lambda: silver.silver_apply(before, feed)
 
 
@@ -67,7 +67,7 @@ def registered(name: str) -> Callable[[SparkSession, str], Timed]:
 HEADLINE = {
     "silver_dedupe": silver_dedupe, "fact_full_load": fact("left"),
     "fact_full_load_fanout": fact("left", plant_per_supplier=True), "fact_inner_employee": fact("inner", True),
-    "scd1_merge": scd1_merge, "scd2_merge": scd2_merge, "snapshot_diff_rows": snapshot_diff_rows,
+    "scd1_merge": scd1_merge, "scd2_merge": scd2_merge, "snapshot_diff": snapshot_diff,
     "cdc_apply": cdc_apply,
     **{name: registered(name) for name in (
         "silver_orders", "word_count", "line_token_count", "bronze_incremental", "history_watermark_all", "surrogate_keys")},

@@ -116,8 +116,8 @@ def test_scd2_splits_hot_target_and_source_keys(hot, batch):
     assert splits(merged) >= 1
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_star_splits_hot_lookup_keys(tight, tmp_path, how):
+@pytest.mark.parametrize("how, with_employee", [("left", False), ("inner", False), ("inner", True)])
+def test_star_splits_hot_lookup_keys(tight, tmp_path, how, with_employee):
     third = (F.col("id") % 3) == 0
 
     def key(prefix):
@@ -134,7 +134,8 @@ def test_star_splits_hot_lookup_keys(tight, tmp_path, how):
     ids = tight.range(5000, numPartitions=4)
 
     def lookup(name, id_col, key_col, prefix):
-        frame = ids.select(F.col("id").alias(id_col), F.concat(F.lit(prefix), F.col("id").cast("string")).alias(key_col))
+        frame = ids.select(F.col("id").alias(id_col), F.concat(F.lit(prefix), F.col("id").cast("string")).alias(key_col),
+                           F.col("id").cast("string").alias("kam_emp_no"))
         return stage(frame, str(tmp_path / name))
 
     dims = {
@@ -142,12 +143,14 @@ def test_star_splits_hot_lookup_keys(tight, tmp_path, how):
         "customer": lookup("customer", "customerid", "customer_no", "c"),
         "company": lookup("company", "company_id", "company_name", "m"),
         "plant": lookup("plant", "plant_id", "company_name", "m"),
+        "employee": stage(ids.select(F.col("id").cast("string").alias("emp_no")), str(tmp_path / "employee")),
         "date": stage(ids.select(F.col("id").cast("int").alias("date_id"), F.date_add(
             F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("fulldate")), str(tmp_path / "date")),
     }
-    found = enrich_star(orders, dims, how)
-    assert found.where("plant_id = company_id AND customerid = product_id AND date_id = plant_id").count() == N
-    assert splits(found) == 4
+    found = enrich_star(orders, dims, how, with_employee)
+    customer = "customer_id" if with_employee else "customerid"
+    assert found.where(f"plant_id = company_id AND {customer} = product_id AND date_id = plant_id").count() == N
+    assert splits(found) == (5 if with_employee else 4)
 
 
 def test_dedupe_reduces_a_hot_group_before_the_shuffle(hot):

@@ -269,8 +269,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey
     "scd2_partitioned_load": f"""{with_(ORDER_ROWS, DIMS, KEYED, FACT2_TABLES)}
 SELECT *, CAST(CASE WHEN active_flag = 'N' THEN 1 ELSE 0 END AS BIGINT) AS closed_run
 FROM ({scd2('open_rows', NULL_SAFE, NULL_SAFE)})""",
-    "snapshot_diff_rows": f"{with_(ORDER_ROWS, KEYED, DIFF)} SELECT * FROM diff_rows",
-    "cdc_apply_feed": f"""{with_(ORDER_ROWS, KEYED, DIFF)},
+    "snapshot_diff": f"{with_(ORDER_ROWS, KEYED, DIFF)} SELECT * FROM diff_rows",
+    "cdc_apply": f"""{with_(ORDER_ROWS, KEYED, DIFF)},
 feed AS (SELECT * FROM diff_rows WHERE NOT (_action = 'DELETE' AND _is_update))
 {cdc('feed', "s._action = 'DELETE'", f"s._action = 'INSERT' AND s._is_update AND ({SILVER_DIFFERS})")}""",
     "cdc_apply_compat": f"""{with_(ORDER_ROWS, KEYED, DIFF)},

@@ -11,9 +11,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.operators import merge
 from tierflow.operators.enrich import enrich_star
 from tierflow.operators.keys import assign_surrogate_keys
-from tierflow.operators.merge import cdc_apply, row_changes, snapshot_diff
 from tierflow.plans import gold, ingest, sample, silver
 from tierflow.schemas import CUSTOMER_REVIEWS, PEOPLE
 from tierflow.session import scratch_path
@@ -136,16 +136,16 @@ def scd2_partitioned_load(spark, sf_dir):
 # Change feeds
 
 def _diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    return snapshot_diff(before, after, silver.SILVER_KEYS)
+    return merge.snapshot_diff(before, after, silver.SILVER_KEYS)
 
 
 @query
-def snapshot_diff_rows(spark, sf_dir):
+def snapshot_diff(spark, sf_dir):
     return plain(_diff(*sample.silver_states(spark, sf_dir)))
 
 
 @query
-def cdc_apply_feed(spark, sf_dir):
+def cdc_apply(spark, sf_dir):
     before, after = sample.silver_states(spark, sf_dir)
     feed = stage(_diff(before, after), scratch_path(spark, "feed"))
     return plain(silver.silver_apply(before, feed))
@@ -165,12 +165,12 @@ def cdc_apply_upsert(spark, sf_dir):
     """An append-only feed, which knows only inserts."""
     before, after = sample.silver_states(spark, sf_dir)
     feed = after.withColumns({"_action": F.lit("INSERT"), "_is_update": F.lit(False)})
-    return plain(cdc_apply(before, feed, silver.SILVER_KEYS, silver.SILVER_COMPARE, upsert_on_insert=True))
+    return plain(merge.cdc_apply(before, feed, silver.SILVER_KEYS, silver.SILVER_COMPARE, upsert_on_insert=True))
 
 
 @query
 def row_change_detect(spark, sf_dir):
-    return plain(row_changes(*sample.silver_states(spark, sf_dir), silver.SILVER_KEYS, silver.SILVER_COMPARE))
+    return plain(merge.row_changes(*sample.silver_states(spark, sf_dir), silver.SILVER_KEYS, silver.SILVER_COMPARE))
 
 
 # Keys

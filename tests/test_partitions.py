@@ -1,0 +1,76 @@
+"""Batches merged into partitioned tables."""
+
+import glob
+import os
+from functools import partial
+
+import pytest
+
+from tierflow.operators.merge import cdc_apply, scd1_merge
+from tierflow.plans.partitions import publish_touched, stage_touched
+
+SCHEMA = "id int, v int, month int"
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [(1, 5, 1), (2, 5, 1), (3, 5, 2), (4, 5, 3), (5, 5, None), (None, 5, 4)]
+    spark.createDataFrame(rows, SCHEMA).write.partitionBy("month").parquet(path)
+    return path
+
+
+def read(spark, path):
+    return spark.read.schema(SCHEMA).parquet(path)
+
+
+def state(spark, path):
+    return sorted((tuple(r) for r in read(spark, path).collect()), key=repr)
+
+
+def files(path):
+    return {os.path.relpath(f, path) for f in glob.glob(f"{path}/*/*.parquet")}
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, table, tmp_path):
+    before, staging = files(table), str(tmp_path / "staging")
+    target = read(spark, table)
+    # 1 changes, 3 moves to month 3 and leaves month 2 empty, 9 is new, the NULL key is known.
+    batch = spark.createDataFrame([(1, 6, 1), (3, 6, 3), (9, 6, 7), (None, 6, 4)], SCHEMA)
+    stage_touched(target, batch, ["id"], "month", partial(scd1_merge, keys=["id"]), staging)
+    assert files(table) == before
+    wanted = sorted([(1, 6, 1), (2, 5, 1), (3, 6, 3), (4, 5, 3), (5, 5, None), (None, 6, 4), (9, 6, 7)], key=repr)
+    for _ in range(2):
+        publish_touched(spark, staging, table, "month")
+        assert state(spark, table) == wanted
+    kept = {f for f in before if f.startswith("month=__HIVE")}
+    assert kept and kept == before & files(table)
+
+
+def test_deletes_may_empty_partitions(spark, table, tmp_path):
+    staging = str(tmp_path / "staging")
+    feed = spark.createDataFrame(
+        [(5, 5, None, "DELETE", False), (4, 5, 3, "DELETE", False), (1, 7, 1, "INSERT", True)],
+        SCHEMA + ", _action string, _is_update boolean")
+    stage_touched(read(spark, table), feed, ["id"], "month", partial(cdc_apply, keys=["id"]), staging)
+    publish_touched(spark, staging, table, "month")
+    assert state(spark, table) == sorted([(1, 7, 1), (2, 5, 1), (3, 5, 2), (None, 5, 4)], key=repr)
+
+
+def test_empty_batch_changes_nothing(spark, table, tmp_path):
+    before, staging = files(table), str(tmp_path / "staging")
+    batch = spark.createDataFrame([], SCHEMA)
+    stage_touched(read(spark, table), batch, ["id"], "month", partial(scd1_merge, keys=["id"]), staging)
+    publish_touched(spark, staging, table, "month")
+    assert files(table) == before
+
+
+def test_untouched_folders_are_not_read(spark, table):
+    plan = read(spark, table).where("month IN (1) OR month IS NULL")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(" in plan
+
+
+def test_text_partitions_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "id int, part string")
+    with pytest.raises(TypeError):
+        stage_touched(df, df, ["id"], "part", partial(scd1_merge, keys=["id"]), str(tmp_path / "staging"))

@@ -258,6 +258,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey
     "fact_append": f"{with_(ORDER_ROWS, DIMS, KEYED)} {fact1('keyed_orders')} UNION ALL {fact1('keyed_orders')}",
     "scd1_merge": f"{with_(ORDER_ROWS, DIMS, KEYED, FACT1_TABLES)} {scd1('fact_before', 'fact_batch')}",
     "scd1_load": f"{with_(ORDER_ROWS, DIMS, KEYED, FACT1_TABLES)} {scd1('fact_before', 'fact_batch')}",
+    "scd1_partitioned_load": f"""{with_(ORDER_ROWS, DIMS, KEYED, FACT1_TABLES)}
+SELECT *, CAST(YEAR(invoice_date) AS INTEGER) AS invoice_year FROM ({scd1('fact_before', 'fact_batch')})""",
     "scd1_merge_latest": f"""{with_(ORDER_ROWS, DIMS, KEYED, FACT1_TABLES)}, largest AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (
     PARTITION BY invoice_no, product_id ORDER BY kgs DESC, quantity DESC, csp_yes_no DESC, type DESC, company_id DESC,

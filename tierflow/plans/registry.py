@@ -15,6 +15,7 @@ from tierflow.operators import merge
 from tierflow.operators.enrich import enrich_star
 from tierflow.operators.keys import assign_surrogate_keys
 from tierflow.plans import gold, ingest, sample, silver
+from tierflow.plans.partitions import publish_touched, stage_touched
 from tierflow.schemas import CUSTOMER_REVIEWS, PEOPLE
 from tierflow.session import scratch_path
 from tierflow.sources.streams import csv_stream, line_stream, parquet_stream
@@ -110,6 +111,19 @@ def scd1_load(spark, sf_dir):
         enrich_star(before, dims), orders, dims, scratch_path(spark, "scd1-batch"), scratch_path(spark, "scd1-fact")))
 
 
+@query
+def scd1_partitioned_load(spark, sf_dir):
+    """The merge on a table partitioned by year, of which the touched years are rewritten."""
+    fact, staging = scratch_path(spark, "fact-by-year"), scratch_path(spark, "touched")
+    before, batch = (rows.withColumn("invoice_year", F.year("invoice_date"))
+                     for rows in sample.fact1_states(spark, sf_dir))
+    before.write.partitionBy("invoice_year").parquet(fact)
+    target = spark.read.schema(before.schema).parquet(fact)
+    stage_touched(target, batch, gold.FACT_KEYS, "invoice_year", gold.fact_scd1, staging)
+    publish_touched(spark, staging, fact, "invoice_year")
+    return plain(spark.read.schema(before.schema).parquet(fact))
+
+
 @query
 def scd2_merge(spark, sf_dir):
     return plain(gold.fact_scd2(*sample.fact2_states(spark, sf_dir), sample.RUN))

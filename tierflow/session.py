@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,20 +32,9 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir`` of the session.
-
-    Without that setting the checkpoint folder given to the context is used; a local session
-    with neither gets a temporary one. A cluster session is refused then, since a folder of the
-    driver's machine would not be seen elsewhere.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tierflow-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
+    """The folder all executors see: ``spark.checkpoint.dir``, else one below the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import decontamination, html_text, packing, quality_classifier, quality_rules, toxicity
+from tierflow.llm import decontamination, html_text, packing, quality_classifier, quality_rules, secret_scan, toxicity
 from tierflow.llm.common import table
 
 
@@ -33,6 +33,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit(docs))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op5_html_text": op5_html_text,
     "op7_toxicity": op7_toxicity,
+    "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import decontamination, html_text, packing, quality_classifier, quality_rules, secret_scan, toxicity
+from tierflow.llm import decontamination, html_text, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, toxicity
 from tierflow.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -49,6 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_html_text": op5_html_text,
     "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,

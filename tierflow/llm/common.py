@@ -48,6 +48,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Compressed, with equal bytes of all values side by side."""
+    return zlib.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+
+
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
+    flat = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(kind).reshape(-1)
+
+
 def blocks_for(rows: int, per_block: int) -> int:
     return max(1, -(-rows // per_block))
 

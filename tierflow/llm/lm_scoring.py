@@ -19,15 +19,13 @@ and are scored once per row; an empty table gives no rows.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import as_bytes, blocks_for, fold, mixed, written
+from tierflow.llm.common import as_bytes, blocks_for, fold, mixed, packed, unpacked, written
 
 FOLDS, HELD_OUT, DELETED = 10, 0, 1
 BUCKETS = 24
@@ -40,16 +38,6 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 STEP = 4  # histogram cells per power of two
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Compressed with equal bytes of all values side by side."""
-    return zlib.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
-
-
-def unpacked(raw: bytes, kind) -> np.ndarray:
-    flat = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(flat.T).view(kind).reshape(-1)
-
-
 class Chunk:
     """The distinct words and word pairs of some texts, by the order of their hashes."""
 

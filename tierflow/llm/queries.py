@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import decontamination, html_text, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, toxicity
+from tierflow.llm import decontamination, html_text, jaccard_join, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, toxicity
 from tierflow.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("lang")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
@@ -52,6 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_html_text": op5_html_text,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,38 @@ def blocks_for(rows: int, per_block: int) -> int:
     return max(1, -(-rows // per_block))
 
 
+BLOOM_BITS = 1 << 25
+
+
+def _bloom_bits(key: str | Column) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(BLOOM_BITS)) for k in range(3)]
+
+
+def bloom(ids: DataFrame, key: str) -> np.ndarray:
+    """A Bloom filter of a column in ``BLOOM_BITS`` bits (4 MB), built in the cluster.
+
+    Its size is fixed: with more ids it lets more rows pass, never fewer than it must.
+    """
+    words = (ids.select(F.explode(F.array(*_bloom_bits(key))).alias("bit"))
+             .groupBy((F.col("bit") / 32).cast("int").alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 as int))")).alias("bits")).toPandas())
+    out = np.zeros(BLOOM_BITS // 32, np.uint32)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def in_bloom(held: np.ndarray, key: str | Column) -> Column:
+    """Whether the filter may hold the key; Python sees numbers only."""
+    def test(*columns: pd.Series) -> pd.Series:
+        hit = np.ones(len(columns[0]), bool)
+        for c in columns:
+            bit = c.to_numpy(np.int64)
+            hit &= (held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
+        return pd.Series(hit)
+
+    return F.pandas_udf(test, "boolean")(*_bloom_bits(key))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b): smallest node reachable.
 

@@ -24,6 +24,7 @@ any of its texts does; rows with null doc_id have a null component; an empty tab
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -33,14 +34,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import as_bytes, components, mixed, packed, unpacked, written
+from tierflow.llm.common import as_bytes, bloom, components, in_bloom, mixed, packed, unpacked, written
 
 SHAPES = "doc_id long, n_shingles long, digest long, digest2 long, gram long, seen long"
 PREFIXES = "doc_id long, n long, k int, skipped int, grams array<long>"
 SETS = "doc_id long, n long, grams binary"
 SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                   0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-BLOOM_BITS = 1 << 25
 
 
 class WordHashes(dict):
@@ -105,9 +105,14 @@ def shapes(docs: DataFrame, n: int, often: int = 4, flush: int = 3_000_000) -> D
 
 
 def prefix_sizes(n: int, percent: int) -> tuple[int, int, int]:
-    """Prefix length, occurrences k that a pair must reach in it, and lists that may be skipped."""
+    """Prefix length, occurrences k that a pair must reach in it, and lists that may be skipped.
+
+    k grows with the set. Lists are skipped as if for the smallest set that can be linked, so two
+    linked documents together skip fewer than the smaller k of both.
+    """
+    least = -(-percent * n // 100)
     k = 1 + 3 * n // 100
-    return n - -(-percent * n // 100) + k, k, 4 * (k - 1) // 10
+    return n - least + k, k, 3 * least // 100 // 2
 
 
 def prefixes(docs: DataFrame, n: int, percent: int, long_grams: np.ndarray) -> DataFrame:
@@ -136,35 +141,17 @@ def prefixes(docs: DataFrame, n: int, percent: int, long_grams: np.ndarray) -> D
     return docs.mapInPandas(rows, PREFIXES)
 
 
-def bloom(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of the ids in ``BLOOM_BITS`` bits, built in the cluster."""
-    bits = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(BLOOM_BITS)) for k in range(3)]
-    words = (ids.select(F.explode(F.array(*bits)).alias("bit"))
-             .groupBy((F.col("bit") / 32).cast("int").alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 as int))")).alias("bits")).toPandas())
-    out = np.zeros(BLOOM_BITS // 32, np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    return out
-
-
 def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """The sets of the given documents; the filter spares the others the shuffle to the join."""
-    held = bloom(ids)
-    marks = [F.pmod(F.xxhash64(F.col("doc_id"), F.lit(k)), F.lit(BLOOM_BITS)).alias(f"bit{k}") for k in range(3)]
-
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            hit = np.ones(len(batch), bool)
-            for k in range(3):
-                bit = batch[f"bit{k}"].to_numpy(np.int64)
-                hit &= (held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
-            found = [(d, grams(t, n, known)) for d, t in texts(batch[hit])]
+            found = [(d, grams(t, n, known)) for d, t in texts(batch)]
             yield pd.DataFrame([(d, len(g), packed(np.diff(g, prepend=np.uint64(0)))) for d, g in found if len(g)],
                                columns=["doc_id", "n", "grams"])
 
-    return (docs.where("doc_id is not null").select("doc_id", "text", *marks).mapInPandas(rows, SETS)
-            .join(ids, "doc_id", "left_semi"))
+    some = docs.where("doc_id is not null").select("doc_id", "text").where(in_bloom(bloom(ids, "doc_id"), "doc_id"))
+    return some.mapInPandas(rows, SETS).join(ids, "doc_id", "left_semi")
 
 
 def overlaps(mine: pd.Series, other: pd.Series) -> pd.Series:
@@ -241,3 +228,22 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, long_lists: int = 100_0
               .select("doc_id", "n_shingles", F.col("of_node").alias("component_id")))
     alone = sizes.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionAll(alone)
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, long_lists: int = 100_000) -> DataFrame:
+    """The documents, all columns kept, without those linked to one with a smaller id.
+
+    Of rows that share an id one stays; rows without an id stay. Rows that stay anyway are not
+    shuffled: a Bloom filter holds back those that may go, and these meet the exact list.
+    """
+    linked = written(link(docs, n, percent, long_lists), "components").where("doc_id is not null")
+    counted = linked.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
+    special = written(counted.where("component_id <> doc_id or rows > 1").select("doc_id", "component_id"), "special")
+    key = F.col("doc_id").cast("long")
+    maybe = F.coalesce(in_bloom(bloom(special.select("doc_id"), "doc_id"), key), F.lit(False))
+    mark = "_maybe_" + uuid.uuid4().hex
+    docs = docs.withColumn(mark, maybe)
+    gone = special.where("component_id <> doc_id").select(F.col("doc_id").alias(mark + "id"))
+    checked = (docs.where(F.col(mark)).join(gone, F.col("doc_id").cast("long") == F.col(mark + "id"), "left_anti")
+               .dropDuplicates(["doc_id"]))
+    return docs.where(~F.col(mark)).unionByName(checked).drop(mark)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import decontamination, html_text, jaccard_join, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, toxicity
+from tierflow.llm import decontamination, html_text, jaccard_join, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, toxicity
 from tierflow.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_html_text": op5_html_text,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,

@@ -1,0 +1,88 @@
+import random
+
+from tierflow.llm import decontamination as dc
+
+WORDS = ["the", "of", "and", *[f"w{k}" for k in range(300)]]
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n)).capitalize() + "."
+
+
+def brute(docs, items, overlap):
+    found = set()
+    for doc_id, text in docs:
+        words = dc.terms(text)
+        own = dc.shingles(words, 5)
+        joined = " " + " ".join(words) + " "
+        for item_id, item in items:
+            if not dc.terms(item):
+                continue
+            parts = [dc.shingles(dc.terms(p), 5) for p in dc.question_answer(item)]
+            shares = [sum(s in own or (s.count(" ") < 4 and f" {s} " in joined) for s in p) / len(p) if p else 1 for p in parts]
+            if min(shares) >= overlap and words:
+                found.add((doc_id, item_id))
+    return found
+
+
+def corpus():
+    rng = random.Random(11)
+    items = [(k, " ".join(sentence(rng, rng.randrange(8, 25)) for _ in range(rng.randrange(1, 4)))) for k in range(60)]
+    docs = []
+    for k in range(200):
+        text = [sentence(rng, 15) for _ in range(rng.randrange(0, 40))]
+        if k % 5 == 0:
+            text.insert(len(text) // 2, rng.choice(items)[1].upper() if k % 10 else rng.choice(items)[1].replace(".", " !"))
+        docs.append((k, " ".join(text)))
+    return docs, items
+
+
+def test_finds_what_brute_force_finds():
+    docs, items = corpus()
+    index = dc.ItemIndex(items, 5, 0.6)
+    found = {(d, i) for d, text in docs for i, *_ in index.matches(text, 0.8)}
+    assert found == brute(docs, items, 0.8) and len(found) >= 40
+
+
+def test_search_is_exact():
+    docs, items = corpus()
+    for threshold in (0.1, 0.3, 0.6):
+        index = dc.ItemIndex(items, 5, threshold)
+        for _, text in docs[:60]:
+            query = index.postings.keys() & set(dc.terms(text))
+            scores = {}
+            for t in query:
+                for item, x in zip(*index.postings[t][:2], strict=True):
+                    scores[item] = scores.get(item, 0) + x
+            expected = {i for i, s in scores.items() if s >= threshold}
+            assert {i for i, _ in index.search(query)} == expected
+
+
+def test_long_items_lie_within_a_passage():
+    rng = random.Random(1)
+    item = " ".join(f"x{k}" for k in range(500))
+    text = " ".join([sentence(rng, 400), item, sentence(rng, 400)])
+    assert [i for i, *_ in dc.ItemIndex([(7, item)], 5, 0.6).matches(text, 0.8)] == [7]
+
+
+def test_contaminated_in_shards(spark):
+    docs, items = corpus()
+    rows = [*docs, (None, docs[0][1]), (500, None), (501, ""), docs[0]]
+    table = spark.createDataFrame([(d, t, "x", 1.0) for d, t in rows], "doc_id long, text string, item_id string, score double")
+    bench = spark.createDataFrame([*items, (900, None), (901, "!!"), (902, "")], "item_id long, text string")
+    found = dc.contaminated(table, bench, shard_bytes=1500).collect()
+    expected = brute(docs, items, 0.8)
+    assert {(r.doc_id, r.item_id) for r in found if r.doc_id is not None} == expected
+    assert sum(r.doc_id == 0 for r in found) == 2 * sum(d == 0 for d, _ in expected)
+    kept = dc.clean(table, bench, shard_bytes=1500)
+    assert kept.columns == table.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(
+        d for d, _ in rows if d is not None and d not in {x for x, _ in expected})
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    bench = spark.createDataFrame([], "item_id long, text string")
+    some = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    assert dc.contaminated(docs, some).collect() == [] and dc.contaminated(docs, bench).collect() == []
+    assert dc.clean(some.withColumnRenamed("item_id", "doc_id"), bench).count() == 1

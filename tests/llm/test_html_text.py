@@ -1,0 +1,38 @@
+import pytest
+
+from tierflow.llm.html_text import extract, main_text
+
+PARA = "Some words of an article, with commas, that go on for a while."
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    (None, ""), ("", ""), ("<p", ""), ("<!-- x", ""), ("<script>if (a < b) x()</script>", ""), ("a < b", "a < b"),
+    ("<p>a<b>b</b>  c&nbsp;&lt;&#65;&copy", "ab c <A©"),
+    ("<p>one<p>two<ul><li>three<li>four</ul>", "one two three four"),
+    (f"<nav><a href=/>Home</a></nav><article><h1>Title</h1><p>{PARA}</article><footer>f</footer>", f"Title {PARA}"),
+    (f"<div class='side-bar sidebar'>{PARA}</div><div><p>{PARA}<p>{PARA}</div><div id='comments'><p>{PARA}</div>", f"{PARA} {PARA}"),
+    (f"<main><div class='cookie-notice'>{PARA}</div><section><p>{PARA}</section><section><p>short.</section>"
+     f"<form><p>{PARA}</form><aside>{PARA}</aside></main>", f"{PARA} short."),
+    (f"<div><p>{PARA}<br>{PARA}</p></div><div><a href=a>{PARA}</a> <a href=b>{PARA}</a></div>", f"{PARA} {PARA}"),
+    ("<article><p>x</p><table><tr><td>a<td>b</table><style>p{}</style><div hidden>no</div></article>", "x a b"),
+    ("<title>T</title><body><p>text</body>", "text"),
+    ("</p></div><p>x</p>", "x"),
+])
+def test_main_text(source, text):
+    assert main_text(source) == text
+
+
+def test_deep_and_long_pages():
+    assert main_text("<div>" * 30_000 + "deep") == "deep"
+    assert len(main_text("<article>" + f"<p>{PARA}" * 20_000)) == 20_000 * (len(PARA) + 1) - 1
+    assert main_text("<" * 50_000 + "x") == "<" * 49_999
+
+
+def test_extract(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", f"<article>{PARA}</article>", "clash"), (2, None, None, None), (None, "u", "", None), (1, "u", "é", None)],
+        "page_id long, url string, html string, text string")
+    out = sorted((r.page_id or 0, r.text, r.n_chars) for r in extract(pages).collect())
+    assert out == [(0, "", 0), (1, PARA, len(PARA)), (1, "é", 1), (2, "", 0)]
+    assert extract(pages).columns == ["page_id", "url", "text", "n_chars"]
+    assert extract(pages.where("false")).collect() == []

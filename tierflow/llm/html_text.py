@@ -42,6 +42,8 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "sup", "time", "tt", "u", "var", "wbr", "img", "picture", "source"}
 PARAGRAPH = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "dt", "dd", "pre", "blockquote", "figcaption",
              "caption", "summary", "address"}
+# lists and tables are paragraphs of what is around them
+WRAPPERS = {"ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "tr", "colgroup", "figure", "details"}
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # a start tag of the key closes an open element of the values, if no table or list lies between
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -159,10 +161,14 @@ def main_text(source: str | None) -> str:
     points, chars, linked = ([0.0] * len(tags) for _ in range(3))
     for holder, text, links in page.blocks:
         own = (len(text) >= 25) + text.count(",") + min(3.0, len(text) / 100)
-        to, share = (parents[holder] if tags[holder] in PARAGRAPH else holder), 1
-        while to and share <= 5:
+        to = holder
+        while tags[to] in PARAGRAPH or tags[to] in WRAPPERS:
+            to = parents[to]
+        for share in range(1, 6):
             points[to] += own / share
-            to, share = parents[to], share + 1
+            if not to:
+                break
+            to = parents[to]
         chars[holder] += len(text)
         linked[holder] += links
     for e in range(len(tags) - 1, 0, -1):  # children come after their parents

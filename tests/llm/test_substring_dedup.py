@@ -1,0 +1,115 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tierflow.llm import substring_dedup as sd
+
+
+def brute(rows, length=sd.LENGTH):
+    raw = [(d, (t or "").encode()) for d, t in rows]
+    count = Counter(b[i:i + length] for _, b in raw for i in range(len(b) - length + 1))
+    out = []
+    for d, b in raw:
+        edge = np.zeros(len(b) + 1, int)
+        for i in range(len(b) - length + 1):
+            if count[b[i:i + length]] > 1:
+                edge[i] += 1
+                edge[i + length] -= 1
+        gone = np.cumsum(edge[:-1]) > 0
+        kept = np.frombuffer(b, np.uint8)[~gone].tobytes()
+        out.append((d if d is not None else -1, len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()),
+                    hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def found(df):
+    return sorted((r.doc_id if r.doc_id is not None else -1, *tuple(r)[1:]) for r in df.collect())
+
+
+def test_repeated_starts_of_random_texts():
+    rng = random.Random(3)
+    for _ in range(300):
+        base = [bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randrange(1, 30))) for _ in range(3)]
+        texts = [b"".join(rng.choice(base) for _ in range(rng.randrange(1, 5)))[:60] for _ in range(rng.randrange(1, 6))]
+        length = rng.randrange(2, 9)
+        count = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+        for t, got in zip(texts, sd.repeated_starts(texts, length), strict=True):
+            assert got.tolist() == [count[t[i:i + length]] > 1 for i in range(len(t) - length + 1)]
+
+
+def test_suffix_order():
+    rng = np.random.default_rng(1)
+    for size in (1, 2, 50, 400):
+        text = np.concatenate([rng.integers(1, 3, size), [0]])
+        rank = sd.suffix_order(text, 3)
+        expected = sorted(range(len(text)), key=lambda i: text[i:].tolist())
+        assert np.argsort(rank).tolist() == expected
+
+
+def test_every_string_has_its_anchor():
+    """Equal strings have equal anchors at equal places, whatever surrounds them."""
+    rng = random.Random(2)
+    shared = bytes(rng.choice(b"abcde") for _ in range(sd.LENGTH))
+    seen = set()
+    for _ in range(20):
+        left = bytes(rng.choice(b"abcde") for _ in range(rng.randrange(0, 300)))
+        right = bytes(rng.choice(b"abcde") for _ in range(rng.randrange(0, 300)))
+        anchor, _, lo, at, span = sd.anchors(left + shared + right)
+        k = np.searchsorted(lo, len(left), side="right") - 1
+        assert lo[k] <= len(left) <= lo[k] + span[k]
+        seen.add((int(anchor[k]), int(lo[k] + at[k] - len(left))))
+    assert len(seen) == 1
+
+
+def corpus(seed, n=60):
+    rng = random.Random(seed)
+    def prose(k):
+        return "".join(rng.choice("abcdefghij é\n") for _ in range(k))
+    passages = [prose(k) for k in (150, 199, 200, 260, 700)]
+    rows = []
+    for k in range(n):
+        text = prose(rng.randrange(0, 400))
+        for _ in range(rng.randrange(0, 3)):
+            text += rng.choice(passages) + prose(rng.randrange(0, 250))
+        if k % 15 == 0:
+            text += "la " * rng.randrange(50, 300) + "x" * rng.randrange(150, 450)
+        rows.append((k, text))
+    rows += [(n + k, rows[k][1]) for k in range(0, n, 7)]
+    for k in range(0, n, 9):
+        t = list(rows[k][1])
+        if t:
+            t[len(t) // 2] = "Z"
+        rows.append((2 * n + k, "".join(t)))
+    return rows
+
+
+@pytest.mark.parametrize(("seed", "crowd"), [(1, 4000), (2, 4000), (3, 4), (4, 2)])
+def test_removes_what_brute_force_removes(spark, seed, crowd):
+    rows = corpus(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute(rows)
+    assert found(sd.dedup(docs, crowd=crowd, task_bytes=20_000)) == expected
+    assert 0 < sum(r[2] for r in expected) < sum(r[1] for r in expected)
+
+
+def test_a_line_that_all_documents_hold_is_split(spark):
+    """The line is shorter than a string, so nothing repeats; one anchor has every context."""
+    rng = random.Random(4)
+    line = "".join(rng.choice("abcdefgh") for _ in range(90))
+    passage = "".join(rng.choice("abcdefgh") for _ in range(230))
+    def prose():
+        return "".join(rng.choice("ijklmnop") for _ in range(220))
+    rows = [(k, prose() + line + prose() + (passage if k % 3 == 0 else "") + prose()) for k in range(120)]
+    out = found(sd.dedup(spark.createDataFrame(rows, "doc_id long, text string"), crowd=5, task_bytes=5_000))
+    assert out == brute(rows) and sum(r[2] for r in out) >= 40 * 230
+
+
+def test_defined_cases(spark):
+    text = "".join(chr(97 + (k * k) % 23) + str(k) for k in range(80))
+    rows = [(1, None), (2, ""), (3, text), (3, text), (None, text + "!"), (4, text[:198]), (5, "é" * 99), (6, text[:199])]
+    docs = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], "doc_id long, text string, uid string, n_bytes int")
+    assert found(sd.dedup(docs)) == brute(rows)
+    assert sd.dedup(docs.where("false")).collect() == []

@@ -37,21 +37,31 @@ def union(frames):
 def test_watermark(spark):
     ledger = union([run(spark, 1, at(1), SUCCESS), run(spark, 2, at(3), FAILED), run(spark, 3, at(2), SUCCESS),
                     run(spark, 4, at(5), SUCCESS, table="other")])
-    assert ingest.watermark(ledger, spec()).first()[:] == (2, at(2))
+    assert ingest.watermark(ledger, spec(), by="run_start").first()[:] == (2, at(2))
     source = spark.createDataFrame([(1, at(2)), (2, at(2, 1))], "id int, lastmodifieddate timestamp_ntz")
     assert [r.id for r in ingest.since(source, "lastmodifieddate", at(2)).collect()] == [2]
     assert ingest.watermark(ledger, spec(source_table="none")).first()[:] == (0, None)
     assert ingest.since(source, "lastmodifieddate", None).count() == 2
 
 
-def test_watermark_prefers_source_time(spark):
+def test_watermark_is_a_source_time_or_nothing(spark):
     ledger = union([run(spark, 1, at(1), SUCCESS), run(spark, 2, at(9), SUCCESS, watermark=at(4))])
     assert ingest.watermark(ledger, spec()).first()[1] == at(4)
     assert ingest.watermark(ledger, spec(), by="run_start").first()[1] == at(9)
+    assert ingest.watermark(run(spark, 1, at(1), SUCCESS), spec()).first()[:] == (1, None)
     with pytest.raises(ValueError):
         ingest.watermark(ledger, spec(), by="clock")
 
 
+def test_watermarks_of_equal_names_on_two_servers(spark):
+    def row(server, hour):
+        given = spec(source_server=server)
+        result = RunResult("order_details", "bz_orderdetails", SUCCESS, run_id=1, watermark=at(hour))
+        return ledger_row(spark, given, result, at(0), at(0), at(0))
+    found = ingest.all_watermarks(union([row("a", 1), row("b", 9)]))
+    assert sorted((r.source_server_name, r.watermark) for r in found.collect()) == [("a", at(1)), ("b", at(9))]
+
+
 def test_next_run_id(spark):
     ledger = union([run(spark, 4, at(1), SUCCESS), run(spark, 9, at(0, 30), FAILED)])
     assert ingest.next_run_id(ledger).first()[0] == 5
@@ -92,14 +102,14 @@ def test_full_then_incremental_then_empty(spark, lake):
     first, = lake.run(lake.spec())
     assert (first.status, first.run_id, first.source_rows, first.target_rows) == (SUCCESS, 1, 2, 2)
     assert first.watermark == at(2)
-    lake.add((3, at(2)), (4, at(3)))
+    lake.add((3, at(2)), (4, at(3)))  # row 3 is committed late, with the last stamp of the first load
     second, = lake.run(lake.spec())
-    assert (second.run_id, second.source_rows, second.target_rows, second.watermark) == (2, 1, 1, at(3))
+    assert (second.run_id, second.source_rows, second.target_rows, second.watermark) == (2, 2, 2, at(3))
     third, = lake.run(lake.spec())
     assert (third.status, third.source_rows, third.target_rows, third.watermark) == (SUCCESS, 0, 0, at(3))
     bronze = spark.read.parquet(lake.bronze)
-    assert sorted(r.id for r in bronze.collect()) == [1, 2, 4]
-    assert bronze.columns == ["id", "insert_date", "update_date"]
+    assert sorted(r.id for r in bronze.collect()) == [1, 2, 3, 4]
+    assert bronze.columns == ["id", "source_modified", "insert_date", "update_date", "load_id"]
     assert bronze.select("insert_date").distinct().count() == 2
     ledger = spark.read.parquet(lake.ledger)
     assert ledger.columns == INGESTION_HISTORY.fieldNames()
@@ -123,7 +133,7 @@ def test_written_load_counts_as_done_if_only_the_count_fails(lake):
     lake.add((1, at(1)))
 
     class Uncounted(IngestSpec):
-        def read_target(self, session):
+        def read_target(self, session, schema):
             raise ConnectionError("no answer")
 
     given = lake.spec()
@@ -131,13 +141,68 @@ def test_written_load_counts_as_done_if_only_the_count_fails(lake):
     assert (result.status, result.error, result.source_rows, result.target_rows) == (SUCCESS, "no answer", 1, None)
 
 
-def test_capped_load_keeps_the_watermark(spark, lake):
-    lake.add((1, at(3)), (2, at(1)), (3, at(2)))
-    capped, = lake.run(lake.spec(max_rows=2, order_by=["id"]))
-    assert (capped.source_rows, capped.watermark) == (2, None)
-    assert sorted(r.id for r in spark.read.parquet(lake.bronze).collect()) == [1, 2]
-    refused, = lake.run(lake.spec(max_rows=2))
-    assert refused.status == FAILED and "order_by" in refused.error
+def loaded(spark, lake):
+    return sorted(r.id for r in spark.read.parquet(lake.bronze).collect())
+
+
+def test_nothing_is_skipped_after_a_load_without_change_times(spark, lake):
+    spark.createDataFrame([], "id int, lastmodifieddate timestamp_ntz").write.parquet(lake.source)
+    first, = lake.run(lake.spec())  # starts at 00:01
+    assert (first.status, first.source_rows, first.watermark) == (SUCCESS, 0, None)
+    lake.add((1, datetime(2020, 1, 1)), (2, None))  # stamped long before the empty load
+    lake.run(lake.spec())
+    assert loaded(spark, lake) == [1, 2]
+
+
+def test_rows_without_a_change_time_are_loaded_once(spark, lake):
+    lake.add((1, None), (1, None))
+    lake.run(lake.spec())
+    lake.add((2, None), (1, None))
+    for _ in range(2):
+        lake.run(lake.spec())
+        assert loaded(spark, lake) == [1, 1, 1, 2]
+    lake.add((3, at(1)), (4, None))
+    lake.run(lake.spec())
+    lake.add((5, None), (6, at(1)))
+    lake.run(lake.spec())
+    assert loaded(spark, lake) == [1, 1, 1, 2, 3, 4, 5, 6]
+
+
+def test_window_ends_at_the_sources_clock_less_a_lag(spark, lake):
+    lake.add((1, at(1)), (2, at(2)), (3, at(3)))
+    given = {"clock": lambda s: at(3), "lag": timedelta(minutes=30)}
+    first, = lake.run(lake.spec(**given))
+    assert loaded(spark, lake) == [1, 2] and first.watermark == at(2, 30)
+    lake.add((4, at(2, 45)), (5, at(2, 30)))  # committed late, within the lag
+    second, = lake.run(lake.spec(clock=lambda s: at(5)))
+    assert loaded(spark, lake) == [1, 2, 3, 4, 5] and second.watermark == at(5)
+    back, = lake.run(lake.spec(clock=lambda s: at(4)))  # a clock that goes back moves nothing
+    assert (back.source_rows, back.watermark) == (0, at(5))
+
+
+def test_rows_changed_while_a_split_read_runs_are_read_next_time(spark, lake):
+    """The upper bound is fixed before the read, so what changes meanwhile lies above it."""
+    lake.add((1, at(1)))
+    reads = []
+
+    def source(session):
+        reads.append(1)
+        if len(reads) == 2:  # the bound is known, the read begins
+            lake.add((2, at(2)), (3, at(4)))
+        return session.read.parquet(lake.source)
+
+    lake.run(lake.spec(source=source))
+    assert loaded(spark, lake) == [1]
+    lake.run(lake.spec())
+    assert loaded(spark, lake) == [1, 2, 3]
+
+
+def test_only_one_load_is_counted(spark, lake):
+    lake.add((1, at(1)))
+    result, = lake.run(lake.spec())
+    assert result.target_rows == 1
+    plan = ingest.loaded(spark.read.parquet(lake.bronze), at(0, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_id" in plan
 
 
 def test_run_start_watermark_reads_rows_stamped_after_the_start_again(lake):

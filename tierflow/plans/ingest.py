@@ -5,10 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from tierflow.functions.predicates import moment
 from tierflow.schemas import INGESTION_HISTORY
@@ -17,6 +18,12 @@ log = logging.getLogger(__name__)
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
+# Columns that bronze has besides those of the source: the load a row came with, by which the
+# table is partitioned, and the change time it was read with.
+LOAD_COL, TICK_COL = "load_id", "source_modified"
+IDENTITY = ["source_server_name", "source_database_name", "source_schema_name", "source_table_name",
+            "target_database_name", "target_schema_name", "target_table_name"]
+
 
 @dataclass(frozen=True)
 class IngestSpec:
@@ -24,7 +31,11 @@ class IngestSpec:
 
     ``source`` gives the source as a DataFrame; filters on it reach the reader. The target is
     written and read in ``target_format`` with ``target_options``, at the path ``target`` if the
-    format has one. Subclasses may replace ``write`` and ``read_target``.
+    format has one, partitioned by load. Subclasses may replace ``write`` and ``read_target``.
+
+    ``clock`` asks the source for its time, and ``lag`` is how long a change may be stamped before
+    it can be read: a load reads up to that time less the lag. Without a clock a load reads up to
+    the highest change time, which it has to look up first.
     """
 
     source_table: str
@@ -38,17 +49,22 @@ class IngestSpec:
     target_schema: str = ""
     modified_col: str = "lastmodifieddate"
     watermark_by: str = "source_max"
-    max_rows: int | None = None
-    order_by: Sequence[str] = ()
+    clock: Callable[[SparkSession], datetime] | None = None
+    lag: timedelta = timedelta(0)
     triggered_by: str = ""
     target_format: str = "parquet"
     target_options: dict[str, str] = field(default_factory=dict)
 
     def write(self, rows: DataFrame) -> None:
-        rows.write.format(self.target_format).options(**self.target_options).mode("append").save(self.target or None)
+        writer = rows.write.format(self.target_format).options(**self.target_options).mode("append")
+        if self.target:
+            writer = writer.partitionBy(LOAD_COL)
+        writer.save(self.target or None)
 
-    def read_target(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format(self.target_format).options(**self.target_options).load(self.target or None)
+    def read_target(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        reader = spark.read.format(self.target_format).options(**self.target_options)
+        # a folder without files has no schema of its own
+        return reader.schema(schema).load(self.target) if self.target else reader.load()
 
 
 def history_for(ledger: DataFrame, spec: IngestSpec) -> DataFrame:
@@ -69,20 +85,20 @@ def _watermark_col(by: str) -> Column:
     if by == "run_start":
         return F.max("run_start")
     if by == "source_max":
-        # Ledger rows without a source time of their own fall back to their start time.
-        return F.max(F.coalesce("watermark", "run_start"))
+        return F.max("watermark")
     raise ValueError(f"watermark must be source_max or run_start, not {by!r}")
 
 
 def watermark(ledger: DataFrame, spec: IngestSpec, by: str | None = None) -> DataFrame:
-    """One row ``(runs, watermark)``; no runs and NULL if the table was never loaded."""
+    """One row ``(runs, watermark)``; NULL if no run has seen a change time yet."""
     return history_for(ledger, spec).agg(
         F.count(F.lit(1)).alias("runs"), _watermark_col(by or spec.watermark_by).alias("watermark"))
 
 
 def all_watermarks(ledger: DataFrame, by: str = "source_max") -> DataFrame:
-    """The watermarks of all source and target tables in one pass over the ledger."""
-    return ledger.where(F.col("status") == SUCCESS).groupBy("source_table_name", "target_table_name").agg(
+    """The watermarks of all pairs of source and target, as servers, databases and schemas tell
+    them apart, in one pass over the ledger."""
+    return ledger.where(F.col("status") == SUCCESS).groupBy(*IDENTITY).agg(
         F.count(F.lit(1)).alias("runs"), _watermark_col(by).alias("watermark"))
 
 
@@ -104,20 +120,70 @@ def add_load_columns(rows: DataFrame, run_ts: datetime | str | Column) -> DataFr
 
 
 def bronze_rows(source: DataFrame, modified_col: str, after: datetime | str | Column | None,
-                run_ts: datetime | str | Column, max_rows: int | None = None,
-                order_by: Sequence[str] = (), seen: Observation | None = None) -> DataFrame:
-    """The rows one run adds to bronze: filtered, optionally capped, without the change time, stamped.
+                run_ts: datetime | str | Column) -> DataFrame:
+    """Rows modified after ``after`` as bronze rows: without the change time, stamped."""
+    return add_load_columns(since(source, modified_col, after).drop(modified_col), run_ts)
+
+
+@dataclass(frozen=True)
+class Window:
+    """What one load reads: change times above ``low`` up to ``high``, both fixed before the read.
+
+    ``low`` is None before a change time was seen: everything up to ``high`` is read.
+    """
+
+    runs: int
+    low: datetime | None
+    high: datetime | None
+
+
+def window(spark: SparkSession, ledger: DataFrame, spec: IngestSpec) -> Window:
+    """The next window of a source, from its ledger and the source's clock or highest change time."""
+    runs, low = watermark(ledger, spec).first()
+    if spec.watermark_by == "run_start":
+        return Window(runs, low, None)
+    if spec.clock:
+        high = spec.clock(spark) - spec.lag
+    else:
+        high = since(spec.source(spark), spec.modified_col, low).agg(F.max(spec.modified_col)).first()[0]
+    return Window(runs, low, low if high is None or (low is not None and high < low) else high)
+
 
-    ``seen`` observes their number and highest change time while they are written.
+def fresh_rows(source: DataFrame, modified_col: str, span: Window, loaded: DataFrame | None) -> DataFrame:
+    """The rows of a window that bronze does not have yet.
+
+    Rows stamped ``low`` may have been committed after the load that read up to it, and rows
+    without a change time belong to no window. Both are read by every load, and those that the
+    earlier loads (``loaded``) hold are left out, copy for copy. All other rows are new.
     """
-    rows = since(source, modified_col, after)
-    if max_rows is not None:
-        if not order_by:
-            raise ValueError("a capped load needs order_by, or any rows could be taken")
-        rows = rows.orderBy(*order_by).limit(max_rows)
-    if seen is not None:
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(modified_col).alias("newest"))
-    return add_load_columns(rows.drop(modified_col), run_ts)
+    stamp = F.col(modified_col)
+    if span.low is None:
+        within = stamp.isNull() if span.high is None else stamp.isNull() | (stamp <= moment(span.high))
+        rows = source.where(within)
+        return rows if loaded is None else _without(rows, loaded, modified_col, F.lit(True))
+    newer = source.where((stamp > moment(span.low)) & (stamp <= moment(span.high)))
+    seen = (F.col(modified_col) == moment(span.low)) | F.col(modified_col).isNull()
+    return newer.unionByName(_without(source.where(seen), loaded, modified_col, seen))
+
+
+def _without(rows: DataFrame, loaded: DataFrame, modified_col: str, which: Column) -> DataFrame:
+    held = loaded.select(*[F.col(TICK_COL if c == modified_col else c).alias(c) for c in rows.columns]).where(which)
+    return rows.exceptAll(held)
+
+
+def bronze_schema(source: StructType, modified_col: str) -> StructType:
+    fields = [StructField(TICK_COL if f.name == modified_col else f.name, f.dataType) for f in source.fields]
+    stamps = [StructField(name, TimestampNTZType()) for name in ("insert_date", "update_date")]
+    return StructType([*fields, *stamps, StructField(LOAD_COL, StringType())])
+
+
+def load_id(run_ts: datetime) -> str:
+    return run_ts.strftime("%Y%m%dT%H%M%S%f")
+
+
+def loaded(target: DataFrame, run_ts: datetime) -> DataFrame:
+    """The rows of one load; no other partition is read."""
+    return target.where(F.col(LOAD_COL) == load_id(run_ts))
 
 
 def reconcile(source: DataFrame, target: DataFrame, loaded_since: datetime | str | Column,
@@ -158,21 +224,26 @@ def ledger_row(spark: SparkSession, spec: IngestSpec, result: RunResult, run_sta
     return spark.createDataFrame([tuple(values[f.name] for f in INGESTION_HISTORY.fields)], INGESTION_HISTORY)
 
 
-def _load(spark: SparkSession, ledger: DataFrame, spec: IngestSpec, run_ts: datetime, result: RunResult) -> None:
-    """One load. Row count and highest change time are observed by the write itself."""
-    runs, after = watermark(ledger, spec).first()
-    log.info("%s: %s load", spec.source_table, "incremental" if runs else "full")
-    result.watermark = after
+def _load(spark: SparkSession, ledger: DataFrame, spec: IngestSpec, run_ts: datetime, result: RunResult) -> StructType:
+    """One load; the schema of bronze. Its row count is observed by the write itself."""
+    span = window(spark, ledger, spec)
+    log.info("%s: %s load", spec.source_table, "full" if span.low is None else "incremental")
+    result.watermark = span.low
+    source = spec.source(spark)
+    schema = bronze_schema(source.schema, spec.modified_col)
+    if spec.watermark_by == "run_start":
+        rows = since(source, spec.modified_col, span.low)
+    else:
+        rows = fresh_rows(source, spec.modified_col, span, spec.read_target(spark, schema) if span.runs else None)
+        result.watermark = span.high
     seen = Observation()
-    spec.write(bronze_rows(spec.source(spark), spec.modified_col, after, run_ts, spec.max_rows, spec.order_by, seen))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(spec.modified_col).alias("newest"))
+    rows = add_load_columns(rows.withColumnRenamed(spec.modified_col, TICK_COL), run_ts)
+    spec.write(rows.withColumn(LOAD_COL, F.lit(load_id(run_ts))))
     result.source_rows = seen.get["rows"]
-    # A capped load has not read everything up to its newest row: the watermark stays.
-    if spec.max_rows is None and seen.get["newest"] is not None:
+    if spec.watermark_by == "run_start" and seen.get["newest"] is not None:
         result.watermark = seen.get["newest"]
-
-
-def _loaded_rows(spark: SparkSession, spec: IngestSpec, run_ts: datetime) -> int:
-    return spec.read_target(spark).where(F.col("insert_date") >= moment(run_ts)).count()
+    return schema
 
 
 def run_ingest(spark: SparkSession, specs: Sequence[IngestSpec], read_ledger: Callable[[SparkSession], DataFrame],
@@ -182,21 +253,21 @@ def run_ingest(spark: SparkSession, specs: Sequence[IngestSpec], read_ledger: Ca
 
     A failure is recorded and the next table is loaded; nothing stops the caller's session.
     A load that was written counts as done: if only the count of the target fails, the row says
-    SUCCESS, with the message and no target count. An increment without rows is a success too
-    and keeps the watermark.
+    SUCCESS, with the message and no target count. An increment without rows is a success too.
+    Two loads of one table may not run at once.
     """
     results = []
     for spec in specs:
         run_start = now()
         result = RunResult(spec.source_table, spec.target_table, SUCCESS)
         try:
-            _load(spark, read_ledger(spark), spec, run_start, result)
+            schema = _load(spark, read_ledger(spark), spec, run_start, result)
         except Exception as failure:  # the ledger has to record any cause
             log.exception("load of %s failed", spec.source_table)
             result.status, result.error = FAILED, str(failure)
         else:
             try:
-                result.target_rows = _loaded_rows(spark, spec, run_start)
+                result.target_rows = loaded(spec.read_target(spark, schema), run_start).count()
             except Exception as failure:
                 log.exception("count of %s failed", spec.target_table)
                 result.error = str(failure)

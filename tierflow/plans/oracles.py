@@ -197,14 +197,28 @@ WHERE CASE WHEN t.invoice_no IS NULL THEN s._action = 'INSERT' AND NOT s._is_upd
            ELSE s._action IS NULL OR NOT ({deletes}) END"""
 
 
-LEDGER = """
+def other(every: int, usual: str, name: str) -> str:
+    return f"CASE WHEN o_orderkey % {every} = 0 THEN '{usual}_b' ELSE '{usual}' END AS {name}"
+
+
+IDENTITY = ("source_server_name, source_database_name, source_schema_name, source_table_name, "
+            "target_database_name, target_schema_name, target_table_name")
+LEDGER = f"""
 ledger AS (
   SELECT o_orderkey AS run_id, o_orderdate - INTERVAL 1200 DAY AS run_start,
+         {other(7, "oltp", "source_server_name")}, {other(11, "sales", "source_database_name")},
+         {other(13, "dbo", "source_schema_name")}, {other(17, "lake", "target_database_name")},
+         {other(19, "bronze", "target_schema_name")},
          'orders_' || CAST(o_custkey % 10 AS VARCHAR) AS source_table_name,
-         'bz_orders_' || CAST(o_custkey % 10 AS VARCHAR) AS target_table_name,
-         CASE WHEN o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM orders)"""
-
-MARK = "(SELECT MAX(run_start) FROM ledger WHERE status = 'SUCCESS' AND source_table_name = 'orders_3')"
+         CASE WHEN o_orderkey % 23 = 0 THEN 'bz_other' ELSE 'bz_orders_' || CAST(o_custkey % 10 AS VARCHAR) END AS target_table_name,
+         CASE WHEN o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+         CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 > 0 THEN o_orderdate - INTERVAL 1201 DAY END AS watermark FROM orders)"""
+ORDERS_3 = """source_server_name = 'oltp' AND source_database_name = 'sales' AND source_schema_name = 'dbo'
+  AND source_table_name = 'orders_3' AND target_database_name = 'lake' AND target_schema_name = 'bronze'
+  AND target_table_name = 'bz_orders_3' AND status = 'SUCCESS'"""
+
+MARK = f"(SELECT MAX(run_start) FROM ledger WHERE {ORDERS_3})"
+SOURCE_MARK = f"(SELECT MAX(watermark) FROM ledger WHERE {ORDERS_3})"
 ORDERS_KEPT = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
 NEXT_ID = "(SELECT MAX(run_id) + 1 FROM ledger WHERE run_start = (SELECT MAX(run_start) FROM ledger))"
 
@@ -218,27 +232,21 @@ def ledger_run(run_id: str, start: int, status: str, error: str, source_rows: st
     def at(seconds: int) -> str:
         return f"{RUN} + INTERVAL {seconds} SECOND"
     return f"""SELECT CAST({run_id} AS BIGINT), {at(start)}, {at(start + 90)}, 90.0, 'oltp', 'sales', 'dbo', 'orders_3',
-       'lake', 'bronze', 'bz_orders_3', 'tests', '{status}', '{error}', {source_rows}, {target_rows},
+       'lake', 'bronze', 'bz_orders_3', FALSE, 'tests', '{status}', '{error}', {source_rows}, {target_rows},
        {at(start + 180)}, 'tests', {at(start + 180)}, 'tests', {mark}"""
 
 
-LEDGER_APPEND = f"""{with_(LEDGER)}, fresh AS (SELECT * FROM orders WHERE o_orderdate > {MARK})
-SELECT o_orderkey AS run_id, o_orderdate - INTERVAL 1200 DAY AS run_start, o_orderdate - INTERVAL 1200 DAY AS run_end,
-       CAST(0 AS DOUBLE) AS duration, 'oltp' AS source_server_name, 'sales' AS source_database_name,
-       'dbo' AS source_schema_name, 'orders_' || CAST(o_custkey % 10 AS VARCHAR) AS source_table_name,
-       'lake' AS target_database_name, 'bronze' AS target_schema_name,
-       'bz_orders_' || CAST(o_custkey % 10 AS VARCHAR) AS target_table_name, 'tests' AS triggered_by,
-       CASE WHEN o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status, '' AS error,
+LEDGER_APPEND = f"""{with_(LEDGER)}, fresh AS (SELECT * FROM orders WHERE o_orderdate > {SOURCE_MARK})
+SELECT run_id, run_start, run_start AS run_end, CAST(0 AS DOUBLE) AS duration, {IDENTITY}, FALSE AS snowflake_flag,
+       'tests' AS triggered_by, status, '' AS error,
        CAST(NULL AS BIGINT) AS source_nbr_of_records, CAST(NULL AS BIGINT) AS target_nbr_of_records,
-       o_orderdate - INTERVAL 1200 DAY AS created_date, CAST(NULL AS VARCHAR) AS created_by,
-       o_orderdate - INTERVAL 1200 DAY AS modified_date, CAST(NULL AS VARCHAR) AS modified_by,
-       CAST(NULL AS TIMESTAMP) AS watermark FROM orders
+       run_start AS created_date, CAST(NULL AS VARCHAR) AS created_by,
+       run_start AS modified_date, CAST(NULL AS VARCHAR) AS modified_by, watermark FROM ledger
 UNION ALL
 {ledger_run(NEXT_ID, 0, "SUCCESS", "", "(SELECT COUNT(*) FROM fresh)", "(SELECT COUNT(*) FROM fresh)",
             "(SELECT MAX(o_orderdate) FROM fresh)")}
 UNION ALL
-{ledger_run(f"{NEXT_ID} + 1", 270, "FAILED", "source is down", "NULL", "NULL",
-            "(SELECT MAX(o_orderdate) FROM fresh)")}"""
+{ledger_run(f"{NEXT_ID} + 1", 270, "FAILED", "source is down", "NULL", "NULL", "NULL")}"""
 
 ORACLES: dict[str, str] = {
     "silver_orders": """
@@ -293,20 +301,25 @@ SELECT ROW_NUMBER() OVER (ORDER BY p_partkey) AS gl_product_id, printf('%012d',
        p_name AS product_vertical, CAST(p_size AS VARCHAR) AS product_mvertical,
        {RUN} AS start_date, CAST(NULL AS TIMESTAMP) AS end_date, 'Y' AS active_flag FROM part""",
     "history_watermark": f"""{with_(LEDGER)}
-SELECT COUNT(*) AS runs, MAX(run_start) AS watermark FROM ledger
-WHERE status = 'SUCCESS' AND source_table_name = 'orders_3'""",
+SELECT COUNT(*) AS runs, MAX(watermark) AS watermark FROM ledger WHERE {ORDERS_3}""",
     "history_watermark_all": f"""{with_(LEDGER)}
-SELECT source_table_name, target_table_name, COUNT(*) AS runs, MAX(run_start) AS watermark
-FROM ledger WHERE status = 'SUCCESS' GROUP BY ALL""",
+SELECT {IDENTITY}, COUNT(*) AS runs, MAX(watermark) AS watermark FROM ledger WHERE status = 'SUCCESS' GROUP BY ALL""",
     "next_run_id": f"{with_(LEDGER)} SELECT {NEXT_ID} AS run_id",
     "bronze_full_load": f"SELECT {ORDERS_KEPT}, {RUN} AS insert_date, {RUN} AS update_date FROM orders",
     "bronze_incremental": f"""{with_(LEDGER)}
 SELECT {ORDERS_KEPT}, {RUN} AS insert_date, {RUN} AS update_date FROM orders WHERE o_orderdate > {MARK}""",
-    "bronze_capped": f"""
-SELECT {ORDERS_KEPT}, {RUN} AS insert_date, {RUN} AS update_date
-FROM (SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 3)""",
     "reconcile_counts": """
-SELECT COUNT(*) AS source_rows, COUNT(*) AS target_rows, TRUE AS agree FROM orders WHERE o_orderstatus <> 'P'""",
+WITH n AS (SELECT COUNT(*) AS everything, COUNT(*) FILTER (o_orderstatus <> 'P') AS kept FROM orders)
+SELECT kept AS source_rows, kept AS target_rows, TRUE AS agree FROM n
+UNION ALL SELECT everything, kept, everything = kept FROM n
+UNION ALL SELECT everything, everything + kept, kept = 0 FROM n""",
+    "ingest_after_empty_load": f"""
+SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS source_modified,
+       {RUN} + INTERVAL 270 SECOND AS insert_date FROM orders""",
+    "ingest_boundary_rows": f"""
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate AS source_modified,
+       CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' OR (o_orderdate = TIMESTAMP '1998-01-01' AND o_orderstatus <> 'O') THEN {RUN}
+            ELSE {RUN} + INTERVAL 270 SECOND END AS insert_date FROM orders""",
     "ledger_append": LEDGER_APPEND,
     "line_token_count": """
 SELECT array_to_string(string_split_regex(text, '\\s'), chr(1)) AS word, COUNT(*) AS n

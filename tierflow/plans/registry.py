@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tierflow.operators.enrich import enrich_star
 from tierflow.operators.keys import assign_surrogate_keys
 from tierflow.plans import gold, ingest, sample, silver
 from tierflow.plans.partitions import publish_touched, stage_touched
-from tierflow.schemas import CUSTOMER_REVIEWS, PEOPLE
+from tierflow.schemas import CUSTOMER_REVIEWS, INGESTION_HISTORY, PEOPLE, empty_table
 from tierflow.session import scratch_path
 from tierflow.sources.streams import csv_stream, line_stream, parquet_stream
 from tierflow.sources.tables import read_table, spread, stage
@@ -241,19 +242,30 @@ def bronze_incremental(spark, sf_dir):
     return ingest.bronze_rows(sample.table(spark, sf_dir, "orders"), "o_orderdate", mark, sample.RUN)
 
 
-@query
-def bronze_capped(spark, sf_dir):
-    """The optional row cap: the three oldest orders."""
-    return ingest.bronze_rows(sample.table(spark, sf_dir, "orders"), "o_orderdate", None, sample.RUN,
-                              max_rows=3, order_by=["o_orderdate", "o_orderkey"])
-
-
 @query
 def reconcile_counts(spark, sf_dir):
+    """Counts of a load that is complete, and of one that lost the orders of status 'P'."""
     orders = sample.table(spark, sf_dir, "orders")
-    bronze = ingest.bronze_rows(orders.where("o_orderstatus <> 'P'"), "o_orderdate", None, sample.RUN).unionByName(
-        ingest.bronze_rows(orders.where("o_orderstatus = 'P'"), "o_orderdate", None, sample.FIRST_LOAD))
-    return ingest.reconcile(orders.where("o_orderstatus <> 'P'"), bronze, sample.RUN)
+
+    def stamped(rows: DataFrame, at: str) -> DataFrame:
+        return ingest.bronze_rows(rows, "o_orderdate", None, at)
+
+    bronze = stamped(orders, sample.FIRST_LOAD).unionByName(stamped(orders.where("o_orderstatus <> 'P'"), sample.RUN))
+    complete = ingest.reconcile(orders.where("o_orderstatus <> 'P'"), bronze, sample.RUN)
+    return complete.unionByName(ingest.reconcile(orders, bronze, sample.RUN)).unionByName(
+        ingest.reconcile(orders, bronze, sample.FIRST_LOAD))
+
+
+def _clock():
+    """A clock that starts at the run's time and goes on 90 seconds at each look."""
+    ticks = count()
+    return lambda: datetime.fromisoformat(sample.RUN) + timedelta(seconds=90 * next(ticks))
+
+
+def _run_loads(spark, history: str, loads: list[ingest.IngestSpec], now) -> list[ingest.RunResult]:
+    return ingest.run_ingest(
+        spark, loads, read_ledger=lambda session: session.read.schema(INGESTION_HISTORY).parquet(history),
+        append_ledger=lambda row: row.write.mode("append").parquet(history), now=now)
 
 
 @query
@@ -261,19 +273,46 @@ def ledger_append(spark, sf_dir):
     """Two runs on the ledger: one loads the orders after its watermark, one fails at its source."""
     history, bronze = scratch_path(spark, "ledger"), scratch_path(spark, "bronze")
     sample.ledger(spark, sf_dir).write.parquet(history)
-    clock = iter([datetime.fromisoformat(sample.RUN) + timedelta(seconds=90 * i) for i in range(6)])
+    mark = ingest.watermark(sample.ledger(spark, sf_dir), _orders_spec()).select("watermark").scalar()
+    orders = sample.table(spark, sf_dir, "orders")
+    ingest.add_load_columns(orders.where(F.col("o_orderdate") <= mark).withColumnRenamed("o_orderdate", ingest.TICK_COL),
+                            sample.FIRST_LOAD).withColumn(ingest.LOAD_COL, F.lit("first")).write.partitionBy(
+        ingest.LOAD_COL).parquet(bronze)
 
     def broken(session: SparkSession) -> DataFrame:
         raise ConnectionError("source is down")
 
-    specs = [
+    _run_loads(spark, history, [
         _orders_spec(source=lambda session: sample.table(session, sf_dir, "orders"), target=bronze),
         _orders_spec(source=broken, target=bronze),
-    ]
-    ingest.run_ingest(
-        spark, specs, read_ledger=lambda session: session.read.parquet(history),
-        append_ledger=lambda row: row.write.mode("append").parquet(history), now=lambda: next(clock))
-    return spark.read.parquet(history).drop("snowflake_flag")
+    ], _clock())
+    return spark.read.schema(INGESTION_HISTORY).parquet(history)
+
+
+def _bronze_of(spark, sources: list) -> DataFrame:
+    """Bronze after one load of each state of the source."""
+    history, bronze, now = scratch_path(spark, "ledger"), scratch_path(spark, "bronze"), _clock()
+    empty_table(spark, INGESTION_HISTORY).write.parquet(history)
+    for source in sources:
+        _run_loads(spark, history, [_orders_spec(source=lambda session, rows=source: rows, target=bronze)], now)
+    return spark.read.parquet(bronze).select("o_orderkey", "o_custkey", "o_totalprice", ingest.TICK_COL, "insert_date")
+
+
+@query
+def ingest_after_empty_load(spark, sf_dir):
+    """A first load that finds nothing, and one that finds all orders, some of them without a time."""
+    orders = sample.table(spark, sf_dir, "orders").withColumn(
+        "o_orderdate", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate")))
+    return _bronze_of(spark, [orders.where("false"), orders])
+
+
+@query
+def ingest_boundary_rows(spark, sf_dir):
+    """Orders of the last day of the first load that are committed after it, and later ones."""
+    orders = sample.table(spark, sf_dir, "orders")
+    day = "TIMESTAMP_NTZ '1998-01-01 00:00:00'"
+    first = orders.where(f"o_orderdate < {day} OR (o_orderdate = {day} AND o_orderstatus <> 'O')")
+    return _bronze_of(spark, [first, orders, orders])
 
 
 # Token counts

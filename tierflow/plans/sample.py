@@ -5,7 +5,7 @@ Every frame here covers whole tables. Change batches are told apart by business
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,17 +180,28 @@ def fact2_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The orders read as runs, one table per last digit of the customer; 1200 days earlier."""
+    """The orders read as runs, one table per last digit of the customer; 1200 days earlier.
+
+    Some runs belong to another server, database, schema or target; some have seen no change time.
+    """
     start = F.col("o_orderdate") - F.expr("INTERVAL '1200' DAY")
     status = F.when(F.col("o_orderstatus") == "F", "SUCCESS").otherwise("FAILED")
+
+    def other(every: int, usual: str) -> Column:
+        name = F.concat(F.lit(usual), F.lit("_b"))
+        return F.when(F.col("o_orderkey") % every == 0, name).otherwise(F.lit(usual))
+
     known = {
         "run_id": F.col("o_orderkey"), "run_start": start, "run_end": start, "duration": F.lit(0.0),
-        "source_server_name": F.lit("oltp"), "source_database_name": F.lit("sales"),
-        "source_schema_name": F.lit("dbo"), "target_database_name": F.lit("lake"),
-        "target_schema_name": F.lit("bronze"), "snowflake_flag": F.lit(False), "status": status,
+        "source_server_name": other(7, "oltp"), "source_database_name": other(11, "sales"),
+        "source_schema_name": other(13, "dbo"), "target_database_name": other(17, "lake"),
+        "target_schema_name": other(19, "bronze"), "snowflake_flag": F.lit(False), "status": status,
         "source_table_name": F.concat(F.lit("orders_"), (F.col("o_custkey") % 10).cast("string")),
-        "target_table_name": F.concat(F.lit("bz_orders_"), (F.col("o_custkey") % 10).cast("string")),
+        "target_table_name": F.when(F.col("o_orderkey") % 23 == 0, "bz_other").otherwise(
+            F.concat(F.lit("bz_orders_"), (F.col("o_custkey") % 10).cast("string"))),
         "triggered_by": F.lit("tests"), "error": F.lit(""), "created_date": start, "modified_date": start,
+        "watermark": F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 5 > 0),
+                            start - F.expr("INTERVAL '1' DAY")),
     }
     return table(spark, sf_dir, "orders").select(*[
         known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INGESTION_HISTORY.fields])

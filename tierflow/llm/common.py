@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,49 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+ODD = 0x9E3779B97F4A7C15
+
+
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as many as needed."""
+
+    up = down = np.ones(1, np.uint64)
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = max(n, 2 * len(cls.up), 1 << 16)
+            inverse = pow(ODD, -1, 1 << 64)
+            factors = np.full((2, size), [[ODD], [inverse]], np.uint64)
+            factors[:, 0] = 1
+            cls.up, cls.down = np.cumprod(factors, axis=1, dtype=np.uint64)
+        return cls.up, cls.down
+
+
+def running_hash(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(total, down): ``(total[b] - total[a]) * down[a]`` depends on the bytes from a to b only."""
+    up, down = Powers.of(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], dtype=np.uint64, out=total[1:])
+    return total, down
+
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, *range(9, 14)]] = True
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and how many words each text has."""
+    raw = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)  # a space before and after each
+    space = _IS_SPACE[raw]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, end = edges[::2], edges[1::2]
+    total, down = running_hash(raw)
+    hashes = mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    text_ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    return hashes, np.diff(np.searchsorted(start, text_ends, side="right"), prepend=0)
+
+
 def packed(values: np.ndarray) -> bytes:
     """Compressed, with equal bytes of all values side by side."""
     return zlib.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
@@ -63,36 +107,85 @@ def blocks_for(rows: int, per_block: int) -> int:
     return max(1, -(-rows // per_block))
 
 
+def slices(batches: Iterator, size: int = 1_000_000) -> Iterator[tuple[list, list[str | None]]]:
+    """Ids and texts of Arrow batches, in portions of about ``size`` characters or one text."""
+    for batch in batches:
+        ids, texts, held = [], [], 0
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                if held and held + len(text or "") > size:
+                    yield ids, texts
+                    ids, texts, held = [], [], 0
+                ids.append(doc_id)
+                texts.append(text)
+                held += len(text or "")
+        if ids:
+            yield ids, texts
+
+
+def parts(batches: Iterator, rows: int = 256) -> Iterator:
+    """Arrow batches in portions of some rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def arrow(frame: pd.DataFrame, schema: str):
+    """A frame as an Arrow batch of the columns of a schema string, null where it has none."""
+    import pyarrow as pa
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+             "array<int>": pa.list_(pa.int32()), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [pa.field(c.split(" ")[0], kinds[c.split(" ")[1]]) for c in schema.split(", ")]
+    columns = [pa.array(frame[f.name], f.type, from_pandas=True) if f.name in frame else pa.nulls(len(frame), f.type) for f in fields]
+    return pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
+
+
 BLOOM_BITS = 1 << 25
 
 
-def _bloom_bits(key: str | Column) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(BLOOM_BITS)) for k in range(3)]
+def _bloom_bits(values: np.ndarray) -> list[np.ndarray]:
+    first = mixed(values.astype(np.int64).view(np.uint64) + np.uint64(ODD))
+    return [((first >> np.uint64(shift)) % np.uint64(BLOOM_BITS)).astype(np.int64) for shift in (0, 19, 39)]
 
 
 def bloom(ids: DataFrame, key: str) -> np.ndarray:
-    """A Bloom filter of a column in ``BLOOM_BITS`` bits (4 MB), built in the cluster.
+    """A Bloom filter of a column of numbers in ``BLOOM_BITS`` bits (4 MB), built in the cluster.
 
     Its size is fixed: with more ids it lets more rows pass, never fewer than it must.
     """
-    words = (ids.select(F.explode(F.array(*_bloom_bits(key))).alias("bit"))
-             .groupBy((F.col("bit") / 32).cast("int").alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 as int))")).alias("bits")).toPandas())
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros(BLOOM_BITS // 32, np.uint32)
+        for batch in batches:
+            for bit in _bloom_bits(batch[key].to_numpy()):
+                np.bitwise_or.at(held, bit >> 5, np.uint32(1) << (bit & 31).astype(np.uint32))
+        word = np.flatnonzero(held)
+        yield pd.DataFrame({"word": word, "bits": held[word].astype(np.int64)})
+
+    words = (ids.select(F.col(key).cast("long").alias(key)).where(F.col(key).isNotNull()).mapInPandas(rows, "word int, bits long")
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas())
     out = np.zeros(BLOOM_BITS // 32, np.uint32)
     out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
     return out
 
 
+def maybe_held(held: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold each value."""
+    hit = np.ones(len(values), bool)
+    for bit in _bloom_bits(values):
+        hit &= (held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
+    return hit
+
+
 def in_bloom(held: np.ndarray, key: str | Column) -> Column:
-    """Whether the filter may hold the key; Python sees numbers only."""
-    def test(*columns: pd.Series) -> pd.Series:
-        hit = np.ones(len(columns[0]), bool)
-        for c in columns:
-            bit = c.to_numpy(np.int64)
-            hit &= (held[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
-        return pd.Series(hit)
-
-    return F.pandas_udf(test, "boolean")(*_bloom_bits(key))
+    """``maybe_held`` of a column; null for null."""
+    def test(values: pd.Series) -> pd.Series:
+        known = values.notna()
+        out = pd.Series([None] * len(values), index=values.index, dtype="object")
+        out[known] = maybe_held(held, values[known].to_numpy(np.int64))
+        return out
+
+    return F.pandas_udf(test, "boolean")(key)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -34,35 +34,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import as_bytes, blocks_for, bloom, in_bloom, mixed, written
+from tierflow.llm.common import arrow, as_bytes, blocks_for, bloom, maybe_held, mixed, running_hash, slices, written
 
 LENGTH = 200
-GRAM = 24
+GRAM = 64
+SEARCHED_BYTES = 128_000
 WINDOW = LENGTH - GRAM + 1  # grams in a string
-ODD = 0x9E3779B97F4A7C15
 
 PLACES = "uid long, anchor array<long>, context array<long>, lo array<long>, at array<int>, span array<int>"
-CONTEXTS = "anchor long, context long, part long, first int, last int, held long, bytes binary"
+CONTEXTS = "anchor long, context long, part long, first int, last int, bytes binary"
+CONTEXT_NAMES = ["anchor", "context", "part", "first", "last", "bytes"]
 FOUND = "anchor long, context long, first int, last int"
+TEXTS = "doc_id long, uid long, n_bytes long, raw binary, whole string"
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2^64, as many as needed."""
-
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            size = max(n, 2 * len(cls.up), 1 << 16)
-            inverse = pow(ODD, -1, 1 << 64)
-            factors = np.full((2, size), [[ODD], [inverse]], np.uint64)
-            factors[:, 0] = 1
-            cls.up, cls.down = np.cumprod(factors, axis=1, dtype=np.uint64)
-        return cls.up, cls.down
-
-
 def uid_of(doc_id: int | None, raw: bytes) -> int:
     """Identifies an id with its text; only rows that are equal share it."""
     return xxhash.xxh3_64_intdigest(raw, seed=xxhash.xxh3_64_intdigest(str(doc_id))) - (1 << 63)
@@ -80,8 +66,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def anchors(raw: bytes) -> tuple[np.ndarray, ...]:
     """(anchor hash, context hash, first string, place of the anchor in it, further strings) by place."""
     text = np.frombuffer(raw, np.uint8)
-    up, down = Powers.of(len(text) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[:len(text)], dtype=np.uint64)])
+    total, down = running_hash(text)
     n = len(text) - GRAM + 1
     hashes = mixed((total[GRAM:] - total[:n]) * down[:n])
     place = (sliding_min((hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64), WINDOW)
@@ -93,94 +78,103 @@ def anchors(raw: bytes) -> tuple[np.ndarray, ...]:
     return hashes[at], context, lo, at - lo, hi - lo
 
 
-def find_places(docs: DataFrame) -> DataFrame:
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                raw = as_bytes(text if isinstance(text, str) else None)
-                if len(raw) >= LENGTH:
-                    anchor, context, lo, at, span = anchors(raw)
-                    out.append((uid_of(_id(doc_id), raw), anchor.view(np.int64), context.view(np.int64), lo,
-                                at.astype(np.int32), span.astype(np.int32)))
-            yield pd.DataFrame(out, columns=["uid", "anchor", "context", "lo", "at", "span"])
-
-    return docs.mapInPandas(rows, PLACES)
-
-
-def _id(doc_id: float | int | None) -> int | None:
-    return None if doc_id is None or doc_id != doc_id else int(doc_id)
+def identified(batches) -> Iterator[tuple[list, np.ndarray, list[bytes]]]:
+    """Ids, uids and bytes of texts, in portions."""
+    for ids, texts in slices(batches):
+        raw = [as_bytes(t) for t in texts]
+        yield ids, np.array([uid_of(d, r) for d, r in zip(ids, raw, strict=True)], np.int64), raw
 
 
-def with_uid(docs: DataFrame) -> DataFrame:
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [as_bytes(t if isinstance(t, str) else None) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "raw": raw,
-                                "uid": [uid_of(_id(d), r) for d, r in zip(batch["doc_id"], raw, strict=True)]})
+def find_places(docs: DataFrame) -> DataFrame:
+    def rows(batches):
+        for _, uids, raw in identified(batches):
+            out = []
+            for uid, text in zip(uids, raw, strict=True):
+                if len(text) >= LENGTH:
+                    anchor, context, lo, at, span = anchors(text)
+                    out.append((uid, anchor.view(np.int64), context.view(np.int64), lo, at.astype(np.int32), span.astype(np.int32)))
+            if out:
+                yield arrow(pd.DataFrame(out, columns=["uid", "anchor", "context", "lo", "at", "span"]), PLACES)
 
-    return docs.mapInPandas(rows, "doc_id long, raw binary, uid long")
+    return docs.mapInArrow(rows, PLACES)
 
 
 def contexts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of one place of each wanted context."""
-    held = bloom(wanted.select("uid").distinct(), "uid")
+    held = bloom(wanted.select("uid"), "uid")
 
-    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                raw = as_bytes(text if isinstance(text, str) else None)
-                if len(raw) >= LENGTH:
-                    out.append((uid_of(_id(doc_id), raw), raw))
-            uids = pd.Series([u for u, _ in out], dtype="int64")
-            yield pd.DataFrame({"uid": uids, "raw": [r for _, r in out]})
+    def texts(batches):
+        for _, uids, raw in identified(batches):
+            hit = np.flatnonzero(maybe_held(held, uids) & (np.array([len(r) for r in raw]) >= LENGTH))
+            if len(hit):
+                yield arrow(pd.DataFrame({"uid": uids[hit], "raw": [raw[k] for k in hit]}), "uid long, raw binary")
 
-    some = docs.mapInPandas(texts, "uid long, raw binary").where(in_bloom(held, "uid"))
-    places = wanted.groupBy("uid").agg(F.collect_list(F.struct("anchor", "context", "lo", "at", "span", "held")).alias("places"))
+    columns = ("anchor", "context", "lo", "at", "span")
+    places = wanted.groupBy("uid").agg(F.collect_list(F.struct(*columns)).alias("p")).select(
+        "uid", *[F.col(f"p.{c}").alias(c) for c in columns])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in CONTEXTS.split(", ")]
         for batch in batches:
             out = []
-            for raw, found in zip(batch["raw"], batch["places"], strict=True):
-                for p in found:
-                    out.append((p["anchor"], p["context"], p["anchor"], -p["at"], p["span"] - p["at"], p["held"],
-                                raw[p["lo"]:p["lo"] + p["span"] + LENGTH]))
-            yield pd.DataFrame(out, columns=names)
+            for raw, *found in zip(batch["raw"], *[batch[c] for c in columns], strict=True):
+                for anchor, context, lo, at, span in zip(*[x.tolist() for x in found], strict=True):
+                    out.append((anchor, context, anchor, -at, span - at, raw[lo:lo + span + LENGTH]))
+            yield pd.DataFrame(out, columns=CONTEXT_NAMES)
 
     # equal rows share a uid, so a context may come more than once
-    return (some.join(places, "uid").select("raw", "places").mapInPandas(cut, CONTEXTS)
-            .groupBy("anchor", "context").agg(*[F.min(c).alias(c) for c in ("part", "first", "last", "held", "bytes")])
-            .select(*[c.split()[0] for c in CONTEXTS.split(", ")]))
+    return (docs.mapInArrow(texts, "uid long, raw binary").join(places, "uid").select("raw", *columns).mapInPandas(cut, CONTEXTS)
+            .groupBy("anchor", "context").agg(*[F.min(c).alias(c) for c in ("part", "first", "last", "bytes")]))
 
 
-def halves(crowded: DataFrame) -> DataFrame:
-    """Each context's strings in two halves, grouped anew by the bytes that all of a half share.
+def halved(context: tuple, low: int, high: int) -> Iterator[tuple]:
+    """A context's strings in two halves, with parts told by the bytes that all of a half share.
 
     ``first`` and ``last`` count strings from the anchor: string s starts s bytes after it. All
     strings from a to b share the bytes from b up to a + LENGTH, which any context with a string
-    from a to b has.
+    from a to b has. Gives contexts followed by the bounds of their half.
     """
+    anchor, name, part, first, last, raw = context
+    middle = (low + high) // 2
+    for a, b in ((low, middle), (middle + 1, high)):
+        start, end = max(a, first), min(b, last)
+        if start <= end:
+            seed = (part ^ (a * 1000003)) & 0xFFFFFFFFFFFFFFFF
+            shared = xxhash.xxh3_64_intdigest(raw[b - first:a + LENGTH - first], seed=seed) - (1 << 63)
+            yield anchor, name, shared, start, end, raw[start - first:end - first + LENGTH], a, b
+
+
+def halves(crowded: DataFrame) -> DataFrame:
+    """All contexts of crowds in halves."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in CONTEXTS.split(", ")] + ["low", "high"]
         for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                middle = (r.low + r.high) // 2
-                for low, high in ((r.low, middle), (middle + 1, r.high)):
-                    first, last = max(low, r.first), min(high, r.last)
-                    if low > high or first > last:
-                        continue
-                    core = r.bytes[high - r.first:low + LENGTH - r.first]
-                    part = xxhash.xxh3_64_intdigest(core, seed=(r.part ^ low * 1000003) & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
-                    raw = r.bytes[first - r.first:last - r.first + LENGTH]
-                    out.append((r.anchor, r.context, part, first, last, r.held, raw, low, high))
-            yield pd.DataFrame(out, columns=names)
+            yield pd.DataFrame([half for r in batch[[*CONTEXT_NAMES, "low", "high"]].itertuples(index=False)
+                                for half in halved(tuple(r[:6]), r.low, r.high)], columns=[*CONTEXT_NAMES, "low", "high"])
 
     return crowded.mapInPandas(rows, CONTEXTS + ", low int, high int")
 
 
+def refined(contexts: list[tuple], rounds: int = 3) -> tuple[list[tuple], list[tuple]]:
+    """(runs found, contexts left) after halving the contexts of a task.
+
+    A half that shares its bytes with no other is done, so is one that occurs twice as a whole:
+    of that, one copy stays for the others to be compared with.
+    """
+    found, bounded = [], [(*c, 1 - WINDOW, 0) for c in contexts]
+    for _ in range(rounds):
+        parts: dict[int, dict[tuple, list[tuple]]] = {}
+        for c in bounded:
+            for half in halved(c[:6], *c[6:]):
+                parts.setdefault(half[2], {}).setdefault(half[3:6], []).append(half)
+        bounded = []
+        for contents in parts.values():
+            for copies in contents.values():
+                if len(copies) > 1:
+                    found += [(c[0], c[1], c[3], c[4]) for c in copies]
+                if len(contents) > 1:
+                    bounded.append(copies[0])
+    return found, [c[:6] for c in bounded]
+
+
 def suffix_order(text: np.ndarray, alphabet: int) -> np.ndarray:
     """Rank of every suffix; prefixes of doubling length, only what is not yet unique is sorted."""
     n, step = len(text), 4 if alphabet < 50_000 else 2  # as many characters as fit a number
@@ -188,15 +182,16 @@ def suffix_order(text: np.ndarray, alphabet: int) -> np.ndarray:
     key = padded[:n]
     for k in range(1, step):
         key = key * alphabet + padded[k:n + k]
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    order = np.argsort(key)
+    sorted_key = key[order]
+    new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     open_ = order[~(new & np.append(new[1:], True))]
     while len(open_):
         ahead = open_ + step
         key = rank[open_] * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         at, key = open_[by], key[by]
         group = rank[at]
         fresh = np.concatenate([[True], group[1:] != group[:-1]])
@@ -228,10 +223,11 @@ def repeated_starts(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray
     suffix = np.empty(n, np.int64)
     suffix[rank] = np.arange(n)
     before = text[suffix - 1]  # the transform; the row of the whole text has the last end, which is unique
-    order = np.argsort(before, kind="stable")
-    same = before[order][1:] == before[order][:-1]
-    left, right = order[:-1][same], order[1:][same]
-    target = rank[suffix[right] - 1]
+    order = np.argsort(before * n + np.arange(n))
+    sorted_before = before[order]
+    same = sorted_before[1:] == sorted_before[:-1]
+    left, right = order[:-1][same].astype(np.int32), order[1:][same].astype(np.int32)
+    target = rank[suffix[right] - 1].astype(np.int32)
     first = text[suffix]
     known = np.concatenate([[True], first[1:] != first[:-1]])
     for _ in range(1, length):
@@ -256,11 +252,18 @@ def expand(contexts: DataFrame, task_bytes: int) -> DataFrame:
     tasks = blocks_for(size, task_bytes)
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for r, found in zip(rows.itertuples(index=False), repeated_starts(list(rows["bytes"])), strict=True):
-            edges = np.flatnonzero(np.diff(found, prepend=False, append=False))
-            out += [(r.anchor, r.context, r.first + a, r.first + b - 1)
-                    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+        out, left = refined(list(rows[CONTEXT_NAMES].itertuples(index=False, name=None)))
+        left.sort(key=lambda c: (c[2], c[0], c[1], c[3]))
+        # equal strings are in one part: parts are searched together up to some bytes that stay in cache
+        batch, size = [], 0
+        for k, c in enumerate(left):
+            batch.append(c)
+            size += len(c[5])
+            if k + 1 == len(left) or size > SEARCHED_BYTES and left[k + 1][2] != c[2]:
+                for (anchor, name, _, first, _, _), twice in zip(batch, repeated_starts([c[5] for c in batch]), strict=True):
+                    edges = np.flatnonzero(np.diff(twice, prepend=False, append=False))
+                    out += [(anchor, name, first + a, first + b - 1) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+                batch, size = [], 0
         return pd.DataFrame(out, columns=["anchor", "context", "first", "last"])
 
     return (contexts.withColumn("task", F.pmod(F.xxhash64("part"), F.lit(tasks)))
@@ -322,33 +325,31 @@ def cut_out(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Removes the spans. Only texts that may have some are shuffled to the join."""
     held = bloom(spans.select("uid"), "uid")
 
-    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            hit = b["hit"].to_numpy(bool)
-            yield pd.DataFrame({
-                "doc_id": b["doc_id"].astype("Int64"), "uid": b["uid"], "n_bytes": [len(r) for r in b["raw"]],
-                "raw": [r if h else None for r, h in zip(b["raw"], hit, strict=True)],
-                "whole": [None if h else hashlib.sha256(r).hexdigest() for r, h in zip(b["raw"], hit, strict=True)]})
-
-    texts = (with_uid(docs).withColumn("hit", in_bloom(held, "uid"))
-             .mapInPandas(rest, "doc_id long, uid long, n_bytes long, raw binary, whole string"))
+    def texts(batches):
+        for ids, uids, raw in identified(batches):
+            hit = maybe_held(held, uids)
+            yield arrow(pd.DataFrame({
+                "doc_id": pd.array(ids, "Int64"), "uid": uids, "n_bytes": [len(r) for r in raw],
+                "raw": [r if h else None for r, h in zip(raw, hit, strict=True)],
+                "whole": [None if h else hashlib.sha256(r).hexdigest() for r, h in zip(raw, hit, strict=True)]}), TEXTS)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in REMOVED.split(", ")]
         for b in batches:
             out = []
-            for doc_id, n, raw, whole, found in zip(b["doc_id"], b["n_bytes"], b["raw"], b["whole"], b["spans"], strict=True):
+            for doc_id, n, raw, whole, start, end in zip(*[b[c] for c in ("doc_id", "n_bytes", "raw", "whole", "start", "end")], strict=True):
                 if raw is None:
                     out.append((doc_id, n, 0, 0, whole))
                     continue
                 edge = np.zeros(n + 1, np.int64)
-                for p in (found if found is not None else ()):
-                    edge[p["start"]] += 1
-                    edge[p["end"]] -= 1
+                if start is not None:
+                    np.add.at(edge, start, 1)
+                    np.add.at(edge, end, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 runs = int((np.diff(gone, prepend=False) & gone).sum())
                 out.append((doc_id, n, int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    return texts.join(spans, "uid", "left").select("doc_id", "n_bytes", "raw", "whole", "spans").mapInPandas(rows, REMOVED)
+    return (docs.mapInArrow(texts, TEXTS).join(spans.select("uid", "spans.start", "spans.end"), "uid", "left")
+            .select("doc_id", "n_bytes", "raw", "whole", "start", "end").mapInPandas(rows, REMOVED))

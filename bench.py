@@ -48,10 +48,11 @@ def cdc_apply(spark: SparkSession, sf_dir: str) -> Timed:
     return lambda: silver.silver_apply(before, feed)
 
 
-def fact(how: str, with_employee: bool = False, plant_per_supplier: bool = False) -> Callable[..., Timed]:
+def fact(how: str, with_employee: bool = False, plants: int = 1) -> Callable[..., Timed]:
     def prepare(spark: SparkSession, sf_dir: str) -> Timed:
         orders = stage(sample.order_rows(spark, sf_dir), scratch_path(spark, "orders"))
-        return lambda: enrich_star(orders, sample.dims(spark, sf_dir, plant_per_supplier), how, with_employee)
+        dims = sample.dims(spark, sf_dir, plants)
+        return lambda: enrich_star(orders, dims, how, with_employee)
     return prepare
 
 
@@ -66,7 +67,7 @@ def registered(name: str) -> Callable[[SparkSession, str], Timed]:
 
 HEADLINE = {
     "silver_dedupe": silver_dedupe, "fact_full_load": fact("left"),
-    "fact_full_load_fanout": fact("left", plant_per_supplier=True), "fact_inner_employee": fact("inner", True),
+    "fact_full_load_fanout": fact("left", plants=3), "fact_inner_employee": fact("inner", True),
     "scd1_merge": scd1_merge, "scd2_merge": scd2_merge, "snapshot_diff": snapshot_diff,
     "cdc_apply": cdc_apply,
     **{name: registered(name) for name in (

@@ -77,6 +77,36 @@ def test_a_chain_of_near_copies_is_one_component(spark):
     assert {r.doc_id: r.component_id for r in out} == expected
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_crowds_are_searched_in_blocks(spark, monkeypatch, seed):
+    """Big families of near copies, most of which are not linked to their first text."""
+    monkeypatch.setattr(jj, "CROWD", 3)
+    monkeypatch.setattr(jj, "BLOCK", 4)
+    rng = random.Random(seed)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}w{k}" for k in range(120)]
+        for _ in range(25):
+            words = list(base)
+            for _ in range(rng.randrange(0, 6)):
+                words[rng.randrange(len(words))] = f"x{rng.random()}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(200 + k, rows[k][1]) for k in range(0, 60, 7)]
+    expected, _ = brute(rows)
+    out = jj.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == expected and len(set(expected.values())) > 4
+
+
+def test_divide_skip():
+    rng = random.Random(6)
+    for _ in range(300):
+        lists = [sorted(rng.sample(range(40), rng.randrange(1, 40))) for _ in range(rng.randrange(1, 12))]
+        least = rng.randrange(1, 9)
+        members, counts = jj.divide_skip([np.array(x) for x in lists], least)
+        total = [sum(m in x for x in lists) for m in range(40)]
+        assert dict(zip(members.tolist(), counts.tolist(), strict=True)) == {m: c for m, c in enumerate(total) if c >= least}
+
+
 def test_shared_prefix_bound():
     """Linked sets share at least k entries of their prefixes, less what both skip."""
     rng = random.Random(3)
@@ -138,7 +168,15 @@ def test_components_of_random_graphs(spark):
 
 
 def test_grams_of_words():
-    known = jj.WordHashes()
-    assert len(jj.grams("a b c d a b c d", 4, known)) == 4
-    assert np.array_equal(jj.grams("A B c d", 4, known), jj.grams("a b C D", 4, known))
-    assert not np.array_equal(jj.grams("a b d c", 4, known), jj.grams("a b c d", 4, known))
+    def one(text, n=4):
+        return jj.grams([b"x y", text.encode().lower(), b"", b"a"], n)[1].tolist()
+    assert len(one("a b c d a b c d")) == 4
+    assert one("A B c d") == one("a\tb C\n D") != one("a b d c")
+    assert one("a b") == one(" a  b ") != one("b a") and len(one("a b")) == 1 and one(" \n") == []
+    assert one("é b c") != one("e b c") and one("ab c") != one("a bc")
+
+
+def test_hashes_do_not_depend_on_the_neighbours():
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["a", "bb", "é", "c" * 300]) for _ in range(rng.randrange(0, 9))).encode() for _ in range(200)]
+    assert [g.tolist() for g in jj.grams(texts, 3)] == [jj.grams([t], 3)[0].tolist() for t in texts]

@@ -1,5 +1,6 @@
 """The versioned fact on disk, and the star lookup on random tables."""
 
+import glob
 import random
 
 import duckdb
@@ -30,33 +31,97 @@ def state(spark, table):
         "invoice_no", "customer_id", "quantity", "active_flag", "closed_run").collect())
 
 
-def test_runs_close_and_open_versions(spark, tmp_path):
-    table, staging = str(tmp_path / "fact"), str(tmp_path / "staging")
-    gold.scd2_create(gold.first_versions(fact_rows(spark, ("A", 1, 1, 5), ("B", 1, 1, 5)), FIRST), table)
-    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 1, 6), ("C", 1, 1, 5)), SECOND, f"{staging}/1")
+@pytest.fixture
+def fact(spark, tmp_path):
+    def made(*data):
+        table = str(tmp_path / "fact")
+        gold.scd2_create(gold.first_versions(fact_rows(spark, *data), FIRST), table)
+        return table
+    return made
+
+
+def load(spark, table, run_id, *data, **options):
+    gold.scd2_stage(spark, table, fact_rows(spark, *data), SECOND, run_id, **options)
+    gold.scd2_publish(spark, table, run_id)
+
+
+def test_runs_close_and_open_versions(spark, fact):
+    table = fact(("A", 1, 1, 5), ("B", 1, 1, 5))
+    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 1, 6), ("C", 1, 1, 5)), SECOND, 1)
     assert state(spark, table) == [("A", 1, 5, "Y", 0), ("B", 1, 5, "Y", 0)]
-    wanted = [("A", 1, 5, "N", 1), ("A", 1, 6, "Y", 0), ("B", 1, 5, "Y", 0), ("C", 1, 5, "Y", 0)]
-    for _ in range(2):  # publishing again changes nothing
-        gold.scd2_publish(spark, f"{staging}/1", table, 1)
-        assert state(spark, table) == wanted
-    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 1, 7)), SECOND, f"{staging}/2")
-    gold.scd2_publish(spark, f"{staging}/2", table, 2)
+    gold.scd2_publish(spark, table, 1)
+    assert state(spark, table) == [("A", 1, 5, "N", 1), ("A", 1, 6, "Y", 0), ("B", 1, 5, "Y", 0), ("C", 1, 5, "Y", 0)]
+    load(spark, table, 2, ("A", 1, 1, 7))
     assert state(spark, table) == sorted(
         [("A", 1, 5, "N", 1), ("A", 1, 6, "N", 2), ("A", 1, 7, "Y", 0), ("B", 1, 5, "Y", 0), ("C", 1, 5, "Y", 0)])
 
 
-def test_a_run_may_leave_no_open_row(spark, tmp_path):
-    table, staging = str(tmp_path / "fact"), str(tmp_path / "staging")
-    gold.scd2_create(gold.first_versions(fact_rows(spark, ("A", 1, 1, 5)), FIRST), table)
+def test_a_run_that_is_done_is_refused(spark, fact):
+    table = fact(("A", 1, 1, 5))
+    load(spark, table, 1, ("A", 1, 1, 6))
+    before = state(spark, table)
+    with pytest.raises(ValueError, match="is done"):
+        gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 1, 6)), SECOND, 1)
+    with pytest.raises(ValueError, match="is done"):
+        gold.scd2_publish(spark, table, 1)
+    assert state(spark, table) == before == [("A", 1, 5, "N", 1), ("A", 1, 6, "Y", 0)]
+
+
+def test_a_publish_that_was_killed_is_repeated(spark, fact, monkeypatch):
+    """Killed between its two writes: no other run may be staged, the repeat completes it."""
+    table = fact(("A", 1, 1, 5), ("B", 1, 1, 5))
+    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 1, 6)), SECOND, 1)
+    with monkeypatch.context() as patch:
+        patch.setattr(gold, "publish_touched", lambda *given: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            gold.scd2_publish(spark, table, 1)
+    with pytest.raises(RuntimeError, match="run 1"):
+        gold.scd2_stage(spark, table, fact_rows(spark, ("B", 1, 1, 9)), SECOND, 2)
+    gold.scd2_stage(spark, table, fact_rows(spark, ("Z", 1, 1, 9)), SECOND, 1)  # staged already: stays as it is
+    gold.scd2_publish(spark, table, 1)
+    load(spark, table, 2, ("B", 1, 1, 9))
+    assert state(spark, table) == [("A", 1, 5, "N", 1), ("A", 1, 6, "Y", 0), ("B", 1, 5, "N", 2), ("B", 1, 9, "Y", 0)]
+
+
+def test_only_touched_months_are_rewritten(spark, fact):
+    table = fact(("A", 1, 1, 5))
+    other = gold.first_versions(fact_rows(spark, ("B", 1, 1, 5)).withColumn("invoice_date", F.lit("2021-05-01").cast("date")), FIRST)
+    gold.scd2_create(gold.first_versions(fact_rows(spark, ("A", 1, 1, 5)), FIRST).unionByName(other), table)
+    kept = glob.glob(f"{table}/rows/invoice_month=202105/*.parquet")
+    load(spark, table, 1, ("A", 1, 1, 6))
+    assert kept and glob.glob(f"{table}/rows/invoice_month=202105/*.parquet") == kept
+    assert state(spark, table) == [("A", 1, 5, "N", 1), ("A", 1, 6, "Y", 0), ("B", 1, 5, "Y", 0)]
+
+
+def test_a_key_whose_versions_are_all_closed_is_not_started_again(spark, fact):
+    table = fact(("A", 1, 1, 5))
     # Literally taken, another customer closes the row without a successor.
-    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 2, 5)), SECOND, staging, compat=True)
-    gold.scd2_publish(spark, staging, table, 1)
+    load(spark, table, 1, ("A", 1, 2, 5), compat=True)
     assert state(spark, table) == [("A", 1, 5, "N", 1)]
-    gold.scd2_stage(spark, table, fact_rows(spark, ("A", 1, 3, 5)), SECOND, f"{staging}-2")
-    gold.scd2_publish(spark, f"{staging}-2", table, 2)
+    load(spark, table, 2, ("A", 1, 3, 5))
     assert state(spark, table) == [("A", 1, 5, "N", 1)]
 
 
+def test_product_versions_take_new_keys(spark):
+    names = "product_no string, type string, product_group_code string, rm_type string, product_vertical string, product_mvertical string"
+
+    def products(*data):
+        return spark.createDataFrame([(no, kind, "g", "r", "v", "m") for no, kind in data], names)
+
+    def merged(dim, *data):
+        return gold.dim_product_merge(dim, products(*data), SECOND)
+
+    def short(dim):
+        return sorted((int(r.gl_product_id), r.product_no, r.type, r.active_flag) for r in dim.collect())
+
+    dim = gold.dim_product_rows(products(("a", "x"), ("b", "x")), FIRST)
+    dim = merged(dim, ("b", "y"), ("c", "x"), ("a", "x"))
+    assert short(dim) == [(1, "a", "x", "Y"), (2, "b", "x", "N"), (3, "b", "y", "Y"), (4, "c", "x", "Y")]
+    assert short(merged(dim, ("b", "z"))) == [
+        (1, "a", "x", "Y"), (2, "b", "x", "N"), (3, "b", "y", "N"), (4, "c", "x", "Y"), (5, "b", "z", "Y")]
+    assert short(merged(dim)) == short(dim)
+
+
 def test_compat_lists():
     assert (len(gold.TRACKED), len(gold.COMPAT_CLOSE), len(gold.COMPAT_VERSION)) == (13, 12, 9)
 

@@ -8,7 +8,7 @@ from tierflow.functions.predicates import moment
 from tierflow.plans import ingest
 from tierflow.plans.ingest import FAILED, SUCCESS, IngestSpec, RunResult, ledger_row, run_ingest
 from tierflow.schemas import INGESTION_HISTORY, empty_table
-from tierflow.sources.tables import JdbcSplit, broadcastable, jdbc_options, read_jdbc, read_table, spread, stage
+from tierflow.sources.tables import JdbcSplit, jdbc_options, read_jdbc, read_table, stage
 
 DAY = datetime(2024, 6, 1)
 
@@ -282,7 +282,3 @@ def test_sources(spark, tmp_path):
     assert read_table(spark, "parquet", path=path).count() == 10
     staged.createOrReplaceTempView("ten")
     assert read_table(spark, "table", path="ten").count() == 10
-    assert broadcastable(staged) and not broadcastable(spark.range(10**8))
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 4
-    many = spark.range(10, numPartitions=9)
-    assert spread(many) is many

@@ -1,5 +1,7 @@
 """Merges on small tables with results worked out by hand."""
 
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -162,3 +164,43 @@ def test_row_changes(spark, rows):
     old = spark.createDataFrame([(1, 5), (2, None), (3, None)], "id int, v int")
     new = spark.createDataFrame([(1, 6), (2, None), (3, 1), (4, 1)], "id int, v int")
     assert rows(row_changes(old, new, ["id"], ["v"])) == [(1, 6), (3, 1)]
+
+
+def cdc_case(spark, *changes, **options):
+    table = spark.createDataFrame([("A", 1, 5), ("B", 1, 5), ("C", 1, 5)], "invoice_no string, product_id int, quantity int")
+    feed = spark.createDataFrame(list(changes), "invoice_no string, product_id int, quantity int, _action string, _is_update boolean")
+    return sorted(tuple(r) for r in cdc_apply(table, feed, KEYS, **options).collect())
+
+
+def test_a_key_deleted_and_added_again_stays(spark):
+    changes = [("A", 1, 5, "DELETE", False), ("A", 1, 5, "INSERT", False), ("B", 1, 5, "DELETE", False),
+               ("B", 1, 9, "INSERT", False), ("C", 1, 5, "DELETE", False), ("D", 1, 1, "DELETE", False), ("D", 1, 2, "INSERT", False)]
+    wanted = [("A", 1, 5), ("B", 1, 9), ("D", 1, 2)]
+    assert cdc_case(spark, *changes) == wanted
+    assert cdc_case(spark, *changes, upsert_on_insert=True) == wanted
+    # literally: true deletes do nothing, and inserts of known keys neither
+    assert cdc_case(spark, *changes, compat=True) == [("A", 1, 5), ("B", 1, 5), ("C", 1, 5), ("D", 1, 2)]
+
+
+def test_random_feeds_with_deletes_and_inserts_of_a_key(spark):
+    rng = random.Random(12)
+    for _ in range(6):
+        changes, expected = [], {"A": [5], "B": [5], "C": [5]}
+        for key in "ABCDE":
+            held = key in expected
+            deleted, inserts = rng.random() < 0.5, rng.choice([[], [7], [8, 9]])
+            changes += [(key, 1, 5, "DELETE", False)] * deleted + [(key, 1, q, "INSERT", False) for q in inserts]
+            if deleted:
+                expected.pop(key, None)
+            if inserts and (deleted or not held):
+                expected[key] = inserts
+        rng.shuffle(changes)
+        wanted = sorted((k, 1, q) for k, found in expected.items() for q in found)
+        if changes:
+            assert cdc_case(spark, *changes) == wanted
+
+
+def test_row_changes_refuse_repeated_keys(spark):
+    table = spark.createDataFrame([(None, 1, 5)] * 3, "invoice_no string, product_id int, quantity int")
+    with pytest.raises(PySparkException, match="several rows of one key"):
+        row_changes(table, table, KEYS, ["quantity"]).collect()

@@ -1,14 +1,14 @@
 """Merges that turn a table and a batch of changes into the next state of the table.
 
-Plan shape shared by the three merges: the table is left-joined to the batch, reduced to one
-row per key before it is shuffled, and batch rows whose key the table lacks are added by an
-anti join. Two joins instead of one full outer join, because
+Plan shape shared by the three merges: the table is left-joined to the batch, and batch rows whose
+key the table lacks are added by an anti join. Two joins instead of one full outer join, because
+Spark can broadcast the batch when it is small (then the table is not shuffled at all) and AQE
+can split a hot key of the table; neither works for a full outer join.
 
-* Spark can broadcast the batch when it is small (then the table is not shuffled at all) and
-  AQE can split a hot key of the table; neither works for a full outer join;
-* a hot key in the batch is collapsed by the partial aggregate before the shuffle.
-
-The batch is read more than once, so stage it (``sources.tables.stage``) if it is costly.
+A key may match a table row only once. Whether keys repeat is found out first, by a count over the
+keys of the batch alone; only if some do are they looked up in the table, where they fail the
+merge, and left out of the join. So merging starts a job, and rows of the batch are shuffled as
+they are. The batch is read more than once: stage it (``sources.tables.stage``).
 
 ``bucketed=True`` is for a table bucketed by the keys (``bucketBy``) that holds no NULL key.
 Keys are then compared with plain equality, and the table is joined bucket by bucket without
@@ -25,33 +25,38 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.predicates import changed, keys_equal, moment, no_null
 from tierflow.operators.dedupe import Order, dedupe_latest
-from tierflow.sources.tables import broadcastable
 
 
-def _one_per_key(batch: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """One row per key: the keys, ``_n`` batch rows, and the values of one of them in ``_row``."""
-    return batch.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.first(F.struct(*cols)).alias("_row"))
+def _repeated(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of several rows."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+
+
+def _fail(message: str, found: DataFrame) -> None:
+    """Fail if there is any row."""
+    found.select(F.raise_error(F.lit(message))).limit(1).collect()
 
 
-def _single_match(keys: Sequence[str]) -> Column:
-    """True, but fails the job if a table row was matched by several batch rows."""
-    message = F.lit(f"several source rows match one target row on {', '.join(keys)}")
-    return F.when(F.col("s._n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+def _matching(batch: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """The batch for a join to the table, marked ``_hit``; fails if the table holds a key of several rows."""
+    repeated = _repeated(batch, keys)
+    if not repeated.isEmpty():
+        equal = keys_equal("t", "s", keys, null_safe)
+        _fail(f"several source rows match one target row on {', '.join(keys)}",
+              target.select(*keys).alias("t").join(repeated.alias("s"), equal, "left_semi"))
+        batch = batch.alias("t").join(repeated.alias("s"), equal, "left_anti")
+    return batch.withColumn("_hit", F.lit(True))
 
 
-def _unmatched(batch: DataFrame, table_keys: DataFrame, keys: Sequence[str], bucketed: bool) -> DataFrame:
-    """Batch rows whose key the table does not hold (NULL keys match NULL).
+def _unmatched(batch: DataFrame, table_keys: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """Batch rows whose key the table does not hold.
 
-    The table's keys are made distinct before the shuffle. If the batch can be broadcast, they
-    are first cut down to those the batch has, so that a small batch shuffles nothing large.
+    The table's keys are first cut down to those the batch has and made distinct, so that a small
+    batch shuffles nothing large, and a hot key is one row.
     """
-    held = table_keys.select(*keys)
-    wanted = batch.select(*keys)
-    if broadcastable(wanted):
-        held = held.alias("t").join(wanted.alias("s"), keys_equal("t", "s", keys, not bucketed), "left_semi")
-    held = held.distinct()
-    return batch.alias("s").join(held.alias("t"), keys_equal("s", "t", keys, not bucketed), "left_anti")
+    held = table_keys.select(*keys).alias("t").join(
+        batch.select(*keys).alias("s"), keys_equal("t", "s", keys, null_safe), "left_semi").distinct()
+    return batch.alias("s").join(held.alias("t"), keys_equal("s", "t", keys, null_safe), "left_anti")
 
 
 def _like(df: DataFrame, table: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -78,18 +83,14 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     update_cols = list(update_cols or [c for c in target.columns if c not in keys])
     source = _like(source, target)
 
-    joined = (
-        target.alias("t")
-        .join(_one_per_key(source, keys, update_cols).alias("s"), keys_equal("t", "s", keys, not bucketed), "left")
-        .where(_single_match(keys))
-    )
-    hit = F.col("s._n").isNotNull()
+    joined = target.alias("t").join(
+        _matching(source, target, keys, not bucketed).alias("s"), keys_equal("t", "s", keys, not bucketed), "left")
+    hit = F.col("s._hit").isNotNull()
     updated = joined.select(*[
-        F.when(hit, F.col(f"s._row.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-        if c in update_cols else F.col(f"t.{c}")
+        F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in update_cols else F.col(f"t.{c}")
         for c in target.columns
     ])
-    return updated.unionByName(_unmatched(source, target, keys, bucketed))
+    return updated.unionByName(_unmatched(source, target, keys, not bucketed))
 
 
 # What becomes of a current row: it stays, it is closed, or a new version of it starts.
@@ -101,8 +102,8 @@ def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, key
                version_cols: Sequence[str] | None = None, bucketed: bool = False) -> DataFrame:
     """The rows that replace ``current``: open ones and, with flag 'N', those closed by this run.
 
-    ``current`` are the rows without an end date; ``known_keys`` the keys of all rows, closed
-    ones included. A current row is closed if a tracked column differs from the source row of
+    ``current`` are the rows without an end date; ``known_keys`` the keys of the closed rows. Only
+    batch rows without a current row are looked up there. A current row is closed if a tracked column differs from the source row of
     its key, and a new version starts if a column of ``version_cols`` (default: the same)
     differs. Keys never seen start a first version. NULL keys match nothing.
     """
@@ -111,11 +112,10 @@ def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, key
     now = moment(run_ts)
 
     values = [c for c in business if c not in keys]
-    once = _one_per_key(source.where(no_null(keys)), keys, values)
+    matching = _matching(source.where(no_null(keys)), current.where(no_null(keys)), keys, not bucketed)
     joined = (
-        current.alias("t").join(once.alias("s"), keys_equal("t", "s", keys, not bucketed), "left")
-        .where(_single_match(keys))
-        .select("t.*", F.col("s._row").alias("_row"))
+        current.alias("t").join(matching.alias("s"), keys_equal("t", "s", keys, not bucketed), "left")
+        .select("t.*", F.when(F.col("s._hit"), F.struct(*[F.col(f"s.{c}") for c in values])).alias("_row"))
     )
     hit = F.col("_row").isNotNull()
     closes = hit & changed("t", "_row", tracked_cols, null_safe)
@@ -136,8 +136,11 @@ def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, key
         F.when(fate == CLOSE, F.lit("N")).when(fate == START, F.lit("Y"))
         .otherwise(F.col("active_flag")).alias("active_flag"),
     )
-    # No NULL key is held in known_keys' share below, so NULL source keys count as unmatched.
-    first = _unmatched(source, known_keys.where(no_null(keys)), keys, bucketed).select(
+    # Without the tables' NULL keys, NULL source keys count as unmatched.
+    first = source
+    for held in (current, known_keys):
+        first = _unmatched(first, held.where(no_null(keys)), keys, not bucketed)
+    first = first.select(
         *business, now.alias("start_date"),
         F.lit(None).cast("timestamp_ntz").alias("end_date"), F.lit("Y").alias("active_flag"))
     return after.unionByName(first)
@@ -147,7 +150,7 @@ def scd2_parts(target: DataFrame, source: DataFrame, keys: Sequence[str], tracke
                run_ts: datetime | str | Column, null_safe: bool = True,
                version_cols: Sequence[str] | None = None, bucketed: bool = False) -> tuple[DataFrame, DataFrame]:
     """``scd2_merge`` without the rows closed earlier, as (open rows, rows closed now)."""
-    delta = scd2_delta(target.where("end_date IS NULL"), target, source, keys, tracked_cols, run_ts,
+    delta = scd2_delta(target.where("end_date IS NULL"), target.where("end_date IS NOT NULL"), source, keys, tracked_cols, run_ts,
                        null_safe, version_cols, bucketed)
     return delta.where("end_date IS NULL"), delta.where("end_date IS NOT NULL")
 
@@ -161,7 +164,7 @@ def scd2_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], tracke
     closed is not started again, and a key missing from the source is not closed. A current
     row matched by several source rows fails the job.
     """
-    delta = scd2_delta(target.where("end_date IS NULL"), target, source, keys, tracked_cols, run_ts,
+    delta = scd2_delta(target.where("end_date IS NULL"), target.where("end_date IS NOT NULL"), source, keys, tracked_cols, run_ts,
                        null_safe, version_cols, bucketed)
     return target.where("end_date IS NOT NULL").unionByName(_like(delta, target))
 
@@ -174,38 +177,29 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
     a changed one the pair DELETE/true (old values) and INSERT/true (new values). Keys are
     compared null-safe and have to be unique in each snapshot, else the job fails.
 
-    Both snapshots are read once and grouped together: one shuffle, no join, and copies of a
-    key are counted before the shuffle instead of being paired.
+    Repeated keys are found by a count over the keys alone; then each snapshot is shuffled once.
     """
     cols = list(cols or [c for c in new.columns if c not in keys])
-    sides = old.select(*keys, *cols, F.lit(False).alias("_new")).unionByName(
-        new.select(*keys, *cols, F.lit(True).alias("_new")))
-
-    def of(is_new: bool) -> list[Column]:
-        mine = F.col("_new") == F.lit(is_new)
-        name = "new" if is_new else "old"
-        return [F.count(F.when(mine, 1)).alias(f"_{name}_n"),
-                F.first(F.when(mine, F.struct(*cols)), ignorenulls=True).alias(f"_{name}")]
-
-    grouped = sides.groupBy(*keys).agg(*of(False), *of(True))
-    message = F.lit(f"a snapshot holds several rows of one key on {', '.join(keys)}")
-    unique = F.when((F.col("_old_n") > 1) | (F.col("_new_n") > 1), F.raise_error(message).cast("boolean"))
-    both = (F.col("_old_n") > 0) & (F.col("_new_n") > 0)
-    differs = both & ~F.col("_old").eqNullSafe(F.col("_new"))
+    for rows in (old, new):
+        _fail(f"a snapshot holds several rows of one key on {', '.join(keys)}", _repeated(rows, keys))
+    one, other = (rows.select(*keys, F.struct(*cols).alias("_row")) for rows in (old, new))
+    joined = one.alias("o").join(other.alias("n"), keys_equal("o", "n", keys), "full_outer").select(
+        *[F.when(F.col("n._row").isNotNull(), F.col(f"n.{k}")).otherwise(F.col(f"o.{k}")).alias(k) for k in keys],
+        F.col("o._row").alias("_old"), F.col("n._row").alias("_new"))
+    both = F.col("_old").isNotNull() & F.col("_new").isNotNull()
 
     def change(action: str, is_update: bool, values: str) -> Column:
         return F.struct(F.lit(action).alias("_action"), F.lit(is_update).alias("_is_update"),
                         F.col(values).alias("_values"))
 
     changes = (
-        F.when(differs, F.array(change("DELETE", True, "_old"), change("INSERT", True, "_new")))
-        .when(both, F.array())
-        .when(F.col("_old_n") > 0, F.array(change("DELETE", False, "_old")))
+        F.when(both & F.col("_old").eqNullSafe(F.col("_new")), F.array())
+        .when(both, F.array(change("DELETE", True, "_old"), change("INSERT", True, "_new")))
+        .when(F.col("_old").isNotNull(), F.array(change("DELETE", False, "_old")))
         .otherwise(F.array(change("INSERT", False, "_new")))
     )
     return (
-        grouped.where(unique.otherwise(F.lit(True)))
-        .withColumn("_change", F.explode(changes))
+        joined.withColumn("_change", F.explode(changes))
         .select(*keys, *[F.col(f"_change._values.{c}").alias(c) for c in cols],
                 F.col("_change._action").alias("_action"), F.col("_change._is_update").alias("_is_update"))
     )
@@ -230,8 +224,10 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     no           INSERT   false      row added
     ===========  =======  =========  =================================================
 
-    Nothing else has an effect. A target row for which several delete or update rows exist
-    fails the job.
+    Nothing else has an effect. A key with a true delete and an insert is one that was deleted and
+    added again: its old rows go, its inserts are added (``upsert_on_insert``: it is updated). In
+    ``compat`` inserts are matched against the table before the deletes. A target row for which
+    several delete or update rows exist fails the job.
     """
     cols = target.columns
     compare_cols = list(compare_cols or [c for c in cols if c not in keys])
@@ -243,26 +239,39 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     deletes = (F.col("_action") == "DELETE") & (F.col("_is_update") == F.lit(compat))
     updates = is_insert & (F.lit(True) if upsert_on_insert else F.col("_is_update"))
 
-    effective = changes.where(deletes | updates)
     others = [c for c in cols if c not in keys]
+    inserts = changes.where(is_insert & ~F.col("_is_update"))
+    deleted = changes.where(deletes)
+    effective = changes.where(deletes | updates)
+    if not compat and upsert_on_insert:
+        renewed = inserts.select(*keys).distinct()
+        effective = changes.where(updates).unionByName(
+            deleted.alias("t").join(renewed.alias("s"), keys_equal("t", "s", keys), "left_anti"))
     joined = (
         target.alias("t")
-        .join(_one_per_key(effective, keys, ["_action", *others]).alias("s"),
-              keys_equal("t", "s", keys, not bucketed), "left")
-        .where(_single_match(keys))
-        .select("t.*", F.col("s._row").alias("_row"))
-        .where("_row IS NULL OR _row._action <> 'DELETE'")
+        .join(_matching(effective, target, keys, not bucketed).alias("s"), keys_equal("t", "s", keys, not bucketed), "left")
+        .where("s._hit IS NULL OR s._action <> 'DELETE'")
     )
-    overwrite = F.col("_row").isNotNull() & changed("t", "_row", compare_cols)
-    kept = joined.alias("t").select(*[
-        F.when(overwrite, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) if c in others else F.col(c)
+    overwrite = F.col("s._hit").isNotNull() & changed("t", "s", compare_cols)
+    kept = joined.select(*[
+        F.when(overwrite, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in others else F.col(f"t.{c}")
         for c in cols])
-    added = _unmatched(changes.where(is_insert & ~F.col("_is_update")), target, keys, bucketed).select(*cols)
-    return kept.unionByName(added)
+    if compat or upsert_on_insert:
+        return kept.unionByName(_unmatched(inserts, target, keys, not bucketed).select(*cols))
+    gone = deleted.select(*keys).distinct()
+    again = inserts.alias("t").join(gone.alias("s"), keys_equal("t", "s", keys), "left_semi")
+    fresh = inserts.alias("t").join(gone.alias("s"), keys_equal("t", "s", keys), "left_anti")
+    return kept.unionByName(again.select(*cols)).unionByName(
+        _unmatched(fresh, target, keys, not bucketed).select(*cols))
 
 
 def row_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """New rows whose key exists in the old table with another value in ``cols`` (null-safe)."""
+    """New rows whose key exists in the old table with another value in ``cols`` (null-safe).
+
+    Keys have to be unique in both tables, else the job fails.
+    """
+    for rows in (old, new):
+        _fail(f"a table holds several rows of one key on {', '.join(keys)}", _repeated(rows, keys))
     return (
         new.alias("n").join(old.select(*keys, *cols).alias("o"), keys_equal("n", "o", keys))
         .where(changed("n", "o", cols)).select("n.*")

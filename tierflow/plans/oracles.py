@@ -33,7 +33,8 @@ sl_company AS (SELECT CAST(n_nationkey AS BIGINT) AS company_id, n_name AS compa
 sl_plant AS (
   SELECT CAST(n_regionkey * 100 + n_nationkey AS BIGINT) AS plant_id, n_name AS company_name FROM nation),
 sl_plant_wide AS (
-  SELECT s_suppkey AS plant_id, n_name AS company_name FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+  SELECT CAST(nth * 1000 + n_regionkey * 100 + n_nationkey AS BIGINT) AS plant_id, n_name AS company_name
+  FROM nation CROSS JOIN (VALUES (0), (1), (2)) AS v(nth)),
 sl_employee AS (SELECT CAST(n_nationkey AS VARCHAR) AS emp_no FROM nation)"""
 
 KEYED = f"""
@@ -132,6 +133,8 @@ fact_batch AS (
          qty_in_mt
   FROM fact_rows WHERE csp_yes_no <> 'A')"""
 
+FACT2_SINCE_2000 = FACT2_TABLES.replace("WHERE csp_yes_no <> 'A')", "WHERE csp_yes_no <> 'A' AND invoice_date >= DATE '2000-01-01')")
+
 TRACKED = ["customer_id", "company_id", "plant_id", "date_id", "employee_id", "invoice_date", "csp_yes_no", "type",
            "uom", "quantity", "kgs", "qty_in_nos", "qty_in_mt"]
 
@@ -222,6 +225,8 @@ SOURCE_MARK = f"(SELECT MAX(watermark) FROM ledger WHERE {ORDERS_3})"
 ORDERS_KEPT = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
 NEXT_ID = "(SELECT MAX(run_id) + 1 FROM ledger WHERE run_start = (SELECT MAX(run_start) FROM ledger))"
 
+PRODUCT = """printf('%012d', p_partkey) AS product_no, p_type AS type, CAST(p_partkey AS VARCHAR) AS product_group_code,
+         p_brand AS rm_type, p_name AS product_vertical, CAST(p_size AS VARCHAR) AS product_mvertical"""
 WORDS = "SELECT UNNEST(string_split_regex(text, '\\s')) AS word FROM conversations"
 PEOPLE = ("SELECT CAST(c_custkey AS INTEGER) AS userID, c_name AS name, CAST(c_nationkey * 3 AS INTEGER) AS age, "
           "CAST(FLOOR(c_acctbal) AS INTEGER) AS friends FROM customer")
@@ -278,10 +283,19 @@ SELECT *, CAST(YEAR(invoice_date) AS INTEGER) AS invoice_year FROM ({scd1('fact_
         f"{with_(ORDER_ROWS, DIMS, KEYED, FACT2_TABLES)} {scd2('fact_before', COMPAT_CLOSE, COMPAT_VERSION)}",
     "scd2_partitioned_load": f"""{with_(ORDER_ROWS, DIMS, KEYED, FACT2_TABLES)}
 SELECT *, CAST(CASE WHEN active_flag = 'N' THEN 1 ELSE 0 END AS BIGINT) AS closed_run
+FROM ({scd2('open_rows', NULL_SAFE, NULL_SAFE)})""",
+    "scd2_touched_load": f"""{with_(ORDER_ROWS, DIMS, KEYED, FACT2_SINCE_2000)}
+SELECT *, CAST(CASE WHEN active_flag = 'N' THEN 1 ELSE 0 END AS BIGINT) AS closed_run
+FROM ({scd2('open_rows', NULL_SAFE, NULL_SAFE)})""",
+    "scd2_rerun_load": f"""{with_(ORDER_ROWS, DIMS, KEYED, FACT2_TABLES)}
+SELECT *, CAST(CASE WHEN active_flag = 'Y' THEN 0 WHEN invoice_date < DATE '2000-01-01' THEN 1 ELSE 2 END AS BIGINT) AS closed_run
 FROM ({scd2('open_rows', NULL_SAFE, NULL_SAFE)})""",
     "snapshot_diff": f"{with_(ORDER_ROWS, KEYED, DIFF)} SELECT * FROM diff_rows",
     "cdc_apply": f"""{with_(ORDER_ROWS, KEYED, DIFF)},
 feed AS (SELECT * FROM diff_rows WHERE NOT (_action = 'DELETE' AND _is_update))
+{cdc('feed', "s._action = 'DELETE'", f"s._action = 'INSERT' AND s._is_update AND ({SILVER_DIFFERS})")}""",
+    "cdc_apply_reinsert": f"""{with_(ORDER_ROWS, KEYED, DIFF)},
+feed AS (SELECT * FROM diff_rows WHERE NOT (_action = 'DELETE' AND _is_update))
 {cdc('feed', "s._action = 'DELETE'", f"s._action = 'INSERT' AND s._is_update AND ({SILVER_DIFFERS})")}""",
     "cdc_apply_compat": f"""{with_(ORDER_ROWS, KEYED, DIFF)},
 feed AS (SELECT * FROM diff_rows WHERE NOT _is_update OR (_action = 'DELETE') = (csp_yes_no = 'R'))
@@ -300,6 +314,17 @@ SELECT ROW_NUMBER() OVER (ORDER BY p_partkey) AS gl_product_id, printf('%012d',
        p_type AS type, CAST(p_partkey AS VARCHAR) AS product_group_code, p_brand AS rm_type,
        p_name AS product_vertical, CAST(p_size AS VARCHAR) AS product_mvertical,
        {RUN} AS start_date, CAST(NULL AS TIMESTAMP) AS end_date, 'Y' AS active_flag FROM part""",
+    "dim_product_merge": f"""
+WITH first AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY p_partkey) AS gl_product_id, {PRODUCT} FROM part WHERE p_size <= 40),
+fresh AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY p_partkey) + (SELECT COUNT(*) FROM first) AS gl_product_id, {PRODUCT}
+  FROM (SELECT * REPLACE (CASE WHEN p_size <= 10 THEN 'Brand#99' ELSE p_brand END AS p_brand) FROM part
+        WHERE p_size > 40 OR (p_size <= 10 AND p_brand <> 'Brand#99')))
+SELECT *, {FIRST_LOAD} AS start_date,
+       CASE WHEN CAST(product_mvertical AS INTEGER) <= 10 AND rm_type <> 'Brand#99' THEN {RUN} END AS end_date,
+       CASE WHEN CAST(product_mvertical AS INTEGER) <= 10 AND rm_type <> 'Brand#99' THEN 'N' ELSE 'Y' END AS active_flag FROM first
+UNION ALL SELECT *, {RUN}, CAST(NULL AS TIMESTAMP), 'Y' FROM fresh""",
     "history_watermark": f"""{with_(LEDGER)}
 SELECT COUNT(*) AS runs, MAX(watermark) AS watermark FROM ledger WHERE {ORDERS_3}""",
     "history_watermark_all": f"""{with_(LEDGER)}
@@ -325,7 +350,10 @@ SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate AS source_modified,
 SELECT array_to_string(string_split_regex(text, '\\s'), chr(1)) AS word, COUNT(*) AS n
 FROM conversations GROUP BY string_split_regex(text, '\\s')""",
     "word_count": f"SELECT word, COUNT(*) AS n FROM ({WORDS}) GROUP BY word",
+    "table_create_append": f"{with_(ORDER_ROWS)} SELECT * FROM order_rows",
     "stream_csv_to_csv": PEOPLE,
+    "stream_two_checkpoints_append": PEOPLE,
+    "stream_memory_counts": f"SELECT word, COUNT(*) AS n FROM ({WORDS}) GROUP BY word",
     "stream_filter_project": f"SELECT name, friends FROM ({PEOPLE}) WHERE age < 30",
     "stream_foreach_append": """
 SELECT 'doc/' || CAST(doc_id AS VARCHAR) AS url, source AS product_name, lang AS reviewer_name, '-' AS review_title,

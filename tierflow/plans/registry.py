@@ -5,6 +5,7 @@ Amounts leave the queries as BIGINT or DOUBLE, since SQL engines type decimal di
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 from itertools import count
@@ -16,14 +17,15 @@ from tierflow.operators import merge
 from tierflow.operators.enrich import enrich_star
 from tierflow.operators.keys import assign_surrogate_keys
 from tierflow.plans import gold, ingest, sample, silver
-from tierflow.plans.partitions import publish_touched, stage_touched
-from tierflow.schemas import CUSTOMER_REVIEWS, INGESTION_HISTORY, PEOPLE, empty_table
+from tierflow.plans.partitions import create_kept, publish_touched, read_kept, stage_touched
+from tierflow.schemas import (
+    CUSTOMER_REVIEWS, INGESTION_HISTORY, PEOPLE, SL_ORDERDETAILS, append_by_name, create_or_replace_table, empty_table)
 from tierflow.session import scratch_path
 from tierflow.sources.streams import csv_stream, line_stream, parquet_stream
-from tierflow.sources.tables import read_table, spread, stage
+from tierflow.sources.tables import read_table, stage
 from tierflow.streaming import counts
 from tierflow.streaming.run import run_stream
-from tierflow.streaming.sinks import append_batches, evolve_table, latest_version, replace_result
+from tierflow.streaming.sinks import append_batches, apply_batches, replace_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,7 +72,7 @@ def fact_full_load(spark, sf_dir):
 
 @query
 def fact_full_load_fanout(spark, sf_dir):
-    return plain(enrich_star(sample.order_rows(spark, sf_dir), sample.dims(spark, sf_dir, plant_per_supplier=True)))
+    return plain(enrich_star(sample.order_rows(spark, sf_dir), sample.dims(spark, sf_dir, plants_per_company=3)))
 
 
 @query
@@ -135,17 +137,40 @@ def scd2_merge_compat(spark, sf_dir):
     return plain(gold.fact_scd2(*sample.fact2_states(spark, sf_dir), sample.RUN, compat=True))
 
 
+def _scd2_runs(spark, sf_dir: str, batches: Callable[[DataFrame], list[DataFrame]], again: bool = False) -> DataFrame:
+    """A versioned fact after one run per batch; ``again`` tries each run a second time."""
+    fact, rows = scratch_path(spark, "scd2-fact"), stage(sample.fact2_rows(spark, sf_dir), scratch_path(spark, "fact-rows"))
+    gold.scd2_create(gold.first_versions(rows.where("uom <> '5-LOW'"), sample.FIRST_LOAD), fact)
+    for run_id, batch in enumerate(batches(rows), 1):
+        gold.scd2_stage(spark, fact, batch, sample.RUN, run_id)
+        gold.scd2_publish(spark, fact, run_id)
+        if again:
+            try:
+                gold.scd2_stage(spark, fact, batch, sample.RUN, run_id)
+            except ValueError:
+                continue
+            raise AssertionError("a run that is done was staged again")
+    return plain(gold.read_scd2(spark, fact))
+
+
 @query
 def scd2_partitioned_load(spark, sf_dir):
     """The merge on a table split into open rows and closed rows per run: two runs, the second
     with the batch of the first, which changes nothing."""
-    fact, staging = scratch_path(spark, "scd2-fact"), scratch_path(spark, "scd2-batch")
-    rows = sample.fact2_rows(spark, sf_dir)
-    gold.scd2_create(gold.first_versions(rows.where("uom <> '5-LOW'"), sample.FIRST_LOAD), fact)
-    for run_id in (1, 2):
-        gold.scd2_stage(spark, fact, sample.fact2_batch(rows), sample.RUN, f"{staging}/{run_id}")
-        gold.scd2_publish(spark, f"{staging}/{run_id}", fact, run_id)
-    return plain(gold.read_scd2(spark, fact))
+    return _scd2_runs(spark, sf_dir, lambda rows: [sample.fact2_batch(rows)] * 2)
+
+
+@query
+def scd2_touched_load(spark, sf_dir):
+    """A batch of the years from 2000 on, of whose months only are rewritten."""
+    return _scd2_runs(spark, sf_dir, lambda rows: [sample.fact2_batch(rows).where("invoice_date >= '2000-01-01'")])
+
+
+@query
+def scd2_rerun_load(spark, sf_dir):
+    """Two runs, each of which is tried again after it is done."""
+    return _scd2_runs(spark, sf_dir, lambda rows: [
+        sample.fact2_batch(rows).where("invoice_date < '2000-01-01'"), sample.fact2_batch(rows)], again=True)
 
 
 # Change feeds
@@ -175,6 +200,15 @@ def cdc_apply_compat(spark, sf_dir):
     return plain(silver.silver_apply(before, feed, compat=True))
 
 
+@query
+def cdc_apply_reinsert(spark, sf_dir):
+    """Besides the other changes, urgent lines are deleted and added again instead of updated."""
+    before, after = sample.silver_states(spark, sf_dir)
+    feed = stage(_diff(before, after), scratch_path(spark, "feed"))
+    feed = feed.withColumn("_is_update", F.col("_is_update") & ~F.col("uom").eqNullSafe("1-URGENT"))
+    return plain(silver.silver_apply(before, feed))
+
+
 @query
 def cdc_apply_upsert(spark, sf_dir):
     """An append-only feed, which knows only inserts."""
@@ -199,11 +233,24 @@ def surrogate_keys(spark, sf_dir):
 
 @query
 def dim_product_load(spark, sf_dir):
-    parts = sample.table(spark, sf_dir, "part").select(
+    return gold.dim_product_rows(_parts_as_products(spark, sf_dir), sample.RUN)
+
+
+def _parts_as_products(spark, sf_dir) -> DataFrame:
+    return sample.table(spark, sf_dir, "part").select(
         F.format_string("%012d", "p_partkey").alias("product_no"), F.col("p_type").alias("type"),
         F.col("p_partkey").cast("string").alias("product_group_code"), F.col("p_brand").alias("rm_type"),
         F.col("p_name").alias("product_vertical"), F.col("p_size").cast("string").alias("product_mvertical"))
-    return gold.dim_product_rows(parts, sample.RUN)
+
+
+@query
+def dim_product_merge(spark, sf_dir):
+    """The products up to size 40, then all, those of sizes up to 10 with another brand."""
+    products = _parts_as_products(spark, sf_dir)
+    size = F.col("product_mvertical").cast("int")
+    dim = stage(gold.dim_product_rows(products.where(size <= 40), sample.FIRST_LOAD), scratch_path(spark, "dim"))
+    batch = products.withColumn("rm_type", F.when(size <= 10, F.lit("Brand#99")).otherwise(F.col("rm_type")))
+    return plain(gold.dim_product_merge(dim, stage(batch, scratch_path(spark, "products")), sample.RUN))
 
 
 # Ingest
@@ -329,21 +376,32 @@ def word_count(spark, sf_dir):
     return found.select("word", F.col("count").alias("n"))
 
 
-# Streams. Their inputs are files written from the tables first, one per task, and read in about
-# four batches, however many files there are.
+# Tables
+
+@query
+def table_create_append(spark, sf_dir):
+    """A typed table, replaced by an empty one, to which order rows are appended by name."""
+    name = "tierflow_" + uuid.uuid4().hex
+    for _ in range(2):
+        create_or_replace_table(spark, name, SL_ORDERDETAILS)
+        append_by_name(sample.order_rows(spark, sf_dir).select(*reversed(SL_ORDERDETAILS.fieldNames())), name)
+    found = stage(spark.read.table(name), scratch_path(spark, name))
+    spark.sql(f"DROP TABLE {name}")
+    return plain(found)
 
-BATCHES = 4
 
+# Streams. Their inputs are files written from the tables first.
 
-def _per_batch(files: int) -> int:
-    return max(1, files // BATCHES)
+FILES_PER_BATCH = 8
+ROWS_PER_FILE = 20_000
 
 
-def _people_stream(spark, sf_dir) -> DataFrame:
+def _people_stream(spark, sf_dir, which: str = "true") -> DataFrame:
     path = scratch_path(spark, "people")
-    people = spread(sample.table(spark, sf_dir, "customer"))
-    people.select("c_custkey", "c_name", F.col("c_nationkey") * 3, F.floor("c_acctbal").cast("int")).write.csv(path)
-    return csv_stream(spark, path, PEOPLE, max_files_per_trigger=_per_batch(people.rdd.getNumPartitions()))
+    sample.table(spark, sf_dir, "customer").where(which).select(
+        "c_custkey", "c_name", F.col("c_nationkey") * 3, F.floor("c_acctbal").cast("int")
+    ).write.option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
+    return csv_stream(spark, path, PEOPLE, max_files_per_trigger=FILES_PER_BATCH)
 
 
 def _to_csv_and_back(spark, people: DataFrame) -> DataFrame:
@@ -363,36 +421,44 @@ def stream_filter_project(spark, sf_dir):
     return _to_csv_and_back(spark, people.where("age < 30").select("name", "friends"))
 
 
+@query
+def stream_two_checkpoints_append(spark, sf_dir):
+    """Two streams that append to one table, each with the batch ids of its own checkpoint."""
+    table = scratch_path(spark, "people-table")
+    for which in ("c_acctbal < 0", "c_acctbal >= 0"):
+        checkpoint = scratch_path(spark, "checkpoint")
+        run_stream(_people_stream(spark, sf_dir, which), checkpoint, append_batches(table, checkpoint))
+    return spark.read.parquet(table).drop("batch_id", "stream_id")
+
+
 @query
 def stream_foreach_append(spark, sf_dir):
     """Documents as reviews, whose text holds quotes and line breaks."""
-    path, reviews = scratch_path(spark, "reviews"), scratch_path(spark, "bz-reviews")
+    path, reviews, checkpoint = (scratch_path(spark, name) for name in ("reviews", "bz-reviews", "checkpoint"))
     values = {"url": "concat('doc/', doc_id)", "product_name": "source", "reviewer_name": "lang",
               "review_text": "text", "review_rating": "cast(n_chars AS STRING)", "uniq_id": "cast(doc_id AS STRING)"}
-    documents = spread(sample.table(spark, sf_dir, "documents"))
-    documents.select(*[
+    sample.table(spark, sf_dir, "documents").select(*[
         F.expr(values.get(name, "'-'")).alias(name) for name in CUSTOMER_REVIEWS.fieldNames()
     ]).write.options(
         header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        maxRecordsPerFile=ROWS_PER_FILE,
     ).csv(path)
     stream = csv_stream(spark, path, CUSTOMER_REVIEWS, header=True, multi_line=True, escape='"',
-                        max_files_per_trigger=_per_batch(documents.rdd.getNumPartitions()))
-    run_stream(stream, scratch_path(spark, "checkpoint"), append_batches(reviews))
-    return spark.read.parquet(reviews).drop("batch_id")
+                        max_files_per_trigger=FILES_PER_BATCH)
+    run_stream(stream, checkpoint, append_batches(reviews, checkpoint))
+    return spark.read.parquet(reviews).drop("batch_id", "stream_id")
 
 
 def _line_stream(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "lines")
-    lines = spread(sample.table(spark, sf_dir, "conversations"))
-    lines.select("text").write.text(path)
-    return line_stream(spark, path=path, lineSep="\n",
-                       max_files_per_trigger=_per_batch(lines.rdd.getNumPartitions()))
+    sample.table(spark, sf_dir, "conversations").select("text").write.option("maxRecordsPerFile", ROWS_PER_FILE).text(path)
+    return line_stream(spark, path=path, lineSep="\n", max_files_per_trigger=FILES_PER_BATCH)
 
 
 def _counted(spark, found: DataFrame) -> DataFrame:
     result = scratch_path(spark, "counts")
     run_stream(found, scratch_path(spark, "checkpoint"), replace_result(result), mode="complete")
-    return latest_version(spark, result)
+    return spark.read.parquet(result)
 
 
 @query
@@ -400,6 +466,17 @@ def stream_word_count(spark, sf_dir):
     return _counted(spark, counts.word_count(_line_stream(spark, sf_dir))).select("word", F.col("count").alias("n"))
 
 
+@query
+def stream_memory_counts(spark, sf_dir):
+    """The running count in a memory table, with a timed trigger, until all files are read."""
+    name = "words_" + uuid.uuid4().hex
+    query = run_stream(counts.word_count(_line_stream(spark, sf_dir)), scratch_path(spark, "checkpoint"), "memory",
+                       mode="complete", trigger={"processingTime": "1 second"}, name=name, wait=False)
+    query.processAllAvailable()
+    query.stop()
+    return stage(spark.table(name), scratch_path(spark, name)).select("word", F.col("count").alias("n"))
+
+
 @query
 def stream_line_token_count(spark, sf_dir):
     found = _counted(spark, counts.line_token_count(_line_stream(spark, sf_dir)))
@@ -408,12 +485,18 @@ def stream_line_token_count(spark, sf_dir):
 
 @query
 def stream_cdc_apply(spark, sf_dir):
-    """The change feed as files, applied in two batches."""
-    feed, silver_table = scratch_path(spark, "feed"), scratch_path(spark, "silver")
-    before, after = sample.silver_states(spark, sf_dir)
+    """The change feed as files, applied in batches to a table by month of the invoice."""
+    feed, silver_table, checkpoint = (scratch_path(spark, name) for name in ("feed", "silver", "checkpoint"))
+    month = (F.year("invoice_date") * 100 + F.month("invoice_date")).alias("invoice_month")
+    before, after = (rows.select("*", month) for rows in sample.silver_states(spark, sf_dir))
+    create_kept(before, silver_table, "invoice_month")
     changes = _diff(before, after)
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    changes.repartition(files, *silver.SILVER_KEYS).write.parquet(feed)
-    run_stream(parquet_stream(spark, feed, changes.schema, max_files_per_trigger=(files + 1) // 2),
-               scratch_path(spark, "checkpoint"), evolve_table(before, silver_table, silver.silver_apply))
-    return plain(latest_version(spark, silver_table))
+    # all changes of a key are in one file, hence in one batch
+    changes.repartition(*silver.SILVER_KEYS).write.parquet(feed)
+
+    def apply(rows: DataFrame, batch: DataFrame) -> DataFrame:
+        return silver.silver_apply(rows.drop("invoice_month"), batch.drop("invoice_month")).select("*", month)
+
+    run_stream(parquet_stream(spark, feed, changes.schema, max_files_per_trigger=FILES_PER_BATCH), checkpoint,
+               apply_batches(silver_table, before.schema, silver.SILVER_KEYS, "invoice_month", checkpoint, apply))
+    return plain(read_kept(spark, silver_table, before.schema).drop("invoice_month"))

@@ -7,29 +7,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tierflow.operators.dedupe import dedupe_latest
 from tierflow.operators.enrich import enrich_star
 from tierflow.plans.gold import first_versions
 from tierflow.schemas import INGESTION_HISTORY, SL_ORDERDETAILS
 from tierflow.session import scratch_path
-from tierflow.sources.tables import spread, stage
+from tierflow.sources.tables import stage
 
 FIRST_LOAD = "2001-01-01 00:00:00"
 RUN = "2024-06-01 12:00:00"
 ORDER_COLS = SL_ORDERDETAILS.fieldNames()
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Its schema is read from the file once and then given, to save a job per read."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(name: str):
@@ -39,7 +31,7 @@ def text(name: str):
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order, part and company."""
     return (
-        spread(table(spark, sf_dir, "lineitem"))
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -83,20 +75,19 @@ def bronze_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(copies)
 
 
-def dims(spark: SparkSession, sf_dir: str, plant_per_supplier: bool = False) -> dict[str, DataFrame]:
+def dims(spark: SparkSession, sf_dir: str, plants_per_company: int = 1) -> dict[str, DataFrame]:
     """The lookup tables; one customer segment is missing, so some orders find no customer."""
     nation = table(spark, sf_dir, "nation")
-    plant = nation.select((F.col("n_regionkey") * 100 + F.col("n_nationkey")).cast("bigint").alias("plant_id"),
-                          F.col("n_name").alias("company_name"))
-    if plant_per_supplier:
-        plant = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-            F.col("s_suppkey").alias("plant_id"), F.col("n_name").alias("company_name"))
+    plant = nation.withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(plants_per_company - 1)))).select(
+        (F.col("nth") * 1000 + F.col("n_regionkey") * 100 + F.col("n_nationkey")).cast("bigint").alias("plant_id"),
+        F.col("n_name").alias("company_name"))
     return {
         "product": table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("product_id"), text("p_partkey").alias("product_group_code")),
-        "date": table(spark, sf_dir, "orders").select(
+        # A warehouse holds its dates as a table; written, its size no longer follows that of the orders.
+        "date": _written(table(spark, sf_dir, "orders").select(
             F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("date_id"),
-            F.col("o_orderdate").alias("fulldate")).distinct(),
+            F.col("o_orderdate").alias("fulldate")).distinct(), "dates"),
         "customer": table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'").select(
             F.col("c_custkey").alias("customerid"), text("c_custkey").alias("customer_no"),
             text("c_nationkey").alias("kam_emp_no")),

@@ -58,25 +58,6 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: st
     return spark.read.format("jdbc").options(**jdbc_options(url, table, query, split, options)).load()
 
 
-def broadcastable(df: DataFrame) -> bool:
-    """Whether the planner's size estimate is within ``spark.sql.autoBroadcastJoinThreshold``.
-
-    The estimate of a staged table is its file size; that of a join is large, hence "no".
-    """
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= limit
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it has fewer tasks than there are cores.
-
-    Meant for a small table kept in one file; a table of many files stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write a frame once and read it back: its lineage ends and its size is known to the planner."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tierflow.llm import jaccard_join as jj
 from tierflow.llm.common import components
@@ -97,6 +98,15 @@ def test_crowds_are_searched_in_blocks(spark, monkeypatch, seed):
     assert {r.doc_id: r.component_id for r in out} == expected and len(set(expected.values())) > 4
 
 
+def test_need_as_expression(spark):
+    """The operator has the bound as SQL: on sizes of all kinds it equals the function."""
+    sizes = spark.range(1, 2000).withColumnRenamed("id", "n").withColumn("skipped", F.expr("n % 7"))
+    for percent in (50, 80, 85):
+        few = f"ceil({percent} * n / 100)"
+        need = F.expr(f"least(ceil({percent} * {few} / 100), 2 + 3 * {few} div 100) - skipped - 3 * (n + 1) div 100 div 2")
+        assert all(r.need == jj.smallest_need(r.n, percent, r.skipped) for r in sizes.withColumn("need", need).collect())
+
+
 def test_divide_skip():
     rng = random.Random(6)
     for _ in range(300):
@@ -125,6 +135,7 @@ def test_shared_prefix_bound():
                 ks.append(k)
                 skips.append(skip)
             assert len(heads[0] & heads[1]) >= min(ks) - sum(skips) >= 1
+            assert all(jj.smallest_need(len(s), percent, skip) <= min(ks) - sum(skips) for s, skip in zip((x, y), skips, strict=True))
 
 
 def test_defined_cases(spark):

@@ -191,11 +191,23 @@ def test_a_small_batch_leaves_the_table_unshuffled(spark, tmp_path, merge):
 
 
 def shuffles(df, name):
-    """Whether the plan has an exchange fed by a scan of that table."""
+    """Whether the plan has an exchange fed by a scan of that table, with nothing but one input between."""
     lines = run(df).split("\n")
-    fed = [next(line for line in lines[i:] if "FileScan" in line)
-           for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
-    return any(name in scan for scan in fed)
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-*"))
+
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line and "ReusedExchange" not in line:
+            below = []
+            for other in lines[i + 1:]:
+                if depth(other) <= depth(line):
+                    break
+                below.append(other)
+            first = next((other for other in below if "FileScan" in other or "Exchange" in other or "Join" in other), "")
+            if "FileScan" in first and name in first:
+                return True
+    return False
 
 
 @pytest.mark.parametrize("merge", ["scd1", "scd2", "cdc"])

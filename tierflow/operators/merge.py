@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.predicates import changed, keys_equal, moment, no_null
 from tierflow.operators.dedupe import Order, dedupe_latest
+from tierflow.session import scratch_path
+from tierflow.sources.tables import stage
 
 
 def _repeated(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,7 +46,8 @@ def _matching(batch: DataFrame, target: DataFrame, keys: Sequence[str], null_saf
         equal = keys_equal("t", "s", keys, null_safe)
         _fail(f"several source rows match one target row on {', '.join(keys)}",
               target.select(*keys).alias("t").join(repeated.alias("s"), equal, "left_semi"))
-        batch = batch.alias("t").join(repeated.alias("s"), equal, "left_anti")
+        # written, so that the join to the table has an exchange of its own and AQE can split it
+        batch = stage(batch.alias("t").join(repeated.alias("s"), equal, "left_anti"), scratch_path(batch.sparkSession, "single"))
     return batch.withColumn("_hit", F.lit(True))
 
 

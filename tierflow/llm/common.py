@@ -18,9 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, safe from lost executors."""
-    return stage(df, scratch_path(df.sparkSession, name))
+    """The frame as a table in the shared folder: computed once, safe from lost executors.
+
+    Texts travel to Python in smaller batches than by default, as both sides hold a batch whole.
+    """
+    spark = df.sparkSession
+    rows = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, min(1000, int(rows)) if int(rows) > 0 else 1000)
+    try:
+        return stage(df, scratch_path(spark, name))
+    finally:
+        spark.conf.set(BATCH_ROWS, rows)
 
 
 def fold(doc_id: Column, folds: int) -> Column:

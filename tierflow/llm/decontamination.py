@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm.common import arrow, parts
+
 WORD = re.compile(r"\w+")
 SENTENCES = re.compile(r"(?<=[.!?])\s+")
 BLOCK = 4  # items that share a bound
@@ -183,13 +185,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null")
 
     def search(items: list[tuple[int, str]]) -> DataFrame:
-        def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def hits(batches):
             index = ItemIndex(items, n, threshold)
-            for batch in batches:
-                found = [(doc_id, *hit) for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True)
+            for part in parts(batches):
+                found = [(doc_id, *hit) for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True)
                          for hit in index.matches(text, overlap)]
-                yield pd.DataFrame(found, columns=[c.split()[0] for c in HITS.split(", ")]).astype({"doc_id": "Int64"})
-        return texts.mapInPandas(hits, HITS)
+                frame = pd.DataFrame(found, columns=[c.split()[0] for c in HITS.split(", ")])
+                yield arrow(frame.astype({"doc_id": "Int64"}), HITS)
+        return texts.mapInArrow(hits, HITS)
 
     found = [search(block) for block in shards(benchmark, shard_bytes)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], HITS)
@@ -201,14 +204,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap
     schema = docs.schema
     for block in shards(benchmark, shard_bytes):
         def kept(batches, items=block):
+            import pyarrow as pa
             index = ItemIndex(items, n, threshold)
-            for batch in batches:
-                texts = batch.column("text").to_pylist()
-                yield batch.filter(_mask([not index.matches(t, overlap) for t in texts]))
+            for part in parts(batches):
+                yield part.filter(pa.array([not index.matches(t, overlap) for t in part.column("text").to_pylist()], pa.bool_()))
         docs = docs.mapInArrow(kept, schema)
     return docs
-
-
-def _mask(values: list[bool]):
-    import pyarrow as pa
-    return pa.array(values, pa.bool_())

@@ -13,16 +13,18 @@ one; an empty table gives no rows. Columns other than ``doc_id`` and ``text`` ar
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import blocks_for, written
+from tierflow.llm.common import arrow, blocks_for, parts, written
 
 END_ID = 2
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, lane long"
@@ -43,16 +45,22 @@ class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.path = path
+        with open(path, encoding="utf-8") as file:
+            given = json.load(file)
+        self.special = [t["content"] for t in given["added_tokens"]]
         # bytes that do not print are written as code points from 256 on, in order
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in printable}
         byte |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
-        ranks = {bytes(byte[c] for c in token): at for token, at in self.tokenizer.get_vocab(False).items()}
+        ranks = {bytes(byte[c] for c in token): at for token, at in given["model"]["vocab"].items() if token not in self.special}
         self.fast = tiktoken.Encoding(path, pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
+
     @classmethod
     def of(cls, path: str) -> Encoder:
         if path not in cls._SHARED:
@@ -81,21 +89,20 @@ def tokenized_pieces(docs: DataFrame, path: str, size: int, end_id: int = END_ID
     """One row per piece. ``lane`` spreads rows evenly over groups, repeated documents included."""
     end = np.array([end_id], "<u4").tobytes()
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches):
         encoder, count = Encoder.of(path), 0
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part, out = batch.iloc[at:at + 500], []
-                for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
-                    ids = encoder.ids(text) if isinstance(text, str) else b""
-                    for piece, start, raw in cut_ids(ids + end, size):
-                        count += 1
-                        lane = zlib.crc32(f"{doc_id} {piece} {count}".encode())
-                        out.append((doc_id, piece, start, len(raw) // 4, zlib.crc32(raw), lane))
-                frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "lane"])
-                yield frame.astype({"doc_id": "Int64"})
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(pieces, PIECES)
+        for part in parts(batches):
+            out = []
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                ids = encoder.ids(text) if text else b""
+                for piece, start, raw in cut_ids(ids + end, size):
+                    count += 1
+                    lane = zlib.crc32(f"{doc_id} {piece} {count}".encode())
+                    out.append((doc_id, piece, start, len(raw) // 4, zlib.crc32(raw), lane))
+            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "lane"])
+            yield arrow(frame.astype({"doc_id": "Int64"}), PIECES)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

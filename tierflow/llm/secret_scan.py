@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm.common import arrow, parts
+
 SPANS = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_crf long")
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -263,19 +265,18 @@ def fit(docs: DataFrame, sampled: int = 8000) -> ChainModel:
 
 def scan(docs: DataFrame, model: ChainModel) -> DataFrame:
     """Counts and spans of every document."""
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+    def rows(batches):
+        names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_crf"]
+        for part in parts(batches):
             out = []
-            for text in b["text"]:
-                base, spans = all_spans(text if isinstance(text, str) else None, model)
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                base, spans = all_spans(text, model)
                 kinds = Counter(kind for _, kind, _ in spans)
-                out.append((kinds[0], kinds[1], kinds[2], hashlib.sha256(joined(base).encode()).hexdigest(),
+                out.append((doc_id, kinds[0], kinds[1], kinds[2], hashlib.sha256(joined(base).encode()).hexdigest(),
                             joined(spans), kinds[3]))
-            frame = pd.DataFrame(out, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_crf"])
-            frame.insert(0, "doc_id", b["doc_id"].astype("Int64").to_numpy())
-            yield frame
+            yield arrow(pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"}), SPANS)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(rows, SPANS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, SPANS)
 
 
 def redact(docs: DataFrame, model: ChainModel, mark: str = "[secret]") -> DataFrame:
@@ -292,9 +293,9 @@ def redact(docs: DataFrame, model: ChainModel, mark: str = "[secret]") -> DataFr
 
     def rows(batches):
         import pyarrow as pa
-        for batch in batches:
-            place = batch.schema.get_field_index("text")
-            texts = pa.array([one(t) for t in batch.column(place).to_pylist()], batch.schema.field(place).type)
-            yield batch.set_column(place, batch.schema.field(place), texts)
+        for part in parts(batches):
+            place = part.schema.get_field_index("text")
+            texts = pa.array([one(t) for t in part.column(place).to_pylist()], part.schema.field(place).type)
+            yield part.set_column(place, part.schema.field(place), texts)
 
     return docs.mapInArrow(rows, docs.schema)

@@ -304,7 +304,8 @@ def dedup(docs: DataFrame, crowd: int = 4000, task_bytes: int = 1_000_000) -> Da
         "uid", F.explode(F.arrays_zip("anchor", "context", "lo", "at", "span")).alias("p")).select("uid", "p.*")
     twice = (places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
              .where("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("differ")))
-    live = written(places.join(twice, "anchor"), "live")
+    # written, so that the join has an exchange on either side and Spark can split a hot anchor
+    live = written(places.join(written(twice, "twice"), "anchor"), "live")
     counted = (live.groupBy("anchor", "context")
                .agg(F.count(F.lit(1)).alias("held"), F.first("differ").alias("differ"),
                     F.min(F.struct("uid", "lo", "at", "span")).alias("p")))

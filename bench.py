@@ -72,6 +72,10 @@ HEADLINE = {
     "cdc_apply": cdc_apply,
     **{name: registered(name) for name in (
         "silver_orders", "word_count", "line_token_count", "bronze_incremental", "history_watermark_all", "surrogate_keys")},
+    # whole jobs, with the tables they write: loads in several steps, partitioned tables, streams
+    **{name: registered(name) for name in (
+        "ingest_boundary_rows", "scd1_load", "scd1_partitioned_load", "scd2_touched_load", "dim_product_merge",
+        "stream_word_count", "stream_cdc_apply")},
 }
 
 

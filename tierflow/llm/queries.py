@@ -71,4 +71,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+# All pairs that share an n-gram, and reachability: for small tables.
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2),
+    lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3])) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 85 * (x.n + y.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id AS start, doc_id AS node FROM documents UNION SELECT start, b FROM reached JOIN edges ON node = a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT start, min(node) AS component_id FROM reached GROUP BY start) r ON r.start = d.doc_id"""
+
+ORACLES: dict[str, str] = {"op2_jaccard_join": JACCARD_SQL}

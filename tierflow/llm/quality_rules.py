@@ -6,8 +6,8 @@ hypothesis "this cutoff rejects more than the rule's share of ``alpha`` of the g
 is refuted if the exact binomial (Clopper-Pearson) upper bound on the false rejections stays
 within that share. Cutoffs are tested in a fixed order, mildest first, up to the first that is not
 refuted, which needs no correction; all strata and rules share the error ``delta`` (Bonferroni).
-Of the refuted ones the cutoff that rejects most bad documents is used, the mildest of equals; a
-rule that rejects no bad document is off. So with probability ``1 - delta`` no stratum loses more
+Of the refuted ones the cutoff is used that rejects most bad documents less the good ones it costs,
+the mildest of equals; a rule that gains nothing is off. So with probability ``1 - delta`` no stratum loses more
 than ``alpha`` of its good documents to the rules.
 
 Only a histogram of (stratum, rule, cutoff) counts over all labelled documents is gathered; its
@@ -162,8 +162,9 @@ def cutoffs(found: DataFrame, labels: DataFrame, alpha: float, delta: float) ->
             for k in reversed(range(len(GRID))):
                 if not admitted(int(good[k + 1:].sum()), int(good.sum()), allowed, error):
                     break
-                if bad[k + 1:].sum() > most:
-                    most, chosen[lang][rule] = int(bad[k + 1:].sum()), GRID[k]
+                gain = int(bad[k + 1:].sum() - good[k + 1:].sum())
+                if gain > most:
+                    most, chosen[lang][rule] = gain, GRID[k]
     return chosen
 
 

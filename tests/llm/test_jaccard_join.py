@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,10 +104,25 @@ def test_need_as_expression(spark):
     sizes = spark.range(1, 2000).withColumnRenamed("id", "n").withColumn("skipped", F.expr("n % 7"))
     for percent in (50, 80, 85):
         few = f"ceil({percent} * n / 100)"
-        need = F.expr(f"least(ceil({percent} * {few} / 100), 2 + 3 * {few} div 100) - skipped - 3 * (n + 1) div 100 div 2")
+        need = F.expr(f"least(ceil({percent} * {few} / 100), 2 + {jj.MET_PERCENT} * {few} div 100) - skipped - 3 * (n + 1) div 100 div 2")
         assert all(r.need == jj.smallest_need(r.n, percent, r.skipped) for r in sizes.withColumn("need", need).collect())
 
 
+def test_sketches_bound_the_differences():
+    rng = np.random.default_rng(2)
+    close = 0
+    for _ in range(300):
+        x = np.unique(rng.integers(0, 2**63, rng.integers(1, 900)).astype(np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < rng.choice([0.5, 0.9, 1.0])],
+                                      rng.integers(0, 2**63, rng.integers(1, 60)).astype(np.uint64)]))
+        bound = jj.differences(pd.Series([jj.sketch(x)]), pd.Series([jj.sketch(y)]))[0]
+        true = len(np.setxor1d(x, y))
+        assert bound <= true
+        close += bound >= 0.7 * true
+    assert close > 200
+    assert jj.differences(pd.Series([jj.sketch(x)]), pd.Series([jj.sketch(x)]))[0] == 0
+
+
 def test_divide_skip():
     rng = random.Random(6)
     for _ in range(300):

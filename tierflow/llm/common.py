@@ -119,7 +119,7 @@ def blocks_for(rows: int, per_block: int) -> int:
     return max(1, -(-rows // per_block))
 
 
-def slices(batches: Iterator, size: int = 1_000_000) -> Iterator[tuple[list, list[str | None]]]:
+def slices(batches: Iterator, size: int = 400_000) -> Iterator[tuple[list, list[str | None]]]:
     """Ids and texts of Arrow batches, in portions of about ``size`` characters or one text."""
     for batch in batches:
         ids, texts, held = [], [], 0

@@ -30,7 +30,7 @@ any of its texts does; rows with null doc_id have a null component; an empty tab
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -59,11 +59,13 @@ SHAPES = "doc_id long, n_shingles long, digest long, digest2 long, gram long, se
 LISTS = "range int, grams binary, at binary, doc_ids binary, digests binary, metas binary, gram array<long>, doc_id long, digest long, meta long"
 ENTRIES = "gram long, node long, meta long"
 SETS = "doc_id long, n long, grams binary"
+SKETCHES = "doc_id long, n long, sketch binary"
 SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                   0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
+MET_PERCENT = 3  # of a set that must meet in its lists: more makes the lists longer and the candidates fewer
 CROWD = 32  # entries above which a list's documents are searched in blocks instead of paired
 BLOCK = 512  # documents of a block
-RANGE_GRAMS = 4_000_000  # n-grams of all sets per range of short lists; about a fifth enter the lists
+RANGE_GRAMS = 2_500_000  # n-grams of all sets per range of short lists; about a fifth enter the lists
 
 
 def raw(texts: list[str | None]) -> list[bytes]:
@@ -98,7 +100,7 @@ def often_held(sets: list[np.ndarray], often: int) -> pd.DataFrame:
     return pd.DataFrame({"gram": found[counts >= often].view(np.int64), "seen": counts[counts >= often]})
 
 
-def shapes(docs: DataFrame, n: int, often: int = 4, flush: int = 2_000_000) -> DataFrame:
+def shapes(docs: DataFrame, n: int, often: int = 3, flush: int = 1_000_000) -> DataFrame:
     """Size and digest of every set; and n-grams that many documents of a task hold."""
     def rows(batches):
         held, size = [], 0
@@ -129,7 +131,7 @@ def prefix_sizes(n: int, percent: int) -> tuple[int, int, int]:
 
 
 def occurrences(n: int, least: int) -> int:
-    return min(least, 2 + 3 * n // 100)
+    return min(least, 2 + MET_PERCENT * n // 100)
 
 
 def may_skip(least: int) -> int:
@@ -213,19 +215,44 @@ def shared_entries(blocks: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"gram": held[kept].view(np.int64), "node": node[kept], "meta": meta[kept]})
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """The sets of the given documents; the filter spares the others the shuffle to the join."""
+def of_some(docs: DataFrame, ids: DataFrame, n: int, schema: str, make: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """``make`` of the set of each given document; a Bloom filter spares the others the shuffle to the join."""
     held = bloom(ids, "doc_id")
+    names = [c.split(" ")[0] for c in schema.split(", ")]
 
     def rows(batches):
         import pyarrow as pa
         for batch in batches:
             hit = maybe_held(held, batch.column("doc_id").to_numpy(zero_copy_only=False))
             for some, texts in slices([batch.filter(pa.array(hit, pa.bool_()))]):
-                found = [(d, len(g), packed(np.diff(g, prepend=np.uint64(0)))) for d, g in zip(some, grams(raw(texts), n), strict=True) if len(g)]
-                yield arrow(pd.DataFrame(found, columns=["doc_id", "n", "grams"]), SETS)
+                found = [(d, len(g), make(g)) for d, g in zip(some, grams(raw(texts), n), strict=True) if len(g)]
+                yield arrow(pd.DataFrame(found, columns=names), schema)
+
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(rows, schema).join(ids, "doc_id", "left_semi")
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    return of_some(docs, ids, n, SETS, lambda found: packed(np.diff(found, prepend=np.uint64(0))))
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(rows, SETS).join(ids, "doc_id", "left_semi")
+
+def sketch(found: np.ndarray) -> bytes:
+    """Parities of the members per bucket, of which there are two to four times as many."""
+    buckets = 1 << max(6, (2 * len(found)).bit_length())
+    counts = np.bincount((found & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differences(mine: pd.Series, other: pd.Series) -> pd.Series:
+    """A lower bound on the members that only one of two sets has: buckets of another parity."""
+    out = []
+    for a, b in zip(mine, other, strict=True):
+        x, y = (np.frombuffer(raw, np.uint8) for raw in (a, b))
+        if len(x) < len(y):
+            x, y = y, x
+        while len(x) > len(y):  # the parities of half as many buckets
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        out.append(int(np.bitwise_count(x ^ y).sum()))
+    return pd.Series(out, dtype="int64")
 
 
 def overlaps(mine: pd.Series, other: pd.Series) -> pd.Series:
@@ -239,15 +266,31 @@ def overlaps(mine: pd.Series, other: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="int64")
 
 
+def paired(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """The pairs (a, b) with size and ``column`` of both documents."""
+    one, other = (table.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"{column}_{x}"))
+                  for x in ("a", "b"))
+    return pairs.join(one, "a").join(other, "b")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches the threshold, as a table."""
+    """The pairs (a, b) whose exact similarity reaches the threshold, as a table.
+
+    Sets are long, so they are compared only where small sketches don't show too many differences.
+    """
+    def documents(some: DataFrame) -> DataFrame:
+        return some.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
     pairs = written(pairs, "candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(sets_of(docs, ids, n), "sets")
-    one, other = (sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("grams").alias(f"grams_{x}"))
-                  for x in ("a", "b"))
+    sketches = written(of_some(docs, documents(pairs), n, SKETCHES, sketch), "sketches")
+    differ = F.pandas_udf(differences, "long")
+    pairs = (paired(pairs, sketches, "sketch")
+             .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"), differ("sketch_a", "sketch_b").alias("differ"))
+             .where((100 + percent) * F.col("differ") <= (100 - percent) * F.col("sizes")).select("a", "b").distinct())
+    pairs = written(pairs, "close")
+    sets = written(sets_of(docs, documents(pairs), n), "sets")
     overlap = F.pandas_udf(overlaps, "long")
-    found = (pairs.join(one, "a").join(other, "b")
+    found = (paired(pairs, sets, "grams")
              .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"), overlap("grams_a", "grams_b").alias("shared"))
              .where(100 * F.col("shared") >= percent * (F.col("sizes") - F.col("shared"))).select("a", "b").distinct())
     return written(found, "links")
@@ -363,7 +406,7 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, long_lists: int = 100_0
     entries = written(short.unionAll(long), "entries").withColumns({
         "n": F.expr("meta div 64"), "skipped": F.expr("meta % 64")}).drop("meta")
     least = F.expr(f"ceil({percent} * n / 100)")
-    entries = entries.withColumn("k", F.least(least, F.expr("2 + 3 * n div 100")))
+    entries = entries.withColumn("k", F.least(least, F.expr(f"2 + {MET_PERCENT} * n div 100")))
     sized = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("entries")).where("entries > 1")
     # written, so that the join has an exchange on either side and Spark can split a hot n-gram
     shared = written(entries.join(written(sized, "list_sizes"), "gram"), "shared_lists")
@@ -372,7 +415,7 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, long_lists: int = 100_0
     found = [verified(docs, met_in_short_lists(shared.where(F.col("entries") <= CROWD), percent), n, percent)]
     # smallest_need, as an expression
     few = f"ceil({percent} * n / 100)"
-    need = F.expr(f"least(ceil({percent} * {few} / 100), 2 + 3 * {few} div 100) - skipped - 3 * (n + 1) div 100 div 2")
+    need = F.expr(f"least(ceil({percent} * {few} / 100), 2 + {MET_PERCENT} * {few} div 100) - skipped - 3 * (n + 1) div 100 div 2")
     crowded = shared.where(F.col("entries") > CROWD).select("gram", "node", "n", "skipped", "long")
     sizes_of = crowded.select("node", "n", "skipped", "long").distinct().where(F.col("long") >= need).select("node")
     crowded = written(crowded.select("gram", "node").join(written(sizes_of, "crowded"), "node"), "crowded_lists")

@@ -87,6 +87,31 @@ def test_base_spans_stay_and_field_spans_do_not_meet_them(model):
         assert not any(a < e and st < b for a, k, b in spans if k == 3 for st, _, e in base)
 
 
+def test_any_token_may_be_a_secret():
+    rng = random.Random(4)
+    def secret():
+        return "".join(rng.choice("abcdefghklmnop") for _ in range(6)) + rng.choice("!#%") + rng.choice(["Pw@x", "Zq$w", "Kt@p"])
+    texts = [t if k % 2 else f"{t} password = {secret()} {t}" for k, t in corpus(400, 9)]
+    model = s.fit_chain([e for t in texts for e in s.examples(t)])
+    for text, found in [("the passphrase is hunter!Pw@x", "hunter!Pw@x"), (f"the house and {secret()} water", None)]:
+        assert s.pattern_spans(text)[0] == []
+        assert [text[a:b] for a, b in s.crf_spans(text, model)] == [found or text.split()[3]]
+
+
+def test_whole_text_is_one_chain():
+    rng = np.random.default_rng(5)
+    text = " ".join(t for _, t in corpus(4, 3)) + ' the passphrase is: "hunter!Pw@x:y" qwerty'
+    tokens = s.TOKEN.findall(text)
+    assert "".join(t.strip() for t in tokens) == "".join(text.split())
+    for k in range(40):
+        emit = rng.normal(size=(s.HASHED, 3)) * 0.6 + [0, 0, 0.01 * k]
+        model = s.ChainModel(emit, rng.normal(size=(3, 3)), rng.normal(size=3))
+        model.move[2, 1] = model.start[1] = s.FORBIDDEN
+        tagger = s.Tagger(model)
+        assert tagger.tags(text, tokens).tolist() == model.path(tagger.scores(text, tokens))
+        assert tagger.tags("", []).tolist() == []
+
+
 def test_scan_and_redact(spark):
     rows = [*corpus(80), (900, None), (901, ""), (None, "token = abcdefgh"), (0, corpus(1)[0][1])]
     docs = spark.createDataFrame([(k, "x", t, 1) for k, t in rows], "doc_id long, spans string, text string, n_hex int")

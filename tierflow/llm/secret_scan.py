@@ -2,15 +2,18 @@
 
 The patterns find assignments, access keys and long hexadecimal strings. The field tags tokens as
 secret begin, inside or outside (B, I, O) from their shape, the words and signs around them, and
-features of the whole file, and is decoded by Viterbi. Tokens that are plain words or short
-numbers admit the tag O only, so a text falls apart into chains of the tokens between them, and
-decoding the chains one by one is decoding the whole text. The field's spans are added where they
-meet no span of a pattern; those of the patterns always stay.
-
-The field is fitted on a bounded sample: ``sampled`` documents, smallest hash of the id first.
-Their tags come from the patterns; the words around a token are hidden in every other training
-copy, so that shape and surroundings each learn to speak alone. Scanning reads every whole text
-in one pass without a shuffle.
+features of the whole file, and is decoded by Viterbi. All words and signs of a text are one
+chain, and each may have any tag. A position where any other tag loses against O, whatever its
+neighbours have, is O on the best path; the path is searched between such positions, which is
+decoding the whole chain. The field's spans are added where they meet no span of a pattern;
+those of the patterns always stay.
+
+The field is fitted on a bounded sample: ``sampled`` documents, smallest hash of the id first,
+and in these on windows: the ``NEAR`` tokens to either side of secrets and of tokens that look
+like some, and for each ``ONE_IN``-th document a window anywhere. The first tag of a window
+follows the tag before it. Tags come from the patterns; the words around a token are hidden in
+every other copy of a window about such a token, so that shape and surroundings each learn to
+speak alone. Scanning reads every whole text in one pass without a shuffle.
 
 Defined results: null and empty texts have no spans; spans count code points, end exclusive;
 spans of different kinds may overlap and are all reported, by start and then in the order of
@@ -25,8 +28,9 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -61,33 +65,51 @@ def pattern_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
     return sorted(spans), sorted(values)
 
 
-# Tokens that may be secrets: eight characters or more with a digit, or twenty of any kind.
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.\-])(?:(?=[A-Za-z+/_.\-]*[0-9])[A-Za-z0-9+/_.\-]{8,}|[A-Za-z0-9+/_.\-]{20,})={0,2}")
-AROUND = re.compile(r"[a-z0-9_]+|[^\sa-z0-9_]")
-GAP = re.compile(r"[\s\"',;]*")
-HASHED = 1 << 14
+# Words and signs, with the blank before them if there is one. A word may hold signs, but ends before
+# brackets, quotes, marks of assignments and lists, and closing points.
+TOKEN = re.compile(r"""\s?(?:[^\s=:,;"'`()\[\]{}<>.!?]+(?:[.!?]+[^\s=:,;"'`()\[\]{}<>.!?]+)*|\S)""")
+# What the fit shall learn to tell from secrets: eight characters or more with a digit, or twenty of any kind.
+ALIKE = re.compile(r"(?=.*[0-9]).{8,}|.{20,}", re.DOTALL)
+NEAR, ONE_IN, LENGTH = 4, 4, 16
+HASHED = 1 << 16
 STATES = "BIO"
+HEXADECIMAL = frozenset("0123456789abcdef")
+FIRST = 3  # in place of the tag before: the text begins
 FORBIDDEN = -1e4
 
 
-def shape(token: str) -> list[str]:
-    n = len(token)
-    digits = sum(c.isdigit() for c in token)
-    upper, lower = sum(c.isupper() for c in token), sum(c.islower() for c in token)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(token).values())
-    classes = re.sub(r"(.)\1+", r"\1", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "0", token))))
-    return [f"n{min(12, int(2 * math.log2(n)))}", f"d{round(4 * digits / n)}", f"u{upper > 0}{lower > 0}{digits > 0}",
-            f"e{int(2 * entropy)}", f"c{classes[:6]}", f"k{min(6, len(classes) // 3)}", f"h{set(token) <= set('0123456789abcdef')}",
-            f"s{token[:4]}", f"p{sum(c in '+/_.-=' for c in token) and min(3, token.count('.'))}", f"t{n in (32, 40, 64)}",
-            f"ue{upper > 0}{lower > 0}{digits > 0}{int(entropy)}"]
+def number(features: list[str]) -> list[int]:
+    return [1 + zlib.crc32(f.encode("utf-8", "replace")) % (HASHED - 1) for f in features]
+
+
+def entropy(token: str) -> float:
+    n, signs = len(token), set(token)
+    repeated = sum(k * math.log2(k) for k in map(token.count, signs)) if len(signs) < n else 0.0
+    return math.log2(n) - repeated / n
 
 
-def neighbours(text: str, start: int, end: int) -> list[str]:
-    before = AROUND.findall(text[max(0, start - 32):start].lower())[-3:]
-    after = AROUND.findall(text[end:end + 16].lower())[:2]
-    before = ["^"] * (3 - len(before)) + before
-    after += ["$"] * (2 - len(after))
-    return [f"b1{before[2]}", f"b2{before[1]}", f"b3{before[0]}", f"bb{before[1]}{before[2]}", f"a1{after[0]}", f"a2{after[1]}"]
+@lru_cache(1 << 14)
+def shape_numbers(glued: bool, n: int, entropy2: int, hexadecimal: bool, digits: int, upper: int, lower: int,
+                  classes: str, signs: int, word: bool) -> list[int]:
+    kinds = f"u{upper > 0}{lower > 0}{digits > 0}"
+    return number([f"n{min(12, int(2 * math.log2(n)))}", f"d{round(4 * digits / n)}", kinds, f"e{entropy2}", f"c{classes[:6]}",
+                   f"k{min(6, len(classes) // 3)}", f"h{hexadecimal}", f"p{signs}", f"t{n in (32, 40, 64)}",
+                   f"u{kinds}{entropy2 // 2}", f"l{glued}{min(n, 3)}{word}"])
+
+
+def shape(token: str) -> list[int]:
+    """Features of a token's own characters, and whether a blank is before it."""
+    bare = token.lstrip()
+    glued, n, hexadecimal = len(bare) == len(token), len(bare), HEXADECIMAL.issuperset(bare)
+    of = glued, n, int(2 * entropy(bare)), hexadecimal
+    if bare.isascii() and bare.isalpha() and bare.islower():
+        own = shape_numbers(*of, 0, 0, n, "a", 0, True)
+    else:
+        classes = re.sub(r"[a-z]|[^\x00-\x7f]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "0", bare)))
+        classes = re.sub(r"(.)\1+", r"\1", classes)
+        own = shape_numbers(*of, sum(c.isdigit() for c in bare), sum(c.isupper() for c in bare), sum(c.islower() for c in bare),
+                            classes[:21], sum(c in "+/_.-=" for c in bare) and min(3, bare.count(".")), bare.isalnum())
+    return own + number(["s" + bare[:4]])
 
 
 def file_features(text: str) -> list[str]:
@@ -96,22 +118,19 @@ def file_features(text: str) -> list[str]:
             f"j{min(4, text.count('://'))}"]
 
 
-def chains(text: str) -> list[list[tuple[int, int]]]:
-    """Tokens that may be secrets, in chains with no other word between them."""
-    out: list[list[tuple[int, int]]] = []
-    for m in TOKEN.finditer(text):
-        if out and GAP.fullmatch(text, out[-1][-1][1], m.start()):
-            out[-1].append(m.span())
-        else:
-            out.append([m.span()])
-    return out
+EDGE = {"^": "  ^^", "$": "  $$"}  # before the first and after the last token; tokens have one blank before them at most
+PLACES = (3, 5, 7, 11, 13)  # one, two and three before, one and two after
+SHAPES, NEIGHBOURS, FILES = 12, len(PLACES) + 1, 3
 
 
-def number(features: list[str]) -> list[int]:
-    return [1 + zlib.crc32(f.encode("utf-8", "replace")) % (HASHED - 1) for f in features]
+def code(token: str) -> int:
+    return zlib.crc32(token.lstrip().lower().encode("utf-8", "replace"))
 
 
-SHAPES, NEIGHBOURS, FILES = 11, 6, 3
+def neighbours(b3, b2, b1, a1, a2) -> list:
+    """Features from the codes, numbers or arrays, of the tokens around."""
+    near = [1 + (c * place + place) % (HASHED - 1) for c, place in zip((b1, b2, b3, a1, a2), PLACES, strict=True)]
+    return [*near, 1 + (31 * b2 + 17 * b1 + 1) % (HASHED - 1)]
 
 
 @dataclass
@@ -122,39 +141,123 @@ class ChainModel:
 
     def decode(self, features: list[list[int]]) -> list[int]:
         """Tags of one chain by Viterbi."""
-        scores = np.stack([self.emit[f].sum(0) for f in features])
-        best, back = scores[0] + self.start, []
+        return self.path(np.stack([self.emit[f].sum(0) for f in features]))
+
+    def path(self, scores: np.ndarray, before: bool = False, after: bool = False) -> list[int]:
+        """The best tags for the scores of a chain, or of a part that has an O before or after it."""
+        best, back = scores[0] + (self.move[2] if before else self.start), []
         for row in scores[1:]:
             through = best[:, None] + self.move
             back.append(through.argmax(0))
             best = through.max(0) + row
-        tags = [int(best.argmax())]
+        tags = [int((best + self.move[:, 2] if after else best).argmax())]
         for step in reversed(back):
             tags.append(int(step[tags[-1]]))
         return tags[::-1]
 
+    def most(self) -> float:
+        """The most that transitions may gain by another tag than O at one position.
+
+        The path it is compared with has O there and, if I came next, B instead of this I.
+        """
+        out = -math.inf
+        for tag in (0, 1):
+            for here, plain in [(self.start[tag], self.start[2]), *((self.move[a, tag], self.move[a, 2]) for a in range(3))]:
+                out = max(out, here - plain)
+                for c in range(3):
+                    to = 2 if c == 2 else 0
+                    gain = here - plain + self.move[tag, c] - self.move[2, to]
+                    out = max(out, gain, *(gain + self.move[c, e] - self.move[to, e] for e in range(3)))
+        return float(out)
+
+
+class Tagger:
+    """Tags whole texts, with bounded tables of the words seen."""
+
+    def __init__(self, model: ChainModel, entries: int = 100_000) -> None:
+        self.model, self.entries, self.most = model, entries, model.most()
+        self.emit = model.emit - model.emit[:, 2:]  # against the tag O
+        self.clear()
+
+    def clear(self) -> None:
+        self.seen: dict[str, int] = {}
+        self.own, self.codes = np.zeros((0, 3)), np.zeros(0, np.int64)
+        self.add(EDGE.values())
+
+    def add(self, tokens: Iterable[str]) -> None:
+        new = [t for t in dict.fromkeys(tokens) if t not in self.seen]
+        if new:
+            self.seen.update(zip(new, range(len(self.seen), len(self.seen) + len(new)), strict=True))
+            need = len(self.seen)
+            if need > len(self.codes):
+                more = max(1024, need, 2 * len(self.codes)) - len(self.codes)
+                self.own = np.concatenate([self.own, np.zeros((more, 3))])
+                self.codes = np.concatenate([self.codes, np.zeros(more, np.int64)])
+            self.own[need - len(new):need] = self.emit[np.array([shape(t) for t in new])].sum(1)
+            self.codes[need - len(new):need] = [code(t) for t in new]
+
+    def scores(self, text: str, tokens: list[str]) -> np.ndarray:
+        """What each tag of each token gains against O, without the transitions."""
+        if len(self.seen) > self.entries:
+            self.clear()
+        self.add(tokens)
+        ids = np.array([0, 0, 0, *map(self.seen.__getitem__, tokens), 1, 1])
+        codes, n = self.codes[ids], len(tokens)
+        out = self.own[ids[3:-2]] + self.emit[number(file_features(text))].sum(0)
+        for feature in neighbours(*(codes[at:at + n] for at in (0, 1, 2, 4, 5))):
+            out += self.emit[feature]
+        return out
+
+    def tags(self, text: str, tokens: list[str]) -> np.ndarray:
+        """Tags of the whole text on the best path."""
+        out = np.full(len(tokens), 2)
+        if not tokens:
+            return out
+        scores = self.scores(text, tokens)
+        switch = np.maximum(scores[1:, 1] - scores[1:, 0], 0)  # an I after the position that becomes B
+        open_ = scores[:, :2].max(1) + np.append(switch, 0) + self.most >= 0
+        bounds = np.flatnonzero(np.diff(np.concatenate([[False], open_, [False]])))
+        for a, b in bounds.reshape(-1, 2).tolist():
+            out[a:b] = self.model.path(scores[a:b], a > 0, b < len(tokens))
+        return out
+
+    def spans(self, text: str) -> list[tuple[int, int]]:
+        tags = self.tags(text, TOKEN.findall(text))
+        if (tags == 2).all():
+            return []
+        out: list[tuple[int, int]] = []
+        for m, tag in zip(TOKEN.finditer(text), tags.tolist(), strict=True):
+            if tag == 0:
+                out.append((m.end() - len(m[0].lstrip()), m.end()))
+            elif tag == 1 and out:
+                out[-1] = (out[-1][0], m.end())
+        return out
+
 
 def logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def fit_chain(examples: list[tuple[list[list[int]], list[int]]], steps: int = 150, rate: float = 0.1,
-              penalty: float = 1e-4, length: int = 4) -> ChainModel:
-    """Maximum likelihood by forward-backward over all chains at once, with Adam steps."""
-    examples = [(f[at:at + length], t[at:at + length]) for f, t in examples for at in range(0, len(f), length)]
+def fit_chain(examples: list[tuple[list[list[int]], list[int], int]], steps: int = 150, rate: float = 0.1,
+              penalty: float = 1e-4, length: int = LENGTH) -> ChainModel:
+    """Maximum likelihood by forward-backward over all windows at once, with Adam steps.
+
+    A window of more than ``length`` tokens is cut, each part after the tag before it.
+    """
+    examples = [(f[at:at + length], t[at:at + length], t[at - 1] if at else before)
+                for f, t, before in examples for at in range(0, len(f), length)]
     model = ChainModel()
     model.move[2, 1] = model.start[1] = FORBIDDEN  # inside follows begin or inside only
-    if not any(t != 2 for _, tags in examples for t in tags):
+    if not any(t != 2 for _, tags, _ in examples for t in tags):
         model.start[0] = model.move[2, 0] = FORBIDDEN
         return model
     n, width = len(examples), SHAPES + NEIGHBOURS + FILES
     index, tags, real = np.zeros((n, length, width), np.int64), np.full((n, length), 2), np.zeros((n, length), bool)
-    for i, (features, found) in enumerate(examples):
+    before = np.array([b for _, _, b in examples])
+    for i, (features, found, _) in enumerate(examples):
         for j, (f, t) in enumerate(zip(features, found, strict=True)):
             index[i, j, :len(f)], tags[i, j], real[i, j] = f, t, True
-        if tags[i, 0] == 1:
-            tags[i, 0] = 0
     parameters = [model.emit, model.move, model.start]
     free = [np.ones_like(p) for p in parameters]
     free[0][0] = 0
@@ -164,7 +267,7 @@ def fit_chain(examples: list[tuple[list[list[int]], list[int]]], steps: int = 15
     for step in range(1, steps + 1):
         emit = model.emit[index].sum(2)
         forward = np.zeros((n, length, 3))
-        forward[:, 0] = model.start + emit[:, 0]
+        forward[:, 0] = np.vstack([model.move, model.start])[before] + emit[:, 0]
         for j in range(1, length):
             through = logsumexp(forward[:, j - 1, :, None] + model.move, 1) + emit[:, j]
             forward[:, j] = np.where(real[:, j, None], through, forward[:, j - 1])
@@ -179,7 +282,9 @@ def fit_chain(examples: list[tuple[list[list[int]], list[int]]], steps: int = 15
             np.add.at(gradient[1], (tags[:, j][real[:, j + 1]], tags[:, j + 1][real[:, j + 1]]), -1)
         single = np.exp(forward + backward - total[:, None, None]) * real[:, :, None]
         single[rows[:, None], np.arange(length), tags] -= real
-        gradient[2] += single[:, 0].sum(0)
+        for tag in range(3):
+            gradient[1][tag] += single[before == tag, 0].sum(0)
+        gradient[2] += single[before == FIRST, 0].sum(0)
         flat = index.reshape(-1)
         for state in range(3):
             gradient[0][:, state] = np.bincount(flat, np.repeat(single[:, :, state].reshape(-1), width), HASHED)
@@ -191,46 +296,46 @@ def fit_chain(examples: list[tuple[list[list[int]], list[int]]], steps: int = 15
     return model
 
 
-def examples(text: str) -> Iterator[tuple[list[list[int]], list[int]]]:
-    """Chains of a text with the tags its pattern spans give, with and without the neighbours."""
-    found = chains(text)
+def examples(text: str) -> Iterator[tuple[list[list[int]], list[int], int]]:
+    """Windows of a text with the tags its pattern spans give and the tag before, with and without the neighbours."""
+    found = list(TOKEN.finditer(text))
     if not found:
         return
-    _, values = pattern_spans(text)
-    file, last = file_features(text), None
-    for chain in found:
-        tags, features = [], []
-        for start, end in chain:
-            hit = next((k for k, (a, b) in enumerate(values) if a < end and start < b), None)
-            tags.append(2 if hit is None else 1 if hit == last else 0)
-            last = hit
-            features.append((number(shape(text[start:end])), number(neighbours(text, start, end)), number(file)))
-        if tags[0] == 1:
-            tags[0] = 0
-        yield [a + b + c for a, b, c in features], tags
-        yield [a + c for a, _, c in features], tags
-
-
-def crf_spans(text: str, model: ChainModel) -> list[tuple[int, int]]:
-    found = chains(text)
-    if not found:
-        return []
-    file, out = number(file_features(text)), []
-    for chain in found:
-        tags = model.decode([number(shape(text[a:b])) + number(neighbours(text, a, b)) + file for a, b in chain])
-        for (start, end), tag in zip(chain, tags, strict=True):
-            if tag == 0:
-                out.append((start, end))
-            elif tag == 1 and out:
-                out[-1] = (out[-1][0], end)
-    return out
+    values, tokens, n = pattern_spans(text)[1], [m[0] for m in found], len(found)
+    tags, last, k = [], None, 0
+    for m in found:
+        while k < len(values) and values[k][1] <= m.start():
+            k += 1
+        hit = k if k < len(values) and values[k][0] < m.end() and m.end() - len(m[0].lstrip()) < values[k][1] else None
+        tags.append(2 if hit is None else 1 if hit == last else 0)
+        last = hit
+    chosen = np.zeros(n, bool)
+    for at in range(n):
+        if tags[at] != 2 or ALIKE.fullmatch(tokens[at].strip()):
+            chosen[max(0, at - NEAR):at + NEAR + 1] = True
+    file, digest = number(file_features(text)), zlib.crc32(text.encode("utf-8", "replace"))
+    windows = [(a, b, True) for a, b in np.flatnonzero(np.diff(np.concatenate([[False], chosen, [False]]))).reshape(-1, 2).tolist()]
+    if digest % ONE_IN == 0:
+        at = digest // ONE_IN % n
+        windows.append((at, min(n, at + LENGTH), False))
+    for a, b, twice in windows:
+        before = tags[a - 1] if a else FIRST
+        shapes = [shape(t) for t in tokens[a:b]]
+        codes = [code(t) for t in [EDGE["^"]] * max(0, 3 - a) + tokens[max(0, a - 3):b + 2] + [EDGE["$"]] * max(0, b + 2 - n)]
+        yield [s + neighbours(*codes[k:k + 3], *codes[k + 4:k + 6]) + file for k, s in enumerate(shapes)], tags[a:b], before
+        if twice:
+            yield [s + file for s in shapes], tags[a:b], before
+
+
+def crf_spans(text: str, model: ChainModel | Tagger) -> list[tuple[int, int]]:
+    return (model if isinstance(model, Tagger) else Tagger(model)).spans(text)
 
 
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def all_spans(text: str | None, model: ChainModel) -> tuple[list[Span], list[Span]]:
+def all_spans(text: str | None, model: ChainModel | Tagger) -> tuple[list[Span], list[Span]]:
     """Spans of the patterns, and these with the field's."""
     if not text:
         return [], []
@@ -248,18 +353,18 @@ def fit(docs: DataFrame, sampled: int = 8000) -> ChainModel:
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 found = list(examples(text)) if isinstance(text, str) else []
                 if found:
-                    yield pd.DataFrame({"doc_id": doc_id, "at": range(len(found)),
-                                        "tags": [t for _, t in found],
-                                        "features": [[x for f in fs for x in f] for fs, _ in found]})
+                    yield pd.DataFrame({"doc_id": doc_id, "at": range(len(found)), "before": [b for _, _, b in found],
+                                        "tags": [t for _, t, _ in found],
+                                        "features": [[x for f in fs for x in f] for fs, _, _ in found]})
 
     # the chosen ids are at most ``sampled`` rows
     found = (docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id")
-             .mapInPandas(rows, "doc_id long, at int, tags array<int>, features array<int>")
+             .mapInPandas(rows, "doc_id long, at int, before int, tags array<int>, features array<int>")
              .toPandas().sort_values(["doc_id", "at"]))
     chosen = []
-    for tags, flat in zip(found["tags"], found["features"], strict=True):
+    for before, tags, flat in zip(found["before"], found["tags"], found["features"], strict=True):
         width = len(flat) // len(tags)
-        chosen.append(([list(flat[k * width:(k + 1) * width]) for k in range(len(tags))], list(tags)))
+        chosen.append(([list(flat[k * width:(k + 1) * width]) for k in range(len(tags))], list(tags), before))
     return fit_chain(chosen)
 
 
@@ -267,10 +372,11 @@ def scan(docs: DataFrame, model: ChainModel) -> DataFrame:
     """Counts and spans of every document."""
     def rows(batches):
         names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_crf"]
+        tagger = Tagger(model)
         for part in parts(batches):
             out = []
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                base, spans = all_spans(text, model)
+                base, spans = all_spans(text, tagger)
                 kinds = Counter(kind for _, kind, _ in spans)
                 out.append((doc_id, kinds[0], kinds[1], kinds[2], hashlib.sha256(joined(base).encode()).hexdigest(),
                             joined(spans), kinds[3]))
@@ -281,11 +387,11 @@ def scan(docs: DataFrame, model: ChainModel) -> DataFrame:
 
 def redact(docs: DataFrame, model: ChainModel, mark: str = "[secret]") -> DataFrame:
     """The documents, all columns kept, with every span replaced by ``mark``."""
-    def one(text: str | None) -> str | None:
+    def one(text: str | None, tagger: Tagger) -> str | None:
         if not text:
             return text
         out, at = [], 0
-        for start, _, end in all_spans(text, model)[1]:
+        for start, _, end in all_spans(text, tagger)[1]:
             if start >= at:
                 out += [text[at:start], mark]
             at = max(at, end)
@@ -293,9 +399,10 @@ def redact(docs: DataFrame, model: ChainModel, mark: str = "[secret]") -> DataFr
 
     def rows(batches):
         import pyarrow as pa
+        tagger = Tagger(model)
         for part in parts(batches):
             place = part.schema.get_field_index("text")
-            texts = pa.array([one(t) for t in part.column(place).to_pylist()], part.schema.field(place).type)
+            texts = pa.array([one(t, tagger) for t in part.column(place).to_pylist()], part.schema.field(place).type)
             yield part.set_column(place, part.schema.field(place), texts)
 
     return docs.mapInArrow(rows, docs.schema)

@@ -102,8 +102,12 @@ def shape(token: str) -> list[int]:
     bare = token.lstrip()
     glued, n, hexadecimal = len(bare) == len(token), len(bare), HEXADECIMAL.issuperset(bare)
     of = glued, n, int(2 * entropy(bare)), hexadecimal
-    if bare.isascii() and bare.isalpha() and bare.islower():
+    if bare.isalpha() and bare.islower():  # the common kinds, without counting
         own = shape_numbers(*of, 0, 0, n, "a", 0, True)
+    elif bare.isascii() and bare.isalpha() and bare[1:].islower():
+        own = shape_numbers(*of, 0, 1, n - 1, "Aa", 0, True)
+    elif bare.isascii() and bare.isdecimal():
+        own = shape_numbers(*of, n, 0, 0, "0", 0, True)
     else:
         classes = re.sub(r"[a-z]|[^\x00-\x7f]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "0", bare)))
         classes = re.sub(r"(.)\1+", r"\1", classes)
@@ -174,7 +178,7 @@ class ChainModel:
 class Tagger:
     """Tags whole texts, with bounded tables of the words seen."""
 
-    def __init__(self, model: ChainModel, entries: int = 100_000) -> None:
+    def __init__(self, model: ChainModel, entries: int = 250_000) -> None:
         self.model, self.entries, self.most = model, entries, model.most()
         self.emit = model.emit - model.emit[:, 2:]  # against the tag O
         self.clear()
@@ -205,7 +209,7 @@ class Tagger:
         codes, n = self.codes[ids], len(tokens)
         out = self.own[ids[3:-2]] + self.emit[number(file_features(text))].sum(0)
         for feature in neighbours(*(codes[at:at + n] for at in (0, 1, 2, 4, 5))):
-            out += self.emit[feature]
+            out += self.emit.take(feature, 0)
         return out
 
     def tags(self, text: str, tokens: list[str]) -> np.ndarray:

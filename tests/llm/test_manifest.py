@@ -1,0 +1,82 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from tierflow.llm.manifest import manifest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, root string, grp string"
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def framed(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def leaf(row, more=0):
+    doc_id, text, lang, source, n_chars = row[:5]
+    return h(*map(framed, (doc_id, source, lang, n_chars if n_chars is None else n_chars + more, text)))
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([h(*out[-1][i:i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def brute(rows):
+    langs = sorted({r[2] for r in rows}, key=lambda v: (v is not None, (v or "").encode()))
+    mine = {v: sorted([r for r in rows if r[2] == v], key=lambda r: (r[0] is None, r[0] or 0, leaf(r))) for v in langs}
+    trees = {v: levels([leaf(r) for r in mine[v]]) for v in langs}
+    top = levels([trees[v][-1][0] for v in langs])
+    out = []
+    for at, v in enumerate(langs):
+        for i, r in enumerate(mine[v]):
+            forged = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0
+            node, siblings = leaf(r, 1 if forged else 0), []
+            for tree, place in ((trees[v], i), (top, at)):
+                for row in tree[:-1]:
+                    other = "".join(row[place ^ 1:(place ^ 1) + 1])
+                    siblings.append(other)
+                    node = h(other, node) if place % 2 else h(node, other)
+                    place //= 2
+            out.append((r[0], v, leaf(r), trees[v][-1][0], top[-1][0], h(*siblings), node, node == top[-1][0]))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, bits):
+    found = manifest(spark.createDataFrame(rows, SCHEMA).repartition(3), bits)
+    return sorted([tuple(r) for r in found.select(
+        "doc_id", "lang", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified").collect()], key=repr)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(1)
+    out = [(i, "t" * (i % 5) + "é", rng.choice(["en", "en", "en", "de", "zß", None, ""]), "s", i, "clash", "clash") for i in range(45)]
+    return out + [(100, "only", "xx", None, None, "", ""), (3, "again", "en", "s", 1, "", "")]
+
+
+@pytest.mark.parametrize("bits", [1, 3])
+def test_equals_trees_built_in_memory(spark, rows, bits):
+    assert run(spark, rows, bits) == brute(rows)
+
+
+def test_odd_rows(spark):
+    odd = [(None, None, None, None, None, None, None), (7, "", "en", "", -1, None, None), (7, "", "en", "", -1, None, None),
+           (None, "x" * 50_000, "en", "s", 2**63 - 1, None, None), (9, "y", "en", "s", 2**63 - 1, None, None)]
+    assert run(spark, odd, 10) == brute(odd)
+    one = [(5, "a", "en", "s", 1, None, None)]
+    assert run(spark, one, 2) == brute(one)
+    assert run(spark, [], 2) == []
+
+
+def test_tampered_rows_fail_and_others_verify(spark, rows):
+    for r in run(spark, rows, 2):
+        forged = zlib.crc32(str(r[0]).encode()) % 7 == 0 and r[0] != 100
+        assert r[-1] is (not forged)

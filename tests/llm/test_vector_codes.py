@@ -1,0 +1,89 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tierflow.llm import vector_codes
+from tierflow.llm.vector_codes import ball_step, compress, moved_sums, nearest
+
+
+def brute(rows, entries=16, rounds=6):
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, [math.floor(v * 4096) for v in r[1]]))
+    x = np.array([[math.floor(v * 4096) for v in r[1]] for r in rows], np.int64)
+    parts = x.reshape(len(x), 8, -1).transpose(1, 0, 2)
+    book = parts[:, :entries].copy()
+
+    def assigned():
+        d = ((parts[:, :, None] - book[:, None]) ** 2).sum(-1)
+        return d.argmin(-1), d.min(-1)
+    for _ in range(rounds):
+        at, _ = assigned()
+        for p in range(8):
+            for k in range(book.shape[1]):
+                if (at[p] == k).any():
+                    book[p, k] = parts[p][at[p] == k].sum(0) // (at[p] == k).sum()
+    at, d = assigned()
+    error, labels = d.sum(0).tolist(), {}
+    for r, e in zip(rows, error, strict=True):
+        labels[r[2]] = labels.get(r[2], 0) + e
+    digest = hashlib.sha256(",".join(map(str, book.reshape(-1))).encode()).hexdigest()
+    return sorted([(r[0], "".join(f"{c:02x}" for c in at[:, i]), error[i], labels[r[2]], digest) for i, r in enumerate(rows)], key=repr)
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.integers(0, 10**6), st.integers(1, 6), st.integers(1, 3))
+def test_rings_lose_no_nearer_entry(seed, spread, width):
+    rng = np.random.default_rng(seed)
+    book = rng.integers(-spread, spread + 1, (7, width))  # small numbers: many ties and equal entries
+    x = rng.integers(-spread, spread + 1, (60, width))
+    own = rng.integers(0, 7, 60)
+    at, d, _ = ball_step(x, own, book)
+    wanted, far = nearest(x, book)
+    assert (d == far).all() and (d == vector_codes.distances(x, book[at])).all()
+    # the own entry may keep a tie only against none: the lowest index wins
+    assert at.tolist() == wanted.tolist()
+
+
+def test_core_members_are_not_compared():
+    book = np.array([[0], [1000], [2000]])
+    x = np.repeat(book, 50, axis=0) + np.tile(np.arange(50), 3)[:, None]
+    own = nearest(x, book)[0]
+    assert ball_step(x, own, book)[2] == len(x)  # the distance to the own entry alone
+    assert not moved_sums(x, own, own, 3).any()
+
+
+@pytest.fixture
+def vectors(spark):
+    rng = np.random.default_rng(5)
+
+    def make(n, dim=16):
+        values = rng.choice([-0.5, 0.1, 0.10001, 0.25, 0.9, -0.0003], (n, dim))
+        return [(int(i // 2), values[i].tolist(), None if i % 3 == 0 else int(i % 2)) for i in range(n)]
+    return make
+
+
+SCHEMA = "vec_id long, embedding array<double>, label int, code string"
+
+
+def run(spark, rows, **options):
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).repartition(3)
+    found = compress(df, **options).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+    return sorted([tuple(r) for r in found.collect()], key=repr)
+
+
+def test_equals_plain_rounds(spark, vectors):
+    rows = vectors(300)
+    assert run(spark, rows) == brute(rows)
+    few = [(*r[:2], None) for r in vectors(5)] + [(None, [0.5] * 16, 7)] * 2
+    assert run(spark, few, rounds=2) == brute(few, rounds=2)
+
+
+def test_rows_that_cannot_be_coded_are_left_out(spark, vectors):
+    rows = vectors(40)
+    bad = [(1, None, 1), (2, [0.1] * 15 + [None], 1), (3, [math.nan] + [0.1] * 15, 1), (-4, [math.inf] * 16, 1), (50, [0.1] * 8, 1),
+           (-6, [0.1] * 15, 1), (-7, [], 1), (60, [1e30] * 16, 1)]
+    assert run(spark, rows + bad) == brute(rows)
+    assert run(spark, bad[:4]) == run(spark, []) == []

@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set(BATCH_ROWS, rows)
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null ids fall in fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0)).cast("int")

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.llm import decontamination, html_text, jaccard_join, lm_scoring, packing, quality_classifier, quality_rules, secret_scan, substring_dedup, toxicity
+from tierflow.llm import (
+    decontamination, html_text, jaccard_join, lm_scoring, manifest, oracles, packing, quality_classifier, quality_rules,
+    secret_scan, substring_dedup, toxicity, url_filter, vector_codes)
 from tierflow.llm.common import table
 
 
@@ -58,6 +60,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_jaccard_join": op2_jaccard_join,
@@ -69,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_url_filter": op13_url_filter,
 }
 
 # All pairs that share an n-gram, and reachability: for small tables.
@@ -94,4 +111,9 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT start, min(node) AS component_id FROM reached GROUP BY start) r ON r.start = d.doc_id"""
 
-ORACLES: dict[str, str] = {"op2_jaccard_join": JACCARD_SQL}
+ORACLES: dict[str, str] = {
+    "op2_jaccard_join": JACCARD_SQL,
+    "op11_merkle_manifest": oracles.MANIFEST,
+    "op12_vector_codes": oracles.VECTOR_CODES,
+    "op13_url_filter": oracles.URL_FILTER,
+}

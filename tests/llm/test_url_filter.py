@@ -22,9 +22,9 @@ def strings(texts):
 
 def test_automaton_equals_regular_expressions():
     rng = random.Random(3)
-    for _ in range(60):
-        globs = ["".join(rng.choice(["a", "b", "/", "é", "*", "**", "?", "ab"]) for _ in range(rng.randrange(1, 12))) for _ in range(25)]
-        texts = ["".join(rng.choice("ab/éb") for _ in range(rng.randrange(0, 14))) for _ in range(40)] + ["a" * 200, ""]
+    for _ in range(30):
+        globs = ["".join(rng.choice(["a", "b", "/", "é", "*", "**", "?", "ab"]) for _ in range(rng.randrange(1, 8))) for _ in range(25)]
+        texts = ["".join(rng.choice("ab/éb") for _ in range(rng.randrange(0, 14))) for _ in range(40)] + ["a" * 70, ""]
         automaton = Automaton(globs)
         assert automaton.words > 1  # masks of several words, patterns across their edges
         found = set(zip(*[part.tolist() for part in automaton.run(*strings(texts))], strict=True))

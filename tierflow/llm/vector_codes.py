@@ -93,7 +93,7 @@ def moved_sums(x: np.ndarray, old: np.ndarray | None, new: np.ndarray, entries:
 
 
 def reach(dim: int) -> int:
-    """Components below this keep all distances within 64 bits."""
+    """Components below this keep all distances within 64 bits, and fit in 32 themselves."""
     return math.isqrt((1 << 61) // max(1, dim // PARTS)) // 2
 
 
@@ -110,7 +110,19 @@ def _whole(x: Column, limit: int) -> Column:
 
 
 def _matrix(column, rows: int) -> np.ndarray:
-    return column.flatten().to_numpy().reshape(rows, PARTS, -1).astype(np.int64)
+    """Rows, parts and components of whole numbers: lists at first, their bytes in later rounds."""
+    import pyarrow as pa
+    if pa.types.is_list(column.type):
+        flat = column.flatten().to_numpy()
+    else:
+        flat = np.frombuffer(b"".join(column.to_pylist()), np.int32)
+    return flat.reshape(rows, PARTS, -1).astype(np.int64)
+
+
+def _rows_as_bytes(values: np.ndarray):
+    import pyarrow as pa
+    raw, width = values.tobytes(), values.nbytes // len(values)
+    return pa.array([raw[at:at + width] for at in range(0, len(raw), width)], pa.binary())
 
 
 def _pass(vectors: DataFrame, books: np.ndarray, first: bool, last: bool) -> DataFrame:
@@ -119,7 +131,7 @@ def _pass(vectors: DataFrame, books: np.ndarray, first: bool, last: bool) -> Dat
     kept = ["vec_id", "label"]
     fields = [vectors.schema[c] for c in kept] + [T.StructField("code", T.BinaryType())] + (
         [T.StructField("error", T.LongType())] if last else
-        [T.StructField("x", T.ArrayType(T.LongType())), T.StructField("change", T.ArrayType(T.LongType()))])
+        [T.StructField("x", T.BinaryType()), T.StructField("change", T.ArrayType(T.LongType()))])
 
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -135,13 +147,12 @@ def _pass(vectors: DataFrame, books: np.ndarray, first: bool, last: bool) -> Dat
                 new[:, p], d = nearest(part, books[p]) if first else ball_step(part, old[:, p], books[p])[:2]
                 error += d
                 change.append(moved_sums(part, None if first else old[:, p], new[:, p], entries))
-            raw = new.astype(np.uint8).tobytes()
-            code = pa.array([raw[at:at + PARTS] for at in range(0, len(raw), PARTS)], pa.binary())
+            code = _rows_as_bytes(new.astype(np.uint8))
             if last:
                 more = [code, pa.array(error)]
             else:
                 sums = pa.array([np.concatenate(change).reshape(-1).tolist(), *[None] * (n - 1)], pa.list_(pa.int64()))
-                more = [code, batch.column("x"), sums]
+                more = [code, _rows_as_bytes(x.reshape(n, -1).astype(np.int32)), sums]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + more, names=[f.name for f in fields])
 
     return vectors.mapInArrow(rows, T.StructType(fields))

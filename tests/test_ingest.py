@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierflow.functions.predicates import moment
 from tierflow.plans import ingest
@@ -109,7 +110,7 @@ def test_full_then_incremental_then_empty(spark, lake):
     assert (third.status, third.source_rows, third.target_rows, third.watermark) == (SUCCESS, 0, 0, at(3))
     bronze = spark.read.parquet(lake.bronze)
     assert sorted(r.id for r in bronze.collect()) == [1, 2, 3, 4]
-    assert bronze.columns == ["id", "source_modified", "insert_date", "update_date", "load_id"]
+    assert bronze.columns == ["id", "source_modified", "insert_date", "update_date", "load_id", "boundary"]
     assert bronze.select("insert_date").distinct().count() == 2
     ledger = spark.read.parquet(lake.ledger)
     assert ledger.columns == INGESTION_HISTORY.fieldNames()
@@ -180,6 +181,91 @@ def test_window_ends_at_the_sources_clock_less_a_lag(spark, lake):
     assert (back.source_rows, back.watermark) == (0, at(5))
 
 
+class LostLedger(Exception):
+    pass
+
+
+def run_and_lose_ledger(spark, lake, *specs):
+    def lose(row):
+        raise LostLedger
+
+    with pytest.raises(LostLedger):
+        run_ingest(spark, specs, lambda s: s.read.parquet(lake.ledger), lose, lake.now)
+
+
+def test_a_load_whose_ledger_row_is_lost_is_stored_once(spark, lake):
+    lake.add(*[(i, at(1, i)) for i in range(5)], (9, None))
+    run_and_lose_ledger(spark, lake, lake.spec())
+    assert loaded(spark, lake) == [0, 1, 2, 3, 4, 9]
+    lake.add((5, at(2)), (6, at(1, 1)))  # the second one lies in the window that is read again
+    again, after = lake.run(lake.spec())
+    assert (again.status, again.source_rows, again.target_rows, again.watermark) == (SUCCESS, 7, 7, at(1, 4))
+    assert (after.run_id, after.source_rows, after.watermark) == (2, 1, at(2))
+    assert loaded(spark, lake) == [0, 1, 2, 3, 4, 5, 6, 9]
+    first = spark.read.parquet(lake.bronze).where("id < 5")
+    assert first.select("load_id", "insert_date").distinct().count() == 1
+    run_and_lose_ledger(spark, lake, lake.spec())
+    lake.run(lake.spec())
+    assert loaded(spark, lake) == [0, 1, 2, 3, 4, 5, 6, 9]
+
+
+def test_a_repeated_load_leaves_nothing_of_its_first_attempt(spark, lake):
+    lake.add((1, at(1)))
+    run_and_lose_ledger(spark, lake, lake.spec())
+    spark.createDataFrame([(7, at(5))], "id int, lastmodifieddate timestamp_ntz").write.mode("overwrite").parquet(lake.source)
+    again, after = lake.run(lake.spec())
+    assert (again.source_rows, after.source_rows, loaded(spark, lake)) == (0, 1, [7])
+
+
+def test_loads_of_two_sources_into_one_table_are_told_apart(spark, lake):
+    lake.add((1, at(1)))
+    run_and_lose_ledger(spark, lake, lake.spec())
+    other, = lake.run(lake.spec(source_table="second"))
+    assert (other.status, other.source_rows, loaded(spark, lake)) == (SUCCESS, 1, [1, 1])
+    lake.run(lake.spec())
+    assert loaded(spark, lake) == [1, 1]
+
+
+def test_a_broken_write_is_repeated(spark, lake):
+    lake.add((1, at(1)))
+
+    class Broken(IngestSpec):
+        def write(self, rows, load):
+            super().write(rows.limit(0), load)
+            raise OSError("disk is full")
+
+    given = lake.spec()
+    failed, = lake.run(Broken(**{name: getattr(given, name) for name in given.__dataclass_fields__}))
+    assert (failed.status, failed.error) == (FAILED, "disk is full")
+    assert [r.status for r in lake.run(lake.spec())] == [SUCCESS, SUCCESS] and loaded(spark, lake) == [1]
+
+
+def test_boundary_rows_are_read_from_their_own_folders(spark, lake):
+    lake.add((1, at(1)), (2, at(2)), (3, None))
+    lake.run(lake.spec())
+    bronze = spark.read.schema(ingest.bronze_schema(spark.read.parquet(lake.source).schema, "lastmodifieddate")).parquet(lake.bronze)
+    rows = ingest.fresh_rows(spark.read.parquet(lake.source), "lastmodifieddate", ingest.Window(1, at(2), at(5)), bronze)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((isnull(boundary" in plan
+    assert {r.id: r.boundary for r in bronze.collect()} == {1: "-", 2: "2024-06-01 02:00:00", 3: None}
+    assert rows.count() == 0
+
+
+def test_contents_are_compared_after_the_write(spark, lake):
+    lake.add((1, at(1)), (2, at(1)), (2, at(1)))
+    assert [r.error for r in lake.run(lake.spec(check_contents=True))] == [""]
+
+    class Careless(IngestSpec):
+        def write(self, rows, load):
+            super().write(rows.withColumn("id", F.abs("id")), load)
+
+    lake.add((-3, at(2)), (4, at(2)))
+    given = lake.spec(check_contents=True)
+    result, = lake.run(Careless(**{name: getattr(given, name) for name in given.__dataclass_fields__}))
+    assert (result.status, result.source_rows, result.target_rows) == (SUCCESS, 2, 2)
+    assert result.error == "contents differ from what was written: id, (rows)"
+
+
 def test_rows_changed_while_a_split_read_runs_are_read_next_time(spark, lake):
     """The upper bound is fixed before the read, so what changes meanwhile lies above it."""
     lake.add((1, at(1)))

@@ -9,18 +9,24 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tierflow.functions.predicates import moment
+from tierflow.operators.digest import content_digest, differing
 from tierflow.schemas import INGESTION_HISTORY
 
 log = logging.getLogger(__name__)
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
-# Columns that bronze has besides those of the source: the load a row came with, by which the
-# table is partitioned, and the change time it was read with.
-LOAD_COL, TICK_COL = "load_id", "source_modified"
+# Columns that bronze has besides those of the source: the change time a row was read with, the load
+# it came with, and where in the load's window its change time lies. The table is partitioned by the
+# last two.
+LOAD_COL, TICK_COL, BOUNDARY_COL = "load_id", "source_modified", "boundary"
+# Values of the boundary column: NULL for rows without a change time, the time itself for rows stamped
+# with the upper end of the window, which the next load reads again, and these for all other rows: of a
+# window, and of a load without an upper end.
+WITHIN, UNBOUNDED = "-", "any"
 IDENTITY = ["source_server_name", "source_database_name", "source_schema_name", "source_table_name",
             "target_database_name", "target_schema_name", "target_table_name"]
 
@@ -33,6 +39,13 @@ class IngestSpec:
     written and read in ``target_format`` with ``target_options``, at the path ``target`` if the
     format has one, partitioned by load. Subclasses may replace ``write`` and ``read_target``.
 
+    ``intents`` is the folder in which loads are announced before they write (default: in the target's
+    own folder, where readers don't look). Without it, as for a connector table by default, a load
+    whose ledger row is lost is appended again.
+
+    With ``check_contents`` a load's rows are read again after the write and compared with what the
+    write observed, column by column.
+
     ``clock`` asks the source for its time, and ``lag`` is how long a change may be stamped before
     it can be read: a load reads up to that time less the lag. Without a clock a load reads up to
     the highest change time, which it has to look up first.
@@ -54,12 +67,26 @@ class IngestSpec:
     triggered_by: str = ""
     target_format: str = "parquet"
     target_options: dict[str, str] = field(default_factory=dict)
+    intents: str = ""
+    check_contents: bool = False
+
+    @property
+    def intents_path(self) -> str | None:
+        return self.intents or (f"{self.target}/_intents" if self.target else None)
 
-    def write(self, rows: DataFrame) -> None:
-        writer = rows.write.format(self.target_format).options(**self.target_options).mode("append")
+    def write(self, rows: DataFrame, load: str) -> None:
+        """Write the rows of a load, in place of those an earlier attempt of it left.
+
+        A connector table is appended to, unless it holds the load: its writes have to be whole.
+        """
         if self.target:
-            writer = writer.partitionBy(LOAD_COL)
-        writer.save(self.target or None)
+            rows.write.format(self.target_format).options(**self.target_options).mode("overwrite").option(
+                "partitionOverwriteMode", "static").partitionBy(BOUNDARY_COL).save(f"{self.target}/{LOAD_COL}={load}")
+            return
+        spark = rows.sparkSession
+        rows = rows.withColumn(LOAD_COL, F.lit(load))
+        if not self.intents_path or self.read_target(spark, rows.schema).where(F.col(LOAD_COL) == load).isEmpty():
+            rows.write.format(self.target_format).options(**self.target_options).mode("append").save()
 
     def read_target(self, spark: SparkSession, schema: StructType) -> DataFrame:
         reader = spark.read.format(self.target_format).options(**self.target_options)
@@ -67,9 +94,8 @@ class IngestSpec:
         return reader.schema(schema).load(self.target) if self.target else reader.load()
 
 
-def history_for(ledger: DataFrame, spec: IngestSpec) -> DataFrame:
-    """The successful runs of this source and target."""
-    return ledger.where(
+def _of(spec: IngestSpec) -> Column:
+    return (
         (F.col("source_server_name") == spec.source_server)
         & (F.col("source_database_name") == spec.source_database)
         & (F.col("source_schema_name") == spec.source_schema)
@@ -77,10 +103,14 @@ def history_for(ledger: DataFrame, spec: IngestSpec) -> DataFrame:
         & (F.col("target_database_name") == spec.target_database)
         & (F.col("target_schema_name") == spec.target_schema)
         & (F.col("target_table_name") == spec.target_table)
-        & (F.col("status") == SUCCESS)
     )
 
 
+def history_for(ledger: DataFrame, spec: IngestSpec) -> DataFrame:
+    """The successful runs of this source and target."""
+    return ledger.where(_of(spec) & (F.col("status") == SUCCESS))
+
+
 def _watermark_col(by: str) -> Column:
     if by == "run_start":
         return F.max("run_start")
@@ -149,12 +179,24 @@ def window(spark: SparkSession, ledger: DataFrame, spec: IngestSpec) -> Window:
     return Window(runs, low, low if high is None or (low is not None and high < low) else high)
 
 
+def boundary(tick: Column, span: Window) -> Column:
+    """Where a change time lies in a window, as the folder its rows go to."""
+    if span.high is None:
+        return F.when(tick.isNotNull(), F.lit(UNBOUNDED))
+    return F.when(tick.isNull(), F.lit(None)).when(tick == moment(span.high), _stamp(tick)).otherwise(F.lit(WITHIN))
+
+
+def _stamp(tick: Column) -> Column:
+    return tick.cast("timestamp_ntz").cast("string")
+
+
 def fresh_rows(source: DataFrame, modified_col: str, span: Window, loaded: DataFrame | None) -> DataFrame:
     """The rows of a window that bronze does not have yet.
 
     Rows stamped ``low`` may have been committed after the load that read up to it, and rows
     without a change time belong to no window. Both are read by every load, and those that the
-    earlier loads (``loaded``) hold are left out, copy for copy. All other rows are new.
+    earlier loads (``loaded``) hold are left out, copy for copy. All other rows are new. Of bronze
+    only the folders of these two kinds are read.
     """
     stamp = F.col(modified_col)
     if span.low is None:
@@ -163,7 +205,9 @@ def fresh_rows(source: DataFrame, modified_col: str, span: Window, loaded: DataF
         return rows if loaded is None else _without(rows, loaded, modified_col, F.lit(True))
     newer = source.where((stamp > moment(span.low)) & (stamp <= moment(span.high)))
     seen = (F.col(modified_col) == moment(span.low)) | F.col(modified_col).isNull()
-    return newer.unionByName(_without(source.where(seen), loaded, modified_col, seen))
+    where = F.col(BOUNDARY_COL)
+    near = loaded.where(where.isNull() | (where == _stamp(moment(span.low))) | (where == UNBOUNDED))
+    return newer.unionByName(_without(source.where(seen), near, modified_col, seen))
 
 
 def _without(rows: DataFrame, loaded: DataFrame, modified_col: str, which: Column) -> DataFrame:
@@ -174,7 +218,7 @@ def _without(rows: DataFrame, loaded: DataFrame, modified_col: str, which: Colum
 def bronze_schema(source: StructType, modified_col: str) -> StructType:
     fields = [StructField(TICK_COL if f.name == modified_col else f.name, f.dataType) for f in source.fields]
     stamps = [StructField(name, TimestampNTZType()) for name in ("insert_date", "update_date")]
-    return StructType([*fields, *stamps, StructField(LOAD_COL, StringType())])
+    return StructType([*fields, *stamps, StructField(LOAD_COL, StringType()), StructField(BOUNDARY_COL, StringType())])
 
 
 def load_id(run_ts: datetime) -> str:
@@ -224,9 +268,64 @@ def ledger_row(spark: SparkSession, spec: IngestSpec, result: RunResult, run_sta
     return spark.createDataFrame([tuple(values[f.name] for f in INGESTION_HISTORY.fields)], INGESTION_HISTORY)
 
 
-def _load(spark: SparkSession, ledger: DataFrame, spec: IngestSpec, run_ts: datetime, result: RunResult) -> StructType:
-    """One load; the schema of bronze. Its row count is observed by the write itself."""
-    span = window(spark, ledger, spec)
+# An announced load: the window it reads, its id and stamp, and the last run that had succeeded by then.
+INTENT = StructType(
+    [StructField(name, StringType()) for name in (LOAD_COL, *IDENTITY)]
+    + [StructField("after_run", LongType())]
+    + [StructField(name, TimestampNTZType()) for name in ("low", "high", "run_start")])
+
+
+@dataclass(frozen=True)
+class Load:
+    """One load: its window, its id and stamp, and whether an earlier run has begun it."""
+
+    span: Window
+    load_id: str
+    stamp: datetime
+    resumed: bool = False
+
+
+def begin(spark: SparkSession, ledger: DataFrame, spec: IngestSpec, run_ts: datetime) -> Load:
+    """Announce the next load, or take up the one that is announced and not in the ledger.
+
+    The announcement is written before any row of the load. If the run ends before its ledger row is
+    written, the next run finds it: the load is repeated with the same window, id and stamp, and takes
+    the place of whatever the first attempt has left. Which loads are done is told by the ledger
+    alone: an announcement counts until a run succeeds after it.
+    """
+    path = spec.intents_path
+    if path is None:
+        return Load(window(spark, ledger, spec), load_id(run_ts), run_ts)
+    spark.createDataFrame([], INTENT).write.mode("ignore").parquet(path)
+    announced = spark.read.schema(INTENT).parquet(path)
+    latest = F.max(F.struct("created_date", "run_id"))  # as next_run_id understands it
+    last = history_for(ledger, spec).agg(F.coalesce(latest["run_id"], F.lit(0)).alias("run")).first()["run"]
+    open_load = announced.where(_of(spec) & (F.col("after_run") == last)).orderBy(F.col("run_start").desc()).first()
+    if open_load:
+        runs = history_for(ledger, spec).count()
+        return Load(Window(runs, open_load["low"], open_load["high"]), open_load[LOAD_COL], open_load["run_start"], True)
+    span, name = window(spark, ledger, spec), load_id(run_ts)
+    if not announced.where(F.col(LOAD_COL) == name).isEmpty():
+        raise RuntimeError(f"load {name} of {spec.target_table} is announced already")
+    identity = [spec.source_server, spec.source_database, spec.source_schema, spec.source_table,
+                spec.target_database, spec.target_schema, spec.target_table]
+    spark.createDataFrame([(name, *identity, last, span.low, span.high, run_ts)], INTENT).coalesce(1).write.mode(
+        "append").parquet(path)
+    return Load(span, name, run_ts)
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a load has written: the schema of bronze, its columns, and what was observed of them."""
+
+    schema: StructType
+    columns: list[str]
+    seen: dict
+
+
+def _load(spark: SparkSession, spec: IngestSpec, load: Load, result: RunResult) -> Written:
+    """One load. Its row count and its digests are observed by the write itself."""
+    span = load.span
     log.info("%s: %s load", spec.source_table, "full" if span.low is None else "incremental")
     result.watermark = span.low
     source = spec.source(spark)
@@ -234,16 +333,33 @@ def _load(spark: SparkSession, ledger: DataFrame, spec: IngestSpec, run_ts: date
     if spec.watermark_by == "run_start":
         rows = since(source, spec.modified_col, span.low)
     else:
-        rows = fresh_rows(source, spec.modified_col, span, spec.read_target(spark, schema) if span.runs else None)
+        # what an earlier attempt of this load has left is not loaded
+        earlier = spec.read_target(spark, schema).where(F.col(LOAD_COL) != load.load_id) if span.runs else None
+        rows = fresh_rows(source, spec.modified_col, span, earlier)
         result.watermark = span.high
     seen = Observation()
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(spec.modified_col).alias("newest"))
-    rows = add_load_columns(rows.withColumnRenamed(spec.modified_col, TICK_COL), run_ts)
-    spec.write(rows.withColumn(LOAD_COL, F.lit(load_id(run_ts))))
+    stamped = add_load_columns(rows.withColumnRenamed(spec.modified_col, TICK_COL), load.stamp)
+    columns = stamped.columns
+    checks = content_digest(columns) if spec.check_contents else [F.count(F.lit(1)).alias("rows")]
+    stamped = stamped.observe(seen, *checks, F.max(TICK_COL).alias("newest"))
+    spec.write(stamped.withColumn(BOUNDARY_COL, boundary(F.col(TICK_COL), span)), load.load_id)
     result.source_rows = seen.get["rows"]
     if spec.watermark_by == "run_start" and seen.get["newest"] is not None:
         result.watermark = seen.get["newest"]
-    return schema
+    return Written(schema, columns, seen.get)
+
+
+def _check(spark: SparkSession, spec: IngestSpec, load: Load, written: Written, result: RunResult) -> None:
+    """Count the load in the target, and compare its contents if asked for."""
+    stored = spec.read_target(spark, written.schema).where(F.col(LOAD_COL) == load.load_id)
+    if not spec.check_contents:
+        result.target_rows = stored.count()
+        return
+    found = stored.agg(*content_digest(written.columns)).first().asDict()
+    result.target_rows = found["rows"]
+    wrong = differing(written.columns, written.seen, found)
+    if wrong:
+        result.error = f"contents differ from what was written: {', '.join(wrong)}"
 
 
 def run_ingest(spark: SparkSession, specs: Sequence[IngestSpec], read_ledger: Callable[[SparkSession], DataFrame],
@@ -255,24 +371,39 @@ def run_ingest(spark: SparkSession, specs: Sequence[IngestSpec], read_ledger: Ca
     A load that was written counts as done: if only the count of the target fails, the row says
     SUCCESS, with the message and no target count. An increment without rows is a success too.
     Two loads of one table may not run at once.
+
+    Every load is stored once: one that a run has begun and not put into the ledger is repeated first,
+    with a result and a ledger row of its own, then what came since is loaded.
     """
     results = []
     for spec in specs:
-        run_start = now()
-        result = RunResult(spec.source_table, spec.target_table, SUCCESS)
-        try:
-            schema = _load(spark, read_ledger(spark), spec, run_start, result)
-        except Exception as failure:  # the ledger has to record any cause
-            log.exception("load of %s failed", spec.source_table)
-            result.status, result.error = FAILED, str(failure)
-        else:
-            try:
-                result.target_rows = loaded(spec.read_target(spark, schema), run_start).count()
-            except Exception as failure:
-                log.exception("count of %s failed", spec.target_table)
-                result.error = str(failure)
-        run_end = now()
-        result.run_id = next_run_id(read_ledger(spark)).first()[0]
-        append_ledger(ledger_row(spark, spec, result, run_start, run_end, now()))
-        results.append(result)
+        more = True
+        while more:
+            result, resumed = _run(spark, spec, read_ledger, append_ledger, now)
+            results.append(result)
+            more = resumed and result.status == SUCCESS
     return results
+
+
+def _run(spark: SparkSession, spec: IngestSpec, read_ledger: Callable[[SparkSession], DataFrame],
+         append_ledger: Callable[[DataFrame], None], now: Callable[[], datetime]) -> tuple[RunResult, bool]:
+    run_start = now()
+    result = RunResult(spec.source_table, spec.target_table, SUCCESS)
+    resumed = False
+    try:
+        load = begin(spark, read_ledger(spark), spec, run_start)
+        resumed = load.resumed
+        written = _load(spark, spec, load, result)
+    except Exception as failure:  # the ledger has to record any cause
+        log.exception("load of %s failed", spec.source_table)
+        result.status, result.error = FAILED, str(failure)
+    else:
+        try:
+            _check(spark, spec, load, written, result)
+        except Exception as failure:
+            log.exception("count of %s failed", spec.target_table)
+            result.error = str(failure)
+    run_end = now()
+    result.run_id = next_run_id(read_ledger(spark)).first()[0]
+    append_ledger(ledger_row(spark, spec, result, run_start, run_end, now()))
+    return result, resumed

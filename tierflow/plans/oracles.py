@@ -345,6 +345,27 @@ SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderpriority <> '5-LOW'
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate AS source_modified,
        CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' OR (o_orderdate = TIMESTAMP '1998-01-01' AND o_orderstatus <> 'O') THEN {RUN}
             ELSE {RUN} + INTERVAL 270 SECOND END AS insert_date FROM orders""",
+    "ingest_crash_between_write_and_ledger": f"""
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate AS source_modified,
+       CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' OR (o_orderdate = TIMESTAMP '1996-01-01' AND o_orderstatus <> 'O') THEN {RUN}
+            ELSE {RUN} + INTERVAL 1080 SECOND END AS insert_date FROM orders""",
+    "reconcile_digest": """
+WITH wrong AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+         CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 100 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders),
+swapped AS (
+  SELECT CASE o_orderkey WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_totalprice
+  FROM orders),
+compared AS (
+  SELECT 'same' AS against, c AS column_name, TRUE AS agree
+  FROM (SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', '(rows)']) AS c)
+  UNION ALL SELECT 'changed', unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_orderdate']), TRUE
+  UNION ALL SELECT 'changed', unnest(['o_totalprice', '(rows)']),
+    NOT EXISTS ((SELECT o_orderkey, o_totalprice FROM orders) EXCEPT (SELECT o_orderkey, o_totalprice FROM wrong))
+  UNION ALL SELECT 'swapped', unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate']), TRUE
+  UNION ALL SELECT 'swapped', '(rows)',
+    NOT EXISTS ((SELECT o_orderkey, o_totalprice, o_custkey FROM orders) EXCEPT (SELECT o_orderkey, o_totalprice, o_custkey FROM swapped)))
+SELECT column_name, (SELECT COUNT(*) FROM orders) AS source_rows, (SELECT COUNT(*) FROM orders) AS target_rows, agree, against FROM compared""",
     "ledger_append": LEDGER_APPEND,
     "line_token_count": """
 SELECT array_to_string(string_split_regex(text, '\\s'), chr(1)) AS word, COUNT(*) AS n

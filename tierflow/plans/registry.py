@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators import merge
+from tierflow.operators.digest import reconcile_contents
 from tierflow.operators.enrich import enrich_star
 from tierflow.operators.keys import assign_surrogate_keys
 from tierflow.plans import gold, ingest, sample, silver
@@ -323,8 +324,9 @@ def ledger_append(spark, sf_dir):
     mark = ingest.watermark(sample.ledger(spark, sf_dir), _orders_spec()).select("watermark").scalar()
     orders = sample.table(spark, sf_dir, "orders")
     ingest.add_load_columns(orders.where(F.col("o_orderdate") <= mark).withColumnRenamed("o_orderdate", ingest.TICK_COL),
-                            sample.FIRST_LOAD).withColumn(ingest.LOAD_COL, F.lit("first")).write.partitionBy(
-        ingest.LOAD_COL).parquet(bronze)
+                            sample.FIRST_LOAD).withColumn(
+        ingest.BOUNDARY_COL, ingest.boundary(F.col(ingest.TICK_COL), ingest.Window(0, None, mark))
+    ).write.partitionBy(ingest.BOUNDARY_COL).parquet(f"{bronze}/{ingest.LOAD_COL}=first")
 
     def broken(session: SparkSession) -> DataFrame:
         raise ConnectionError("source is down")
@@ -362,6 +364,47 @@ def ingest_boundary_rows(spark, sf_dir):
     return _bronze_of(spark, [first, orders, orders])
 
 
+@query
+def ingest_crash_between_write_and_ledger(spark, sf_dir):
+    """Loads that are written but don't reach the ledger: of the orders up to a day first, then of all.
+
+    The first load's ledger row is lost twice, that of the second once; each load is repeated by the run after it.
+    """
+    orders = sample.table(spark, sf_dir, "orders")
+    history, bronze, now = scratch_path(spark, "ledger"), scratch_path(spark, "bronze"), _clock()
+    empty_table(spark, INGESTION_HISTORY).write.parquet(history)
+
+    def lost(row: DataFrame) -> None:
+        raise ConnectionError("ledger is down")
+
+    day = "TIMESTAMP_NTZ '1996-01-01 00:00:00'"
+    first = orders.where(f"o_orderdate < {day} OR (o_orderdate = {day} AND o_orderstatus <> 'O')")
+    for rows, append in ((first, lost), (first, lost), (first, None), (orders, lost), (orders, None)):
+        spec = _orders_spec(source=lambda session, rows=rows: rows, target=bronze, check_contents=True)
+        try:
+            ingest.run_ingest(spark, [spec], lambda session: session.read.schema(INGESTION_HISTORY).parquet(history),
+                              append or (lambda row: row.write.mode("append").parquet(history)), now)
+        except ConnectionError:
+            continue
+    return spark.read.parquet(bronze).select("o_orderkey", "o_custkey", "o_totalprice", ingest.TICK_COL, "insert_date")
+
+
+@query
+def reconcile_digest(spark, sf_dir):
+    """Contents of the orders against bronze, in which urgent orders of one day have another price, and
+    against one in which the keys of two orders have changed places."""
+    orders = sample.table(spark, sf_dir, "orders")
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+    wrong = orders.withColumn("o_totalprice", F.when(
+        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderkey") % 100 == 1), F.col("o_totalprice") + 1)
+        .otherwise(F.col("o_totalprice")))
+    swapped = orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") == 1, 2).when(F.col("o_orderkey") == 2, 1)
+                                .otherwise(F.col("o_orderkey")))
+    found = [reconcile_contents(orders, other, cols).withColumn("against", F.lit(name))
+             for other, name in ((orders, "same"), (wrong, "changed"), (swapped, "swapped"))]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 # Token counts
 
 @query

@@ -1,0 +1,77 @@
+"""Folded changes against the same changes replayed one by one."""
+
+import random
+
+import pytest
+
+from tierflow.operators import merge
+from tierflow.operators.netchange import cdc_apply_sequenced, net_changes
+
+SCHEMA = "k string, part int, a string, b int"
+FEED = f"{SCHEMA}, _action string, _is_update boolean, seq long"
+
+
+def replayed(table, feed, compat, upsert):
+    """One change after the other: {key: (a, b)}."""
+    state = {row[:2]: row[2:] for row in table}
+
+    def kind(r):
+        return 0 if r[4] == "DELETE" and bool(r[5]) == compat else 2 if r[4] == "INSERT" and r[5] else 1 if r[4] == "INSERT" else 3
+
+    def order(r):
+        return r[6], kind(r), [(v is not None, v) for v in r[2:4]]
+    for r in sorted(feed, key=order):
+        key, what = r[:2], kind(r)
+        if what == 0:
+            state.pop(key, None)
+        elif what == 1 and (upsert or key not in state) or what == 2 and key in state:
+            state[key] = r[2:4]
+    return sorted([(*key, *values) for key, values in state.items()], key=repr)
+
+
+def changes(rng, keys, most):
+    return [(*key, rng.choice(["x", "y", None]), rng.choice([1, 2, None]), rng.choice(["INSERT", "INSERT", "DELETE"]),
+             rng.choice([True, False, None]), rng.randrange(8)) for key in keys for _ in range(rng.randrange(most))]
+
+
+@pytest.mark.parametrize("compat, upsert", [(False, False), (True, False), (False, True)])
+def test_equals_replay(spark, rows, compat, upsert):
+    rng = random.Random(7)
+    keys = [(rng.choice(["p", "q", None]) if i % 3 else str(i), i // 2 if i % 5 else None) for i in range(600)]
+    keys = list(dict.fromkeys(keys))
+    table = [(*key, "x", rng.choice([1, None])) for key in keys[::2]]
+    feed = changes(rng, keys, 8)
+    found = cdc_apply_sequenced(spark.createDataFrame(table, SCHEMA), spark.createDataFrame(feed, FEED).repartition(5),
+                                ["k", "part"], "seq", compat, upsert)
+    assert rows(found) == replayed(table, feed, compat, upsert)
+
+
+def test_equals_cdc_apply_one_change_at_a_time(spark, rows):
+    table = spark.createDataFrame([("1", 1, "x", 1), ("2", 1, "x", 1)], SCHEMA)
+    feed = [("1", 1, "y", 2, "INSERT", True, 1), ("1", 1, "y", 2, "DELETE", False, 2), ("1", 1, "z", 3, "INSERT", False, 3),
+            ("3", 1, "n", 1, "INSERT", False, 1), ("3", 1, "n", 9, "INSERT", True, 2), ("2", 1, "x", 1, "DELETE", True, 4)]
+    state = table
+    for change in sorted(feed, key=lambda r: r[6]):
+        one = spark.createDataFrame([change], FEED).drop("seq")
+        state = spark.createDataFrame(merge.cdc_apply(state, merge.drop_update_deletes(one), ["k", "part"]).collect(), SCHEMA)
+    found = cdc_apply_sequenced(table, spark.createDataFrame(feed, FEED), ["k", "part"], "seq")
+    assert rows(found) == rows(state)
+
+
+def test_repeated_target_rows_empty_tables_and_missing_numbers(spark, rows):
+    table = spark.createDataFrame([("1", 1, "x", 1), ("1", 1, "y", 2), ("2", 1, "x", 1)], SCHEMA)
+    feed = spark.createDataFrame([("1", 1, "z", 3, "INSERT", True, 1), ("2", 1, None, None, "DELETE", False, 1)], FEED)
+    assert rows(cdc_apply_sequenced(table, feed, ["k", "part"], "seq")) == [("1", 1, "z", 3), ("1", 1, "z", 3)]
+    assert rows(cdc_apply_sequenced(table, feed.limit(0), ["k", "part"], "seq")) == rows(table)
+    assert rows(cdc_apply_sequenced(table.limit(0), feed, ["k", "part"], "seq")) == []
+    with pytest.raises(Exception, match="a change without a seq"):
+        net_changes(spark.createDataFrame([("1", 1, "z", 3, "INSERT", True, None)], FEED), ["k", "part"], "seq").collect()
+
+
+def test_changes_of_a_hot_key_are_folded_in_the_map_tasks(spark):
+    feed = spark.range(20_000, numPartitions=4).selectExpr(
+        "'1' AS k", "1 AS part", "cast(id AS string) AS a", "1 AS b", "'INSERT' AS _action", "id > 0 AS _is_update", "id AS seq")
+    found = net_changes(feed, ["k", "part"], "seq")
+    assert found.first()["_fresh"]["a"] == "19999"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and "partial_min" in plan

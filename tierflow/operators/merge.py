@@ -51,7 +51,7 @@ def _matching(batch: DataFrame, target: DataFrame, keys: Sequence[str], null_saf
     return batch.withColumn("_hit", F.lit(True))
 
 
-def _unmatched(batch: DataFrame, table_keys: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+def unmatched(batch: DataFrame, table_keys: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """Batch rows whose key the table does not hold.
 
     The table's keys are first cut down to those the batch has and made distinct, so that a small
@@ -93,7 +93,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
         F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in update_cols else F.col(f"t.{c}")
         for c in target.columns
     ])
-    return updated.unionByName(_unmatched(source, target, keys, not bucketed))
+    return updated.unionByName(unmatched(source, target, keys, not bucketed))
 
 
 # What becomes of a current row: it stays, it is closed, or a new version of it starts.
@@ -142,7 +142,7 @@ def scd2_delta(current: DataFrame, known_keys: DataFrame, source: DataFrame, key
     # Without the tables' NULL keys, NULL source keys count as unmatched.
     first = source
     for held in (current, known_keys):
-        first = _unmatched(first, held.where(no_null(keys)), keys, not bucketed)
+        first = unmatched(first, held.where(no_null(keys)), keys, not bucketed)
     first = first.select(
         *business, now.alias("start_date"),
         F.lit(None).cast("timestamp_ntz").alias("end_date"), F.lit("Y").alias("active_flag"))
@@ -260,12 +260,12 @@ def cdc_apply(target: DataFrame, changes: DataFrame, keys: Sequence[str],
         F.when(overwrite, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in others else F.col(f"t.{c}")
         for c in cols])
     if compat or upsert_on_insert:
-        return kept.unionByName(_unmatched(inserts, target, keys, not bucketed).select(*cols))
+        return kept.unionByName(unmatched(inserts, target, keys, not bucketed).select(*cols))
     gone = deleted.select(*keys).distinct()
     again = inserts.alias("t").join(gone.alias("s"), keys_equal("t", "s", keys), "left_semi")
     fresh = inserts.alias("t").join(gone.alias("s"), keys_equal("t", "s", keys), "left_anti")
     return kept.unionByName(again.select(*cols)).unionByName(
-        _unmatched(fresh, target, keys, not bucketed).select(*cols))
+        unmatched(fresh, target, keys, not bucketed).select(*cols))
 
 
 def row_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -200,6 +200,45 @@ WHERE CASE WHEN t.invoice_no IS NULL THEN s._action = 'INSERT' AND NOT s._is_upd
            ELSE s._action IS NULL OR NOT ({deletes}) END"""
 
 
+def replay(on_insert: str) -> str:
+    """A feed with several changes a key, applied one by one by recursion; a state is a struct or NULL.
+
+    ``on_insert`` is the state after an insert, from the state ``r.s`` and the values ``e.v``.
+    """
+    def step(which: str, number: int, action: str, is_update: str, replaced: str = "") -> str:
+        rows = f"(SELECT * REPLACE ({replaced}) FROM diff_rows)" if replaced else "diff_rows"
+        return f"SELECT {ORDER_COLS}, '{action}' AS _action, {is_update} AS _is_update, {number} AS change_no FROM {rows} " \
+               f"WHERE _action = 'INSERT' AND {which}"
+    steps = [
+        f"SELECT {ORDER_COLS}, _action, _is_update, CASE WHEN _action = 'DELETE' THEN 100 ELSE 101 END AS change_no FROM diff_rows",
+        step("uom = '1-URGENT'", 50, "INSERT", "TRUE", "quantity + 7 AS quantity, CAST(NULL AS BIGINT) AS kgs"),
+        step("uom = '3-MEDIUM'", 200, "DELETE", "FALSE"),
+        step("uom = '3-MEDIUM' AND csp_yes_no = 'R'", 300, "INSERT", "FALSE", "kgs + 5 AS kgs"),
+        step("uom = '3-MEDIUM' AND csp_yes_no = 'R' AND type = 'O'", 400, "INSERT", "TRUE", "kgs + 6 AS kgs, CAST(NULL AS VARCHAR) AS company_name"),
+        step("uom = '5-LOW'", 150, "INSERT", "TRUE", "quantity * 2 AS quantity"),
+        step("uom = '5-LOW'", 160, "INSERT", "FALSE", "CAST(0 AS BIGINT) AS quantity"),
+        step("uom = '5-LOW' AND type = 'F'", 500, "DELETE", "FALSE"),
+    ]
+    packed = "struct_pack(" + ", ".join(f"{c.strip()} := {c.strip()}" for c in ORDER_COLS.split(",")) + ")"
+    return f"""WITH RECURSIVE {ORDER_ROWS}, {KEYED}, {DIFF},
+feed AS ({" UNION ALL ".join(steps)}),
+events AS (
+  SELECT invoice_no AS k1, product_group_code AS k2, _action, _is_update, {packed} AS v,
+         ROW_NUMBER() OVER (PARTITION BY invoice_no, product_group_code ORDER BY change_no) AS nth FROM feed),
+states AS (SELECT invoice_no AS k1, product_group_code AS k2, {packed} AS v FROM silver_before),
+run AS (
+  SELECT coalesce(e.k1, b.k1) AS k1, coalesce(e.k2, b.k2) AS k2, 0 AS nth, b.v AS s
+  FROM states b FULL JOIN (SELECT DISTINCT k1, k2 FROM events) e ON e.k1 = b.k1 AND e.k2 = b.k2
+  UNION ALL
+  SELECT r.k1, r.k2, CAST(e.nth AS INTEGER),
+         CASE WHEN e._action = 'DELETE' AND NOT e._is_update THEN NULL
+              WHEN e._action = 'DELETE' THEN r.s
+              WHEN e._is_update THEN CASE WHEN r.s IS NULL THEN NULL ELSE e.v END
+              ELSE {on_insert} END
+  FROM run r JOIN events e ON e.k1 = r.k1 AND e.k2 = r.k2 AND e.nth = r.nth + 1)
+SELECT UNNEST(s) FROM (SELECT arg_max(CASE WHEN s IS NULL THEN [] ELSE [s] END, nth) AS held FROM run GROUP BY k1, k2), UNNEST(held) AS u(s)"""
+
+
 def other(every: int, usual: str, name: str) -> str:
     return f"CASE WHEN o_orderkey % {every} = 0 THEN '{usual}_b' ELSE '{usual}' END AS {name}"
 
@@ -304,6 +343,8 @@ feed AS (SELECT * FROM diff_rows WHERE NOT _is_update OR (_action = 'DELETE') =
     "cdc_apply_upsert": f"""{with_(ORDER_ROWS, KEYED)},
 feed AS (SELECT *, 'INSERT' AS _action, FALSE AS _is_update FROM silver_after)
 {cdc('feed', "s._action = 'DELETE'", f"s._action = 'INSERT' AND ({SILVER_DIFFERS})")}""",
+    "cdc_apply_sequenced": replay("coalesce(r.s, e.v)"),
+    "cdc_apply_sequenced_upsert": replay("e.v"),
     "row_change_detect": f"""{with_(ORDER_ROWS, KEYED)}
 SELECT s.* FROM silver_after s JOIN silver_before t ON {SILVER_MATCH} WHERE {SILVER_DIFFERS}""",
     "surrogate_keys": """

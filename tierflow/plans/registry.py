@@ -218,6 +218,50 @@ def cdc_apply_upsert(spark, sf_dir):
     return plain(merge.cdc_apply(before, feed, silver.SILVER_KEYS, silver.SILVER_COMPARE, upsert_on_insert=True))
 
 
+def _sequenced_feed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The silver table before, and a feed in which most keys change several times.
+
+    Updates of urgent lines come in two steps. Lines of class 3-MEDIUM are deleted after their update,
+    those flagged 'R' come back, and open ones of these are updated once more. New lines are updated,
+    added a second time, and, if closed, deleted.
+    """
+    before, after = sample.silver_states(spark, sf_dir)
+    diff = stage(_diff(before, after), scratch_path(spark, "feed"))
+    diff = diff.withColumn("change_no", F.when(F.col("_action") == "DELETE", 100).otherwise(101))
+    written = diff.where("_action = 'INSERT'")
+
+    def more(which: str, number: int, action: str, is_update: bool, **values: str) -> DataFrame:
+        given = {c: F.expr(v).cast(diff.schema[c].dataType) for c, v in values.items()}
+        flags = {"change_no": F.lit(number), "_action": F.lit(action), "_is_update": F.lit(is_update)}
+        return written.where(which).withColumns({**given, **flags})
+
+    steps = [
+        more("uom = '1-URGENT'", 50, "INSERT", True, quantity="quantity + 7", kgs="NULL"),
+        more("uom = '3-MEDIUM'", 200, "DELETE", False),
+        more("uom = '3-MEDIUM' AND csp_yes_no = 'R'", 300, "INSERT", False, kgs="kgs + 5"),
+        more("uom = '3-MEDIUM' AND csp_yes_no = 'R' AND type = 'O'", 400, "INSERT", True, kgs="kgs + 6", company_name="NULL"),
+        more("uom = '5-LOW'", 150, "INSERT", True, quantity="quantity * 2"),
+        more("uom = '5-LOW'", 160, "INSERT", False, quantity="0"),
+        more("uom = '5-LOW' AND type = 'F'", 500, "DELETE", False),
+    ]
+    for step in steps:
+        diff = diff.unionByName(step)
+    return before, diff
+
+
+@query
+def cdc_apply_sequenced(spark, sf_dir):
+    before, feed = _sequenced_feed(spark, sf_dir)
+    return plain(silver.silver_apply(before, feed, seq_col="change_no"))
+
+
+@query
+def cdc_apply_sequenced_upsert(spark, sf_dir):
+    """The same feed, in which an insert of a row that exists replaces it."""
+    before, feed = _sequenced_feed(spark, sf_dir)
+    return plain(silver.silver_apply(before, feed, upsert_on_insert=True, seq_col="change_no"))
+
+
 @query
 def row_change_detect(spark, sf_dir):
     return plain(merge.row_changes(*sample.silver_states(spark, sf_dir), silver.SILVER_KEYS, silver.SILVER_COMPARE))

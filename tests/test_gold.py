@@ -102,6 +102,53 @@ def test_a_key_whose_versions_are_all_closed_is_not_started_again(spark, fact):
     assert state(spark, table) == [("A", 1, 5, "N", 1)]
 
 
+def rows_read(df):
+    """Rows that come out of the scan, beside the result's."""
+    found = df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return len(found), scan.metrics().apply("numOutputRows").value()
+
+
+@pytest.fixture(scope="module")
+def history(spark, tmp_path_factory):
+    """A versioned fact with 200,000 closed rows of even invoices."""
+    table = str(tmp_path_factory.mktemp("history") / "fact")
+    numbers = spark.range(200_000).select((F.col("id") * 2).cast("string").alias("invoice_no"), (F.col("id") % 90).alias("product_id"),
+                                          F.lit(1).cast("bigint").alias("customer_id"), F.lit(1).alias("quantity"))
+    rows = numbers.select(*[
+        (F.col(f.name) if f.name in numbers.columns else F.lit("2020-01-01" if f.name == "invoice_date" else "1"))
+        .cast(f.dataType).alias(f.name)
+        for f in GL_ORDERDETAILS_FS2.fields if f.name not in ("start_date", "end_date", "active_flag")])
+    closed = gold.first_versions(rows, FIRST).withColumns({
+        "end_date": F.lit(SECOND).cast("timestamp_ntz"), "active_flag": F.lit("N")})
+    gold.scd2_create(gold.first_versions(rows.where("invoice_no IN ('0', '10')"), FIRST), table, closed)
+    return table
+
+
+def test_unseen_keys_read_next_to_none_of_the_closed_rows(spark, history):
+    unseen = fact_rows(spark, *[(str(i * 40 + 1), i % 90, 1, 1) for i in range(1500)])
+    assert rows_read(gold.closed_keys(spark, history, unseen)) == (0, 0)
+    known = fact_rows(spark, ("4000", 2000 % 90, 1, 1), ("4001", 1, 1, 1), (None, 1, 1, 1))
+    found, read = rows_read(gold.closed_keys(spark, history, known))
+    assert found == 1 and read <= 40_000
+    assert rows_read(gold.closed_keys(spark, history, known.limit(0))) == (0, 0)
+
+
+def test_long_lists_of_keys_are_looked_up_by_range(spark, history, monkeypatch):
+    monkeypatch.setattr(gold, "LISTED_KEYS", 3)
+    wanted = fact_rows(spark, *[(str(100_000 + i), 5, 1, 1) for i in range(100)])
+    found, read = rows_read(gold.closed_keys(spark, history, wanted))
+    assert read < 200_000
+    keys = {r.invoice_no for r in gold.closed_keys(spark, history, wanted).collect()}
+    assert {str(100_000 + i) for i in range(100) if (100_000 + i) % 180 == 10} <= keys
+
+
+def test_a_run_looks_its_new_keys_up_in_the_history(spark, history):
+    load(spark, history, 1, ("1", 1, 1, 1), ("20", 10, 1, 7), ("10", 5, 1, 7))  # unseen, closed only, open
+    now = gold.read_scd2(spark, history).where("start_date = '2024-02-01' OR closed_run = 1")
+    assert sorted((r.invoice_no, r.quantity, r.closed_run) for r in now.collect()) == [("1", 1, 0), ("10", 1, 1), ("10", 7, 0)]
+
+
 def test_product_versions_take_new_keys(spark):
     names = "product_no string, type string, product_group_code string, rm_type string, product_vertical string, product_mvertical string"
 

@@ -329,6 +329,9 @@ FROM ({scd2('open_rows', NULL_SAFE, NULL_SAFE)})""",
     "scd2_rerun_load": f"""{with_(ORDER_ROWS, DIMS, KEYED, FACT2_TABLES)}
 SELECT *, CAST(CASE WHEN active_flag = 'Y' THEN 0 WHEN invoice_date < DATE '2000-01-01' THEN 1 ELSE 2 END AS BIGINT) AS closed_run
 FROM ({scd2('open_rows', NULL_SAFE, NULL_SAFE)})""",
+    "scd2_bloom_load": f"""{with_(ORDER_ROWS, DIMS, KEYED, FACT2_TABLES)}
+SELECT *, CAST(CASE WHEN end_date = {RUN} THEN 1 ELSE 0 END AS BIGINT) AS closed_run
+FROM ({scd2('fact_before', NULL_SAFE, NULL_SAFE)})""",
     "snapshot_diff": f"{with_(ORDER_ROWS, KEYED, DIFF)} SELECT * FROM diff_rows",
     "cdc_apply": f"""{with_(ORDER_ROWS, KEYED, DIFF)},
 feed AS (SELECT * FROM diff_rows WHERE NOT (_action = 'DELETE' AND _is_update))

@@ -174,6 +174,17 @@ def scd2_rerun_load(spark, sf_dir):
         sample.fact2_batch(rows).where("invoice_date < '2000-01-01'"), sample.fact2_batch(rows)], again=True)
 
 
+@query
+def scd2_bloom_load(spark, sf_dir):
+    """A run on a fact with a closed history, some keys of which have no open version."""
+    before, batch = sample.fact2_states(spark, sf_dir)
+    fact = scratch_path(spark, "scd2-fact")
+    gold.scd2_create(before.where("end_date IS NULL"), fact, before.where("end_date IS NOT NULL"))
+    gold.scd2_stage(spark, fact, batch, sample.RUN, 1)
+    gold.scd2_publish(spark, fact, 1)
+    return plain(gold.read_scd2(spark, fact))
+
+
 # Change feeds
 
 def _diff(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -173,6 +173,35 @@ def test_compat_lists():
     assert (len(gold.TRACKED), len(gold.COMPAT_CLOSE), len(gold.COMPAT_VERSION)) == (13, 12, 9)
 
 
+def silver_batch(spark, *data):
+    """Bronze rows of (invoice, day, weight, type, update day)."""
+    df = spark.createDataFrame(list(data), "invoice_no string, invoice_date string, kgs string, type string, day int")
+    given = {"insert_date": F.lit("2024-01-01").cast("timestamp_ntz"), "quantity": F.lit("1"),
+             "update_date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")).cast("timestamp_ntz")}
+    return df.withColumns({c: given.get(c, F.lit("-")) for c in sample.ORDER_COLS if c not in df.columns}).drop("day")
+
+
+def test_copies_in_two_loads_leave_one(spark, tmp_path):
+    table = str(tmp_path / "silver")
+    silver.silver_create(spark, table)
+
+    def stored():
+        return sorted((r.invoice_no, int(r.kgs), r.type, r.update_date.day) for r in silver.read_silver(spark, table).collect())
+
+    first = silver_batch(spark, ("1", "2024-03-01", "5", "B", 1), ("1", "2024-03-01", "5", "B", 1), ("2", "2024-04-01", "5", "A", 1))
+    assert silver.silver_load(spark, table, first, "a")
+    assert stored() == [("1", 5, "B", 2), ("2", 5, "A", 2)]
+    assert not silver.silver_load(spark, table, first, "a")  # done
+    untouched = glob.glob(f"{table}/rows/invoice_month=202404/*.parquet")
+    second = silver_batch(spark, ("1", "2024-03-01", "5", "A", 9), ("1", "2024-03-01", "6", "C", 1), ("3", None, "1", "A", 1))
+    silver.silver_load(spark, table, second, "b")
+    assert stored() == [("1", 5, "A", 10), ("1", 6, "C", 2), ("2", 5, "A", 2), ("3", 1, "A", 2)]
+    assert glob.glob(f"{table}/rows/invoice_month=202404/*.parquet") == untouched
+    silver.silver_load(spark, table, second.unionByName(first), "c")  # the same rows as another load
+    silver.silver_load(spark, table, first.limit(0), "d")
+    assert stored() == [("1", 5, "A", 10), ("1", 6, "C", 2), ("2", 5, "A", 2), ("3", 1, "A", 2)]
+
+
 def test_staged_feed_gives_the_same_table(spark, tmp_path):
     before, after = sample.silver_states(spark, "/root/testdata/sf0.001")
     feed = after.withColumns({"_action": F.lit("INSERT"), "_is_update": F.lit(True)})

@@ -1,0 +1,66 @@
+"""Lookup of the version valid at a time."""
+
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierflow.operators.interval import join_valid_at
+from tierflow.sources.tables import stage
+
+VERSIONS = "k string, start timestamp_ntz, until timestamp_ntz, v int"
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_equals_all_pairs(spark, rows, how):
+    rng = random.Random(1)
+
+    def day():
+        return rng.choice([None, datetime(2018, 1, 1) + timedelta(hours=rng.randrange(24 * 365 * 5))])
+
+    facts = [(i, rng.choice(["a", "b", None]), None if i % 9 == 0 else day() and day()) for i in range(150)]
+    facts = [(i, k, at.date() if at else None) for i, k, at in facts]
+    versions = [(rng.choice(["a", "b", None]), day(), day(), i) for i in range(40)]
+    found = join_valid_at(spark.createDataFrame(facts, "id int, k string, at date"), spark.createDataFrame(versions, VERSIONS),
+                          ["k"], "at", "start", "until", how)
+    wanted = []
+    for i, k, at in facts:
+        hits = [(i, k, at, s, e, v) for key, s, e, v in versions if None not in (k, at, s) and key == k
+                and s <= datetime.combine(at, datetime.min.time()) and (e is None or datetime.combine(at, datetime.min.time()) < e)]
+        wanted += hits or ([(i, k, at, None, None, None)] if how == "left" else [])
+    assert rows(found) == sorted(wanted, key=repr)
+
+
+def test_empty_tables_and_ends(spark, rows):
+    facts = spark.createDataFrame([(1, "a", date(2020, 1, 1))], "id int, k string, at date")
+    versions = spark.createDataFrame([("a", datetime(2000, 1, 1), datetime(2020, 1, 1), 1), ("a", datetime(2020, 1, 1), None, 2)], VERSIONS)
+    assert rows(join_valid_at(facts, versions, ["k"], "at", "start", "until"), "v") == [(2,)]
+    assert rows(join_valid_at(facts.limit(0), versions, ["k"], "at", "start", "until")) == []
+    assert rows(join_valid_at(facts, versions.limit(0), ["k"], "at", "start", "until", "left"), "id", "v") == [(1, None)]
+    with pytest.raises(ValueError):
+        join_valid_at(facts, versions, ["k"], "at", "start", "until", "full")
+
+
+def test_no_pairs_of_all_rows_and_a_hot_product_is_split(spark, tmp_path):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        facts = stage(spark.range(60_000, numPartitions=16).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+            F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("at")), str(tmp_path / "facts"))
+        starts = F.lit("2019-01-01").cast("timestamp_ntz").alias("start"), F.lit(None).cast("timestamp_ntz").alias("until")
+        versions = stage(facts.groupBy("k").agg(F.min("id").alias("v")).select("k", *starts, "v"), str(tmp_path / "versions"))
+        found = join_valid_at(facts, versions, ["k"], "at", "start", "until")
+        execution = found._jdf.queryExecution()
+        assert execution.toRdd().count() == 60_000
+        plan = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "skew=true" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)

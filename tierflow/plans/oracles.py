@@ -303,9 +303,22 @@ SELECT CAST(o_custkey AS VARCHAR) AS customer_no, n_name AS company_name,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
      JOIN part ON l_partkey = p_partkey JOIN nation ON s_nationkey = n_nationkey""",
     "silver_dedupe": dedupe("type ASC NULLS LAST, insert_date ASC NULLS LAST, update_date DESC NULLS FIRST"),
+    "silver_dedupe_incremental": dedupe("type ASC NULLS LAST, insert_date ASC NULLS LAST, update_date DESC NULLS FIRST"),
     "silver_dedupe_latest": dedupe("update_date DESC NULLS LAST, insert_date DESC NULLS LAST, type ASC NULLS LAST"),
     "fact_full_load": f"{with_(ORDER_ROWS, DIMS)} {fact1('order_rows')}",
     "fact_full_load_fanout": f"{with_(ORDER_ROWS, DIMS)} {fact1('order_rows', 'sl_plant_wide')}",
+    "fact_versioned_product": f"""{with_(ORDER_ROWS, DIMS.replace("sl_product AS", "sl_product_unversioned AS"))},
+first AS (SELECT ROW_NUMBER() OVER (ORDER BY p_partkey) AS product_id, * FROM part WHERE p_size <= 40),
+changed AS (SELECT * FROM part WHERE p_size > 40 OR (p_size <= 10 AND p_brand <> 'Brand#99')),
+versions AS (
+  SELECT product_id, CAST(p_partkey AS VARCHAR) AS product_group_code, TIMESTAMP '1993-01-01' AS start_date,
+         CASE WHEN p_size <= 10 AND p_brand <> 'Brand#99' THEN TIMESTAMP '1996-06-15' END AS end_date FROM first
+  UNION ALL
+  SELECT ROW_NUMBER() OVER (ORDER BY p_partkey) + (SELECT COUNT(*) FROM first), CAST(p_partkey AS VARCHAR), TIMESTAMP '1996-06-15',
+         CAST(NULL AS TIMESTAMP) FROM changed)
+{fact1('order_rows').replace("JOIN sl_product p ON o.product_group_code = p.product_group_code",
+    "JOIN versions p ON o.product_group_code = p.product_group_code AND o.invoice_date >= p.start_date "
+    "AND (p.end_date IS NULL OR o.invoice_date < p.end_date)")}""",
     "fact_inner_employee": f"{with_(ORDER_ROWS, DIMS)} {fact2('order_rows')}",
     "fact_append": f"{with_(ORDER_ROWS, DIMS, KEYED)} {fact1('keyed_orders')} UNION ALL {fact1('keyed_orders')}",
     "scd1_merge": f"{with_(ORDER_ROWS, DIMS, KEYED, FACT1_TABLES)} {scd1('fact_before', 'fact_batch')}",
@@ -333,6 +346,7 @@ FROM ({scd2('open_rows', NULL_SAFE, NULL_SAFE)})""",
 SELECT *, CAST(CASE WHEN end_date = {RUN} THEN 1 ELSE 0 END AS BIGINT) AS closed_run
 FROM ({scd2('fact_before', NULL_SAFE, NULL_SAFE)})""",
     "snapshot_diff": f"{with_(ORDER_ROWS, KEYED, DIFF)} SELECT * FROM diff_rows",
+    "snapshot_diff_digest": f"{with_(ORDER_ROWS, KEYED, DIFF)} SELECT * FROM diff_rows WHERE year(invoice_date) = 1998",
     "cdc_apply": f"""{with_(ORDER_ROWS, KEYED, DIFF)},
 feed AS (SELECT * FROM diff_rows WHERE NOT (_action = 'DELETE' AND _is_update))
 {cdc('feed', "s._action = 'DELETE'", f"s._action = 'INSERT' AND s._is_update AND ({SILVER_DIFFERS})")}""",
@@ -418,6 +432,21 @@ FROM conversations GROUP BY string_split_regex(text, '\\s')""",
     "table_create_append": f"{with_(ORDER_ROWS)} SELECT * FROM order_rows",
     "stream_csv_to_csv": PEOPLE,
     "stream_two_checkpoints_append": PEOPLE,
+    "stream_word_count_update": f"SELECT word, COUNT(*) AS n FROM ({WORDS}) GROUP BY word",
+    "stream_quarantine": """
+WITH people AS (
+  SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 7 = 0 THEN 'thirty' ELSE CAST(c_nationkey * 3 AS VARCHAR) END AS age,
+         CASE WHEN c_custkey % 5 = 0 THEN '3000000000' ELSE CAST(CAST(FLOOR(c_acctbal) AS BIGINT) AS VARCHAR) END AS friends FROM customer),
+judged AS (
+  SELECT *, CASE WHEN k % 11 = 0 OR k % 13 = 0 THEN 'malformed record'
+                 WHEN k % 7 = 0 AND k % 5 = 0 THEN 'age is no int; friends is no int'
+                 WHEN k % 7 = 0 THEN 'age is no int' WHEN k % 5 = 0 THEN 'friends is no int' END AS reason FROM people)
+SELECT CASE WHEN reason IS NULL THEN CAST(k AS INTEGER) END AS userID, CASE WHEN reason IS NULL THEN name END AS name,
+       TRY_CAST(CASE WHEN reason IS NULL THEN age END AS INTEGER) AS age, TRY_CAST(CASE WHEN reason IS NULL THEN friends END AS INTEGER) AS friends,
+       reason, CASE WHEN k % 11 = 0 THEN k || ',' || name || ',' || age
+                    WHEN k % 13 = 0 THEN k || ',' || name || ',' || age || ',' || friends || ',x'
+                    WHEN reason IS NOT NULL THEN '{"userID":"' || k || '","name":"' || name || '","age":"' || age || '","friends":"' || friends || '"}'
+               END AS record, reason IS NOT NULL AS quarantined FROM judged""",
     "stream_memory_counts": f"SELECT word, COUNT(*) AS n FROM ({WORDS}) GROUP BY word",
     "stream_filter_project": f"SELECT name, friends FROM ({PEOPLE}) WHERE age < 30",
     "stream_foreach_append": """

@@ -13,7 +13,7 @@ from itertools import count
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.operators import merge
+from tierflow.operators import merge, snapshot_digest
 from tierflow.operators.digest import reconcile_contents
 from tierflow.operators.enrich import enrich_star
 from tierflow.operators.keys import assign_surrogate_keys
@@ -22,11 +22,13 @@ from tierflow.plans.partitions import create_kept, publish_touched, read_kept, s
 from tierflow.schemas import (
     CUSTOMER_REVIEWS, INGESTION_HISTORY, PEOPLE, SL_ORDERDETAILS, append_by_name, create_or_replace_table, empty_table)
 from tierflow.session import scratch_path
+from tierflow.sources.quarantine import checked_csv_stream
 from tierflow.sources.streams import csv_stream, line_stream, parquet_stream
 from tierflow.sources.tables import read_table, stage
 from tierflow.streaming import counts
 from tierflow.streaming.run import run_stream
-from tierflow.streaming.sinks import append_batches, apply_batches, replace_result
+from tierflow.streaming.sinks import (
+    append_batches, apply_batches, create_counts, merge_counts, read_counts, replace_result, split_batches)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +59,17 @@ def silver_dedupe(spark, sf_dir):
     return plain(silver.silver_dedupe(sample.bronze_with_copies(spark, sf_dir)))
 
 
+@query
+def silver_dedupe_incremental(spark, sf_dir):
+    """The rows with copies in three loads: those of an even weight, the others, and all of them again."""
+    table, rows = scratch_path(spark, "silver"), sample.bronze_with_copies(spark, sf_dir)
+    silver.silver_create(spark, table)
+    parts = [rows.where("type IS NOT NULL AND kgs % 2 = 0"), rows.where("type IS NULL OR kgs % 2 = 1"), rows]
+    for n, part in enumerate(parts):
+        silver.silver_load(spark, table, part, f"load-{n}")
+    return plain(silver.read_silver(spark, table))
+
+
 @query
 def silver_dedupe_latest(spark, sf_dir):
     """The same with another choice of copy: the newest update, then the newest insert."""
@@ -81,6 +94,19 @@ def fact_inner_employee(spark, sf_dir):
     return plain(enrich_star(sample.order_rows(spark, sf_dir), sample.dims(spark, sf_dir), "inner", with_employee=True))
 
 
+@query
+def fact_versioned_product(spark, sf_dir):
+    """Products by the version valid at the invoice date: half-way through, small ones get another brand,
+    and large ones appear."""
+    products = _parts_as_products(spark, sf_dir)
+    size = F.col("product_mvertical").cast("int")
+    dim = stage(gold.dim_product_rows(products.where(size <= 40), "1993-01-01 00:00:00"), scratch_path(spark, "dim"))
+    batch = products.withColumn("rm_type", F.when(size <= 10, F.lit("Brand#99")).otherwise(F.col("rm_type")))
+    dim = stage(gold.dim_product_merge(dim, stage(batch, scratch_path(spark, "products")), "1996-06-15 00:00:00"), scratch_path(spark, "dim"))
+    lookups = sample.dims(spark, sf_dir) | {"product": dim.withColumnRenamed("gl_product_id", "product_id")}
+    return plain(enrich_star(sample.order_rows(spark, sf_dir), lookups, versioned_product=True))
+
+
 @query
 def fact_append(spark, sf_dir):
     """The full load written twice: overwrite, then append."""
@@ -196,6 +222,14 @@ def snapshot_diff(spark, sf_dir):
     return plain(_diff(*sample.silver_states(spark, sf_dir)))
 
 
+@query
+def snapshot_diff_digest(spark, sf_dir):
+    """Silver and its next state, in which only lines of the year 1998 have changed."""
+    before, after = sample.silver_states(spark, sf_dir)
+    new = before.where("invoice_date IS NULL OR year(invoice_date) <> 1998").unionByName(after.where("year(invoice_date) = 1998"))
+    return plain(snapshot_digest.snapshot_diff_digest(before, stage(new, scratch_path(spark, "after")), silver.SILVER_KEYS, buckets=1 << 14))
+
+
 @query
 def cdc_apply(spark, sf_dir):
     before, after = sample.silver_states(spark, sf_dir)
@@ -519,6 +553,22 @@ def stream_filter_project(spark, sf_dir):
     return _to_csv_and_back(spark, people.where("age < 30").select("name", "friends"))
 
 
+@query
+def stream_quarantine(spark, sf_dir):
+    """People as lines of CSV, some with a word for the age, a missing or a surplus field, or an amount
+    too large; the good and the bad ones with their reasons."""
+    path, out, checkpoint = (scratch_path(spark, name) for name in ("people", "people-out", "checkpoint"))
+    age = F.when(F.col("c_custkey") % 7 == 0, F.lit("thirty")).otherwise((F.col("c_nationkey") * 3).cast("string"))
+    friends = F.when(F.col("c_custkey") % 5 == 0, F.lit("3000000000")).otherwise(F.floor("c_acctbal").cast("string"))
+    fields = [F.col("c_custkey").cast("string"), F.col("c_name"), age, friends]
+    line = (F.when(F.col("c_custkey") % 11 == 0, F.concat_ws(",", *fields[:3]))
+            .when(F.col("c_custkey") % 13 == 0, F.concat_ws(",", *fields, F.lit("x"))).otherwise(F.concat_ws(",", *fields)))
+    sample.table(spark, sf_dir, "customer").select(line.alias("value")).write.option("maxRecordsPerFile", ROWS_PER_FILE).text(path)
+    run_stream(checked_csv_stream(spark, path, PEOPLE, max_files_per_trigger=FILES_PER_BATCH), checkpoint, split_batches(out, checkpoint))
+    found = spark.read.parquet(out)
+    return found.select(*PEOPLE.fieldNames(), "reason", "record", F.col("quarantined").cast("boolean").alias("quarantined"))
+
+
 @query
 def stream_two_checkpoints_append(spark, sf_dir):
     """Two streams that append to one table, each with the batch ids of its own checkpoint."""
@@ -564,6 +614,16 @@ def stream_word_count(spark, sf_dir):
     return _counted(spark, counts.word_count(_line_stream(spark, sf_dir))).select("word", F.col("count").alias("n"))
 
 
+@query
+def stream_word_count_update(spark, sf_dir):
+    """The running count as a table in hash buckets, of which a batch rewrites those it changes."""
+    table, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "checkpoint")
+    found = counts.word_count(_line_stream(spark, sf_dir))
+    create_counts(spark, table, found.schema)
+    run_stream(found, checkpoint, merge_counts(table, found.schema, "word", checkpoint), mode="update")
+    return read_counts(spark, table, found.schema).select("word", F.col("count").alias("n"))
+
+
 @query
 def stream_memory_counts(spark, sf_dir):
     """The running count in a memory table, with a timed trigger, until all files are read."""

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tierflow.llm.html_text import extract, main_text
@@ -22,6 +24,75 @@ def test_main_text(source, text):
     assert main_text(source) == text
 
 
+ARTICLE = "".join(f"<p>{PARA} Number {i}, and more.</p>" for i in range(3))
+TEXT = " ".join(f"{PARA} Number {i}, and more." for i in range(3))
+
+
+@pytest.mark.parametrize("source", [
+    f"<div class='content has-sidebar'>{ARTICLE}</div><div class=sidebar><p>{PARA}</div>",
+    f"<div id='page' class='no-sidebar'>{ARTICLE}</div>",
+    f"<div id='page' class='sidebar-left'><article>{ARTICLE}</article></div>",
+    f"<div data-id='search' data-role='banner'>{ARTICLE}</div>",
+    f"<div title='the hidden truth' alt='x display:none'>{ARTICLE}</div>",
+    "<div>" + ARTICLE.replace("<p>", "<p title=it's>") + "</div>",
+    f"<body><form action=/x><div>{ARTICLE}</div><input><button>Go, go, go</button></form></body>",
+    f"<form><nav><a href=a>{PARA}</a></nav><div class='wrapper header-wide'>{ARTICLE}</div></form><footer>{PARA}</footer>",
+    f"<nav>{'<span>' * 64}menu</nav><article>{ARTICLE}</article>",
+    f"<nav>{'<span>' * 5000}menu</nav><div>{ARTICLE}</div>",
+    f"<div class='comments-open widget-area'><h1 hidden>x</h1>{ARTICLE}</div>",
+    f"<div class=ad>{PARA} {PARA}</div><article>{ARTICLE}</article><div id=comments>{ARTICLE * 5}</div>",
+    f"<div><div>{ARTICLE}</div></div><div class=commentList>{ARTICLE * 3}</div><section role=complementary>{ARTICLE}</section>",
+])
+def test_no_article_is_lost(source):
+    assert main_text(source) == TEXT
+
+
+def test_good_siblings_are_kept():
+    assert main_text(f"<article>{ARTICLE}</article><article><p>{PARA}</article>") == f"{TEXT} {PARA}"
+    deep = f"<div><div><div><p>{PARA}</p></div></div></div>"
+    assert main_text(f"<section><div>{ARTICLE}</div>{deep}</section>") == f"{TEXT} {PARA}"
+    assert main_text(f"<p>{PARA} <span class=share>Tell, all</span><b hidden>no</b>end</p>") == f"{PARA} end"
+
+
+def test_pages_of_boilerplate_are_empty():
+    assert main_text(f"<nav>{PARA}</nav><footer>{PARA * 3}</footer><aside><article>{ARTICLE}</article></aside>") == ""
+    assert main_text("<div class=footer>Copyright, and so on, of somebody.</div><form><label>Name</label><input></form>") == ""
+
+
+def words(rng, n):
+    return " ".join(rng.choice(["one", "two,", "three", "of", "it's", "fünf.", "a", "seven"]) for _ in range(n))
+
+
+def generated(rng):
+    """A page and the blocks of its article."""
+    blocks, parts = [], []
+    for _ in range(rng.randrange(3, 9)):
+        text = words(rng, rng.randrange(15, 60))
+        blocks.append(text)
+        parts.append(rng.choice([f"<p>{text}</p>", f"<p class=x>{text}", f"<p title=it's>{text}</p>", f"<blockquote>{text}</blockquote>"]))
+        if rng.random() < 0.3:
+            parts.append(rng.choice([f"<aside>{words(rng, 30)}</aside>", "<script>a < b</script>", f"<div class='ad box'>{words(rng, 20)}</div>",
+                                     f"<div style='display: none'>{words(rng, 40)}</div>"]))
+    body = "".join(parts)
+    for _ in range(rng.randrange(3)):
+        body = rng.choice(["<div>{}</div>", "<div class='content no-sidebar'>{}</div>", "<section id=main-text>{}</section>"]).format(body)
+    body = rng.choice(["<article>{}</article>", "<main><div>{}</div></main>", "<div class=post>{}</div>", "<form><div>{}</div></form>"]).format(body)
+    menu = "".join(f"<li><a href=/{i}>{words(rng, 3)}</a>" for i in range(rng.randrange(3, 30)))
+    before = rng.choice(["", f"<nav><ul>{menu}</ul></nav>", f"<div class=menu><ul>{menu}</ul></div>", f"<header><h1>{words(rng, 5)}</h1></header>",
+                         f"<ul>{menu}</ul>", f"<div id=cookie-notice>{words(rng, 25)}</div>"])
+    after = rng.choice(["", f"<footer>{words(rng, 30)}</footer>", f"<div id=comments>{''.join(f'<p>{words(rng, 30)}</p>' for _ in range(12))}</div>",
+                        f"<div class='sidebar right'><p>{words(rng, 40)}</p></div>", f"<form><label>{words(rng, 9)}</label><input></form>"])
+    wrap = rng.choice(["{}", "<html><body>{}</body></html>", "<div id=page class=has-header>{}</div>"])
+    return wrap.format(before + body + after), " ".join(blocks)
+
+
+def test_generated_pages_give_their_article():
+    rng = random.Random(11)
+    for _ in range(500):
+        source, text = generated(rng)
+        assert main_text(source) == text, source
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 30_000 + "deep") == "deep"
     assert len(main_text("<article>" + f"<p>{PARA}" * 20_000)) == 20_000 * (len(PARA) + 1) - 1

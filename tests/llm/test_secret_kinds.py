@@ -1,0 +1,89 @@
+"""The field fitted on the given documents, on secrets of kinds that neither the patterns nor the fit know."""
+
+import random
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from tierflow.llm import secret_scan as s
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def given():
+    texts = [t for t in pq.read_table(f"{SF_DIR}/documents.parquet", columns=["text"]).column("text").to_pylist() if t]
+    windows, real = [], []
+    for text in texts[:6000]:
+        plain = len(list(s.examples(text)))
+        found = list(s.examples(text, s.KINDS_MADE))
+        windows += found
+        real += [i < plain for i in range(len(found))]
+    return s.Tagger(s.fit_windows(windows, real)), texts[6000:]
+
+
+def letters(rng, n, more=""):
+    return "".join(rng.choice(s.MIXED + more) for _ in range(n))
+
+
+# Shapes that the generators of the fit don't make.
+KINDS = {
+    "provider token": lambda r: r.choice([f"ghp_{letters(r, 36)}", f"sk_live_{letters(r, 24)}", f"xoxb-{r.randrange(10**11)}-{letters(r, 24)}"]),
+    "three parts": lambda r: f"eyJ{letters(r, 30)}.eyJ{letters(r, 50)}.{letters(r, 43)}",
+    "forty characters": lambda r: letters(r, 40, "+/"),
+    "word with signs": lambda r: r.choice(["hunter", "summer", "dragon"]) + r.choice("!#%") + r.choice(["Pw@x", "Zq$w9", "Kt@p"]),
+    "pairs of digits": lambda r: ":".join("".join(r.choice("0123456789abcdef") for _ in range(2)) for _ in range(16)),
+    "recovery code": lambda r: "-".join(letters(r, 5) for _ in range(4)),
+}
+INTROS = ["the passphrase is", "my password:", "use this key:", "pwd =", "secret key =", "the api key is", "credentials:"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_secrets_of_other_kinds_are_found(given, kind):
+    tagger, texts = given
+    rng, hit = random.Random(kind), 0
+    for _ in range(100):
+        words = rng.choice(texts).split(" ")
+        at = rng.randrange(len(words) + 1)
+        quote = rng.choice(["", '"'])
+        left, secret = " ".join([*words[:at], rng.choice(INTROS), ""]) + quote, KINDS[kind](rng)
+        found = s.all_spans(left + secret + quote + " " + " ".join(words[at:]), tagger)[1]
+        hit += any(a < len(left) + len(secret) and len(left) < b for a, _, b in found)
+    assert hit >= 90
+
+
+def test_clean_documents_are_left_alone(given):
+    tagger, texts = given
+    hit = sum(any(k == 3 for _, k, _ in s.all_spans(t, tagger)[1]) for t in texts)
+    assert hit <= len(texts) / 1000
+
+
+def test_a_secret_of_several_tokens_is_one_span(given):
+    tagger, texts = given
+    rng, whole = random.Random(9), 0
+    for _ in range(60):
+        secret = s.made_grouped(rng)
+        left = f"{rng.choice(texts)[:300]} the passphrase is "
+        found = s.all_spans(f"{left}{secret} {rng.choice(texts)[:200]}", tagger)[1]
+        whole += any(a <= len(left) and len(left) + len(secret) <= b and k == 3 for a, k, b in found)
+    assert whole >= 45
+
+
+def test_no_position_of_the_best_path_is_closed():
+    rng = np.random.default_rng(8)
+    for k in range(300):
+        scores = rng.normal(size=(rng.integers(1, 12), 3)) * 2 - [k % 5, k % 3, 0]
+        scores -= scores[:, 2:]
+        model = s.ChainModel(move=rng.normal(size=(3, 3)), start=rng.normal(size=3))
+        model.move[2, 1] = model.start[1] = s.FORBIDDEN
+        assert all(model.gains(scores)[at] >= -1e-9 for at, tag in enumerate(model.path(scores)) if tag != 2)
+
+
+def test_margin_spares_real_windows():
+    text = "the house 8f14e45fceea167a5a36de9 and water " * 3
+    windows = list(s.examples(text))
+    model = s.ChainModel()
+    model.emit[:, 0] = 0.2
+    model.margin = s.spared(model, windows)
+    assert model.margin > 0 and not s.Tagger(model).spans(text)

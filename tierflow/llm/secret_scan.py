@@ -3,17 +3,22 @@
 The patterns find assignments, access keys and long hexadecimal strings. The field tags tokens as
 secret begin, inside or outside (B, I, O) from their shape, the words and signs around them, and
 features of the whole file, and is decoded by Viterbi. All words and signs of a text are one
-chain, and each may have any tag. A position where any other tag loses against O, whatever its
-neighbours have, is O on the best path; the path is searched between such positions, which is
-decoding the whole chain. The field's spans are added where they meet no span of a pattern;
+chain, and each may have any tag. A position around which no stretch of other tags can gain against
+O throughout is O on the best path; the path is searched between such positions, which is decoding
+the whole chain. The field's spans are added where they meet no span of a pattern;
 those of the patterns always stay.
 
 The field is fitted on a bounded sample: ``sampled`` documents, smallest hash of the id first,
-and in these on windows: the ``NEAR`` tokens to either side of secrets and of tokens that look
-like some, and for each ``ONE_IN``-th document a window anywhere. The first tag of a window
-follows the tag before it. Tags come from the patterns; the words around a token are hidden in
-every other copy of a window about such a token, so that shape and surroundings each learn to
-speak alone. Scanning reads every whole text in one pass without a shuffle.
+and in these on windows of two sorts. As they are: the ``NEAR`` tokens to either side of what the
+patterns find and of tokens that look like it, and for each ``ONE_IN``-th document a window anywhere. And
+with something planted, in every ``PLANT_IN``-th document: a made-up secret of a kind that the
+patterns don't know (``KINDS_MADE``), some of several tokens, behind words that announce one, or
+alone if its shape tells; or else what is easily taken for one: an address, a number, a file, a word
+behind the same announcement. So the field learns more than the patterns say, and to spare what
+real texts are full of. The first tag of a window follows the tag before it. The words around a token
+are hidden in every other copy of a window about such a token, so that shape and surroundings each
+learn to speak alone. A last step sets ``margin``, by which a secret has to win, to what spares the
+windows as they are. Scanning reads every whole text in one pass without a shuffle.
 
 Defined results: null and empty texts have no spans; spans count code points, end exclusive;
 spans of different kinds may overlap and are all reported, by start and then in the order of
@@ -25,10 +30,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -139,9 +145,12 @@ def neighbours(b3, b2, b1, a1, a2) -> list:
 
 @dataclass
 class ChainModel:
+    """Scores of features by tag, and of transitions; those of the tag B are less by ``margin`` in use."""
+
     emit: np.ndarray = field(default_factory=lambda: np.zeros((HASHED, 3)))
     move: np.ndarray = field(default_factory=lambda: np.zeros((3, 3)))
     start: np.ndarray = field(default_factory=lambda: np.zeros(3))
+    margin: float = 0.0
 
     def decode(self, features: list[list[int]]) -> list[int]:
         """Tags of one chain by Viterbi."""
@@ -159,28 +168,28 @@ class ChainModel:
             tags.append(int(step[tags[-1]]))
         return tags[::-1]
 
-    def most(self) -> float:
-        """The most that transitions may gain by another tag than O at one position.
+    def gains(self, scores: np.ndarray) -> np.ndarray:
+        """For each position, at least what a run of other tags around it can gain against O throughout.
 
-        The path it is compared with has O there and, if I came next, B instead of this I.
+        A transition counts at the position it leads to, against that from O to O: with the best of those
+        that lead to its tag. So a run gains no more than the sum of its positions, and the best sum of a
+        stretch around each follows from running sums. Leaving the run counts if it can gain.
         """
-        out = -math.inf
-        for tag in (0, 1):
-            for here, plain in [(self.start[tag], self.start[2]), *((self.move[a, tag], self.move[a, 2]) for a in range(3))]:
-                out = max(out, here - plain)
-                for c in range(3):
-                    to = 2 if c == 2 else 0
-                    gain = here - plain + self.move[tag, c] - self.move[2, to]
-                    out = max(out, gain, *(gain + self.move[c, e] - self.move[to, e] for e in range(3)))
-        return float(out)
+        into = (self.move[:, :2] - self.move[2, 2]).max(0)
+        most = scores[:, :2] + into
+        most[0] = scores[0, :2] + self.start[:2] - self.start[2]
+        total = np.concatenate([[0.0], np.cumsum(most.max(1))])
+        around = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])
+        return around + max(0.0, (self.move[:2, 2] - self.move[2, 2]).max())
 
 
 class Tagger:
     """Tags whole texts, with bounded tables of the words seen."""
 
     def __init__(self, model: ChainModel, entries: int = 250_000) -> None:
-        self.model, self.entries, self.most = model, entries, model.most()
+        self.model, self.entries = model, entries
         self.emit = model.emit - model.emit[:, 2:]  # against the tag O
+        self.margin = np.array([model.margin, 0.0, 0.0])
         self.clear()
 
     def clear(self) -> None:
@@ -207,7 +216,7 @@ class Tagger:
         self.add(tokens)
         ids = np.array([0, 0, 0, *map(self.seen.__getitem__, tokens), 1, 1])
         codes, n = self.codes[ids], len(tokens)
-        out = self.own[ids[3:-2]] + self.emit[number(file_features(text))].sum(0)
+        out = self.own[ids[3:-2]] + (self.emit[number(file_features(text))].sum(0) - self.margin)
         for feature in neighbours(*(codes[at:at + n] for at in (0, 1, 2, 4, 5))):
             out += self.emit.take(feature, 0)
         return out
@@ -218,8 +227,7 @@ class Tagger:
         if not tokens:
             return out
         scores = self.scores(text, tokens)
-        switch = np.maximum(scores[1:, 1] - scores[1:, 0], 0)  # an I after the position that becomes B
-        open_ = scores[:, :2].max(1) + np.append(switch, 0) + self.most >= 0
+        open_ = self.model.gains(scores) >= -1e-9
         bounds = np.flatnonzero(np.diff(np.concatenate([[False], open_, [False]])))
         for a, b in bounds.reshape(-1, 2).tolist():
             out[a:b] = self.model.path(scores[a:b], a > 0, b < len(tokens))
@@ -243,7 +251,7 @@ def logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def fit_chain(examples: list[tuple[list[list[int]], list[int], int]], steps: int = 150, rate: float = 0.1,
+def fit_chain(examples: list[tuple[list[list[int]], list[int], int]], steps: int = 100, rate: float = 0.1,
               penalty: float = 1e-4, length: int = LENGTH) -> ChainModel:
     """Maximum likelihood by forward-backward over all windows at once, with Adam steps.
 
@@ -300,12 +308,20 @@ def fit_chain(examples: list[tuple[list[list[int]], list[int], int]], steps: int
     return model
 
 
-def examples(text: str) -> Iterator[tuple[list[list[int]], list[int], int]]:
-    """Windows of a text with the tags its pattern spans give and the tag before, with and without the neighbours."""
-    found = list(TOKEN.finditer(text))
-    if not found:
-        return
-    values, tokens, n = pattern_spans(text)[1], [m[0] for m in found], len(found)
+Window = tuple[list[list[int]], list[int], int]  # features, tags, tag before
+
+
+def features_of(tokens: list[str], a: int, b: int, file: list[int], alone: bool = False) -> list[list[int]]:
+    """Features of the tokens from a to b within their text; ``alone``: without the tokens around."""
+    shapes = [shape(t) for t in tokens[a:b]]
+    if alone:
+        return [s + file for s in shapes]
+    n = len(tokens)
+    codes = [code(t) for t in [EDGE["^"]] * max(0, 3 - a) + tokens[max(0, a - 3):b + 2] + [EDGE["$"]] * max(0, b + 2 - n)]
+    return [s + neighbours(*codes[k:k + 3], *codes[k + 4:k + 6]) + file for k, s in enumerate(shapes)]
+
+
+def tags_of(found: list[re.Match], values: list[tuple[int, int]]) -> list[int]:
     tags, last, k = [], None, 0
     for m in found:
         while k < len(values) and values[k][1] <= m.start():
@@ -313,6 +329,16 @@ def examples(text: str) -> Iterator[tuple[list[list[int]], list[int], int]]:
         hit = k if k < len(values) and values[k][0] < m.end() and m.end() - len(m[0].lstrip()) < values[k][1] else None
         tags.append(2 if hit is None else 1 if hit == last else 0)
         last = hit
+    return tags
+
+
+def examples(text: str, kinds: Sequence[str] = ()) -> Iterator[Window]:
+    """Windows of a text as it is, with the tags its pattern spans give, and one with something planted."""
+    found = list(TOKEN.finditer(text))
+    if not found:
+        return
+    values, tokens, n = pattern_spans(text)[1], [m[0] for m in found], len(found)
+    tags = tags_of(found, values)
     chosen = np.zeros(n, bool)
     for at in range(n):
         if tags[at] != 2 or ALIKE.fullmatch(tokens[at].strip()):
@@ -324,11 +350,105 @@ def examples(text: str) -> Iterator[tuple[list[list[int]], list[int], int]]:
         windows.append((at, min(n, at + LENGTH), False))
     for a, b, twice in windows:
         before = tags[a - 1] if a else FIRST
-        shapes = [shape(t) for t in tokens[a:b]]
-        codes = [code(t) for t in [EDGE["^"]] * max(0, 3 - a) + tokens[max(0, a - 3):b + 2] + [EDGE["$"]] * max(0, b + 2 - n)]
-        yield [s + neighbours(*codes[k:k + 3], *codes[k + 4:k + 6]) + file for k, s in enumerate(shapes)], tags[a:b], before
+        yield features_of(tokens, a, b, file), tags[a:b], before
         if twice:
-            yield [s + file for s in shapes], tags[a:b], before
+            yield features_of(tokens, a, b, file, alone=True), tags[a:b], before
+    if kinds and digest % PLANT_IN == 1:
+        rng = random.Random(digest)
+        yield planted(text, found, rng, rng.choice(kinds), file)
+        yield planted(text, found, rng, None, file)
+
+
+# One document in so many gets a secret and something harmless planted.
+PLANT_IN = 3
+ALPHABET = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "sign": "!@#$%^&*?+~-_"}
+MIXED = ALPHABET["lower"] + ALPHABET["upper"] + ALPHABET["digit"]
+ANNOUNCED = ("password is", "the password is", "passphrase is", "the passphrase is", "passphrase:", "passwd:", "pwd =", "pwd:", "pass:",
+             "api key:", "api key is", "key =", "access key", "access key:", "private key:", "secret is", "secret key:", "auth:",
+             "authorization:", "bearer", "token is", "credentials:", "client secret:", "login with", "signing key =", "my key is")
+BESIDE = ("see", "file", "order", "number", "version", "id", "at", "call", "from", "page", "ref", "commit", "by", "mail")
+
+
+def drawn(rng: random.Random, letters: str, least: int, most: int) -> str:
+    return "".join(rng.choice(letters) for _ in range(rng.randint(least, most)))
+
+
+def made_prefixed(rng: random.Random) -> str:
+    """A service's token: a short name, maybe a second one, and random letters and digits."""
+    parts = [drawn(rng, rng.choice([ALPHABET["lower"], ALPHABET["upper"]]), 2, 5) for _ in range(rng.randint(1, 2))]
+    return rng.choice("__-.").join([*parts, drawn(rng, MIXED, 16, 44)])
+
+
+def made_signed(rng: random.Random) -> str:
+    """A password of letters, digits and signs."""
+    middle = [rng.choice(ALPHABET["sign"]) for _ in range(rng.randint(1, 3))] + [rng.choice(ALPHABET["digit"]) for _ in range(rng.randint(0, 3))]
+    body = [*drawn(rng, ALPHABET["lower"] + ALPHABET["upper"], 5, 11), *middle]
+    rng.shuffle(body)
+    return rng.choice(ALPHABET["lower"]) + "".join(body) + rng.choice(MIXED)
+
+
+def made_base64(rng: random.Random) -> str:
+    return drawn(rng, MIXED + "+/", 20, 64) + rng.choice(["", "=", "=="])
+
+
+def made_grouped(rng: random.Random) -> str:
+    """Groups of random letters and digits between signs."""
+    letters = rng.choice([ALPHABET["upper"] + ALPHABET["digit"], MIXED, MIXED])
+    return rng.choice(":;=,:").join(drawn(rng, letters, 4, 9) for _ in range(rng.randint(3, 6)))
+
+
+KINDS_MADE = ("prefixed", "signed", "base64", "grouped")
+ALONE_TOO = ("prefixed", "base64")  # their shape tells
+
+
+def harmless(rng: random.Random, words: Sequence[str]) -> str:
+    """Something that is no secret, though long or full of digits or signs."""
+    word, other = (rng.choice(words).strip(".,;:!?\"'").lower() or "a" for _ in range(2))
+    number = str(rng.randrange(10**rng.randint(3, 12)))
+    return rng.choice([
+        f"https://www.{word}.com/{other}/{number}.html", f"http://{word}-{other}.org/?id={number}&x={word}", f"{word}.{other}@{word}.net",
+        f"{word}_{other}_{number}.jpg", f"/usr/{word}/{other}-{number}.log", f"v{rng.randrange(9)}.{rng.randrange(30)}.{number[:2]}-{word}",
+        f"20{rng.randrange(10, 30)}-0{rng.randrange(1, 9)}-1{rng.randrange(9)}T1{rng.randrange(9)}:30:00", f"+{number[:2]} {number} {number[:4]}",
+        number, f"#{number}", f"{word.title()}{other.title()}{word.title()}", f"{word.upper()}-{number}", f"{word}{number}", word + other + word,
+        f"{word}!!", f"{word}***", f"[{other}]({word})", f"{word}|{other}", f"{number}%", f"${number}.00"])
+
+
+def planted(text: str, found: list[re.Match], rng: random.Random, kind: str | None, file: list[int]) -> Window:
+    """A window about something put between two tokens of a text: a made-up secret of a kind, or what is none."""
+    words = [m[0].strip() for m in found[:400]]
+    at = rng.choice(found).start()
+    quote = rng.choice(["", "", "", '"', "'"])
+    intro = rng.choice(ANNOUNCED)
+    if kind is None:
+        what = harmless(rng, words) if rng.random() < 0.6 else " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
+        intro = intro if rng.random() < 0.4 and not any(c.isdigit() for c in what) else rng.choice(BESIDE)
+        quote = rng.choice(["", "", '"'])
+    else:
+        what = globals()[f"made_{kind}"](rng)
+    bare = kind in (None, *ALONE_TOO) and rng.random() < 0.4
+    left = text[max(0, at - 150):at] + " " + ("" if bare else intro + " ") + quote
+    whole = left + what + quote + rng.choice(["", "", ".", ","]) + " " + text[at:at + 100].lstrip()
+    tokens = list(TOKEN.finditer(whole))
+    tags = tags_of(tokens, [] if kind is None else [(len(left), len(left) + len(what))])
+    inside = [i for i, m in enumerate(tokens) if m.end() > len(left) and m.start() < len(left) + len(what)]
+    a, b = max(0, inside[0] - 5), min(len(tokens), inside[-1] + 4)
+    return features_of([m[0] for m in tokens], a, b, file, alone=bare and rng.random() < 0.5), tags[a:b], 2 if a else FIRST
+
+
+def spared(model: ChainModel, windows: list[Window], share: float = 0.0005) -> float:
+    """The margin with which at most a share of the harmless windows as they are has a span of the field."""
+    need = []
+    for features, tags, before in windows:
+        if all(t == 2 for t in tags):
+            scores = np.stack([model.emit[f].sum(0) for f in features])
+            start = model.start if before == FIRST else model.move[before]
+            best, plain, gain = scores[0] + start, scores[0][2] + start[2], scores[0][0] + start[0]
+            for row in scores[1:]:
+                best = (best[:, None] + model.move).max(0) + row
+                plain = plain + model.move[2, 2] + row[2]
+            need.append(float(max(best.max(), gain) - plain))
+    need.sort(reverse=True)
+    return max(0.0, need[min(len(need) - 1, int(share * len(need)))] + 0.01) if need else 0.0
 
 
 def crf_spans(text: str, model: ChainModel | Tagger) -> list[tuple[int, int]]:
@@ -348,28 +468,39 @@ def all_spans(text: str | None, model: ChainModel | Tagger) -> tuple[list[Span],
     return base, sorted(base + more)
 
 
-def fit(docs: DataFrame, sampled: int = 8000) -> ChainModel:
+def fit_windows(windows: list[Window], real: list[bool], **options) -> ChainModel:
+    """The field of some windows, its margin from those that are ``real``: with nothing planted."""
+    model = fit_chain(windows, **options)
+    model.margin = spared(model, [w for w, r in zip(windows, real, strict=True) if r])
+    return model
+
+
+def fit(docs: DataFrame, sampled: int = 8000, kinds: Sequence[str] = KINDS_MADE) -> ChainModel:
     ids = (docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sampled))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
-                found = list(examples(text)) if isinstance(text, str) else []
+                if not isinstance(text, str):
+                    continue
+                plain = len(list(examples(text)))
+                found = list(examples(text, kinds))
                 if found:
                     yield pd.DataFrame({"doc_id": doc_id, "at": range(len(found)), "before": [b for _, _, b in found],
-                                        "tags": [t for _, t, _ in found],
+                                        "real": [k < plain for k in range(len(found))], "tags": [t for _, t, _ in found],
                                         "features": [[x for f in fs for x in f] for fs, _, _ in found]})
 
-    # the chosen ids are at most ``sampled`` rows
-    found = (docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id")
-             .mapInPandas(rows, "doc_id long, at int, before int, tags array<int>, features array<int>")
+    # the chosen ids are at most ``sampled`` rows, and of several texts under one id the smallest is used
+    texts = (docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id")
+             .groupBy("doc_id").agg(F.min("text").alias("text")))
+    found = (texts.mapInPandas(rows, "doc_id long, at int, before int, real boolean, tags array<int>, features array<int>")
              .toPandas().sort_values(["doc_id", "at"]))
     chosen = []
     for before, tags, flat in zip(found["before"], found["tags"], found["features"], strict=True):
         width = len(flat) // len(tags)
         chosen.append(([list(flat[k * width:(k + 1) * width]) for k in range(len(tags))], list(tags), before))
-    return fit_chain(chosen)
+    return fit_windows(chosen, found["real"].tolist())
 
 
 def scan(docs: DataFrame, model: ChainModel) -> DataFrame:

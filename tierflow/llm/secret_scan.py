@@ -51,6 +51,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
                     re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so this drops the shorter ones only
+NEEDED = ("password", "passwd", "secret", "token", "api")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -59,11 +60,13 @@ Span = tuple[int, int, int]  # start, kind, end
 def pattern_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
     """Spans of the patterns by start and kind, and where their values lie."""
     spans, values = [], []
-    for m in ASSIGN.finditer(text):
-        if len(m[2]) >= ASSIGN_LEAST:
-            spans.append((m.start(), 0, m.end()))
-            values.append(m.span(2))
-    for kind, found in ((1, ACCESS.finditer(text)), (2, HEX.finditer(text))):
+    if ":" in text or "=" in text:  # no match without; nor, below, without the letters
+        lower = text.lower()
+        for m in ASSIGN.finditer(text) if any(w in lower for w in NEEDED) else ():
+            if len(m[2]) >= ASSIGN_LEAST:
+                spans.append((m.start(), 0, m.end()))
+                values.append(m.span(2))
+    for kind, found in ((1, ACCESS.finditer(text) if "AKIA" in text else ()), (2, HEX.finditer(text))):
         for m in found:
             if kind == 2 or m.end() - m.start() >= ACCESS_LEAST:
                 spans.append((m.start(), kind, m.end()))
@@ -88,9 +91,19 @@ def number(features: list[str]) -> list[int]:
     return [1 + zlib.crc32(f.encode("utf-8", "replace")) % (HASHED - 1) for f in features]
 
 
+VARIETY = [0, *(int(2 * math.log2(k)) for k in range(1, 33))]  # of a word with so many different letters
+REPEATED = [0.0, 0.0, *(k * math.log2(k) for k in range(2, 64))]
+
+
 def entropy(token: str) -> float:
     n, signs = len(token), set(token)
-    repeated = sum(k * math.log2(k) for k in map(token.count, signs)) if len(signs) < n else 0.0
+    if len(signs) == n:
+        return math.log2(n)
+    repeated = 0.0
+    for sign in signs:
+        k = token.count(sign)
+        if k > 1:
+            repeated += REPEATED[k] if k < 64 else k * math.log2(k)
     return math.log2(n) - repeated / n
 
 
@@ -103,23 +116,34 @@ def shape_numbers(glued: bool, n: int, entropy2: int, hexadecimal: bool, digits:
                    f"u{kinds}{entropy2 // 2}", f"l{glued}{min(n, 3)}{word}"])
 
 
-def shape(token: str) -> list[int]:
-    """Features of a token's own characters, and whether a blank is before it."""
+CLASSES = str.maketrans({**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdefghijklmnopqrstuvwxyz", "a"),
+                         **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A")})
+BEYOND = re.compile(r"[^\x00-\x7f]")
+DOUBLED = re.compile(r"(.)\1+")
+JOINING = re.compile(r"[+/_.=-]")
+
+
+def look(token: str) -> tuple[tuple, int, int]:
+    """What a token looks like, as arguments of ``shape_numbers``; the number of its beginning; its code."""
     bare = token.lstrip()
-    glued, n, hexadecimal = len(bare) == len(token), len(bare), HEXADECIMAL.issuperset(bare)
-    of = glued, n, int(2 * entropy(bare)), hexadecimal
-    if bare.isalpha() and bare.islower():  # the common kinds, without counting
-        own = shape_numbers(*of, 0, 0, n, "a", 0, True)
-    elif bare.isascii() and bare.isalpha() and bare[1:].islower():
-        own = shape_numbers(*of, 0, 1, n - 1, "Aa", 0, True)
-    elif bare.isascii() and bare.isdecimal():
-        own = shape_numbers(*of, n, 0, 0, "0", 0, True)
+    glued, n, hexadecimal, lower = len(bare) == len(token), len(bare), HEXADECIMAL.issuperset(bare), bare.lower()
+    raw = lower.encode("utf-8", "replace")
+    if bare.isalpha() and (bare == lower or bare.isascii() and bare[1:] == lower[1:]):  # words, without counting
+        capital = bare != lower
+        key = glued, n, VARIETY[min(len(set(lower)), 32)], hexadecimal, 0, int(capital), n - capital, "Aa" if capital else "a", 0, True
     else:
-        classes = re.sub(r"[a-z]|[^\x00-\x7f]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "0", bare)))
-        classes = re.sub(r"(.)\1+", r"\1", classes)
-        own = shape_numbers(*of, sum(c.isdigit() for c in bare), sum(c.isupper() for c in bare), sum(c.islower() for c in bare),
-                            classes[:21], sum(c in "+/_.-=" for c in bare) and min(3, bare.count(".")), bare.isalnum())
-    return own + number(["s" + bare[:4]])
+        kinds = bare.translate(CLASSES)
+        if not bare.isascii():
+            kinds = BEYOND.sub("a", kinds)
+        key = (glued, n, int(2 * entropy(bare)), hexadecimal, kinds.count("0"), kinds.count("A"), kinds.count("a"),
+               DOUBLED.sub(r"\1", kinds)[:21], min(3, bare.count(".")) + 1 if JOINING.search(bare) else 0, bare.isalnum())
+    return key, 1 + zlib.crc32(raw[:4], 115) % (HASHED - 1), zlib.crc32(raw)
+
+
+def shape(token: str) -> list[int]:
+    """Features of a token's own characters, and whether a blank is before it."""
+    key, begin, _ = look(token)
+    return [*shape_numbers(*key), begin]
 
 
 def file_features(text: str) -> list[str]:
@@ -134,7 +158,7 @@ SHAPES, NEIGHBOURS, FILES = 12, len(PLACES) + 1, 3
 
 
 def code(token: str) -> int:
-    return zlib.crc32(token.lstrip().lower().encode("utf-8", "replace"))
+    return look(token)[2]
 
 
 def neighbours(b3, b2, b1, a1, a2) -> list:
@@ -194,6 +218,7 @@ class Tagger:
 
     def clear(self) -> None:
         self.seen: dict[str, int] = {}
+        self.kinds: dict[tuple, np.ndarray] = {}
         self.own, self.codes = np.zeros((0, 3)), np.zeros(0, np.int64)
         self.add(EDGE.values())
 
@@ -206,8 +231,11 @@ class Tagger:
                 more = max(1024, need, 2 * len(self.codes)) - len(self.codes)
                 self.own = np.concatenate([self.own, np.zeros((more, 3))])
                 self.codes = np.concatenate([self.codes, np.zeros(more, np.int64)])
-            self.own[need - len(new):need] = self.emit[np.array([shape(t) for t in new])].sum(1)
-            self.codes[need - len(new):need] = [code(t) for t in new]
+            keys, begins, codes = zip(*map(look, new), strict=True)
+            for key in set(keys).difference(self.kinds):
+                self.kinds[key] = self.emit[shape_numbers(*key)].sum(0)
+            self.own[need - len(new):need] = np.array([self.kinds[key] for key in keys]) + self.emit[np.array(begins)]
+            self.codes[need - len(new):need] = codes
 
     def scores(self, text: str, tokens: list[str]) -> np.ndarray:
         """What each tag of each token gains against O, without the transitions."""
@@ -353,14 +381,20 @@ def examples(text: str, kinds: Sequence[str] = ()) -> Iterator[Window]:
         yield features_of(tokens, a, b, file), tags[a:b], before
         if twice:
             yield features_of(tokens, a, b, file, alone=True), tags[a:b], before
-    if kinds and digest % PLANT_IN == 1:
+    if kinds and has_planted(text):
         rng = random.Random(digest)
         yield planted(text, found, rng, rng.choice(kinds), file)
         yield planted(text, found, rng, None, file)
 
 
-# One document in so many gets a secret and something harmless planted.
+# One document in so many gets a secret and something harmless planted: its last two windows.
 PLANT_IN = 3
+
+
+def has_planted(text: str) -> bool:
+    return zlib.crc32(text.encode("utf-8", "replace")) % PLANT_IN == 1
+
+
 ALPHABET = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "sign": "!@#$%^&*?+~-_"}
 MIXED = ALPHABET["lower"] + ALPHABET["upper"] + ALPHABET["digit"]
 ANNOUNCED = ("password is", "the password is", "passphrase is", "the passphrase is", "passphrase:", "passwd:", "pwd =", "pwd:", "pass:",
@@ -394,7 +428,8 @@ def made_base64(rng: random.Random) -> str:
 def made_grouped(rng: random.Random) -> str:
     """Groups of random letters and digits between signs."""
     letters = rng.choice([ALPHABET["upper"] + ALPHABET["digit"], MIXED, MIXED])
-    return rng.choice(":;=,:").join(drawn(rng, letters, 4, 9) for _ in range(rng.randint(3, 6)))
+    least = rng.choice([2, 4])
+    return rng.choice(":;=,:").join(drawn(rng, letters, least, least + 4) for _ in range(rng.randint(3, 8)))
 
 
 KINDS_MADE = ("prefixed", "signed", "base64", "grouped")
@@ -484,8 +519,8 @@ def fit(docs: DataFrame, sampled: int = 8000, kinds: Sequence[str] = KINDS_MADE)
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 if not isinstance(text, str):
                     continue
-                plain = len(list(examples(text)))
                 found = list(examples(text, kinds))
+                plain = len(found) - 2 * (bool(kinds) and has_planted(text))
                 if found:
                     yield pd.DataFrame({"doc_id": doc_id, "at": range(len(found)), "before": [b for _, _, b in found],
                                         "real": [k < plain for k in range(len(found))], "tags": [t for _, t, _ in found],

@@ -163,7 +163,7 @@ def test_defined_cases(spark):
                    (8, 1, 8), (9, 1, 9), (10, 1, 6)]
     kept = jj.one_of_each(docs, 4, 85)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 6, 8, 9]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 8, 9]  # the row without an id copies row 4
     assert jj.link(docs.where("false")).collect() == [] and jj.one_of_each(docs.where("false")).collect() == []
 
 
@@ -172,6 +172,17 @@ def test_repeated_rows_leave_one(spark):
     assert sorted(r.doc_id for r in jj.one_of_each(docs).collect()) == [1, 2]
 
 
+def test_rows_are_told_apart_by_id_and_text(spark):
+    long = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([
+        (5, long, "a"), (7, long, "a"), (7, "another clean text of some length here", "b"), (7, "another clean text of some length here", "b"),
+        (None, long, "c"), (None, "only without an id as it were", "d"), (None, "only without an id as it were", "d"),
+        (9, "two texts under one id the first", "e"), (9, "and quite some other words for it", "f"),
+        (None, None, "g"), (None, None, "g"), (3, " \t", "h"), (3, "", "h"), (2**62 + 5, long, "i")], "doc_id long, text string, source string")
+    kept = sorted((r.doc_id or 0, r.source) for r in jj.one_of_each(docs).collect())
+    assert kept == [(0, "d"), (0, "g"), (0, "g"), (3, "h"), (3, "h"), (5, "a"), (7, "b"), (9, "e"), (9, "f")]
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(8)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(50)] + [(k, k + 1) for k in range(100, 140)]

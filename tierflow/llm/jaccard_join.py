@@ -36,7 +36,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import (
@@ -433,20 +433,40 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, long_lists: int = 100_0
     return linked.unionAll(alone)
 
 
+def row_keys(docs: DataFrame) -> Column:
+    """A key for each row: its id, or where that is null or not the row's alone a hash of id and text.
+
+    Hashes lie above 2 ** 62, so that plain ids come before them. Which ids repeat is told by a Bloom
+    filter: an id that it takes for a repeated one by mistake gets a hash, which does as well.
+    """
+    key = F.col("doc_id").cast("long")
+    hashed = F.lit(1 << 62) + F.pmod(F.xxhash64(key, "text"), F.lit(1 << 62))
+    repeated = written(docs.select(key.alias("doc_id")).where("doc_id is not null").groupBy("doc_id")
+                       .agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "repeated_ids")
+    if repeated.isEmpty():
+        return F.coalesce(key, hashed)
+    return F.when(key.isNull() | F.coalesce(in_bloom(bloom(repeated, "doc_id"), key), F.lit(False)), hashed).otherwise(key)
+
+
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, long_lists: int = 100_000) -> DataFrame:
     """The documents, all columns kept, without those linked to one with a smaller id.
 
-    Of rows that share an id one stays; rows without an id stay. Rows that stay anyway are not
-    shuffled: a Bloom filter holds back those that may go, and these meet the exact list.
+    Rows are told apart by id and text: of rows equal in both one stays, rows of one id with different
+    texts are documents of their own, and rows without an id take part by their text; both come after
+    plain ids in the choice of who stays. Rows without words are linked to nothing and all stay. Rows
+    that stay anyway are not shuffled: a Bloom filter holds back those that may go, and these meet
+    the exact list.
     """
-    linked = written(link(docs, n, percent, long_lists), "components").where("doc_id is not null")
-    counted = linked.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
-    special = written(counted.where("component_id <> doc_id or rows > 1").select("doc_id", "component_id"), "special")
-    key = F.col("doc_id").cast("long")
-    maybe = F.coalesce(in_bloom(bloom(special.select("doc_id"), "doc_id"), key), F.lit(False))
     mark = "_maybe_" + uuid.uuid4().hex
-    docs = docs.withColumn(mark, maybe)
+    docs = docs.withColumn(mark + "key", row_keys(docs))
+    linked = written(link(docs.select(F.col(mark + "key").alias("doc_id"), "text"), n, percent, long_lists), "components")
+    counted = (linked.where("n_shingles > 0").groupBy("doc_id")
+               .agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("rows")))
+    special = written(counted.where("component_id <> doc_id or rows > 1").select("doc_id", "component_id"), "special")
+    docs = docs.withColumn(mark, F.coalesce(in_bloom(bloom(special.select("doc_id"), "doc_id"), F.col(mark + "key")), F.lit(False)))
     gone = special.where("component_id <> doc_id").select(F.col("doc_id").alias(mark + "id"))
-    checked = (docs.where(F.col(mark)).join(gone, F.col("doc_id").cast("long") == F.col(mark + "id"), "left_anti")
-               .dropDuplicates(["doc_id"]))
-    return docs.where(~F.col(mark)).unionByName(checked).drop(mark)
+    checked = docs.where(F.col(mark)).join(gone, F.col(mark + "key") == F.col(mark + "id"), "left_anti")
+    # of rows that share a key one stays, unless they have no words
+    wordless = F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")) == ""
+    once = checked.where(~wordless).dropDuplicates([mark + "key"])
+    return docs.where(~F.col(mark)).unionByName(once).unionByName(checked.where(wordless)).drop(mark, mark + "key")

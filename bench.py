@@ -75,7 +75,9 @@ HEADLINE = {
     # whole jobs, with the tables they write: loads in several steps, partitioned tables, streams
     **{name: registered(name) for name in (
         "ingest_boundary_rows", "scd1_load", "scd1_partitioned_load", "scd2_touched_load", "dim_product_merge",
-        "stream_word_count", "stream_cdc_apply")},
+        "stream_word_count", "stream_cdc_apply",
+        "cdc_apply_sequenced", "snapshot_diff_digest", "scd2_bloom_load", "silver_dedupe_incremental", "fact_versioned_product",
+        "stream_word_count_update", "stream_quarantine")},
 }
 
 

@@ -76,8 +76,7 @@ HEADLINE = {
     **{name: registered(name) for name in (
         "ingest_boundary_rows", "scd1_load", "scd1_partitioned_load", "scd2_touched_load", "dim_product_merge",
         "stream_word_count", "stream_cdc_apply",
-        "cdc_apply_sequenced", "snapshot_diff_digest", "scd2_bloom_load", "silver_dedupe_incremental", "fact_versioned_product",
-        "stream_word_count_update", "stream_quarantine")},
+        "cdc_apply_sequenced", "snapshot_diff_digest", "fact_versioned_product", "stream_quarantine")},
 }
 
 

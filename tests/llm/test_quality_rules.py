@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,53 @@ def test_cutoffs_keep_their_promise():
     assert wrong <= 30
 
 
+def test_ladder_orders_by_bad_for_good():
+    rules = {s: np.zeros((2, len(q.GRID) + 1), int) for s in ("upper_share", "run_share")}
+    good, bad = rules["upper_share"]
+    good[[1, 10, 20]], bad[[10, 20, 30]] = (80, 10, 2), (15, 20, 7)
+    good, bad = rules["run_share"]
+    good[[0, 5]], bad[[5, 40]] = (90, 5), (4, 30)
+    # 30 and 7 bad for none, then 20 for 2, then 15 for 10; 4 for 5 gains nothing
+    assert q.ladder(rules) == [("run_share", 39), ("upper_share", 29), ("upper_share", 19), ("upper_share", 9)]
+    steps = q.ladder(rules)
+    assert [q.first_steps(steps, "upper_share")[b] for b in (0, 9, 10, 19, 20, 29, 30, 50)] == [4, 4, 3, 3, 2, 2, 1, 1]
+
+
+def test_whole_rule_set_keeps_its_promise():
+    """Over 1,000 holdouts, the steps taken truly reject more than alpha in at most delta of them."""
+    rng = np.random.default_rng(3)
+    shares = np.array([0.0, 0.01, 0.01, 0.015, 0.01, 0.01, 0.02, 0.05])
+    truth = np.cumsum(shares)
+    for n in (60, 160, 900):
+        lost = rng.multinomial(n, [*shares, 1 - shares.sum()], 1000)[:, :-1]
+        taken = [q.accepted(row.tolist(), n, 0.05, 0.05) for row in lost]
+        assert np.mean([t > 0 and truth[t - 1] > 0.05 for t in taken]) <= 0.05
+        assert np.mean([t > 0 for t in taken]) > 0.9
+
+
+def test_needed_labels():
+    assert q.needed(0.05, 0.05 / 4) == 86
+    assert q.admitted(0, 86, 0.05, 0.05 / 4) and not q.admitted(0, 85, 0.05, 0.05 / 4)
+
+
+def test_copies_change_no_cutoff(spark):
+    found = rows(1200)
+    docs = spark.createDataFrame([(d, t, lang) for d, t, lang, _ in found], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(d, y) for d, _, _, y in found], "doc_id long, quality int")
+    more = docs.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7)))).select(
+        (F.col("doc_id") + 10_000 * F.col("k")).alias("doc_id"), "text", "lang")
+    more_labels = more.join(labels.withColumnRenamed("doc_id", "id"), F.col("doc_id") % 10_000 == F.col("id")).select("doc_id", "quality")
+    chosen = [q.cutoffs(q.features(d), y, 0.05, 0.05) for d, y in ((docs, labels), (docs.unionAll(docs), labels), (more, more_labels))]
+    assert chosen[0] == chosen[1] == chosen[2]
+    assert chosen[0]["de"] and not chosen[0]["en"]  # all bad rows are of one language
+
+
+def test_every_language_has_rules(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    chosen = q.cutoffs(q.features(docs), labels, 0.05, 0.05)
+    assert {lang for lang, rules in chosen.items() if rules} >= {"en", "de", "fr", "es"}
+
+
 def test_few_labels_turn_rules_off(spark):
     found = rows(40)
     docs = spark.createDataFrame([(d, t, lang) for d, t, lang, _ in found], "doc_id long, text string, lang string")

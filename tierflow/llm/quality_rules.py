@@ -1,21 +1,26 @@
 """Quality rules with risk-controlled cutoffs.
 
-Every rule rejects a document whose signal lies above a cutoff. Cutoffs come from labelled
-documents: within each stratum (language) and for each rule, every cutoff of a fixed grid is a
-hypothesis "this cutoff rejects more than the rule's share of ``alpha`` of the good documents". It
-is refuted if the exact binomial (Clopper-Pearson) upper bound on the false rejections stays
-within that share. Cutoffs are tested in a fixed order, mildest first, up to the first that is not
-refuted, which needs no correction; all strata and rules share the error ``delta`` (Bonferroni).
-Of the refuted ones the cutoff is used that rejects most bad documents less the good ones it costs,
-the mildest of equals; a rule that gains nothing is off. So with probability ``1 - delta`` no stratum loses more
-than ``alpha`` of its good documents to the rules.
-
-Only a histogram of (stratum, rule, cutoff) counts over all labelled documents is gathered; its
-size does not depend on the number of documents.
+Every rule rejects a document whose signal lies above a cutoff. Labelled texts are dealt by a hash
+into two halves. On the first, each stratum (language) gets a ladder: the cutoffs of all rules, of a
+fixed grid, ordered by how many bad texts they reject for each good one, the mildest first within a
+rule; cutoffs that gain nothing are left out. The second half, the holdout, tests the ladder. Step
+``t`` is the hypothesis "the rules with the cutoffs up to ``t`` together reject more than ``alpha``
+of the good texts". It is refuted if the exact binomial (Clopper-Pearson) upper bound on the false
+rejections stays within ``alpha``. Steps are tested in order up to the first that is not refuted,
+which needs no correction, since the holdout had no part in the order; all strata share the error
+``delta`` (Bonferroni). So with probability ``1 - delta`` no stratum loses more than ``alpha`` of its
+good texts to the rules. A stratum can have rules from ``log(delta / strata) / log(1 - alpha)`` good
+texts in its holdout on: 86 for four strata at 0.05, some 172 labelled ones.
+
+A trial is a distinct text of a stratum, however often it is repeated, as copies tell nothing new;
+the promise is about distinct texts. Near copies do count as separate trials.
+
+Only strata with enough labelled texts reach the driver, each with a histogram over rules and
+cutoffs and one over steps, whose sizes do not depend on the number of documents.
 
 Defined results: a null text is empty; null languages are the stratum ''; a stratum without
 labels has no rules and keeps what passes the base rules; repeated documents get a row each; a
-document with several labels counts as good only if all say so; empty tables give no rows.
+text with several labels counts as good only if all say so; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +45,7 @@ SIGNALS = ("symbol_share", "marked_share", "upper_share", "dup_line_share", "rep
            "digit_share", "long_word_share", "top_word_share")
 GRID = tuple(round(0.02 * k, 2) for k in range(50))
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-FEATURES = f"doc_id long, lang string, {BASE}, " + ", ".join(f"{s} double" for s in SIGNALS)
+FEATURES = f"doc_id long, lang string, digest string, {BASE}, " + ", ".join(f"{s} double" for s in SIGNALS)
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -104,8 +110,9 @@ def features(docs: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(d, lang if isinstance(lang, str) else "", *signals(t if isinstance(t, str) else None))
-                     for d, lang, t in zip(batch["doc_id"], batch["lang"], batch["text"], strict=True)]
+            texts = [t if isinstance(t, str) else None for t in batch["text"]]
+            found = [(d, lang if isinstance(lang, str) else "", xxhash.xxh3_128_hexdigest(as_bytes(t)), *signals(t))
+                     for d, lang, t in zip(batch["doc_id"], batch["lang"], texts, strict=True)]
             yield pd.DataFrame(found, columns=names).astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text").mapInPandas(rows, FEATURES)
@@ -137,35 +144,88 @@ def admitted(rejected: int, good: int, allowed: float, error: float) -> bool:
     return good > 0 and rejected <= allowed * good and upper_bound(rejected, good, error) <= allowed
 
 
-def cutoffs(found: DataFrame, labels: DataFrame, alpha: float, delta: float) -> dict[str, dict[str, float]]:
-    """Cutoff of each rule that is on, by stratum."""
+def needed(alpha: float, error: float) -> int:
+    """Good texts from which on a step that rejects none of them is refuted."""
+    return math.ceil(math.log(error) / math.log1p(-alpha))
+
+
+def ladder(by_rule: dict[str, np.ndarray]) -> list[tuple[str, int]]:
+    """Steps (rule, place of its cutoff in the grid) by bad texts rejected for each good one.
+
+    ``by_rule`` holds the good and the bad texts of each bin; a text in bin b has a signal above the
+    cutoffs 0 .. b - 1. A rule's steps are the corners of the upper hull of bad over good ones.
+    """
+    steps = []
+    for rule, counts in by_rule.items():
+        good, bad = (np.cumsum(c[::-1])[::-1][1:].tolist() for c in counts)
+        lost = hit = 0
+        end = len(GRID)
+        while True:
+            ahead = [((bad[k] - hit) / (good[k] - lost) if good[k] > lost else math.inf, bad[k] - hit, k)
+                     for k in range(end) if bad[k] - hit > good[k] - lost]
+            if not ahead:
+                break
+            ratio, gained, end = max(ahead)
+            lost, hit = good[end], bad[end]
+            steps.append((-ratio, -gained, rule, end))
+    return [(rule, k) for _, _, rule, k in sorted(steps)]
+
+
+def first_steps(steps: list[tuple[str, int]], rule: str) -> list[int]:
+    """For each bin of a rule the first step that rejects it; the number of steps if none does."""
+    return [min((t for t, (name, k) in enumerate(steps) if name == rule and k < b), default=len(steps))
+            for b in range(len(GRID) + 1)]
+
+
+def accepted(lost: list[int], good: int, alpha: float, error: float) -> int:
+    """How many steps are refuted in order, given the good texts first rejected by each."""
+    rejected = 0
+    for t, more in enumerate(lost):
+        rejected += more
+        if not admitted(rejected, good, alpha, error):
+            return t
+    return len(lost)
+
+
+def trials(found: DataFrame, labels: DataFrame) -> DataFrame:
+    """Distinct labelled texts of a stratum that pass the base rules, with the bin of each signal."""
     marks = (labels.where("doc_id is not null and quality is not null")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality")))
-    passed = found.where(~base_failed()).join(marks, "doc_id")
-    bins = [F.struct(F.lit(s).alias("rule"), F.least(F.ceil(F.round(F.col(s) / F.lit(GRID[1]), 9)),
-                                                   F.lit(len(GRID))).cast("int").alias("at")) for s in SIGNALS]
-    counts = (passed.select("lang", "quality", F.explode(F.array(*bins)).alias("b"))
-              .groupBy("lang", "b.rule", "b.at").agg(F.sum(F.when(F.col("quality") > 0, 1).otherwise(0)).alias("good"),
-                                                     F.sum(F.when(F.col("quality") <= 0, 1).otherwise(0)).alias("bad")))
-    histogram: dict[str, dict[str, np.ndarray]] = {}
+    bins = [F.least(F.ceil(F.round(F.col(s) / F.lit(GRID[1]), 9)), F.lit(len(GRID))).cast("int") for s in SIGNALS]
+    return (found.where(~base_failed()).join(marks, "doc_id").groupBy("lang", "digest")
+            .agg((F.min("quality") > 0).cast("int").alias("good"),
+                 *[F.min(b).alias(s) for s, b in zip(SIGNALS, bins, strict=True)])
+            .withColumn("held_out", F.crc32(F.col("digest").cast("binary")) % 2 == 1))
+
+
+def cutoffs(found: DataFrame, labels: DataFrame, alpha: float, delta: float) -> dict[str, dict[str, float]]:
+    """Cutoff of each rule that is on, by stratum."""
+    spark = found.sparkSession
+    tried = written(trials(found, labels), "trials")
+    goods = {r["lang"]: r["good"] for r in tried.where("held_out").groupBy("lang").agg(F.sum("good").alias("good"))
+             .where(F.col("good") >= needed(alpha, delta)).toLocalIterator()}
+    if not goods:
+        return {}
+    strata = spark.createDataFrame([(lang,) for lang in goods], "lang string")
+    bins = F.explode(F.array(*[F.struct(F.lit(s).alias("rule"), F.col(s).alias("at")) for s in SIGNALS]))
+    counts = (tried.where("not held_out").join(strata, "lang").select("lang", "good", bins.alias("b"))
+              .groupBy("lang", "b.rule", "b.at").agg(F.sum("good").alias("good"), F.count("*").alias("texts")))
+    histogram = {lang: {s: np.zeros((2, len(GRID) + 1), np.int64) for s in SIGNALS} for lang in goods}
     for row in counts.toLocalIterator():
-        by_rule = histogram.setdefault(row["lang"], {s: np.zeros((2, len(GRID) + 1), np.int64) for s in SIGNALS})
-        by_rule[row["rule"]][:, row["at"]] += (row["good"], row["bad"])
-    error = delta / max(1, len(histogram) * len(SIGNALS))
-    allowed = alpha / len(SIGNALS)
-    chosen: dict[str, dict[str, float]] = {}
-    for lang, by_rule in histogram.items():
-        chosen[lang] = {}
-        for rule, (good, bad) in by_rule.items():
-            # a document in bin b has a signal above the cutoffs 0 .. b - 1
-            most = 0
-            for k in reversed(range(len(GRID))):
-                if not admitted(int(good[k + 1:].sum()), int(good.sum()), allowed, error):
-                    break
-                gain = int(bad[k + 1:].sum() - good[k + 1:].sum())
-                if gain > most:
-                    most, chosen[lang][rule] = gain, GRID[k]
-    return chosen
+        histogram[row["lang"]][row["rule"]][:, row["at"]] += (row["good"], row["texts"] - row["good"])
+    ladders = {lang: ladder(by_rule) for lang, by_rule in histogram.items()}
+    places = spark.createDataFrame(
+        [(lang, *[first_steps(steps, s) for s in SIGNALS]) for lang, steps in ladders.items()],
+        "lang string, " + ", ".join(f"{s}_steps array<int>" for s in SIGNALS))
+    step = F.least(*[F.element_at(f"{s}_steps", F.col(s) + 1) for s in SIGNALS])
+    lost = {lang: [0] * (len(steps) + 1) for lang, steps in ladders.items()}
+    for row in (tried.where("held_out").join(places, "lang").groupBy("lang", step.alias("step"))
+                .agg(F.sum("good").alias("good")).toLocalIterator()):
+        lost[row["lang"]][row["step"]] += row["good"]
+    # a later step of a rule has the lower cutoff
+    return {lang: {rule: GRID[k] for rule, k in
+                   steps[:accepted(lost[lang][:-1], goods[lang], alpha, delta / len(goods))]}
+            for lang, steps in ladders.items()}
 
 
 def base_failed():
@@ -185,4 +245,4 @@ def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, delta:
     found = found.join(limits, "lang", "left")
     return (found.withColumn("base_failed", base_failed()).withColumn("broken", broken)
             .withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
-            .drop(*[f"{s}_limit" for s in SIGNALS]))
+            .drop("digest", *[f"{s}_limit" for s in SIGNALS]))

@@ -80,6 +80,43 @@ def test_contaminated_in_shards(spark):
         d for d, _ in rows if d is not None and d not in {x for x, _ in expected})
 
 
+def test_shards_change_no_score(spark):
+    docs, items = corpus()
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    # a third of the items are copies of one
+    bench = spark.createDataFrame([*items, *[(100 + k, items[0][1]) for k in range(30)]], "item_id long, text string")
+
+    def hits(shard_bytes):
+        return sorted((r.doc_id, r.item_id, round(r.score, 9), r.question_overlap, r.answer_overlap)
+                      for r in dc.contaminated(table, bench, threshold=0.3, shard_bytes=shard_bytes).collect())
+
+    whole = hits(10**9)
+    assert len(list(dc.shards(bench, 3000))) > 3 and len(whole) >= 40
+    assert hits(3000) == whole == hits(900)
+
+
+def test_shards_are_bounded_though_one_item_repeats(spark):
+    bench = spark.range(4000).selectExpr("id as item_id", "if(id % 3 = 0, 'one text of some words', concat('w', id, ' of ', id)) as text")
+    sizes = [len(block) for block, _ in dc.shards(bench, 6000)]
+    assert sum(sizes) == 4000 and len(sizes) > 8 and max(sizes) < 2 * 4000 / len(sizes)
+    seen = [of for _, of in dc.shards(bench, 6000)]
+    assert {(of.items, of.longest) for of in seen} == {(4000, 5)}
+    assert {of.df["one"] for of in seen} == {1334} and {of.df["of"] for of in seen} == {4000}
+
+
+def test_block_bounds_hold():
+    docs, items = corpus()
+    index = dc.ItemIndex(items, 5, 0.6)
+    for _, text in docs[:60]:
+        query = index.postings.keys() & set(dc.terms(text))
+        if query:
+            scores = {}
+            for t in query:
+                for item, x in zip(*index.postings[t][:2], strict=True):
+                    scores[item] = scores.get(item, 0) + x
+            assert index.reachable({index.number[t] for t in query}) >= max(scores.values()) - 1e-9
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")

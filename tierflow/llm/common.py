@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """The frame as a table in the shared folder: computed once, safe from lost executors.
 
     Texts travel to Python in smaller batches than by default, as both sides hold a batch whole.
@@ -30,7 +30,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     rows = spark.conf.get(BATCH_ROWS)
     spark.conf.set(BATCH_ROWS, min(1000, int(rows)) if int(rows) > 0 else 1000)
     try:
-        return stage(df, scratch_path(spark, name))
+        return stage(df, folder or scratch_path(spark, name))
     finally:
         spark.conf.set(BATCH_ROWS, rows)
 

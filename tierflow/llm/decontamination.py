@@ -9,8 +9,11 @@ lists of the passages for which some block can reach the threshold.
 What is retrieved is verified on five-word shingles: the question (all sentences but the last)
 and the answer (the last one) must each be found to ``overlap`` in the document.
 
-The index is cut into shards of at most ``shard_bytes`` of item text, so what a task receives is
-bounded; documents are read once per shard.
+Items are dealt by row into shards of about ``shard_bytes`` of text, and kept as a table with their
+terms. In how many items a term is, their mean length and that of the longest are counted over all
+items, so scores and passages do not depend on the shards. Documents are read once per shard. The
+driver and each task hold one shard and its terms at a time, with block maxima only for the blocks
+that hold a term, so memory grows with ``shard_bytes`` and not with the benchmark.
 
 Defined results: words are runs of letters, digits and ``_`` in any case; a text of fewer than
 five words is one shingle; items without words match nothing, null texts have no passages; an
@@ -25,13 +28,15 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import arrow, parts
+from tierflow.llm.common import arrow, blocks_for, discard, parts, written
+from tierflow.session import scratch_path
 
 WORD = re.compile(r"\w+")
 SENTENCES = re.compile(r"(?<=[.!?])\s+")
@@ -55,16 +60,33 @@ def question_answer(text: str) -> tuple[str, str]:
     return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (text, "")
 
 
+class Statistics(NamedTuple):
+    """Of all items that have words: their number, mean and largest length, and items by term."""
+
+    items: int
+    mean: float
+    longest: int
+    df: dict[str, int]
+
+
+def statistics(items: list[tuple[int, str]]) -> Statistics:
+    counts = [Counter(c) for c in (terms(t) for _, t in items) if c]
+    lengths = [c.total() for c in counts]
+    return Statistics(len(counts), sum(lengths) / max(1, len(lengths)), max(lengths, default=0),
+                      Counter(t for c in counts for t in c))
+
+
 class ItemIndex:
-    """Block-max postings of one shard of items."""
+    """Block-max postings of one shard of items, by default of all."""
 
-    def __init__(self, items: list[tuple[int, str]], n: int, threshold: float, k1: float = 1.2, b: float = 0.75) -> None:
+    def __init__(self, items: list[tuple[int, str]], n: int, threshold: float, of: Statistics | None = None,
+                 k1: float = 1.2, b: float = 0.75) -> None:
+        of = of or statistics(items)
         self.items = [(i, t) for i, t in items if terms(t)]
         counts = [Counter(terms(t)) for _, t in self.items]
-        lengths = [sum(c.values()) for c in counts]
-        mean = sum(lengths) / max(1, len(lengths))
-        df = Counter(t for c in counts for t in c)
-        idf = {t: np.log1p((len(counts) - d + 0.5) / (d + 0.5)) for t, d in df.items()}
+        lengths = [c.total() for c in counts]
+        mean, self.longest = of.mean, of.longest
+        idf = {t: np.log1p((of.items - d + 0.5) / (d + 0.5)) for t, d in of.df.items()}
         postings, self.threshold = defaultdict(list), threshold
         for at, (count, length) in enumerate(zip(counts, lengths, strict=True)):
             impact = {t: idf[t] * f * (k1 + 1) / (f + k1 * (1 - b + b * length / mean)) for t, f in count.items()}
@@ -76,16 +98,32 @@ class ItemIndex:
                          for t, p in postings.items()}
         self.most = {t: max(p[1]) for t, p in self.postings.items()}
         self.number = {t: at for at, t in enumerate(self.postings)}
-        self.bounds = np.zeros((len(self.number), -(-len(counts) // BLOCK)), np.float32)
-        for t, (items_of, impacts, _) in self.postings.items():
-            np.maximum.at(self.bounds[self.number[t]], np.array(items_of) // BLOCK, np.array(impacts, np.float32))
-        self.longest = max(lengths, default=0)
+        # block maxima of term t: entries starts[t] .. starts[t] + sizes[t] of (block, bound)
+        self.blocks = -(-len(counts) // BLOCK)
+        blocks, bounds, sizes = [], [], []
+        for items_of, impacts, _ in self.postings.values():
+            block = np.array(items_of) // BLOCK
+            first = np.flatnonzero(np.diff(block, prepend=-1))
+            blocks.append(block[first])
+            bounds.append(np.maximum.reduceat(np.array(impacts), first))
+            sizes.append(len(first))
+        self.block, self.bound = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (blocks, bounds))
+        self.sizes = np.array(sizes, np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.parts = []
         for _, text in self.items:
             question, answer = question_answer(text)
             self.parts.append((shingles(terms(question), n), shingles(terms(answer), n)))
         self.n = n
 
+    def reachable(self, numbers: set[int]) -> float:
+        """The largest sum of block maxima of some terms over all blocks."""
+        at = np.fromiter(numbers, np.int64, len(numbers))
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        entry = np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1])
+        return np.bincount(self.block[entry], self.bound[entry]).max()
+
     def search(self, query: set[str]) -> Iterator[tuple[int, float]]:
         """Every item scoring ``threshold`` or more, by block-max WAND."""
         threshold = self.threshold
@@ -144,7 +182,7 @@ class ItemIndex:
         for start, end in self.passages(found):
             passage = set(numbers[start:end])
             passage.discard(None)
-            if passage and self.bounds[list(passage)].sum(0).max() >= self.threshold - 1e-4:
+            if passage and self.reachable(passage) >= self.threshold - 1e-6:
                 for item, score in self.search(self.postings.keys() & found[start:end]):
                     best[item] = max(score, best.get(item, 0.0))
         if not best:
@@ -164,19 +202,30 @@ class ItemIndex:
         return out
 
 
-def shards(benchmark: DataFrame, shard_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of bounded size, streamed to the driver one partition at a time."""
-    block, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
-    for row in rows.toLocalIterator():
-        length = len(row["text"].encode("utf-8", "surrogatepass"))
-        if block and size + length > shard_bytes:
-            yield block
-            block, size = [], 0
-        block.append((row["item_id"], row["text"]))
-        size += length
-    if block:
-        yield block
+def shards(benchmark: DataFrame, shard_bytes: int) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """Items by shard, one at a time, with the statistics of all items for the shard's terms."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
+    count = blocks_for(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0, shard_bytes)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [terms(t) for t in batch["text"]]
+            yield batch.assign(length=[len(f) for f in found], terms=[list(set(f)) for f in found])
+
+    # dealt by row: copies of one item are spread too
+    items = written(items.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count)))
+                    .mapInPandas(counted, "item_id long, text string, shard long, length long, terms array<string>")
+                    .where("length > 0"), "items")
+    total, words, longest = items.agg(F.count("*"), F.sum("length"), F.max("length")).first()
+    # a term has one row per shard, however many items hold it
+    held = items.select("shard", F.explode("terms").alias("term")).groupBy("shard", "term").agg(F.count("*").alias("held"))
+    by_term = held.groupBy("term").agg(F.sum("held").alias("df"))
+    df = written(held.join(by_term, "term").select("shard", "term", "df"), "item_terms")
+    for shard in range(count) if total else ():
+        block = [(r["item_id"], r["text"]) for r in items.where(F.col("shard") == shard).select("item_id", "text").collect()]
+        some = {r["term"]: r["df"] for r in df.where(F.col("shard") == shard).select("term", "df").collect()}
+        if block:
+            yield block, Statistics(total, words / total, longest, some)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.8,
@@ -184,9 +233,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
     """(doc_id, item_id) of every item found in a document, with its score and overlaps."""
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null")
 
-    def search(items: list[tuple[int, str]]) -> DataFrame:
+    def search(items: list[tuple[int, str]], of: Statistics) -> DataFrame:
         def hits(batches):
-            index = ItemIndex(items, n, threshold)
+            index = ItemIndex(items, n, threshold, of)
             for part in parts(batches):
                 found = [(doc_id, *hit) for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True)
                          for hit in index.matches(text, overlap)]
@@ -194,19 +243,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
                 yield arrow(frame.astype({"doc_id": "Int64"}), HITS)
         return texts.mapInArrow(hits, HITS)
 
-    found = [search(block) for block in shards(benchmark, shard_bytes)]
+    found = [written(search(block, of), "hits") for block, of in shards(benchmark, shard_bytes)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], HITS)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.8,
           n: int = 5, shard_bytes: int = 4_000_000) -> DataFrame:
-    """The documents, all columns kept, in which no item is found."""
-    schema = docs.schema
-    for block in shards(benchmark, shard_bytes):
-        def kept(batches, items=block):
+    """The documents, all columns kept, in which no item is found.
+
+    What a shard leaves is written before the next one, and deleted once that is written in turn.
+    """
+    def without(docs: DataFrame, items: list[tuple[int, str]], of: Statistics) -> DataFrame:
+        def kept(batches):
             import pyarrow as pa
-            index = ItemIndex(items, n, threshold)
+            index = ItemIndex(items, n, threshold, of)
             for part in parts(batches):
                 yield part.filter(pa.array([not index.matches(t, overlap) for t in part.column("text").to_pylist()], pa.bool_()))
-        docs = docs.mapInArrow(kept, schema)
+        return docs.mapInArrow(kept, docs.schema)
+
+    spark, before = docs.sparkSession, None
+    for at, (block, of) in enumerate(shards(benchmark, shard_bytes)):
+        if at:
+            folder = scratch_path(spark, "clean")
+            docs = written(docs, "clean", folder)
+            if before:
+                discard(spark, before)
+            before = folder
+        docs = without(docs, block, of)
     return docs

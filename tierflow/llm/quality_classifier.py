@@ -1,15 +1,18 @@
 """Co-trained quality classifier: a view of the text and a view of the page's metadata.
 
 Two logistic classifiers start from the labelled documents, one on the text alone, one on
-language, source and length. Each round, either view labels those documents of a pool of
-unlabelled ones that it is sure of, in a confidence band whose precision was measured on
-calibration labels, and hands them to the other view, which is fitted again. In the end each
-view's margin is calibrated (Platt) and the two are combined by a logistic fit on the same
-calibration labels. A view that is never precise enough hands on nothing.
+language, source and length. Each round, either view labels documents of a pool of unlabelled ones
+that it is sure of, in a confidence band whose precision was measured on calibration labels, and
+hands some, drawn anywhere in the band, to the other view. (The surest would be all of one kind,
+and teach the other view what that kind looks like.) The other view is fitted again, and keeps
+the labels and the fit if its calibrated loss on the calibration labels falls, so that no exchange
+makes it worse there. In the end each view's margin is calibrated (Platt) and the two are combined
+by a logistic fit on the same calibration labels. A view that is never precise enough hands on
+nothing.
 
 The fit is on bounded samples: ``labelled`` labelled rows of each class and ``pool`` unlabelled
-rows, those with the smallest hash of their id, of all folds but ``HELD_OUT``. Scoring reads
-every whole text and is one pass without a shuffle.
+rows, those with the smallest hash of their id, of all folds but ``HELD_OUT``, one row for each id
+(the smallest by its views). Scoring reads every whole text and is one pass without a shuffle.
 
 Defined results: null text is empty, null metadata is a category of its own; rows with null ids
 get scores but are never sampled; repeated rows get a score each; without labels of both classes
@@ -32,6 +35,7 @@ from tierflow.llm.quality_rules import signals
 
 FOLDS, HELD_OUT, CALIBRATION = 10, 0, (1, 2)
 HASHED = 256
+LENGTH_BINS = (1, 4, 16)  # of an octave
 SCORES = "doc_id long, held_out boolean, text_score double, metadata_score double, score double, kept boolean"
 SAMPLED = "doc_id long, fold int, label int, text_view binary, metadata_view binary"
 
@@ -53,11 +57,15 @@ def text_view(text: str | None) -> np.ndarray:
 
 
 def metadata_view(lang: str | None, source: str | None, n_chars: float | None) -> np.ndarray:
-    out = np.zeros(1 + 16 + 128 + 24, np.float32)
+    """Language, source, and length in bins of an octave, a quarter and a sixteenth of one."""
+    out = np.zeros(1 + 16 + 128 + sum(1 + 23 * k for k in LENGTH_BINS), np.float32)
     out[0] = 1
     out[1 + zlib.crc32(str(lang).encode("utf-8", "replace")) % 16] = 1
     out[17 + zlib.crc32(str(source).encode("utf-8", "replace")) % 128] = 1
-    out[145 + (0 if n_chars is None else 1 + min(22, int(np.log2(max(0, n_chars) + 1))))] = 1
+    at = 145
+    for k in LENGTH_BINS:
+        out[at + (0 if n_chars is None else 1 + min(23 * k - 1, int(k * np.log2(max(0, n_chars) + 1))))] = 1
+        at += 1 + 23 * k
     return out
 
 
@@ -95,6 +103,7 @@ class CoTrained:
     metadata_scale: np.ndarray = field(default_factory=lambda: np.zeros(2))
     combined: np.ndarray = field(default_factory=lambda: np.zeros(3))
     constant: float | None = None
+    handed: tuple[int, ...] = (0, 0)  # pseudo-labels of each view that the other kept
 
     def scores(self, text: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.constant is not None:
@@ -112,6 +121,13 @@ def platt(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array([w[0], max(0.0, w[1])])
 
 
+def calibrated_loss(z: np.ndarray, y: np.ndarray) -> float:
+    """Log loss of calibrated margins, both classes weighing the same."""
+    scale = platt(z, y)
+    losses = np.logaddexp(0, np.where(y > 0, -1, 1) * (scale[0] + scale[1] * z))
+    return float((losses[y > 0].mean() + losses[y <= 0].mean()) / 2)
+
+
 def sure(z: np.ndarray, z_cal: np.ndarray, y_cal: np.ndarray, precision: float) -> np.ndarray:
     """1, 0 or -1 (unsure) for each margin: bands that held ``precision`` on calibration labels."""
     out = np.full(len(z), -1)
@@ -140,21 +156,30 @@ def co_train(label: np.ndarray, folds: np.ndarray, views: list[np.ndarray], roun
     given = [np.where(train, label, -1) for _ in views]  # what each view learns from
     fits = [logistic(v[train], label[train]) for v in views]
     y_cal = label[calibration]
+    losses = [calibrated_loss(margin(v, w)[calibration], y_cal) for v, w in zip(views, fits, strict=True)]
+    handed = [0] * len(views)
+    rng = np.random.default_rng(0)
     for _ in range(rounds):
-        handed = 0
+        offered = 0
         for one, other in ((0, 1), (1, 0)):
             z = margin(views[one], fits[one])
             found = sure(z, z[calibration], y_cal, precision)
             fresh = ~known & (given[other] < 0) & (found >= 0)
-            for value in (0, 1):  # the surest of each class
-                some = np.flatnonzero(fresh & (found == value))
-                some = some[np.argsort(-np.abs(z[some]), kind="stable")][:per_round]
-                given[other][some] = value
-                handed += len(some)
-        if not handed:
+            learnt = given[other].copy()
+            for value in (0, 1):
+                some = rng.permutation(np.flatnonzero(fresh & (found == value)))[:per_round]
+                learnt[some] = value
+                offered += len(some)
+            if (learnt == given[other]).all():
+                continue
+            again = logistic(views[other][learnt >= 0], learnt[learnt >= 0])
+            loss = calibrated_loss(margin(views[other], again)[calibration], y_cal)
+            if loss < losses[other]:
+                handed[one] += int((learnt != given[other]).sum())
+                given[other], fits[other], losses[other] = learnt, again, loss
+        if not offered:
             break
-        fits = [logistic(v[g >= 0], g[g >= 0]) for v, g in zip(views, given, strict=True)]
-    model = CoTrained(*fits)
+    model = CoTrained(*fits, handed=tuple(handed))
     z = [margin(v, w)[calibration] for v, w in zip(views, fits, strict=True)]
     model.text_scale, model.metadata_scale = (platt(x, y_cal) for x in z)
     calibrated = [np.clip(s[0] + s[1] * x, -12, 12)
@@ -184,7 +209,9 @@ def sample(docs: DataFrame, labels: DataFrame, labelled: int, pool: int) -> Data
 
     # the chosen ids are at most 2 * labelled + pool rows
     return (_columns(docs).join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", "fold", "label", "text", "lang", "source", "n_chars").mapInPandas(rows, SAMPLED))
+            .select("doc_id", "fold", "label", "text", "lang", "source", "n_chars").mapInPandas(rows, SAMPLED)
+            .groupBy("doc_id", "fold", "label").agg(F.min(F.struct("text_view", "metadata_view")).alias("views"))
+            .select("doc_id", "fold", "label", "views.*"))
 
 
 def _columns(docs: DataFrame) -> DataFrame:
@@ -199,7 +226,7 @@ def _metadata(batch: pd.DataFrame) -> Iterator[tuple]:
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = 4000, pool: int = 4000, rounds: int = 5,
         per_round: int = 400, precision: float = 0.99) -> CoTrained:
-    rows = sample(docs, labels, labelled, pool).toPandas().drop_duplicates("doc_id").sort_values("doc_id")
+    rows = sample(docs, labels, labelled, pool).toPandas().sort_values("doc_id")
     if rows.empty:
         return CoTrained(constant=1.0)
     views = [np.stack([np.frombuffer(r, np.float32) for r in rows[v]]) for v in ("text_view", "metadata_view")]

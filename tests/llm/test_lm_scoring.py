@@ -90,6 +90,22 @@ def test_em_finds_the_weights_of_a_mixture():
                                 for b in np.arange(0.02, 0.97 - a, 0.05)) - 1
 
 
+def test_probabilities_sum_to_one():
+    """After every context, seen or not, over all words and the unknown one."""
+    import pandas as pd
+    rng = np.random.default_rng(5)
+    pairs = rng.integers(0, 5, (12, 12)) * (rng.random((12, 12)) < 0.4)
+    pairs[3] = 0  # a context never seen
+    one, seen = pairs.sum(0) + 1, pairs.sum(1)
+    frame = pd.DataFrame({"bucket": [1, 2, 2], "two": [8, 4, -1000], "one": [4, -4, -1000], "tokens": [50, 30, 5]})
+    mix = lm.weights(frame)
+    assert np.allclose(mix.sum(1), 1) and mix[0, 0] == 0 and (mix[1:] > 0).all()
+    for context in range(12):
+        w = mix[lm.bucket_of(seen[context:context + 1])][0]
+        p = w[0] * lm.share(pairs[context], seen[context]) + w[1] * one / one.sum() + w[2] / 13
+        assert p.sum() + w[2] / 13 == pytest.approx(1)
+
+
 def test_without_training_documents(spark):
     held = [k for k in range(200) if fold_of(k, 10) == 0][:3]
     docs = spark.createDataFrame([(k, "a b") for k in held], "doc_id long, text string")

@@ -3,6 +3,8 @@
 The model mixes maximum-likelihood bigram, unigram and uniform probabilities. The mixture weights
 depend on how often the context was seen (a bucket per power of two) and are learned by
 expectation-maximisation on a part of the training documents whose counts are deleted for that.
+A context that was never seen has no pair probabilities: its bucket mixes the other two alone, so that
+the probabilities after it sum to one as well.
 All documents outside the held-out fold give the counts.
 
 Texts are dealt into chunks of about ``chunk_chars`` by a hash. A chunk asks for the counts of its
@@ -174,7 +176,8 @@ def weights(counts: pd.DataFrame, rounds: int = 100, prior: float = 10.0) -> np.
     """Weights of pair, word and uniform probability for each bucket, by EM.
 
     Each bucket has ``prior`` tokens' worth of the weights over all buckets, so that a bucket with
-    few tokens is near them and no weight becomes zero.
+    few tokens is near them and no weight becomes zero, but that of pairs in bucket 0, whose
+    contexts were never seen. Without deleted tokens there is nothing to learn: the three weigh the same.
     """
     def fit(p: np.ndarray, n: np.ndarray, base: np.ndarray, start: np.ndarray) -> np.ndarray:
         w = start
@@ -191,8 +194,11 @@ def weights(counts: pd.DataFrame, rounds: int = 100, prior: float = 10.0) -> np.
     p = np.stack([*ratios, np.ones(len(counts))], 1)
     n, at = counts["tokens"].to_numpy(np.float64), counts["bucket"].to_numpy()
     overall = fit(p, n, even, even)
-    return np.stack([fit(p[at == b], n[at == b], overall, overall) if (at == b).any() else overall
-                     for b in range(BUCKETS)])
+    mix = np.stack([fit(p[at == b], n[at == b], overall, overall) if (at == b).any() else overall
+                    for b in range(BUCKETS)])
+    mix[0, 0] = 0
+    mix[0] /= mix[0].sum()
+    return mix
 
 
 def score_chunks(texts: DataFrame, answers: DataFrame, tokens: int, types: int, mix: np.ndarray) -> DataFrame:

@@ -141,3 +141,75 @@ def test_the_appended_fact_is_derived_once(large, folder, monkeypatch):
     monkeypatch.setattr(sample, "keyed_orders", lambda *given, real=sample.keyed_orders: calls.append(1) or real(*given))
     assert registry.QUERIES["fact_append"](large, folder).count() == 160
     assert len(calls) == 1
+
+
+def merged_ways(large, monkeypatch, table, batch, merge):
+    """The merge by joins, and with the batch taken as it is."""
+    monkeypatch.setattr("tierflow.operators.merge.SMALL_BATCH", 0)
+    feed = batch.withColumns({"_action": F.lit("INSERT"), "_is_update": F.lit(False)})
+    if merge == "scd1":
+        return [scd1_merge(table, batch, KEYS, replace=replace) for replace in (False, True)]
+    return [cdc_apply(table, feed, KEYS, upsert_on_insert=True, replace=replace) for replace in (False, True)]
+
+
+@pytest.mark.parametrize("merge", ["scd1", "cdc"])
+def test_a_batch_that_replaces_rows_is_not_shuffled(large, tmp_path, monkeypatch, merge):
+    nulls = large.createDataFrame([(None, 1, 7)], "k string, n bigint, v int")
+    table = stage(rows(large, tmp_path / "t", 0, 60, 1).unionByName(nulls), str(tmp_path / "table"))
+    new = large.createDataFrame([("new", 1, 8), ("new", 1, 9), (None, 1, 10)], "k string, n bigint, v int")
+    batch = stage(rows(large, tmp_path / "b", 40, 100, 2).unionByName(new), str(tmp_path / "batch"))
+    joins, replaced = merged_ways(large, monkeypatch, table, batch, merge)
+    assert sorted(map(str, joins.collect())) == sorted(map(str, replaced.collect()))
+    assert run(replaced).count("Exchange") == 2 and run(joins).count("Exchange") > 4
+
+
+@pytest.mark.parametrize("merge", ["scd1", "cdc"])
+def test_repeated_keys_are_merged_as_without_replacing(large, tmp_path, monkeypatch, merge):
+    table = rows(large, tmp_path / "t", 0, 60, 1)
+    twice = table.unionByName(table.where("k = '50'"))
+    batch = rows(large, tmp_path / "b", 40, 100, 2)
+    joins, replaced = merged_ways(large, monkeypatch, twice, batch, merge)
+    assert sorted(joins.collect()) == sorted(replaced.collect())
+    assert replaced.where("k = '50' AND v = 2").count() == 2
+    with pytest.raises(Exception, match="several source rows"):
+        merged_ways(large, monkeypatch, table, batch.unionByName(batch.where("k = '50'")), merge)
+
+
+def test_a_feed_with_other_changes_is_not_taken_as_it_is(large, tmp_path, monkeypatch):
+    monkeypatch.setattr("tierflow.operators.merge.SMALL_BATCH", 0)
+    table, batch = rows(large, tmp_path / "t", 0, 60, 1), rows(large, tmp_path / "b", 40, 100, 2)
+    feed = batch.withColumns({"_action": F.lit("INSERT"), "_is_update": F.col("k") > "7"})
+    ways = [cdc_apply(table, feed, KEYS, upsert_on_insert=True, replace=replace) for replace in (False, True)]
+    assert sorted(ways[0].collect()) == sorted(ways[1].collect())
+
+
+def test_fact_states_are_looked_up_once(large, folder, monkeypatch):
+    names = []
+    monkeypatch.setattr(sample, "_written", lambda df, name, real=sample._written: names.append(name) or real(df, name))
+    doubled = {name: df.unionByName(df) if name in ("customer", "product") else df for name, df in sample.dims(large, folder).items()}
+    monkeypatch.setattr(sample, "dims", lambda *given: doubled)
+    names.clear()
+    found = sample.fact1_states(large, folder)
+    assert names == ["fact-states"]
+    for state, orders in zip(found, sample.silver_states(large, folder), strict=True):
+        expected = sample.enrich_star(orders, doubled)
+        assert state.schema == expected.schema or [f.dataType for f in state.schema] == [f.dataType for f in expected.schema]
+        assert state.columns == expected.columns
+        assert sorted(map(str, state.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_versioned_states_are_written_once(large, folder, monkeypatch):
+    names = []
+    monkeypatch.setattr(sample, "_written", lambda df, name, real=sample._written: names.append(name) or real(df, name))
+    before, batch = sample.fact2_states(large, folder)
+    assert names == ["dates", "fact-rows"]
+    assert before.count() and batch.count()
+
+
+def test_a_load_compares_its_rows_once(large, folder, monkeypatch):
+    calls, staged = [], []
+    monkeypatch.setattr("tierflow.plans.silver.dedupe_latest", lambda *given, real=dedupe_latest: calls.append(1) or real(*given))
+    monkeypatch.setattr(registry, "stage", lambda df, path, real=stage: staged.append(path) or real(df, path))
+    found = registry.QUERIES["silver_dedupe_incremental"](large, folder)
+    assert len(calls) == 3 and len(staged) == 1
+    assert sorted(map(str, found.collect())) == sorted(map(str, registry.QUERIES["silver_dedupe"](large, folder).collect()))

@@ -75,3 +75,15 @@ def test_changes_of_a_hot_key_are_folded_in_the_map_tasks(spark):
     assert found.first()["_fresh"]["a"] == "19999"
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "partial_min" in plan
+
+
+def test_upserts_are_folded_without_a_join(spark, rows):
+    feed = spark.createDataFrame([
+        ("1", 1, "x", 1, "INSERT", False, 1), ("1", 1, "x", 1, "DELETE", False, 2), ("1", 1, "y", 2, "INSERT", True, 3),
+        ("2", 1, "x", 1, "DELETE", False, 2), ("2", 1, "y", 2, "INSERT", False, 2), ("2", 1, "z", 3, "INSERT", True, 2),
+        ("3", 1, "x", 1, "INSERT", False, 1), ("3", 1, "y", 2, "INSERT", False, 4), (None, 1, "n", None, "INSERT", True, 1)], FEED)
+    found = net_changes(feed, ["k", "part"], "seq", upsert_on_insert=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1 and "partial_max" in plan
+    assert rows(found.selectExpr("k", "_reset", "_fresh.a AS fresh", "_over.a AS over")) == [
+        ("1", True, None, None), ("2", True, "z", None), ("3", False, "y", "y"), (None, False, None, "n")]

@@ -4,9 +4,13 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from tierflow.operators import merge
 from tierflow.operators.merge import (
     cdc_apply, drop_update_deletes, row_changes, scd1_merge, scd2_merge, scd2_parts, snapshot_diff)
+from tierflow.plans import silver
+from tierflow.schemas import SL_ORDERDETAILS
 
 OLD, RUN = "2020-01-01 00:00:00", "2024-06-01 12:00:00"
 KEYS = ["invoice_no", "product_id"]
@@ -204,3 +208,36 @@ def test_row_changes_refuse_repeated_keys(spark):
     table = spark.createDataFrame([(None, 1, 5)] * 3, "invoice_no string, product_id int, quantity int")
     with pytest.raises(PySparkException, match="several rows of one key"):
         row_changes(table, table, KEYS, ["quantity"]).collect()
+
+
+FEED_COLS = f"{', '.join(f'{c} string' for c in silver.COPY_COLS[:1] + silver.COPY_COLS[2:6])}, kgs int, _action string, _is_update boolean"
+
+
+def order_feed(spark, *changes):
+    """Changes of (key, weight, action, is an update) as silver rows."""
+    rows = [(k, "c", "m", "p", "Y", kgs, action, update) for k, kgs, action, update in changes]
+    missing = {c: F.lit(None).cast(SL_ORDERDETAILS[c].dataType) for c in ("invoice_date", "type", "uom", "quantity", "insert_date", "update_date")}
+    return spark.createDataFrame(rows, FEED_COLS).withColumns(missing)
+
+
+@pytest.mark.parametrize("compat", [False, True])
+def test_changes_of_a_feed_are_counted_once(spark, monkeypatch, compat):
+    table = silver.silver_rows(order_feed(spark, ("1", 1, "", True), ("2", 1, "", True), (None, 1, "", True))).select(*SL_ORDERDETAILS.fieldNames())
+    asked = []
+    for module, name in ((silver, "dedupe_few"), (merge, "_repeated")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *given, name=name, real=real: asked.append(name) or real(*given))
+
+    def applied(*changes):
+        found = silver.silver_apply(table, order_feed(spark, *changes), compat).select("invoice_no", "kgs").collect()
+        return sorted(((r[0], int(r[1])) for r in found), key=str), [asked.pop() for _ in asked[:]][::-1]
+
+    single = [("1", 5, "INSERT", True), ("2", 1, "DELETE", compat), (None, 6, "INSERT", True), ("4", 4, "INSERT", False)]
+    assert applied(*single) == ([("1", 5), ("4", 4), (None, 6)], [])
+    # a copy, and a key that is deleted and added again
+    assert applied(*single, single[0]) == ([("1", 5), ("4", 4), (None, 6)], ["dedupe_few", "_repeated"])
+    again, looked = applied(*single, ("2", 7, "INSERT", False))
+    assert again == ([("1", 5), ("4", 4), (None, 6)] if compat else [("1", 5), ("2", 7), ("4", 4), (None, 6)])
+    assert looked == (["dedupe_few"] if compat else []) + ["_repeated"]
+    with pytest.raises(Exception, match="several source rows match one target row"):
+        applied(*single, ("1", 8, "INSERT", True))

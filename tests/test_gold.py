@@ -93,6 +93,38 @@ def test_only_touched_months_are_rewritten(spark, fact):
     assert state(spark, table) == [("A", 1, 5, "N", 1), ("A", 1, 6, "Y", 0), ("B", 1, 5, "Y", 0)]
 
 
+def dated(spark, *data):
+    """Fact rows of (invoice, quantity, date or None)."""
+    rows = fact_rows(spark, *[(no, 1, i, quantity) for i, (no, quantity, _) in enumerate(data)])
+    days = F.element_at(F.array(*[F.lit(day).cast("date") for *_, day in data]), F.col("customer_id").cast("int") + 1)
+    return rows.withColumns({"invoice_date": days, "customer_id": F.lit(1).cast("bigint")})
+
+
+def test_months_without_a_change_are_not_rewritten(spark, fact, tmp_path):
+    table = str(tmp_path / "dated")
+    days = [("A", 5, "2020-01-03"), ("B", 5, "2020-02-03"), ("C", 5, None), ("D", 5, "2020-04-03"), ("D", 5, "2020-04-03")]
+    gold.scd2_create(gold.first_versions(dated(spark, *days[:4]), FIRST), table)
+
+    def files():
+        return set(glob.glob(f"{table}/rows/*/*.parquet"))
+
+    before = files()
+    gold.scd2_stage(spark, table, dated(spark, *days[:4]), SECOND, 1)
+    gold.scd2_publish(spark, table, 1)
+    assert files() == before and len(before) == 4
+    # B moves to another month, a new key has several rows in several months, one without a key is added.
+    batch = [("A", 5, "2020-01-03"), ("B", 5, "2020-03-03"), ("C", 5, None), ("D", 5, "2020-04-03"),
+             *[("E", i, f"2020-0{i}-01") for i in range(5, 9)], (None, 9, "2020-12-01")]
+    gold.scd2_stage(spark, table, dated(spark, *batch), SECOND, 2)
+    gold.scd2_publish(spark, table, 2)
+    kept = {f for f in before if "=202002" not in f}
+    assert kept == files() & before and len(kept) == 3
+    found = sorted((str(r.invoice_no), r.quantity, str(r.invoice_date), r.closed_run) for r in gold.read_scd2(spark, table).collect())
+    assert found == sorted([*[(str(no), quantity, str(day), 0) for no, quantity, day in batch], ("B", 5, "2020-02-03", 2)])
+    with pytest.raises(Exception, match="several source rows match one target row"):
+        gold.scd2_stage(spark, table, dated(spark, *days), SECOND, 3)
+
+
 def test_a_key_whose_versions_are_all_closed_is_not_started_again(spark, fact):
     table = fact(("A", 1, 1, 5))
     # Literally taken, another customer closes the row without a successor.

@@ -125,6 +125,15 @@ def test_months_without_a_change_are_not_rewritten(spark, fact, tmp_path):
         gold.scd2_stage(spark, table, dated(spark, *days), SECOND, 3)
 
 
+def test_a_run_that_changes_nothing_shuffles_no_whole_rows(spark, fact, monkeypatch):
+    table, seen = fact(("A", 1, 1, 5), ("B", 1, 1, 5)), []
+    monkeypatch.setattr(gold, "scd2_delta", lambda *given, real=gold.scd2_delta, **options: seen.append(
+        (given[0].count(), given[2].count())) or real(*given, **options))
+    load(spark, table, 1, ("A", 1, 1, 5), ("B", 1, 1, 5))
+    load(spark, table, 2, ("A", 1, 1, 5), ("B", 1, 1, 6))
+    assert seen == [(0, 0), (2, 2)]
+
+
 def test_a_key_whose_versions_are_all_closed_is_not_started_again(spark, fact):
     table = fact(("A", 1, 1, 5))
     # Literally taken, another customer closes the row without a successor.

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from itertools import product
 
 import numpy as np
@@ -131,3 +132,29 @@ def test_scan_and_redact(spark):
     assert texts[900] is None and texts[901] == "" and texts[None] == "[secret]"
     assert texts[2] == dict(rows)[2]
     assert s.scan(docs.where("false"), s.fit(docs.where("false"))).collect() == []
+
+
+def test_a_fit_holds_few_weights_at_once(monkeypatch):
+    rows = 8 * [e for _, t in corpus(600) for e in s.examples(t)]
+    windows = [(np.array(f), np.array(t), before) for f, t, before in rows]
+
+    def fitted(given, most):
+        monkeypatch.setattr(s, "GATHERED", most)
+        tracemalloc.start()
+        model = s.fit_chain(given, steps=2)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return model, peak
+
+    (whole, more), (some, less) = fitted(rows, len(rows)), fitted(windows, 64)
+    assert all(np.array_equal(getattr(whole, p), getattr(some, p)) for p in ("emit", "move", "start"))
+    width = s.SHAPES + s.NEIGHBOURS + s.FILES
+    assert more - less > len(rows) * s.LENGTH * width * 8  # of 24 bytes a feature's weights
+
+
+def test_a_fit_takes_its_windows_as_arrays(spark, monkeypatch):
+    """Not as lists of number objects."""
+    seen = []
+    monkeypatch.setattr(s, "fit_windows", lambda windows, real: seen.extend(windows))
+    s.fit(spark.createDataFrame(corpus(40), "doc_id long, text string"))
+    assert seen and all(f.ndim == 2 and f.dtype == np.int32 and len(f) == len(t) for f, t, _ in seen)

@@ -279,7 +279,10 @@ def logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def fit_chain(examples: list[tuple[list[list[int]], list[int], int]], steps: int = 100, rate: float = 0.1,
+GATHERED = 512  # windows whose tokens' weights are summed at once: bounds what a step holds
+
+
+def fit_chain(examples: list[tuple[Sequence[Sequence[int]], Sequence[int], int]], steps: int = 100, rate: float = 0.1,
               penalty: float = 1e-4, length: int = LENGTH) -> ChainModel:
     """Maximum likelihood by forward-backward over all windows at once, with Adam steps.
 
@@ -305,7 +308,7 @@ def fit_chain(examples: list[tuple[list[list[int]], list[int], int]], steps: int
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     rows = np.arange(n)
     for step in range(1, steps + 1):
-        emit = model.emit[index].sum(2)
+        emit = np.concatenate([model.emit[index[at:at + GATHERED]].sum(2) for at in range(0, n, GATHERED)])
         forward = np.zeros((n, length, 3))
         forward[:, 0] = np.vstack([model.move, model.start])[before] + emit[:, 0]
         for j in range(1, length):
@@ -336,7 +339,7 @@ def fit_chain(examples: list[tuple[list[list[int]], list[int], int]], steps: int
     return model
 
 
-Window = tuple[list[list[int]], list[int], int]  # features, tags, tag before
+Window = tuple[Sequence[Sequence[int]], Sequence[int], int]  # features, tags, tag before
 
 
 def features_of(tokens: list[str], a: int, b: int, file: list[int], alone: bool = False) -> list[list[int]]:
@@ -511,6 +514,7 @@ def fit_windows(windows: list[Window], real: list[bool], **options) -> ChainMode
 
 
 def fit(docs: DataFrame, sampled: int = 8000, kinds: Sequence[str] = KINDS_MADE) -> ChainModel:
+    import pyarrow as pa
     ids = (docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sampled))
 
@@ -529,13 +533,17 @@ def fit(docs: DataFrame, sampled: int = 8000, kinds: Sequence[str] = KINDS_MADE)
     # the chosen ids are at most ``sampled`` rows, and of several texts under one id the smallest is used
     texts = (docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id")
              .groupBy("doc_id").agg(F.min("text").alias("text")))
-    found = (texts.mapInPandas(rows, "doc_id long, at int, before int, real boolean, tags array<int>, features array<int>")
-             .toPandas().sort_values(["doc_id", "at"]))
-    chosen = []
-    for before, tags, flat in zip(found["before"], found["tags"], found["features"], strict=True):
-        width = len(flat) // len(tags)
-        chosen.append(([list(flat[k * width:(k + 1) * width]) for k in range(len(tags))], list(tags), before))
-    return fit_windows(chosen, found["real"].tolist())
+    found = texts.mapInPandas(rows, "doc_id long, at int, before int, real boolean, tags array<int>, features array<int>").toArrow()
+    # kept as arrays: the driver would hold an object for each number of a list
+    found = found.sort_by([("doc_id", "ascending"), ("at", "ascending")])
+    chosen, tags, flat = [], None, None
+    for before, tags, flat in zip(*(found[c] for c in ("before", "tags", "features")), strict=True):
+        tags = tags.values.to_numpy()
+        chosen.append((flat.values.to_numpy().reshape(len(tags), -1), tags, before.as_py()))
+    model = fit_windows(chosen, found["real"].to_pylist())
+    del found, chosen, tags, flat
+    pa.default_memory_pool().release_unused()  # else the driver keeps it for later steps
+    return model
 
 
 def scan(docs: DataFrame, model: ChainModel) -> DataFrame:

@@ -218,3 +218,43 @@ def test_hashes_do_not_depend_on_the_neighbours():
     rng = random.Random(1)
     texts = [" ".join(rng.choice(["a", "bb", "é", "c" * 300]) for _ in range(rng.randrange(0, 9))).encode() for _ in range(200)]
     assert [g.tolist() for g in jj.grams(texts, 3)] == [jj.grams([t], 3)[0].tolist() for t in texts]
+
+
+def test_crowds_are_searched_among_like_sizes(spark, monkeypatch):
+    """One boilerplate, with endings of very different lengths: blocks hold documents of like size only."""
+    monkeypatch.setattr(jj, "CROWD", 3)
+    monkeypatch.setattr(jj, "BLOCK", 4)
+    tables = {}
+
+    def kept(df, name, real=jj.written):
+        tables[name] = real(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(jj, "written", kept)
+    rng = random.Random(5)
+    boiler = [f"b{k}" for k in range(12)]
+    rows = [(k, " ".join([*boiler, *(f"x{rng.randrange(10**6)}" for _ in range(length))])) for k, length in enumerate([1, 2, 3, 5, 8, 12, 20, 30] * 8)]
+    crowds = spark.createDataFrame([(k, 0) for k, _ in rows], "node long, crowd long")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none = spark.createDataFrame([], "a long, b long")
+    found = jj.links_of_crowds(docs, crowds, none, 4, 80)
+    links = {tuple(sorted(r)) for df in found for r in df.collect()}
+    expected, sets = brute(rows, percent=80)
+    parent = {d: d for d, _ in rows}
+    for _ in rows:
+        for a, b in links:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    assert parent == expected and 1 < len(set(parent.values())) < len(rows)
+    sizes = {d: len(s[0]) for d, s in sets.items()}
+    blocks = [r.asDict() for r in tables["bands"].collect()]
+    whole = -(-len(rows) // jj.BLOCK)
+    assert sum(b["index_blocks"] * b["query_blocks"] for b in blocks) < whole * whole / 2
+    bands = {d: b for d, b in spark.createDataFrame(list(sizes.items()), "d long, n long").select("d", jj.band(F.col("n"), 80)).collect()}
+    assert all(abs(bands[a] - bands[b]) <= 1 for a in sizes for b in sizes if 80 * sizes[b] <= 100 * sizes[a] <= 100 * sizes[b])
+
+
+def test_bands_of_linked_sizes_touch(spark):
+    sizes = spark.range(1, 3000).withColumnRenamed("id", "n")
+    for percent in (50, 80, 85, 100):
+        edge = sizes.select(jj.band(F.col("n"), percent).alias("x"), jj.band(F.ceil(F.col("n") * percent / 100), percent).alias("y"))
+        assert edge.agg(F.max(F.col("x") - F.col("y"))).first()[0] <= 1

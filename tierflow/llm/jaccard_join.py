@@ -15,7 +15,7 @@ lists less those skipped and less the longer ones that both have. Only if that l
 among many copies of one text, do longer lists count: documents that may owe a link to these and
 meet in one, directly or through others, are a crowd. Its pairs are never formed. Texts with equal
 sets are one node; a crowd is compared with its first node; what that leaves in other components
-than most of the crowd is searched in blocks: inverted lists over up to ``BLOCK`` whole sets in
+than most of the crowd is searched among its documents of like size in blocks: inverted lists over up to ``BLOCK`` whole sets in
 memory, the short ones merged, the long ones probed. A block gives no more links than it has
 documents, enough to connect what is linked.
 
@@ -29,6 +29,7 @@ any of its texts does; rows with null doc_id have a null component; an empty tab
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -362,28 +363,41 @@ def search_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
+def band(n: Column, percent: int) -> Column:
+    """A number for the size of a set; those of linked sets differ by one at most."""
+    return F.floor(F.log(n.cast("double")) / F.lit(max(1e-9, 1.0001 * math.log(100 / percent))))
+
+
 def links_of_crowds(docs: DataFrame, crowds: DataFrame, known: DataFrame, n: int, percent: int) -> list[DataFrame]:
     """Links within crowds: documents that meet in long lists, directly or through others.
 
     All are compared with the crowd's first document, which connects copies of one text. What is
-    then in another component than most of its crowd is searched in blocks against the crowd.
+    then in another component than most of its crowd is searched in blocks against the crowd's
+    documents of sizes that can be linked.
     """
     crowds = written(crowds, "crowds")
     stars = verified(docs, crowds.where("node <> crowd").select(F.col("node").alias("a"), F.col("crowd").alias("b")), n, percent)
     labels = components(known.unionAll(stars)).withColumnRenamed("component", "label")
     members = written(crowds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
     main = (members.groupBy("crowd", "label").agg(F.count(F.lit(1)).alias("size"))
-            .groupBy("crowd").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.sum("size").alias("all"),
+            .groupBy("crowd").agg(F.max_by("label", F.struct("size", "label")).alias("main"),
                                   (F.sum("size") - F.max("size")).alias("others")).where("others > 0"))
-    split = written(members.join(main, "crowd").withColumns({
-        "index_blocks": F.ceil(F.col("all") / BLOCK), "query_blocks": F.ceil(F.col("others") / BLOCK)}), "split_crowds")
+    split = written(members.join(main.select("crowd", "main"), "crowd"), "split_crowds")
     sets = written(sets_of(docs, split.select(F.col("node").alias("doc_id")), n), "crowd_sets").withColumnRenamed("doc_id", "node")
+    # a node of several texts is searched at the size of each
+    sized = split.join(sets.select("node", "n").distinct(), "node").withColumn("band", band(F.col("n"), percent))
+    indexed = sized.withColumn("band", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)))
+    asked = sized.where("label <> main")
+    counts = [rows.groupBy("crowd", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias(name))
+              for rows, name in ((indexed, "index_blocks"), (asked, "query_blocks"))]
+    bands = written(counts[0].join(counts[1], ["crowd", "band"]), "bands")
     place = {"q": F.pmod(F.xxhash64("node"), F.col("query_blocks")), "i": F.pmod(F.xxhash64("node", F.lit(1)), F.col("index_blocks"))}
     every = {"q": F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)), "i": F.explode(F.sequence(F.lit(0), F.col("index_blocks") - 1))}
-    indexed = split.withColumn("i", place["i"]).withColumn("q", every["q"]).withColumn("indexed", F.lit(True))
-    asked = split.where("label <> main").withColumn("q", place["q"]).withColumn("i", every["i"]).withColumn("indexed", F.lit(False))
-    blocks = indexed.unionByName(asked).select("crowd", "q", "i", "node", "label", "indexed").join(sets, "node")
-    links = blocks.groupBy("crowd", "q", "i").applyInPandas(lambda rows: search_block(rows, percent), "a long, b long")
+    indexed, asked = (rows.join(bands, ["crowd", "band"]) for rows in (indexed, asked))
+    indexed = indexed.withColumn("i", place["i"]).withColumn("q", every["q"]).withColumn("indexed", F.lit(True))
+    asked = asked.withColumn("q", place["q"]).withColumn("i", every["i"]).withColumn("indexed", F.lit(False))
+    blocks = indexed.unionByName(asked).select("crowd", "band", "q", "i", "node", "n", "label", "indexed").join(sets, ["node", "n"])
+    links = blocks.groupBy("crowd", "band", "q", "i").applyInPandas(lambda rows: search_block(rows, percent), "a long, b long")
     return [stars, written(links, "crowd_links")]
 
 
